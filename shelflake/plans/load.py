@@ -9,7 +9,9 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..files import remove_folder
 from ..functions import business_day
 from ..operators import warehouse_rows, with_identity, with_violations
 from ..operators.constraints import VIOLATIONS
@@ -41,8 +43,8 @@ class Staged:
         return spark.read.schema(WAREHOUSE_SCHEMA).parquet(f"{self.root}/accepted=true")
 
     def rejected(self, spark: SparkSession) -> DataFrame:
-        schema = f"{WAREHOUSE_SCHEMA.simpleString()[7:-1]},{VIOLATIONS}:string"
-        return spark.read.schema(f"struct<{schema}>").parquet(f"{self.root}/accepted=false")
+        schema = T.StructType(WAREHOUSE_SCHEMA.fields + [T.StructField(VIOLATIONS, T.StringType())])
+        return spark.read.schema(schema).parquet(f"{self.root}/accepted=false")
 
 
 def stage(listings: DataFrame, path: str) -> Staged:
@@ -84,11 +86,11 @@ def load_day(
     write = _WRITERS[mode]
     day = day or business_day(as_of, offset_hours)
     listings = read_day(spark, lake_root, day=day, categories=categories)
+    create_table(spark, warehouse)
     staged = stage(listings, work_path(spark, "load"))
     loaded = staged.rows_read - staged.rows_rejected
 
     snapshot_day = f"{day:%Y%m%d}"
-    create_table(spark, warehouse)
     if loaded:
         load_id = f"{snapshot_day}-{uuid.uuid4().hex}"
         after = reserve_ids(spark, warehouse, load_id, loaded)
@@ -103,4 +105,5 @@ def load_day(
             .partitionBy(SNAPSHOT_DAY)
             .parquet(warehouse.rejects)
         )
+    remove_folder(spark, staged.root)
     return LoadResult(day, staged.rows_read, loaded, staged.rows_rejected)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..files import path_exists
 from ..schema import IDENTITY_COLUMN, SNAPSHOT_DAY, WAREHOUSE_LIMITS, WAREHOUSE_SCHEMA
 from ..sources.missing import read_or_empty
 
@@ -49,21 +50,24 @@ def _catalog_type(field: T.StructField) -> str:
 
 
 def create_table(spark: SparkSession, warehouse: Warehouse) -> None:
-    """The thirteen warehouse columns, partitioned by snapshot day.
+    """The thirteen warehouse columns, partitioned by snapshot day, unless it exists.
 
     Text lengths are enforced on insert. The catalog keeps no key counter and enforces
     no NOT NULL on Parquet tables: see :func:`reserve_ids` and the constraint operator.
     """
+    if spark.catalog.tableExists(warehouse.table):
+        return
     columns = [f"{IDENTITY_COLUMN} BIGINT"]
     columns += [f"`{field.name}` {_catalog_type(field)}" for field in WAREHOUSE_SCHEMA]
     columns.append(f"{SNAPSHOT_DAY} STRING")
     location = warehouse.rows.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {warehouse.table} ({', '.join(columns)}) USING parquet "
+        f"CREATE TABLE {warehouse.table} ({', '.join(columns)}) USING parquet "
         f"PARTITIONED BY ({SNAPSHOT_DAY}) LOCATION '{location}'"
     )
-    # A new session's catalog may be younger than the rows.
-    spark.sql(f"MSCK REPAIR TABLE {warehouse.table}")
+    if path_exists(spark, warehouse.rows):
+        # The rows are older than this catalog entry.
+        spark.sql(f"MSCK REPAIR TABLE {warehouse.table}")
 
 
 def reserve_ids(spark: SparkSession, warehouse: Warehouse, load_id: str, count: int) -> int:
@@ -73,11 +77,7 @@ def reserve_ids(spark: SparkSession, warehouse: Warehouse, load_id: str, count:
     never scans the table. Like a database sequence this leaves a gap if the load then
     fails. Loads of one table must not run at the same time.
     """
-    earlier = read_or_empty(
-        spark,
-        _RESERVED_SCHEMA,
-        lambda: spark.read.schema(_RESERVED_SCHEMA).parquet(warehouse.reserved),
-    )
+    earlier = read_or_empty(spark, _RESERVED_SCHEMA, warehouse.reserved)
     last = earlier.agg(F.max("last_id")).first()[0] or 0
     (
         spark.range(1)

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import category_of, decoded, file_key, file_name
 from ..schema import FILE_PREFIX, FLAT_KEY, LAKE_SCHEMA
-from .missing import read_or_empty
+from .missing import matches_or_empty
 
 DROP_SCHEMA = T.StructType(
     [
@@ -44,7 +44,7 @@ def read_flat(spark: SparkSession, root: str, prefix: str = FILE_PREFIX) -> Data
     def read() -> DataFrame:
         return with_lineage(spark.read.schema(LAKE_SCHEMA).parquet(flat_glob(root, prefix)), prefix)
 
-    return read_or_empty(spark, schema, read)
+    return matches_or_empty(spark, schema, read)
 
 
 def drop_files(spark: SparkSession, root: str, prefix: str = FILE_PREFIX) -> DataFrame:
@@ -58,4 +58,4 @@ def drop_files(spark: SparkSession, root: str, prefix: str = FILE_PREFIX) -> Dat
         files = spark.read.format("binaryFile").load(flat_glob(root, prefix))
         return with_lineage(files.select("length", "_metadata"), prefix).select(*DROP_SCHEMA.names)
 
-    return read_or_empty(spark, DROP_SCHEMA, read)
+    return matches_or_empty(spark, DROP_SCHEMA, read)

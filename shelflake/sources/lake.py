@@ -8,9 +8,10 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..files import path_exists
 from ..functions import business_day
 from ..schema import OFFSET_HOURS, PARTITION_COLUMNS, PARTITIONED_LAKE_SCHEMA
-from .missing import read_or_empty
+from .missing import matches_or_empty
 
 
 def read_lake(spark: SparkSession, root: str) -> DataFrame:
@@ -38,7 +39,7 @@ def read_day(
     def read() -> DataFrame:
         return spark.read.schema(PARTITIONED_LAKE_SCHEMA).option("basePath", root).parquet(path)
 
-    found = read_or_empty(spark, PARTITIONED_LAKE_SCHEMA, read)
+    found = matches_or_empty(spark, PARTITIONED_LAKE_SCHEMA, read)
     return found if categories is None else found.where(F.col("category").isin(*categories))
 
 
@@ -55,7 +56,8 @@ def register_lake(spark: SparkSession, table: str, root: str) -> None:
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
         f"PARTITIONED BY ({keys}) LOCATION '{location}'"
     )
-    refresh_lake(spark, table)
+    if path_exists(spark, root):
+        refresh_lake(spark, table)
 
 
 def refresh_lake(spark: SparkSession, table: str) -> None:

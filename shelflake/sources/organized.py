@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import decoded
 from ..schema import LAKE_SCHEMA
-from .missing import read_or_empty
+from .missing import matches_or_empty, read_or_empty
 
 ORGANIZED_KEYS = ("category", "file_key")
 KEY_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in ORGANIZED_KEYS])
@@ -16,9 +16,7 @@ ORGANIZED_SCHEMA = T.StructType(LAKE_SCHEMA.fields + KEY_SCHEMA.fields)
 
 
 def read_organized(spark: SparkSession, root: str) -> DataFrame:
-    return read_or_empty(
-        spark, ORGANIZED_SCHEMA, lambda: spark.read.schema(ORGANIZED_SCHEMA).parquet(root)
-    )
+    return read_or_empty(spark, ORGANIZED_SCHEMA, root)
 
 
 def organized_keys(spark: SparkSession, root: str) -> DataFrame:
@@ -35,4 +33,4 @@ def organized_keys(spark: SparkSession, root: str) -> DataFrame:
             )
         ).distinct()
 
-    return read_or_empty(spark, KEY_SCHEMA, read)
+    return matches_or_empty(spark, KEY_SCHEMA, read)

@@ -56,9 +56,7 @@ def load_new_files(
 
 
 def _read_target(spark: SparkSession, target_root: str) -> DataFrame:
-    return read_or_empty(
-        spark, LOADED_SCHEMA, lambda: spark.read.schema(LOADED_SCHEMA).parquet(target_root)
-    )
+    return read_or_empty(spark, LOADED_SCHEMA, target_root)
 
 
 def read_loaded(spark: SparkSession, target_root: str) -> DataFrame:

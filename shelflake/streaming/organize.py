@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..files import path_exists
 from ..operators import matched, not_organized
 from ..plans.organize import rows_of_drops
 from ..schema import FILE_PREFIX, LAKE_SCHEMA
@@ -23,14 +24,9 @@ def _claimed_keys(spark: SparkSession, batch: DataFrame, target_root: str, path:
     does not take its own half-finished work for drops that were there before.
     """
 
-    def stored() -> DataFrame:
-        return read_or_empty(
-            spark, KEY_SCHEMA, lambda: spark.read.schema(KEY_SCHEMA).parquet(f"{path}/done=true")
-        )
-
-    claims = stored()
-    if claims.inputFiles():
-        return claims
+    claims = f"{path}/done=true"
+    if path_exists(spark, claims):
+        return spark.read.schema(KEY_SCHEMA).parquet(claims)
     fresh = not_organized(
         matched(batch).select(*ORGANIZED_KEYS).distinct(), organized_keys(spark, target_root)
     )
@@ -41,7 +37,7 @@ def _claimed_keys(spark: SparkSession, batch: DataFrame, target_root: str, path:
         .partitionBy("done")
         .parquet(path)
     )
-    return stored()
+    return read_or_empty(spark, KEY_SCHEMA, claims)
 
 
 def organize_new_drops(
