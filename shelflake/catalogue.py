@@ -26,6 +26,7 @@ from .functions import (
 from .operators import (
     category_status,
     distinct_drops,
+    files_behind,
     listings_of,
     parsed,
     rejected,
@@ -40,6 +41,7 @@ from .session import work_path
 from .sinks import write_flat, write_organized, write_partitioned
 from .sinks.warehouse import Warehouse
 from .sources import read_day, read_envelopes, read_flat, read_lake, read_organized, register_lake
+from .sources.flat import scan_flat
 from .streaming import load_new_files, organize_new_drops, read_loaded
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,7 +202,7 @@ def lake_overwrite_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def lake_roundtrip_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_flat(spark, _new_flat_lake(spark, _typed_feed(spark, sf_dir)))
-    return _as_utc(rows.drop("file_path", "filename"))
+    return _as_utc(rows.drop("file_uri", "file_path", "filename"))
 
 
 @registered
@@ -353,7 +355,7 @@ def file_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def distinct_file_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _new_flat_lake(spark, _typed_feed(spark, sf_dir))
-    return distinct_drops(read_flat(spark, root))
+    return distinct_drops(files_behind(scan_flat(spark, root)))
 
 
 def _with_price(listings: DataFrame, price: str) -> DataFrame:

@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A cast follows Java, which also takes '12d', '1.5f' and hexadecimal floats.
-# Those are not numbers in the source data, so they are ruled out first.
-_JAVA_ONLY_NUMBER = r"(?i)(\d\.?\s*[df]\s*$)|0x"
+# A cast follows Java, which also takes '12d', '1.5f' and hexadecimal floats, and trims
+# control characters. Such texts are not numbers in the source data.
+_JAVA_ONLY_NUMBER = r"(?i)(\d\.?\s*[df]\s*$)|0x|[\x00-\x08\x0e-\x1f]"
+
+
+def _plain(text: Column) -> Column:
+    return F.when(~text.rlike(_JAVA_ONLY_NUMBER), text)
 
 
 def to_double(text: Column) -> Column:
-    """Double, with NaN read as missing. Infinity is kept."""
-    parsed = F.when(~text.rlike(_JAVA_ONLY_NUMBER), text.try_cast("double"))
-    return F.nanvl(parsed, F.lit(None).cast("double"))
+    """Double, with NaN read as missing. Infinity is kept only where it is spelled out."""
+    parsed = _plain(text).try_cast("double")
+    overflow = (F.abs(parsed) == float("inf")) & text.rlike("[0-9]")
+    return F.when(~(F.isnan(parsed) | overflow), parsed)
 
 
 def to_long(text: Column) -> Column:
@@ -23,4 +28,4 @@ def to_long(text: Column) -> Column:
     """
     as_double = to_double(text)
     whole = F.when(as_double == F.floor(as_double), as_double.try_cast("bigint"))
-    return F.coalesce(text.try_cast("bigint"), whole)
+    return F.coalesce(_plain(text).try_cast("bigint"), whole)

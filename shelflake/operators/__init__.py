@@ -2,7 +2,15 @@
 
 from .constraints import accepted, rejected, with_violations
 from .listings import listings_of, parsed, typed_listings
-from .organize import already_organized, distinct_drops, matched, not_organized, unmatched
+from .organize import (
+    already_organized,
+    distinct_drops,
+    files_behind,
+    matched,
+    not_organized,
+    rows_of_files,
+    unmatched,
+)
 from .status import category_status, status_lines
 from .surrogate import with_identity
 from .warehouse_rows import warehouse_rows
@@ -12,11 +20,13 @@ __all__ = [
     "already_organized",
     "category_status",
     "distinct_drops",
+    "files_behind",
     "listings_of",
     "matched",
     "not_organized",
     "parsed",
     "rejected",
+    "rows_of_files",
     "status_lines",
     "typed_listings",
     "unmatched",

@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..schema import FILE_PREFIX, LAKE_SCHEMA
+from ..sources.flat import FILE_URI, with_lineage
 from ..sources.organized import ORGANIZED_KEYS
 
+# Up to this many files their destinations (about 100 MB) are sent to every task.
+MAX_BROADCAST_FILES = 400_000
+
 
 def matched(drops: DataFrame) -> DataFrame:
     """Drops (or their rows) whose name tells a category."""
@@ -17,16 +22,21 @@ def unmatched(drops: DataFrame) -> DataFrame:
     return drops.where(F.col("category") == "")
 
 
-def distinct_drops(rows: DataFrame) -> DataFrame:
-    """The distinct drops behind some rows, with their destination.
+def files_behind(rows: DataFrame, prefix: str = FILE_PREFIX) -> DataFrame:
+    """The distinct files behind some rows, with their lineage.
 
-    Lineage is constant per file, so each task reduces its rows to a handful of keys
-    before anything is shuffled.
+    Each task first reduces its rows to a handful of URIs; names are taken apart once
+    per file and not once per row.
     """
+    return with_lineage(rows.select(FILE_URI).distinct(), prefix)
+
+
+def distinct_drops(files: DataFrame) -> DataFrame:
+    """The distinct drops behind some files, with their destination."""
     return (
-        rows.select("category", "file_key")
+        files.select(*ORGANIZED_KEYS)
         .distinct()
-        .withColumn("destination", F.concat_ws("/", "category", "file_key"))
+        .withColumn("destination", F.concat_ws("/", *ORGANIZED_KEYS))
     )
 
 
@@ -37,3 +47,17 @@ def not_organized(drops: DataFrame, existing: DataFrame) -> DataFrame:
 
 def already_organized(drops: DataFrame, existing: DataFrame) -> DataFrame:
     return drops.join(existing, list(ORGANIZED_KEYS), "left_semi")
+
+
+def rows_of_files(
+    rows: DataFrame, files: DataFrame, *, max_broadcast_files: int = MAX_BROADCAST_FILES
+) -> DataFrame:
+    """The rows of the given files only, with the destination of each.
+
+    The files are broadcast if they are few enough, and then no row is shuffled.
+    Otherwise Spark joins by file and splits the files that are too large for a task.
+    """
+    destinations = files.select(FILE_URI, *ORGANIZED_KEYS)
+    if destinations.limit(max_broadcast_files + 1).count() <= max_broadcast_files:
+        destinations = F.broadcast(destinations)
+    return rows.join(destinations, FILE_URI).select(*LAKE_SCHEMA.names, *ORGANIZED_KEYS)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Number of groups the per-file counts are summed in. The last step sees one row per
-# group, so it is bounded by this constant.
+# Number of groups (a power of two) the per-file counts are summed in. The last step
+# sees one row per group, so it is bounded by this constant.
 _GROUPS = 512
 
 # Up to this many files the offsets are small enough (about 10 MB) to send everywhere.
@@ -24,7 +24,7 @@ def with_identity(
     unless there are too many files to broadcast their offsets.
     """
     per_file = stored.select(F.col("_metadata.file_path").alias("id_file")).groupBy("id_file").count()
-    grouped = per_file.withColumn("id_group", F.pmod(F.xxhash64("id_file"), F.lit(_GROUPS)))
+    grouped = per_file.withColumn("id_group", F.xxhash64("id_file").bitwiseAND(_GROUPS - 1))
 
     before_in_group = Window.partitionBy("id_group").orderBy("id_file").rowsBetween(
         Window.unboundedPreceding, -1

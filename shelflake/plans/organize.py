@@ -7,20 +7,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import matched, not_organized, unmatched
+from ..operators import matched, not_organized, rows_of_files, unmatched
 from ..schema import FILE_PREFIX, LAKE_SCHEMA
-from ..sinks.organized import write_organized
-from ..sources import drop_files, organized_keys, read_flat
-from ..sources.flat import with_lineage
+from ..sinks.organized import write_organized, write_unmatched
+from ..sources import drop_files, organized_keys
+from ..sources.flat import scan_flat, with_uri
 from ..sources.organized import ORGANIZED_KEYS
 
 # Up to this many files are read by name. Their names are all that reaches the driver,
 # where Spark's own file index holds them anyway.
 MAX_NAMED_FILES = 10_000
 
-# Up to this many drop keys (about 10 MB) are sent to every task.
-MAX_BROADCAST_KEYS = 100_000
-
 # A path with one of these would be read as a pattern.
 _GLOB_CHARACTERS = frozenset("[]{}*?\\")
 
@@ -32,13 +29,7 @@ class OrganizeResult:
     unmatched: int
 
 
-def rows_of_drops(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """Semi- or anti-join rows with drop keys; the keys are broadcast if few enough."""
-    few = keys.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
-    return rows.join(F.broadcast(keys) if few else keys, list(ORGANIZED_KEYS), how)
-
-
-def _rows_of_files(
+def _rows_behind(
     spark: SparkSession, root: str, files: DataFrame, prefix: str, max_named_files: int
 ) -> DataFrame:
     """Rows of the given drop files, without opening any other file.
@@ -49,9 +40,10 @@ def _rows_of_files(
     found = files.select("file_path").limit(max_named_files + 1).collect()
     names = [row.file_path for row in found]
     if len(names) <= max_named_files and not any(_GLOB_CHARACTERS & set(name) for name in names):
-        return with_lineage(spark.read.schema(LAKE_SCHEMA).parquet(*names), prefix)
-    keys = files.select(*ORGANIZED_KEYS).distinct()
-    return rows_of_drops(read_flat(spark, root, prefix), keys, "left_semi")
+        scan = with_uri(spark.read.schema(LAKE_SCHEMA).parquet(*names))
+    else:
+        scan = scan_flat(spark, root, prefix)
+    return rows_of_files(scan, files)
 
 
 def organize(
@@ -72,27 +64,23 @@ def organize(
     """
     files = drop_files(spark, flat_root, prefix)
     existing = organized_keys(spark, target_root)
-    new_files = not_organized(matched(files), existing)
-
-    seen = files.select(*ORGANIZED_KEYS).distinct()
-    counts = seen.join(
-        existing.withColumn("exists", F.lit(True)), list(ORGANIZED_KEYS), "left"
-    ).agg(
-        F.count_if((F.col("category") != "") & F.col("exists").isNull()).alias("new"),
-        F.count_if(F.col("exists").isNotNull()).alias("skipped"),
-        F.count_if(F.col("category") == "").alias("unmatched"),
-    ).first()
 
+    drops = files.select(*ORGANIZED_KEYS).distinct()
+    known = existing.withColumn("exists", F.lit(True))
+    counts = (
+        drops.join(known, list(ORGANIZED_KEYS), "left")
+        .agg(
+            F.count_if((F.col("category") != "") & F.col("exists").isNull()).alias("new"),
+            F.count_if(F.col("exists").isNotNull()).alias("skipped"),
+            F.count_if(F.col("category") == "").alias("unmatched"),
+        )
+        .first()
+    )
     if counts["new"]:
-        rows = _rows_of_files(spark, flat_root, new_files, prefix, max_named_files)
+        new_files = not_organized(matched(files), existing)
+        rows = _rows_behind(spark, flat_root, new_files, prefix, max_named_files)
         write_organized(rows, target_root)
     if counts["unmatched"] and rejects_root is not None:
-        (
-            _rows_of_files(spark, flat_root, unmatched(files), prefix, max_named_files)
-            .select(*LAKE_SCHEMA.names, "file_key")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("file_key")
-            .parquet(rejects_root)
-        )
+        rows = _rows_behind(spark, flat_root, unmatched(files), prefix, max_named_files)
+        write_unmatched(rows, rejects_root)
     return OrganizeResult(counts["new"], counts["skipped"], counts["unmatched"])

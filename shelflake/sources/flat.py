@@ -10,10 +10,12 @@ from ..functions import category_of, decoded, file_key, file_name
 from ..schema import FILE_PREFIX, FLAT_KEY, LAKE_SCHEMA
 from .missing import matches_or_empty
 
+FILE_URI = "file_uri"
+
 DROP_SCHEMA = T.StructType(
     [
         T.StructField(name, T.StringType())
-        for name in ("file_path", "filename", "file_key", "category")
+        for name in (FILE_URI, "file_path", "filename", "file_key", "category")
     ]
 )
 
@@ -23,39 +25,46 @@ def flat_glob(root: str, prefix: str = FILE_PREFIX) -> str:
     return f"{root}/{{{prefix}*.parquet,{FLAT_KEY}={prefix}*}}"
 
 
-def with_lineage(rows: DataFrame, prefix: str = FILE_PREFIX) -> DataFrame:
-    """Add the file's path, name, drop key and category to each row of a file scan.
+def with_uri(scan: DataFrame) -> DataFrame:
+    """Add each row's file, as the encoded URI Spark reports. It is constant per file."""
+    return scan.withColumn(FILE_URI, F.col("_metadata.file_path"))
 
-    File metadata is constant per file, so this reads no extra data.
-    """
-    path = decoded(F.col("_metadata.file_path"))
+
+def with_lineage(files: DataFrame, prefix: str = FILE_PREFIX) -> DataFrame:
+    """Add path, name, drop key and category to rows that have their file's URI."""
     return (
-        rows.withColumn("file_path", path)
+        files.withColumn("file_path", decoded(F.col(FILE_URI)))
         .withColumn("filename", file_name(F.col("file_path")))
         .withColumn("file_key", file_key(F.col("file_path")))
         .withColumn("category", category_of(F.col("file_key"), prefix))
     )
 
 
-def read_flat(spark: SparkSession, root: str, prefix: str = FILE_PREFIX) -> DataFrame:
-    """Rows of all drops with their lineage columns; no rows if there are no drops."""
-    schema = T.StructType(LAKE_SCHEMA.fields + DROP_SCHEMA.fields)
+def scan_flat(spark: SparkSession, root: str, prefix: str = FILE_PREFIX) -> DataFrame:
+    """Rows of all drops with their file's URI; no rows if there are no drops."""
+    schema = T.StructType(LAKE_SCHEMA.fields + [DROP_SCHEMA[FILE_URI]])
 
     def read() -> DataFrame:
-        return with_lineage(spark.read.schema(LAKE_SCHEMA).parquet(flat_glob(root, prefix)), prefix)
+        return with_uri(spark.read.schema(LAKE_SCHEMA).parquet(flat_glob(root, prefix)))
 
     return matches_or_empty(spark, schema, read)
 
 
+def read_flat(spark: SparkSession, root: str, prefix: str = FILE_PREFIX) -> DataFrame:
+    """Rows of all drops with their lineage columns."""
+    return with_lineage(scan_flat(spark, root, prefix), prefix)
+
+
 def drop_files(spark: SparkSession, root: str, prefix: str = FILE_PREFIX) -> DataFrame:
     """The data files of all drops, from the file listing alone.
 
     The content column is not selected, so no file is opened, and files without rows
     are listed too.
     """
+    schema = T.StructType([DROP_SCHEMA[FILE_URI]])
 
     def read() -> DataFrame:
-        files = spark.read.format("binaryFile").load(flat_glob(root, prefix))
-        return with_lineage(files.select("length", "_metadata"), prefix).select(*DROP_SCHEMA.names)
+        listing = spark.read.format("binaryFile").load(flat_glob(root, prefix))
+        return with_uri(listing).select(FILE_URI)
 
-    return matches_or_empty(spark, DROP_SCHEMA, read)
+    return with_lineage(matches_or_empty(spark, schema, read), prefix)

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..files import path_exists
 from ..functions import decoded
 from ..schema import LAKE_SCHEMA
-from .missing import matches_or_empty, read_or_empty
+from .missing import empty_frame, matches_or_empty, read_or_empty
 
 ORGANIZED_KEYS = ("category", "file_key")
 KEY_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in ORGANIZED_KEYS])
@@ -33,4 +34,6 @@ def organized_keys(spark: SparkSession, root: str) -> DataFrame:
             )
         ).distinct()
 
+    if not path_exists(spark, root):
+        return empty_frame(spark, KEY_SCHEMA)
     return matches_or_empty(spark, KEY_SCHEMA, read)

@@ -7,36 +7,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..files import path_exists
-from ..operators import matched, not_organized
-from ..plans.organize import rows_of_drops
+from ..operators import already_organized, files_behind, matched, not_organized, rows_of_files
 from ..schema import FILE_PREFIX, LAKE_SCHEMA
-from ..sinks.organized import write_organized
-from ..sources import organized_keys
-from ..sources.flat import flat_glob, with_lineage
-from ..sources.missing import read_or_empty
+from ..sinks.organized import write_left_over, write_organized
+from ..sources import organized_keys, read_or_empty
+from ..sources.flat import flat_glob, with_uri
 from ..sources.organized import KEY_SCHEMA, ORGANIZED_KEYS
 
 
-def _claimed_keys(spark: SparkSession, batch: DataFrame, target_root: str, path: str) -> DataFrame:
+def _claimed_keys(spark: SparkSession, files: DataFrame, target_root: str, path: str) -> DataFrame:
     """The batch's drops that had no folder when the batch was first tried.
 
     They are written down before any row is. A repeated batch reads them back, so it
     does not take its own half-finished work for drops that were there before.
     """
-
     claims = f"{path}/done=true"
-    if path_exists(spark, claims):
-        return spark.read.schema(KEY_SCHEMA).parquet(claims)
-    fresh = not_organized(
-        matched(batch).select(*ORGANIZED_KEYS).distinct(), organized_keys(spark, target_root)
-    )
-    (
-        fresh.withColumn("done", F.lit(True))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("done")
-        .parquet(path)
-    )
+    if not path_exists(spark, claims):
+        drops = matched(files).select(*ORGANIZED_KEYS).distinct()
+        (
+            not_organized(drops, organized_keys(spark, target_root))
+            .withColumn("done", F.lit(True))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("done")
+            .parquet(path)
+        )
     return read_or_empty(spark, KEY_SCHEMA, claims)
 
 
@@ -66,26 +61,20 @@ def organize_new_drops(
     source = spark.readStream.schema(LAKE_SCHEMA).option("cleanSource", clean_source)
     if archive_root is not None:
         source = source.option("sourceArchiveDir", archive_root)
-    rows = with_lineage(source.parquet(flat_glob(flat_root, prefix)), prefix)
+    rows = with_uri(source.parquet(flat_glob(flat_root, prefix)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        claims = _claimed_keys(session, batch, target_root, f"{checkpoint}/claims/{batch_id}")
-        write_organized(rows_of_drops(batch, claims, "left_semi"), target_root)
-        # Looks at the drops' names only, which spares the usual batch a second pass.
-        if not_organized(batch.select(*ORGANIZED_KEYS).distinct(), claims).isEmpty():
-            return
-        left_over = rows_of_drops(batch, claims, "left_anti")
-        reason = F.when(F.col("category") == "", "no_category").otherwise("already_organized")
-        (
-            left_over.withColumn("reason", reason)
-            .withColumn("batch", F.lit(batch_id).cast("bigint"))
-            .select(*LAKE_SCHEMA.names, *ORGANIZED_KEYS, "reason", "batch")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("reason", "batch")
-            .parquet(rejects_root)
-        )
+        files = files_behind(batch, prefix)
+        claims = _claimed_keys(session, files, target_root, f"{checkpoint}/claims/{batch_id}")
+        write_organized(rows_of_files(batch, already_organized(files, claims)), target_root)
+
+        left_over = not_organized(files, claims)
+        if not left_over.isEmpty():
+            unnamed = F.col("category") == ""
+            reason = F.when(unnamed, "no_category").otherwise("already_organized")
+            kept = rows_of_files(batch, left_over).withColumn("reason", reason)
+            write_left_over(kept, rejects_root, batch_id)
 
     return (
         rows.writeStream.foreachBatch(write)
