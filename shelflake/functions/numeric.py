@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 # control characters. Such texts are not numbers in the source data.
 _JAVA_ONLY_NUMBER = r"(?i)(\d\.?\s*[df]\s*$)|0x|[\x00-\x08\x0e-\x1f]"
 
+# The largest long, taken to double, rounds up to this and would pass for equal.
+_BEYOND_LONG = 2.0**63
+
 
 def _plain(text: Column) -> Column:
     return F.when(~text.rlike(_JAVA_ONLY_NUMBER), text)
@@ -27,5 +30,6 @@ def to_long(text: Column) -> Column:
     The first branch keeps all 64 bits; only texts such as ``1e3`` go through double.
     """
     as_double = to_double(text)
-    whole = F.when(as_double == F.floor(as_double), as_double.try_cast("bigint"))
+    is_whole = (as_double == F.floor(as_double)) & (as_double < _BEYOND_LONG)
+    whole = F.when(is_whole, as_double.try_cast("bigint"))
     return F.coalesce(_plain(text).try_cast("bigint"), whole)

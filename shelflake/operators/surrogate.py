@@ -44,7 +44,7 @@ def with_identity(
     offsets = in_group.join(F.broadcast(groups), "id_group").select(
         "id_file", (F.col("id_inner") + F.col("id_outer")).alias("id_offset")
     )
-    if len(stored.inputFiles()) <= max_broadcast_files:
+    if per_file.limit(max_broadcast_files + 1).count() <= max_broadcast_files:
         offsets = F.broadcast(offsets)
 
     placed = stored.withColumns(

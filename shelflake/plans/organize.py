@@ -62,9 +62,28 @@ def organize(
     it is. The number of Spark jobs does not depend on the number of drops. Sources
     are kept; to retire them use the streaming form.
     """
-    files = drop_files(spark, flat_root, prefix)
-    existing = organized_keys(spark, target_root)
+    # Both listings are used several times; they hold a line per file, not per row.
+    files = drop_files(spark, flat_root, prefix).persist()
+    existing = organized_keys(spark, target_root).persist()
+    try:
+        return _organize_listed(
+            spark, flat_root, target_root, files, existing, rejects_root, prefix, max_named_files
+        )
+    finally:
+        files.unpersist()
+        existing.unpersist()
+
 
+def _organize_listed(
+    spark: SparkSession,
+    flat_root: str,
+    target_root: str,
+    files: DataFrame,
+    existing: DataFrame,
+    rejects_root: str | None,
+    prefix: str,
+    max_named_files: int,
+) -> OrganizeResult:
     drops = files.select(*ORGANIZED_KEYS).distinct()
     known = existing.withColumn("exists", F.lit(True))
     counts = (

@@ -11,6 +11,7 @@ from ..operators import warehouse_rows, with_violations
 from ..operators.constraints import VIOLATIONS
 from ..schema import PARTITIONED_LAKE_SCHEMA, WAREHOUSE_SCHEMA
 from ..sources.missing import read_or_empty
+from .source import MAX_FILE_AGE
 
 ACCEPTED = "accepted"
 LOAD_BATCH = "load_batch"
@@ -46,7 +47,11 @@ def load_new_files(
             .parquet(target_root)
         )
 
-    listings = spark.readStream.schema(PARTITIONED_LAKE_SCHEMA).parquet(lake_root)
+    listings = (
+        spark.readStream.schema(PARTITIONED_LAKE_SCHEMA)
+        .option("maxFileAge", MAX_FILE_AGE)
+        .parquet(lake_root)
+    )
     return (
         listings.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)

@@ -13,6 +13,7 @@ from ..sinks.organized import write_left_over, write_organized
 from ..sources import organized_keys, read_or_empty
 from ..sources.flat import flat_glob, with_uri
 from ..sources.organized import KEY_SCHEMA, ORGANIZED_KEYS
+from .source import MAX_FILE_AGE
 
 
 def _claimed_keys(spark: SparkSession, files: DataFrame, target_root: str, path: str) -> DataFrame:
@@ -58,15 +59,16 @@ def organize_new_drops(
 
     A folder drop must be published whole; its files belong to one batch.
     """
-    source = spark.readStream.schema(LAKE_SCHEMA).option("cleanSource", clean_source)
+    source = spark.readStream.schema(LAKE_SCHEMA).options(
+        cleanSource=clean_source, maxFileAge=MAX_FILE_AGE
+    )
     if archive_root is not None:
         source = source.option("sourceArchiveDir", archive_root)
     rows = with_uri(source.parquet(flat_glob(flat_root, prefix)))
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        files = files_behind(batch, prefix)
-        claims = _claimed_keys(session, files, target_root, f"{checkpoint}/claims/{batch_id}")
+    def write_batch(batch: DataFrame, files: DataFrame, batch_id: int) -> None:
+        claimed_at = f"{checkpoint}/claims/{batch_id}"
+        claims = _claimed_keys(batch.sparkSession, files, target_root, claimed_at)
         write_organized(rows_of_files(batch, already_organized(files, claims)), target_root)
 
         left_over = not_organized(files, claims)
@@ -76,6 +78,14 @@ def organize_new_drops(
             kept = rows_of_files(batch, left_over).withColumn("reason", reason)
             write_left_over(kept, rejects_root, batch_id)
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # A line per file of the batch, used several times.
+        files = files_behind(batch, prefix).persist()
+        try:
+            write_batch(batch, files, batch_id)
+        finally:
+            files.unpersist()
+
     return (
         rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)

@@ -1,0 +1,195 @@
+from __future__ import annotations
+
+import uuid
+from datetime import date, timedelta
+
+import pytest
+from builders import NOON, listing, listings
+
+from shelflake.files import path_exists
+from shelflake.operators import warehouse_rows, with_identity, with_violations
+from shelflake.plans import load_day
+from shelflake.plans.load import stage
+from shelflake.schema import WAREHOUSE_SCHEMA
+from shelflake.session import shared_folder
+from shelflake.sinks import write_partitioned
+from shelflake.sinks.warehouse import Warehouse, create_table
+
+DAYS = [date(2024, 1, 1) + timedelta(days=n) for n in range(3)]
+
+
+def day_rows(n: int, count: int, **changes):
+    return [
+        listing(rank=i, asin=f"B{n}{i:04d}", fetch_timestamp=NOON + timedelta(days=n)) | changes
+        for i in range(count)
+    ]
+
+
+@pytest.fixture
+def lake(spark, root):
+    rows = [row for n, count in enumerate((5, 7, 4)) for row in day_rows(n, count)]
+    write_partitioned(listings(spark, rows), root)
+    return root
+
+
+@pytest.fixture
+def warehouse(spark, tmp_path):
+    return Warehouse(f"w_{uuid.uuid4().hex}", str(tmp_path / "warehouse"))
+
+
+def ids(spark, warehouse):
+    rows = spark.table(warehouse.table).select("snapshot_day", "unique_id").collect()
+    days: dict[str, list[int]] = {}
+    for day, unique_id in rows:
+        days.setdefault(day, []).append(unique_id)
+    return {day: sorted(found) for day, found in days.items()}
+
+
+def test_table_has_the_thirteen_columns_and_limits(spark, warehouse):
+    create_table(spark, warehouse)
+    described = {
+        r.col_name: r.data_type
+        for r in spark.sql(f"DESCRIBE {warehouse.table}").collect()
+        if not r.col_name.startswith("#")
+    }
+    assert list(described) == ["unique_id", *WAREHOUSE_SCHEMA.names, "snapshot_day"]
+    assert described["asin"] == "varchar(50)"
+    assert described["product_price"] == "decimal(10,2)"
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        spark.sql(
+            f"INSERT INTO {warehouse.table} (unique_id, asin, snapshot_day) "
+            "VALUES (1, repeat('x', 51), '20240101')"
+        )
+
+
+def test_warehouse_rows(spark):
+    rows = [
+        listing(rank=3_000_000_000, product_num_ratings=2**31 - 1, product_price="€1,005.005"),
+        listing(rank=None, product_title="A | B", product_price=None),
+    ]
+    frame = warehouse_rows(listings(spark, rows))
+    assert [(f.name, f.dataType) for f in frame.schema] == [
+        (f.name, f.dataType) for f in WAREHOUSE_SCHEMA
+    ]
+    first, second = frame.collect()
+    assert (first.rank, first.product_num_ratings) == (None, 2**31 - 1)
+    assert (first.currency, str(first.product_price)) == ("EUR", "1005.01")
+    assert first.fetch_timestamp == NOON
+    assert (second.currency, second.product_price) == ("Unknown", None)
+    assert second.short_product_title == "A "
+
+
+def test_loads_number_rows_without_gaps(spark, lake, warehouse):
+    results = [load_day(spark, lake, warehouse, day=day) for day in DAYS]
+    assert [r.rows_loaded for r in results] == [5, 7, 4]
+    assert ids(spark, warehouse) == {
+        "20240101": list(range(1, 6)),
+        "20240102": list(range(6, 13)),
+        "20240103": list(range(13, 17)),
+    }
+
+
+def test_append_twice_doubles_and_replace_does_not(spark, lake, warehouse):
+    for _ in range(2):
+        load_day(spark, lake, warehouse, day=DAYS[0])
+    load_day(spark, lake, warehouse, day=DAYS[1])
+    assert {day: len(found) for day, found in ids(spark, warehouse).items()} == {
+        "20240101": 10, "20240102": 7,
+    }
+    for _ in range(2):
+        load_day(spark, lake, warehouse, day=DAYS[0], mode="replace_day")
+    found = ids(spark, warehouse)
+    assert {day: len(numbers) for day, numbers in found.items()} == {"20240101": 5, "20240102": 7}
+    everything = [number for numbers in found.values() for number in numbers]
+    assert len(set(everything)) == len(everything)
+
+
+def test_replacing_leaves_the_session_as_it_was(spark, lake, warehouse):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    load_day(spark, lake, warehouse, day=DAYS[0], mode="replace_day")
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_a_missing_day_loads_nothing(spark, lake, warehouse):
+    for mode in ("append", "replace_day"):
+        result = load_day(spark, lake, warehouse, day=date(2031, 1, 1), mode=mode)
+        assert (result.rows_read, result.rows_loaded, result.rows_rejected) == (0, 0, 0)
+    assert spark.table(warehouse.table).isEmpty()
+
+
+def test_the_day_follows_the_business_clock(spark, lake, warehouse):
+    from datetime import datetime
+
+    result = load_day(spark, lake, warehouse, as_of=datetime(2024, 1, 3, 4, 59))
+    assert (result.day, result.rows_loaded) == (DAYS[1], 7)
+
+
+def test_rejects_are_kept_apart(spark, root, warehouse):
+    rows = day_rows(0, 3) + [
+        listing(asin=None, product_title="x" * 1001),
+        listing(asin="B" * 51),
+        listing(product_title="é" * 1000 + ",", product_url="u" * 1000),
+    ]
+    write_partitioned(listings(spark, rows), root)
+    result = load_day(spark, root, warehouse, day=DAYS[0])
+    assert (result.rows_read, result.rows_loaded, result.rows_rejected) == (6, 3, 3)
+    rejects = spark.read.parquet(warehouse.rejects)
+    assert sorted(r.violations for r in rejects.collect()) == [
+        "asin is longer than 50",
+        "asin is missing; short_product_title is longer than 500; product_title is longer than 1000",
+        "short_product_title is longer than 500; product_title is longer than 1000",
+    ]
+    assert ids(spark, warehouse) == {"20240101": [1, 2, 3]}
+
+
+def test_limits_count_characters(spark):
+    rows = [listing(product_title="é" * 490 + "," + "é" * 509)]
+    assert with_violations(warehouse_rows(listings(spark, rows))).first().violations == ""
+
+
+def test_staging_reads_its_input_once_and_is_removed(spark, lake, warehouse, tmp_path, count_jobs):
+    from shelflake.sources import read_day
+
+    frame = read_day(spark, lake, day=DAYS[1])
+    staged = []
+    assert count_jobs(lambda: staged.append(stage(frame, str(tmp_path / "staged")))) == 1
+    assert (staged[0].rows_read, staged[0].rows_rejected) == (7, 0)
+
+    load_day(spark, lake, warehouse, day=DAYS[1])
+    work = f"{shared_folder(spark)}/shelflake"
+    left = [] if not path_exists(spark, work) else list(__import__("os").listdir(work))
+    assert not [name for name in left if name.startswith("load-")]
+
+
+def test_an_existing_table_is_found_by_a_new_catalog(spark, lake, warehouse):
+    load_day(spark, lake, warehouse, day=DAYS[0])
+    second = Warehouse(warehouse.table + "_again", warehouse.root)
+    load_day(spark, lake, second, day=DAYS[1])
+    assert ids(spark, second) == {
+        "20240101": list(range(1, 6)), "20240102": list(range(6, 13)),
+    }
+
+
+@pytest.mark.parametrize("max_broadcast_files", [0, 1000])
+def test_identity_over_many_files(spark, tmp_path, max_broadcast_files):
+    path = str(tmp_path / "rows")
+    rows = spark.range(0, 5000, 1, 37).where("id % 11 < 7 OR id < 2500")
+    rows.write.parquet(path)
+    # The fixture is small enough for Spark to broadcast even its rows.
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        numbered = with_identity(
+            spark.read.schema("id bigint").parquet(path), "n", after=100,
+            max_broadcast_files=max_broadcast_files,
+        )
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        first, second = numbered.collect(), numbered.collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert ("SortMergeJoin" in plan) == (max_broadcast_files == 0)
+    assert sorted(first) == sorted(second)
+    total = rows.count()
+    assert sorted(row.n for row in first) == list(range(101, 101 + total))
+    assert len({row.id for row in first}) == total
