@@ -26,11 +26,8 @@ ODD_BODIES = (
 
 def _choose(selector: Column, *cases: Column | str | None) -> Column:
     """``cases[selector]``, for a selector that counts from 0."""
-    chosen = F.lit(None).cast("string")
-    for index, case in reversed(list(enumerate(cases))):
-        value = case if isinstance(case, Column) else F.lit(case)
-        chosen = F.when(selector == index, value).otherwise(chosen)
-    return chosen
+    values = [c if isinstance(c, Column) else F.lit(c).cast("string") for c in cases]
+    return F.elt((selector + 1).cast("int"), *values)
 
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:

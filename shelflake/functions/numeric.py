@@ -5,31 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A cast follows Java, which also takes '12d', '1.5f' and hexadecimal floats, and trims
-# control characters. Such texts are not numbers in the source data.
-_JAVA_ONLY_NUMBER = r"(?i)(\d\.?\s*[df]\s*$)|0x|[\x00-\x08\x0e-\x1f]"
+# A cast follows Java, which also takes '12d', '1.5f' and hexadecimal floats. So the
+# number is first picked by its grammar; other texts give '', which no cast accepts.
+_NUMBER = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
+_INFINITY = r"(?i)^\s*([+-]?inf(?:inity)?)\s*$"
 
-# The largest long, taken to double, rounds up to this and would pass for equal.
-_BEYOND_LONG = 2.0**63
 
-
-def _plain(text: Column) -> Column:
-    return F.when(~text.rlike(_JAVA_ONLY_NUMBER), text)
+def _double_as_spelled(text: Column, pattern: str) -> Column:
+    return F.regexp_extract(text, pattern, 1).try_cast("double")
 
 
 def to_double(text: Column) -> Column:
-    """Double, with NaN read as missing. Infinity is kept only where it is spelled out."""
-    parsed = _plain(text).try_cast("double")
-    overflow = (F.abs(parsed) == float("inf")) & text.rlike("[0-9]")
-    return F.when(~(F.isnan(parsed) | overflow), parsed)
+    """Double. NaN is missing, and infinity is one only where it is spelled out."""
+    parsed = _double_as_spelled(text, _NUMBER)
+    for overflow in (float("inf"), float("-inf")):
+        parsed = F.nullif(parsed, F.lit(overflow))
+    return F.coalesce(parsed, _double_as_spelled(text, _INFINITY))
 
 
 def to_long(text: Column) -> Column:
     """Exact long: whole numbers in any notation; fractions and overflow give NULL.
 
-    The first branch keeps all 64 bits; only texts such as ``1e3`` go through double.
+    Almost every value is plain digits and done with the first cast. The decimal has
+    room for each long and for more decimals than a double can tell apart.
     """
-    as_double = to_double(text)
-    is_whole = (as_double == F.floor(as_double)) & (as_double < _BEYOND_LONG)
-    whole = F.when(is_whole, as_double.try_cast("bigint"))
-    return F.coalesce(_plain(text).try_cast("bigint"), whole)
+    number = F.regexp_extract(text, _NUMBER, 1)
+    exact = number.try_cast("decimal(38,18)")
+    return F.coalesce(
+        number.try_cast("bigint"), F.when(exact % 1 == 0, exact.try_cast("bigint"))
+    )
