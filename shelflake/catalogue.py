@@ -128,6 +128,14 @@ def ingest_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_utc(read_day(spark, root, as_of=NEW_YEAR))
 
 
+@registered
+def ingest_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest job into the flat layout."""
+    root = work_path(spark, "flat")
+    ingest(raw_envelopes(spark, sf_dir), root, as_of=NEW_YEAR, write=write_flat)
+    return _as_utc(read_flat(spark, root).drop("file_uri", "file_path", "filename"))
+
+
 # --- typed listings ----------------------------------------------------------
 
 
@@ -327,6 +335,18 @@ def warehouse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.withColumn(SNAPSHOT_DAY, F.col(SNAPSHOT_DAY).cast("string"))
 
 
+@registered
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each load reports: the counts taken while its rows pass, and a day without any."""
+    root = _new_lake(spark, typed_listings(flawed_feed(spark, sf_dir)))
+    warehouse = _new_warehouse(spark)
+    results = [load_day(spark, root, warehouse, day=day) for day in (*DAYS, date(2024, 1, 4))]
+    return spark.createDataFrame(
+        [(f"{r.day:%Y%m%d}", r.rows_read, r.rows_loaded, r.rows_rejected) for r in results],
+        "snapshot_day string, rows_read bigint, rows_loaded bigint, rows_rejected bigint",
+    )
+
+
 @registered
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs: two days, nothing new, the third day."""
@@ -396,6 +416,21 @@ def organize_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def organize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three runs report: two days, nothing new, the third day."""
+    listings = _typed_feed(spark, sf_dir)
+    target = work_path(spark, "organized")
+    flat = _new_flat_lake(spark, _on(listings, *DAYS[:2]))
+    runs = [organize(spark, flat, target), organize(spark, flat, target)]
+    write_flat(_on(listings, DAYS[2]), flat)
+    runs.append(organize(spark, flat, target))
+    return spark.createDataFrame(
+        [(n, r.organized, r.skipped, r.unmatched) for n, r in enumerate(runs, 1)],
+        "run bigint, organized bigint, skipped bigint, unmatched bigint",
+    )
+
+
 @registered
 def organize_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs. The second finds the third day and a changed copy of the first one."""

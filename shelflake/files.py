@@ -1,4 +1,4 @@
-"""The two file-system calls Spark's reader and writer do not offer."""
+"""The few file-system calls Spark's reader and writer do not offer."""
 
 from __future__ import annotations
 
@@ -15,6 +15,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path pattern matches anything. Lists what the pattern itself spans."""
+    file_system, hadoop_path = _resolve(spark, pattern)
+    return bool(file_system.globStatus(hadoop_path))
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder this job has made for itself."""
     file_system, hadoop_path = _resolve(spark, path)

@@ -174,6 +174,8 @@ ORACLES: dict[str, str] = {
         SELECT category, {_STATUS_JSON} AS status FROM answered""",
     "ingest_lake": f"""{_FEED},{_typed("feed", stamp=_NEW_YEAR)}
         SELECT {_LAKE_COLUMNS}, '2023' AS year, '12' AS month, '31' AS day FROM typed""",
+    "ingest_flat": f"""{_FEED},{_typed("feed", stamp=_NEW_YEAR)}
+        SELECT {_LAKE_COLUMNS}, {_FILE_KEY} AS file_key FROM typed""",
     "coerce_numeric": f"""{_TYPED_FEED}
         SELECT asin, snap, rank, product_num_ratings, product_star_rating FROM typed""",
     "lake_typed": f"{_TYPED_FEED} SELECT {_LAKE_COLUMNS} FROM typed",
@@ -228,6 +230,14 @@ ORACLES: dict[str, str] = {
     "warehouse_rejects": f"""{_FEED},{_FLAWED},{_typed("flawed")},{_warehouse()}
         SELECT {_WAREHOUSE_COLUMNS}, {_VIOLATIONS} AS violations, {_DAY}
         FROM warehouse WHERE {_VIOLATIONS} <> ''""",
+    "load_counts": f"""{_FEED},{_FLAWED},{_typed("flawed")},{_warehouse()},
+        checked AS (SELECT {_DAY}, {_VIOLATIONS} <> '' AS broken FROM warehouse)
+        SELECT snapshot_day, count(*) AS rows_read,
+               CAST(sum(CASE WHEN broken THEN 0 ELSE 1 END) AS BIGINT) AS rows_loaded,
+               CAST(sum(CASE WHEN broken THEN 1 ELSE 0 END) AS BIGINT) AS rows_rejected
+        FROM checked GROUP BY snapshot_day
+        UNION ALL
+        SELECT '20240104', 0, 0, 0""",
     # Files of one run are one batch; the run without new files has none.
     "incremental_load": f"""{_WAREHOUSE_FEED}
         SELECT {_WAREHOUSE_COLUMNS}, CAST(CASE WHEN snap = 3 THEN 1 ELSE 0 END AS BIGINT) AS load_batch
@@ -250,6 +260,16 @@ ORACLES: dict[str, str] = {
         SELECT asin, product_url, {_FILE_KEY} AS file_key,
                CASE WHEN category = '' THEN 'rejects' ELSE 'organized' END AS place
         FROM named""",
+    "organize_counts": f"""{_FEED},
+        drops AS (
+            SELECT count(DISTINCT {_FILE_KEY}) FILTER (snap < 3) AS early,
+                   count(DISTINCT {_FILE_KEY}) FILTER (snap = 3) AS late
+            FROM feed
+        )
+        SELECT CAST(1 AS BIGINT) AS run, early AS organized, CAST(0 AS BIGINT) AS skipped,
+               CAST(0 AS BIGINT) AS unmatched FROM drops
+        UNION ALL SELECT 2, 0, early, 0 FROM drops
+        UNION ALL SELECT 3, late, early, 0 FROM drops""",
     "organize_stream": f"""{_TYPED_FEED}
         SELECT {_FIELDS}, category, {_FILE_KEY} AS file_key, 'organized' AS place FROM typed
         UNION ALL

@@ -46,6 +46,18 @@ def _rows_behind(
     return rows_of_files(scan, files)
 
 
+def _counted(files: DataFrame, existing: DataFrame) -> OrganizeResult:
+    known = existing.withColumn("known", F.lit(True))
+    drops = files.select(*ORGANIZED_KEYS).distinct().join(known, list(ORGANIZED_KEYS), "left")
+    named = F.col("category") != ""
+    counts = drops.agg(
+        F.count_if(named & F.col("known").isNull()).alias("organized"),
+        F.count_if(F.col("known").isNotNull()).alias("skipped"),
+        F.count_if(~named).alias("unmatched"),
+    )
+    return OrganizeResult(**counts.first().asDict())
+
+
 def organize(
     spark: SparkSession,
     flat_root: str,
@@ -66,40 +78,15 @@ def organize(
     files = drop_files(spark, flat_root, prefix).persist()
     existing = organized_keys(spark, target_root).persist()
     try:
-        return _organize_listed(
-            spark, flat_root, target_root, files, existing, rejects_root, prefix, max_named_files
-        )
+        result = _counted(files, existing)
+        if result.organized:
+            new_files = not_organized(matched(files), existing)
+            rows = _rows_behind(spark, flat_root, new_files, prefix, max_named_files)
+            write_organized(rows, target_root)
+        if result.unmatched and rejects_root is not None:
+            rows = _rows_behind(spark, flat_root, unmatched(files), prefix, max_named_files)
+            write_unmatched(rows, rejects_root)
+        return result
     finally:
         files.unpersist()
         existing.unpersist()
-
-
-def _organize_listed(
-    spark: SparkSession,
-    flat_root: str,
-    target_root: str,
-    files: DataFrame,
-    existing: DataFrame,
-    rejects_root: str | None,
-    prefix: str,
-    max_named_files: int,
-) -> OrganizeResult:
-    drops = files.select(*ORGANIZED_KEYS).distinct()
-    known = existing.withColumn("exists", F.lit(True))
-    counts = (
-        drops.join(known, list(ORGANIZED_KEYS), "left")
-        .agg(
-            F.count_if((F.col("category") != "") & F.col("exists").isNull()).alias("new"),
-            F.count_if(F.col("exists").isNotNull()).alias("skipped"),
-            F.count_if(F.col("category") == "").alias("unmatched"),
-        )
-        .first()
-    )
-    if counts["new"]:
-        new_files = not_organized(matched(files), existing)
-        rows = _rows_behind(spark, flat_root, new_files, prefix, max_named_files)
-        write_organized(rows, target_root)
-    if counts["unmatched"] and rejects_root is not None:
-        rows = _rows_behind(spark, flat_root, unmatched(files), prefix, max_named_files)
-        write_unmatched(rows, rejects_root)
-    return OrganizeResult(counts["new"], counts["skipped"], counts["unmatched"])

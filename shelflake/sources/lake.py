@@ -8,10 +8,10 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..files import path_exists
+from ..files import any_match, path_exists
 from ..functions import business_day
 from ..schema import OFFSET_HOURS, PARTITION_COLUMNS, PARTITIONED_LAKE_SCHEMA
-from .missing import matches_or_empty
+from .missing import empty_frame
 
 
 def read_lake(spark: SparkSession, root: str) -> DataFrame:
@@ -35,11 +35,11 @@ def read_day(
     """
     day = day or business_day(as_of, offset_hours)
     path = f"{root}/category=*/year={day:%Y}/month={day:%m}/day={day:%d}"
-
-    def read() -> DataFrame:
-        return spark.read.schema(PARTITIONED_LAKE_SCHEMA).option("basePath", root).parquet(path)
-
-    found = matches_or_empty(spark, PARTITIONED_LAKE_SCHEMA, read)
+    if any_match(spark, path):
+        reader = spark.read.schema(PARTITIONED_LAKE_SCHEMA).option("basePath", root)
+        found = reader.parquet(path)
+    else:
+        found = empty_frame(spark, PARTITIONED_LAKE_SCHEMA)
     return found if categories is None else found.where(F.col("category").isin(*categories))
 
 
