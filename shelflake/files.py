@@ -22,6 +22,6 @@ def any_match(spark: SparkSession, pattern: str) -> bool:
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder this job has made for itself."""
+    """Remove a folder, if it is there, that this package has written."""
     file_system, hadoop_path = _resolve(spark, path)
     file_system.delete(hadoop_path, True)

@@ -96,12 +96,13 @@ def load_day(
         after = reserve_ids(spark, warehouse, load_id, loaded)
         numbered = with_identity(staged.accepted(spark), IDENTITY_COLUMN, after=after)
         write(numbered.withColumn(SNAPSHOT_DAY, F.lit(snapshot_day)), warehouse)
+    if mode == "replace_day" and staged.rows_read:
+        remove_folder(spark, f"{warehouse.rejects}/{SNAPSHOT_DAY}={snapshot_day}")
     if staged.rows_rejected:
         (
             staged.rejected(spark)
             .withColumn(SNAPSHOT_DAY, F.lit(snapshot_day))
-            .write.mode("append" if mode == "append" else "overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .write.mode("append")
             .partitionBy(SNAPSHOT_DAY)
             .parquet(warehouse.rejects)
         )

@@ -9,6 +9,7 @@ transaction, from the distinct staged rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,12 +52,18 @@ def with_origin(stored: DataFrame) -> DataFrame:
 def jdbc_options(
     url: str, table: str, *, connections: int = 16, batch_rows: int = 10_000, **extra: str
 ) -> dict[str, str]:
-    """Writer options: rows per round trip, and a limit on open connections."""
+    """Writer options: rows per round trip, and a limit on open connections.
+
+    Text lengths are named for the table Spark creates; a database's own default for
+    text may be too short.
+    """
+    lengths = {**WAREHOUSE_LIMITS, ORIGIN_COLUMNS[0]: 2000}
     return {
         "url": url,
         "dbtable": table,
         "numPartitions": str(connections),
         "batchsize": str(batch_rows),
+        "createTableColumnTypes": ", ".join(f"{n} VARCHAR({size})" for n, size in lengths.items()),
         **extra,
     }
 
@@ -66,18 +73,19 @@ def stage_rows(stored: DataFrame, options: dict[str, str]) -> None:
     with_origin(stored).write.format("jdbc").options(**options).mode("overwrite").save()
 
 
-def publish_statements(table: str, staging: str, *, replace_day: str | None = None) -> list[str]:
+def publish_statements(table: str, staging: str, *, replace_day: date | None = None) -> list[str]:
     """Statements of the one transaction that fills the target.
 
-    ``replace_day`` (``yyyy-mm-dd``) first removes that day's rows; without it the rows
-    are appended. The database hands out the keys.
+    ``replace_day`` first removes that day's rows; without it the rows are appended.
+    The database hands out the keys.
     """
     columns = _quoted(WAREHOUSE_SCHEMA.names)
     everything = _quoted((*WAREHOUSE_SCHEMA.names, *ORIGIN_COLUMNS))
     statements = []
     if replace_day is not None:
+        start, end = (f"TIMESTAMP '{d} 00:00:00'" for d in (replace_day, replace_day + timedelta(1)))
         statements.append(
-            f'DELETE FROM {table} WHERE CAST("fetch_timestamp" AS DATE) = DATE \'{replace_day}\''
+            f'DELETE FROM {table} WHERE "fetch_timestamp" >= {start} AND "fetch_timestamp" < {end}'
         )
     statements.append(
         f"INSERT INTO {table} ({columns}) "
@@ -92,7 +100,7 @@ def load_through_staging(
     options: dict[str, str],
     run_transaction: Callable[[list[str]], None],
     *,
-    replace_day: str | None = None,
+    replace_day: date | None = None,
 ) -> None:
     """Stage the rows with Spark, then publish them in the database.
 

@@ -27,10 +27,18 @@ LOADED_SCHEMA = T.StructType(
 
 
 def load_new_files(
-    spark: SparkSession, lake_root: str, target_root: str, checkpoint: str
+    spark: SparkSession,
+    lake_root: str,
+    target_root: str,
+    checkpoint: str,
+    *,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Start a run that loads every lake file not loaded yet, then stops.
 
+    ``files_per_batch`` splits a large backlog into batches, so that a failure repeats
+    only the last of them; the run still ends with everything loaded.
+
     The checkpoint remembers the files; run it on the scheduler's timetable. Accepted
     and rejected rows go to sibling folders in one pass. Each batch owns its folders
     and overwrites them, so a batch repeated after a failure adds nothing.
@@ -47,11 +55,10 @@ def load_new_files(
             .parquet(target_root)
         )
 
-    listings = (
-        spark.readStream.schema(PARTITIONED_LAKE_SCHEMA)
-        .option("maxFileAge", MAX_FILE_AGE)
-        .parquet(lake_root)
-    )
+    source = spark.readStream.schema(PARTITIONED_LAKE_SCHEMA).option("maxFileAge", MAX_FILE_AGE)
+    if files_per_batch is not None:
+        source = source.option("maxFilesPerTrigger", files_per_batch)
+    listings = source.parquet(lake_root)
     return (
         listings.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)

@@ -33,7 +33,7 @@ def listings(spark, rows, category="kitchen"):
     return spark.createDataFrame([tuple(row[name] for name in schema.names) for row in full], schema)
 
 
-def write_file(path, rows) -> None:
+def write_file(path, rows, row_group_size=None) -> None:
     """One single Parquet file, as other tools drop them."""
     import pyarrow as pa
     import pyarrow.parquet as pq
@@ -46,4 +46,4 @@ def write_file(path, rows) -> None:
         ]
     )
     path.parent.mkdir(parents=True, exist_ok=True)
-    pq.write_table(pa.Table.from_pylist(rows, schema=schema), path)
+    pq.write_table(pa.Table.from_pylist(rows, schema=schema), path, row_group_size=row_group_size)

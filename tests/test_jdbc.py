@@ -3,6 +3,8 @@ and the publishing statements run in the oracle engine."""
 
 from __future__ import annotations
 
+from datetime import date
+
 import duckdb
 from builders import listing, listings
 
@@ -26,6 +28,9 @@ def test_options():
     assert options == {
         "url": "jdbc:x:y", "dbtable": "stage", "numPartitions": "4", "batchsize": "10000",
         "driver": "a.b.C",
+        "createTableColumnTypes": "category VARCHAR(255), product_photo VARCHAR(1000), "
+        "product_url VARCHAR(1000), currency VARCHAR(10), short_product_title VARCHAR(500), "
+        "product_title VARCHAR(1000), asin VARCHAR(50), stage_file VARCHAR(2000)",
     }
 
 
@@ -58,8 +63,8 @@ def test_publishing_ignores_rows_staged_twice(spark, tmp_path):
 
     assert publish() == [(1,), (1,), (2,)]
     assert len(publish()) == 6
-    assert publish("2024-01-01") == [(1,), (1,), (2,)]
-    assert len(publish("2024-01-02")) == 6
+    assert publish(date(2024, 1, 1)) == [(1,), (1,), (2,)]
+    assert len(publish(date(2024, 1, 2))) == 6
     keys = database.sql("SELECT count(DISTINCT unique_id), count(*) FROM listings").fetchall()
     assert keys == [(6, 6)]
     assert len(repeated) > 3

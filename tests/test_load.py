@@ -142,6 +142,17 @@ def test_rejects_are_kept_apart(spark, root, warehouse):
     assert ids(spark, warehouse) == {"20240101": [1, 2, 3]}
 
 
+def test_replacing_a_day_replaces_its_rejects(spark, root, warehouse):
+    bad = day_rows(0, 2) + [listing(asin=None)]
+    for rows, left in ((bad, 1), (bad, 1), (day_rows(0, 3), 0)):
+        write_partitioned(listings(spark, rows + [listing(asin=None, fetch_timestamp=NOON + timedelta(1))]), root)
+        load_day(spark, root, warehouse, day=DAYS[1], mode="replace_day")
+        load_day(spark, root, warehouse, day=DAYS[0], mode="replace_day")
+        rejects = spark.read.schema("snapshot_day string").parquet(warehouse.rejects)
+        assert rejects.where("snapshot_day = '20240101'").count() == left
+        assert rejects.where("snapshot_day = '20240102'").count() == 1
+
+
 def test_limits_count_characters(spark):
     rows = [listing(product_title="é" * 490 + "," + "é" * 509)]
     assert with_violations(warehouse_rows(listings(spark, rows))).first().violations == ""

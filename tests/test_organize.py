@@ -119,6 +119,23 @@ def test_a_small_drop_stays_one_file(spark, flat, target):
     assert len(read_organized(spark, target).inputFiles()) == 2
 
 
+def test_a_hot_drop_is_written_by_many_tasks(spark, tmp_path, target):
+    """One drop holds most rows: its folder gets a file per split, with every row once."""
+    flat = tmp_path / "flat"
+    hot = [listing(rank=n, product_title=f"title {n}" * 9) for n in range(20_000)]
+    write_file(flat / f"{KITCHEN}.parquet", hot, row_group_size=1_000)
+    write_file(flat / "amazonbestsellers_b_20240101.parquet", [listing(rank=-1)])
+    setting = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(setting, str((flat / f"{KITCHEN}.parquet").stat().st_size // 5))
+    try:
+        organize(spark, str(flat), target)
+    finally:
+        spark.conf.unset(setting)
+    back = read_organized(spark, target)
+    assert sum("category=kitchen/" in path for path in back.inputFiles()) >= 4
+    assert sorted(r.rank for r in back.select("rank").collect()) == [-1, *range(20_000)]
+
+
 def test_the_number_of_jobs_does_not_grow_with_the_drops(spark, tmp_path, count_jobs):
     counts = []
     for drops in (2, 25):

@@ -29,8 +29,8 @@ class Load:
         rows = [listing(asin=a, fetch_timestamp=NOON + timedelta(days=day)) for a in asins]
         write_partitioned(listings(self.spark, rows), self.lake)
 
-    def run(self) -> list[str]:
-        query = load_new_files(self.spark, self.lake, self.target, self.checkpoint)
+    def run(self, **options) -> list[str]:
+        query = load_new_files(self.spark, self.lake, self.target, self.checkpoint, **options)
         query.awaitTermination()
         return sorted(r.asin for r in read_loaded(self.spark, self.target).collect())
 
@@ -48,6 +48,13 @@ def test_only_new_files_are_loaded(load):
     assert load.run() == ["a", "b", "c"]
 
 
+def test_a_backlog_in_several_batches_is_loaded_whole(load, spark):
+    for day, asin in enumerate("abcde"):
+        load.add(day, asin)
+    assert load.run(files_per_batch=2) == list("abcde")
+    assert read_loaded(spark, load.target).select("load_batch").distinct().count() == 3
+
+
 def test_a_repeated_batch_adds_nothing(load):
     load.add(0, "a", "b")
     load.run()
