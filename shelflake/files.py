@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _resolve(spark: SparkSession, path: str):
@@ -21,6 +21,11 @@ def any_match(spark: SparkSession, pattern: str) -> bool:
     return bool(file_system.globStatus(hadoop_path))
 
 
+def file_count(scan: DataFrame) -> int:
+    """Number of files a scan has listed. Neither runs a job nor fetches their names."""
+    return len(scan._jdf.inputFiles())
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder, if it is there, that this package has written."""
     file_system, hadoop_path = _resolve(spark, path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..files import file_count
+
 # Number of groups (a power of two) the per-file counts are summed in. The last step
 # sees one row per group, so it is bounded by this constant.
 _GROUPS = 512
@@ -44,7 +46,7 @@ def with_identity(
     offsets = in_group.join(F.broadcast(groups), "id_group").select(
         "id_file", (F.col("id_inner") + F.col("id_outer")).alias("id_offset")
     )
-    if per_file.limit(max_broadcast_files + 1).count() <= max_broadcast_files:
+    if file_count(stored) <= max_broadcast_files:
         offsets = F.broadcast(offsets)
 
     placed = stored.withColumns(
