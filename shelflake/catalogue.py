@@ -12,7 +12,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .feed import SNAPSHOTS, flawed_feed, raw_envelopes, raw_feed
+from .feed import flawed_feed, raw_envelopes, raw_feed
 from .functions import (
     business_time,
     cleaned_price,

@@ -1,7 +1,7 @@
 """The jobs: ingest, load, organize."""
 
 from .ingest import ingest
-from .load import LoadResult, load_day
+from .load import LoadResult, load_day, load_day_to_database
 from .organize import OrganizeResult, organize
 
-__all__ = ["LoadResult", "OrganizeResult", "ingest", "load_day", "organize"]
+__all__ = ["LoadResult", "OrganizeResult", "ingest", "load_day", "load_day_to_database", "organize"]

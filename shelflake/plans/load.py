@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -17,6 +18,7 @@ from ..operators import warehouse_rows, with_identity, with_violations
 from ..operators.constraints import VIOLATIONS
 from ..schema import IDENTITY_COLUMN, OFFSET_HOURS, SNAPSHOT_DAY, WAREHOUSE_SCHEMA
 from ..session import work_path
+from ..sinks.jdbc import load_through_staging
 from ..sinks.warehouse import Warehouse, create_table, insert_rows, replace_days, reserve_ids
 from ..sources import read_day
 
@@ -39,6 +41,13 @@ class Staged:
     rows_read: int
     rows_rejected: int
 
+    @property
+    def rows_accepted(self) -> int:
+        return self.rows_read - self.rows_rejected
+
+    def result(self, day: date) -> LoadResult:
+        return LoadResult(day, self.rows_read, self.rows_accepted, self.rows_rejected)
+
     def accepted(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(WAREHOUSE_SCHEMA).parquet(f"{self.root}/accepted=true")
 
@@ -67,6 +76,25 @@ def stage(listings: DataFrame, path: str) -> Staged:
     return Staged(path, counts.get["rows_read"], counts.get["rows_rejected"])
 
 
+@contextmanager
+def _staged_day(
+    spark: SparkSession, lake_root: str, day: date, categories: Sequence[str] | None
+) -> Iterator[Staged]:
+    path = work_path(spark, "load")
+    try:
+        yield stage(read_day(spark, lake_root, day=day, categories=categories), path)
+    finally:
+        remove_folder(spark, path)
+
+
+def _keep_rejects(spark: SparkSession, staged: Staged, day: date, root: str, mode: str) -> None:
+    if mode == "replace_day" and staged.rows_read:
+        remove_folder(spark, f"{root}/{SNAPSHOT_DAY}={day:%Y%m%d}")
+    if staged.rows_rejected:
+        rejects = staged.rejected(spark).withColumn(SNAPSHOT_DAY, F.lit(f"{day:%Y%m%d}"))
+        rejects.write.mode("append").partitionBy(SNAPSHOT_DAY).parquet(root)
+
+
 def load_day(
     spark: SparkSession,
     lake_root: str,
@@ -85,26 +113,46 @@ def load_day(
     """
     write = _WRITERS[mode]
     day = day or business_day(as_of, offset_hours)
-    listings = read_day(spark, lake_root, day=day, categories=categories)
     create_table(spark, warehouse)
-    staged = stage(listings, work_path(spark, "load"))
-    loaded = staged.rows_read - staged.rows_rejected
-
-    snapshot_day = f"{day:%Y%m%d}"
-    if loaded:
-        load_id = f"{snapshot_day}-{uuid.uuid4().hex}"
-        after = reserve_ids(spark, warehouse, load_id, loaded)
-        numbered = with_identity(staged.accepted(spark), IDENTITY_COLUMN, after=after)
-        write(numbered.withColumn(SNAPSHOT_DAY, F.lit(snapshot_day)), warehouse)
-    if mode == "replace_day" and staged.rows_read:
-        remove_folder(spark, f"{warehouse.rejects}/{SNAPSHOT_DAY}={snapshot_day}")
-    if staged.rows_rejected:
-        (
-            staged.rejected(spark)
-            .withColumn(SNAPSHOT_DAY, F.lit(snapshot_day))
-            .write.mode("append")
-            .partitionBy(SNAPSHOT_DAY)
-            .parquet(warehouse.rejects)
-        )
-    remove_folder(spark, staged.root)
-    return LoadResult(day, staged.rows_read, loaded, staged.rows_rejected)
+    with _staged_day(spark, lake_root, day, categories) as staged:
+        if staged.rows_accepted:
+            load_id = f"{day:%Y%m%d}-{uuid.uuid4().hex}"
+            after = reserve_ids(spark, warehouse, load_id, staged.rows_accepted)
+            numbered = with_identity(staged.accepted(spark), IDENTITY_COLUMN, after=after)
+            write(numbered.withColumn(SNAPSHOT_DAY, F.lit(f"{day:%Y%m%d}")), warehouse)
+        _keep_rejects(spark, staged, day, warehouse.rejects, mode)
+        return staged.result(day)
+
+
+def load_day_to_database(
+    spark: SparkSession,
+    lake_root: str,
+    table: str,
+    staging_options: dict[str, str],
+    run_transaction: Callable[[list[str]], None],
+    *,
+    rejects_root: str,
+    day: date | None = None,
+    as_of: datetime | None = None,
+    offset_hours: int = OFFSET_HOURS,
+    categories: Sequence[str] | None = None,
+    mode: str = "append",
+) -> LoadResult:
+    """The same load into a database table, which hands out the keys itself.
+
+    See :mod:`shelflake.sinks.jdbc` for the staging options and the transaction.
+    """
+    if mode not in _WRITERS:
+        raise ValueError(f"unknown mode {mode!r}")
+    day = day or business_day(as_of, offset_hours)
+    with _staged_day(spark, lake_root, day, categories) as staged:
+        if staged.rows_accepted:
+            load_through_staging(
+                staged.accepted(spark),
+                table,
+                staging_options,
+                run_transaction,
+                replace_day=day if mode == "replace_day" else None,
+            )
+        _keep_rejects(spark, staged, day, rejects_root, mode)
+        return staged.result(day)

@@ -9,7 +9,8 @@ import duckdb
 from builders import listing, listings
 
 from shelflake.operators import warehouse_rows
-from shelflake.sinks import jdbc
+from shelflake.plans import load_day_to_database
+from shelflake.sinks import jdbc, write_partitioned
 
 
 def test_table_definition():
@@ -68,3 +69,33 @@ def test_publishing_ignores_rows_staged_twice(spark, tmp_path):
     keys = database.sql("SELECT count(DISTINCT unique_id), count(*) FROM listings").fetchall()
     assert keys == [(6, 6)]
     assert len(repeated) > 3
+
+
+def test_a_day_goes_through_the_staging_table(spark, tmp_path, monkeypatch):
+    lake, rejects = str(tmp_path / "lake"), str(tmp_path / "rejects")
+    rows = [listing(rank=1), listing(rank=2), listing(rank=3, asin=None)]
+    write_partitioned(listings(spark, rows), lake)
+    options = jdbc.jdbc_options("jdbc:x:y", "stage")
+    seen = []
+    monkeypatch.setattr(
+        jdbc,
+        "stage_rows",
+        lambda stored, given: seen.append((jdbc.with_origin(stored).collect(), given)),
+    )
+
+    def load(day, mode):
+        return load_day_to_database(
+            spark, lake, "listings", options, seen.append, rejects_root=rejects, day=day, mode=mode
+        )
+
+    result = load(date(2024, 1, 1), "replace_day")
+    assert (result.rows_read, result.rows_loaded, result.rows_rejected) == (3, 2, 1)
+    (stored, given), statements = seen
+    assert sorted(row.rank for row in stored) == [1, 2]
+    assert given is options
+    assert statements == jdbc.publish_statements("listings", "stage", replace_day=date(2024, 1, 1))
+    assert spark.read.parquet(rejects).count() == 1
+
+    seen.clear()
+    assert load(date(2030, 1, 1), "append").rows_read == 0
+    assert seen == []

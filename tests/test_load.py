@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from builders import NOON, listing, listings
 
-from shelflake.files import path_exists
+from shelflake.files import any_match
 from shelflake.operators import warehouse_rows, with_identity, with_violations
 from shelflake.plans import load_day
 from shelflake.plans.load import stage
@@ -145,7 +145,8 @@ def test_rejects_are_kept_apart(spark, root, warehouse):
 def test_replacing_a_day_replaces_its_rejects(spark, root, warehouse):
     bad = day_rows(0, 2) + [listing(asin=None)]
     for rows, left in ((bad, 1), (bad, 1), (day_rows(0, 3), 0)):
-        write_partitioned(listings(spark, rows + [listing(asin=None, fetch_timestamp=NOON + timedelta(1))]), root)
+        other_day = listing(asin=None, fetch_timestamp=NOON + timedelta(1))
+        write_partitioned(listings(spark, [*rows, other_day]), root)
         load_day(spark, root, warehouse, day=DAYS[1], mode="replace_day")
         load_day(spark, root, warehouse, day=DAYS[0], mode="replace_day")
         rejects = spark.read.schema("snapshot_day string").parquet(warehouse.rejects)
@@ -168,8 +169,7 @@ def test_staging_reads_its_input_once_and_is_removed(spark, lake, warehouse, tmp
 
     load_day(spark, lake, warehouse, day=DAYS[1])
     work = f"{shared_folder(spark)}/shelflake"
-    left = [] if not path_exists(spark, work) else list(__import__("os").listdir(work))
-    assert not [name for name in left if name.startswith("load-")]
+    assert not any_match(spark, f"{work}/load-*")
 
 
 def test_an_existing_table_is_found_by_a_new_catalog(spark, lake, warehouse):
