@@ -21,8 +21,9 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    # Four threads; a task may be tried three times.
     session = local_session(
-        4,
+        "4,3",
         "tests",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("catalog")),
