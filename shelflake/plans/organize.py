@@ -12,6 +12,7 @@ from ..schema import FILE_PREFIX, LAKE_SCHEMA
 from ..sinks.organized import write_organized, write_unmatched
 from ..sources import drop_files, organized_keys
 from ..sources.flat import scan_flat, with_uri
+from ..sources.listing import kept
 from ..sources.organized import ORGANIZED_KEYS
 
 # Up to this many files are read by name. Their names are all that reaches the driver,
@@ -75,9 +76,10 @@ def organize(
     are kept; to retire them use the streaming form.
     """
     # Both listings are used several times; they hold a line per file, not per row.
-    files = drop_files(spark, flat_root, prefix).persist()
-    existing = organized_keys(spark, target_root).persist()
-    try:
+    with (
+        kept(drop_files(spark, flat_root, prefix)) as files,
+        kept(organized_keys(spark, target_root)) as existing,
+    ):
         result = _counted(files, existing)
         if result.organized:
             new_files = not_organized(matched(files), existing)
@@ -87,6 +89,3 @@ def organize(
             rows = _rows_behind(spark, flat_root, unmatched(files), prefix, max_named_files)
             write_unmatched(rows, rejects_root)
         return result
-    finally:
-        files.unpersist()
-        existing.unpersist()

@@ -12,6 +12,7 @@ from ..schema import FILE_PREFIX, LAKE_SCHEMA
 from ..sinks.organized import write_left_over, write_organized
 from ..sources import organized_keys, read_or_empty
 from ..sources.flat import flat_glob, with_uri
+from ..sources.listing import kept
 from ..sources.organized import KEY_SCHEMA, ORGANIZED_KEYS
 from .source import MAX_FILE_AGE
 
@@ -80,11 +81,8 @@ def organize_new_drops(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # A line per file of the batch, used several times.
-        files = files_behind(batch, prefix).persist()
-        try:
+        with kept(files_behind(batch, prefix)) as files:
             write_batch(batch, files, batch_id)
-        finally:
-            files.unpersist()
 
     return (
         rows.writeStream.foreachBatch(write)

@@ -9,6 +9,7 @@ from shelflake.plans import OrganizeResult, organize
 from shelflake.sinks import write_flat
 from shelflake.sources import drop_files, organized_keys, read_flat, read_organized
 from shelflake.sources.flat import scan_flat
+from shelflake.sources.listing import kept
 
 KITCHEN = "amazonbestsellers_kitchen_20240101"
 ODD = "amazonbestsellers_kit chen+50%_20240101"
@@ -109,6 +110,24 @@ def test_folder_drops_of_the_flat_sink(spark, tmp_path, target):
     ]
 
 
+def test_a_listing_takes_a_task_per_core_and_not_per_file(spark, tmp_path):
+    for n in range(30):
+        write_file(tmp_path / "flat" / f"amazonbestsellers_c{n}_20240101.parquet", [listing()])
+    settings = {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "0"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        files = drop_files(spark, str(tmp_path / "flat"))
+        assert files.rdd.getNumPartitions() == 30
+        with kept(files) as listed:
+            assert listed.select("file_uri").rdd.getNumPartitions() <= 8
+            assert listed.count() == 30
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1000"
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_empty_places(spark, tmp_path, target):
     assert organize(spark, str(tmp_path / "none"), target) == OrganizeResult(0, 0, 0)
     assert read_organized(spark, target).isEmpty()
