@@ -25,6 +25,11 @@ from ..sources import read_day
 _WRITERS = {"append": insert_rows, "replace_day": replace_days}
 
 
+def _check_mode(mode: str) -> None:
+    if mode not in _WRITERS:
+        raise ValueError(f"unknown mode {mode!r}; known are {', '.join(_WRITERS)}")
+
+
 @dataclass(frozen=True)
 class LoadResult:
     day: date
@@ -111,7 +116,7 @@ def load_day(
     ``append`` stores a repeated load twice; ``replace_day`` makes it idempotent. Rows
     that break a table constraint go to the warehouse's rejects instead.
     """
-    write = _WRITERS[mode]
+    _check_mode(mode)
     day = day or business_day(as_of, offset_hours)
     create_table(spark, warehouse)
     with _staged_day(spark, lake_root, day, categories) as staged:
@@ -119,7 +124,7 @@ def load_day(
             load_id = f"{day:%Y%m%d}-{uuid.uuid4().hex}"
             after = reserve_ids(spark, warehouse, load_id, staged.rows_accepted)
             numbered = with_identity(staged.accepted(spark), IDENTITY_COLUMN, after=after)
-            write(numbered.withColumn(SNAPSHOT_DAY, F.lit(f"{day:%Y%m%d}")), warehouse)
+            _WRITERS[mode](numbered.withColumn(SNAPSHOT_DAY, F.lit(f"{day:%Y%m%d}")), warehouse)
         _keep_rejects(spark, staged, day, warehouse.rejects, mode)
         return staged.result(day)
 
@@ -142,8 +147,7 @@ def load_day_to_database(
 
     See :mod:`shelflake.sinks.jdbc` for the staging options and the transaction.
     """
-    if mode not in _WRITERS:
-        raise ValueError(f"unknown mode {mode!r}")
+    _check_mode(mode)
     day = day or business_day(as_of, offset_hours)
     with _staged_day(spark, lake_root, day, categories) as staged:
         if staged.rows_accepted:

@@ -117,6 +117,12 @@ def test_a_missing_day_loads_nothing(spark, lake, warehouse):
     assert spark.table(warehouse.table).isEmpty()
 
 
+def test_an_unknown_mode_is_refused_before_anything_is_done(spark, lake, warehouse):
+    with pytest.raises(ValueError, match="unknown mode"):
+        load_day(spark, lake, warehouse, day=DAYS[0], mode="merge")
+    assert not spark.catalog.tableExists(warehouse.table)
+
+
 def test_the_day_follows_the_business_clock(spark, lake, warehouse):
     from datetime import datetime
 
