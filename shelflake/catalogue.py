@@ -1,12 +1,14 @@
 """The registered queries: each operator, run over the whole feed.
 
-Queries that write files use a fresh folder in the cluster's shared folder.
+Queries that write files use fresh folders in the cluster's shared folder. What the result
+does not read is removed before the query returns.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +39,7 @@ from .operators import (
 )
 from .plans import ingest, load_day, organize
 from .schema import FILE_PREFIX, LISTING_FIELDS, SNAPSHOT_DAY, WAREHOUSE_SCHEMA
-from .session import work_path
+from .session import passing_path, work_path
 from .sinks import write_flat, write_organized, write_partitioned
 from .sinks.warehouse import Warehouse
 from .sources import read_day, read_envelopes, read_flat, read_lake, read_organized, register_lake
@@ -81,6 +83,20 @@ def _new_flat_lake(spark: SparkSession, listings: DataFrame) -> str:
     return root
 
 
+@contextmanager
+def _passing_lake(spark: SparkSession, listings: DataFrame) -> Iterator[str]:
+    with passing_path(spark, "lake") as root:
+        write_partitioned(listings, root)
+        yield root
+
+
+@contextmanager
+def _passing_flat_lake(spark: SparkSession, listings: DataFrame) -> Iterator[str]:
+    with passing_path(spark, "flat") as root:
+        write_flat(listings, root)
+        yield root
+
+
 def _new_warehouse(spark: SparkSession) -> Warehouse:
     return Warehouse(f"listings_{uuid.uuid4().hex}", work_path(spark, "warehouse"))
 
@@ -89,6 +105,10 @@ def _on(listings: DataFrame, *days: date) -> DataFrame:
     return listings.where(F.col("fetch_timestamp").cast("date").isin(*days))
 
 
+def _with_price(listings: DataFrame, price: str) -> DataFrame:
+    return listings.withColumn("product_price", F.lit(price))
+
+
 def _as_utc(rows: DataFrame) -> DataFrame:
     return rows.withColumn("fetch_timestamp", F.col("fetch_timestamp").cast("timestamp"))
 
@@ -112,19 +132,19 @@ def envelope_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The status lines of an ingest run that also asks for a category nobody answered."""
-    responses = raw_envelopes(spark, sf_dir)
-    status = ingest(
-        responses, work_path(spark, "lake"), as_of=NEW_YEAR, categories=["large", "small", "absent"]
-    )
+    asked = ["large", "small", "absent"]
+    with passing_path(spark, "lake") as root:
+        status = ingest(raw_envelopes(spark, sf_dir), root, as_of=NEW_YEAR, categories=asked)
     return status_lines(status)
 
 
 @registered
 def ingest_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored responses through the whole ingest job, read back from the lake."""
-    responses, root = work_path(spark, "responses"), work_path(spark, "lake")
-    raw_envelopes(spark, sf_dir).write.partitionBy("category").text(responses)
-    ingest(read_envelopes(spark, responses, whole_files=False), root, as_of=NEW_YEAR)
+    root = work_path(spark, "lake")
+    with passing_path(spark, "responses") as responses:
+        raw_envelopes(spark, sf_dir).write.partitionBy("category").text(responses)
+        ingest(read_envelopes(spark, responses, whole_files=False), root, as_of=NEW_YEAR)
     return _as_utc(read_day(spark, root, as_of=NEW_YEAR))
 
 
@@ -203,7 +223,7 @@ def lake_overwrite_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writing the second day again, with other prices, replaces that day alone."""
     listings = _typed_feed(spark, sf_dir)
     root = _new_lake(spark, listings)
-    write_partitioned(_on(listings, SECOND_DAY).withColumn("product_price", F.lit("$1")), root)
+    write_partitioned(_with_price(_on(listings, SECOND_DAY), "$1"), root)
     return _as_utc(read_lake(spark, root))
 
 
@@ -294,10 +314,10 @@ def _table(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
 @registered
 def warehouse_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loading every day twice stores every row twice."""
-    root = _new_lake(spark, _typed_feed(spark, sf_dir))
     warehouse = _new_warehouse(spark)
-    for day in DAYS + DAYS:
-        load_day(spark, root, warehouse, day=day)
+    with _passing_lake(spark, _typed_feed(spark, sf_dir)) as root:
+        for day in DAYS + DAYS:
+            load_day(spark, root, warehouse, day=day)
     return _table(spark, warehouse)
 
 
@@ -305,32 +325,32 @@ def warehouse_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def warehouse_replace_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replacing a day, also after its prices have changed, stores every row once."""
     listings = _typed_feed(spark, sf_dir)
-    root = _new_lake(spark, listings)
     warehouse = _new_warehouse(spark)
-    for day in DAYS:
-        load_day(spark, root, warehouse, day=day)
-    write_partitioned(_on(listings, SECOND_DAY).withColumn("product_price", F.lit("£7.50")), root)
-    load_day(spark, root, warehouse, day=SECOND_DAY, mode="replace_day")
+    with _passing_lake(spark, listings) as root:
+        for day in DAYS:
+            load_day(spark, root, warehouse, day=day)
+        write_partitioned(_with_price(_on(listings, SECOND_DAY), "£7.50"), root)
+        load_day(spark, root, warehouse, day=SECOND_DAY, mode="replace_day")
     return _table(spark, warehouse)
 
 
 @registered
 def warehouse_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of three loads: each continues where the one before it ended."""
-    root = _new_lake(spark, _typed_feed(spark, sf_dir))
     warehouse = _new_warehouse(spark)
-    for day in DAYS:
-        load_day(spark, root, warehouse, day=day)
+    with _passing_lake(spark, _typed_feed(spark, sf_dir)) as root:
+        for day in DAYS:
+            load_day(spark, root, warehouse, day=day)
     return spark.table(warehouse.table).select(SNAPSHOT_DAY, "unique_id")
 
 
 @registered
 def warehouse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a load leaves beside the table."""
-    root = _new_lake(spark, typed_listings(flawed_feed(spark, sf_dir)))
     warehouse = _new_warehouse(spark)
-    for day in DAYS:
-        load_day(spark, root, warehouse, day=day)
+    with _passing_lake(spark, typed_listings(flawed_feed(spark, sf_dir))) as root:
+        for day in DAYS:
+            load_day(spark, root, warehouse, day=day)
     stored = spark.read.parquet(warehouse.rejects)
     return stored.withColumn(SNAPSHOT_DAY, F.col(SNAPSHOT_DAY).cast("string"))
 
@@ -338,9 +358,9 @@ def warehouse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each load reports: the counts taken while its rows pass, and a day without any."""
-    root = _new_lake(spark, typed_listings(flawed_feed(spark, sf_dir)))
     warehouse = _new_warehouse(spark)
-    results = [load_day(spark, root, warehouse, day=day) for day in (*DAYS, date(2024, 1, 4))]
+    with _passing_lake(spark, typed_listings(flawed_feed(spark, sf_dir))) as root:
+        results = [load_day(spark, root, warehouse, day=day) for day in (*DAYS, date(2024, 1, 4))]
     return spark.createDataFrame(
         [(f"{r.day:%Y%m%d}", r.rows_read, r.rows_loaded, r.rows_rejected) for r in results],
         "snapshot_day string, rows_read bigint, rows_loaded bigint, rows_rejected bigint",
@@ -351,12 +371,15 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs: two days, nothing new, the third day."""
     listings = _typed_feed(spark, sf_dir)
-    root = _new_lake(spark, _on(listings, *DAYS[:2]))
-    target, checkpoint = work_path(spark, "loaded"), work_path(spark, "checkpoint")
-    load_new_files(spark, root, target, checkpoint).awaitTermination()
-    load_new_files(spark, root, target, checkpoint).awaitTermination()
-    write_partitioned(_on(listings, DAYS[2]), root)
-    load_new_files(spark, root, target, checkpoint).awaitTermination()
+    target = work_path(spark, "loaded")
+    with (
+        _passing_lake(spark, _on(listings, *DAYS[:2])) as root,
+        passing_path(spark, "checkpoint") as checkpoint,
+    ):
+        load_new_files(spark, root, target, checkpoint).awaitTermination()
+        load_new_files(spark, root, target, checkpoint).awaitTermination()
+        write_partitioned(_on(listings, DAYS[2]), root)
+        load_new_files(spark, root, target, checkpoint).awaitTermination()
     return read_loaded(spark, target)
 
 
@@ -378,10 +401,6 @@ def distinct_file_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_drops(files_behind(scan_flat(spark, root)))
 
 
-def _with_price(listings: DataFrame, price: str) -> DataFrame:
-    return listings.withColumn("product_price", F.lit(price))
-
-
 def _organized_rows(spark: SparkSession, root: str) -> DataFrame:
     return read_organized(spark, root).select(*LISTING_FIELDS, "category", "file_key")
 
@@ -391,9 +410,10 @@ def organize_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first day's drops are there already, with other prices, and stay as they are."""
     listings = _typed_feed(spark, sf_dir)
     target = work_path(spark, "organized")
-    earlier = _new_flat_lake(spark, _with_price(_on(listings, DAYS[0]), "$1"))
-    write_organized(read_flat(spark, earlier), target)
-    organize(spark, _new_flat_lake(spark, listings), target)
+    with _passing_flat_lake(spark, _with_price(_on(listings, DAYS[0]), "$1")) as earlier:
+        write_organized(read_flat(spark, earlier), target)
+    with _passing_flat_lake(spark, listings) as flat:
+        organize(spark, flat, target)
     return _organized_rows(spark, target)
 
 
@@ -405,7 +425,8 @@ def organize_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
         "category", F.when(F.col("category") != "promo", F.col("category")).otherwise("")
     )
     target, rejects = work_path(spark, "organized"), work_path(spark, "rejects")
-    organize(spark, _new_flat_lake(spark, nameless), target, rejects_root=rejects)
+    with _passing_flat_lake(spark, nameless) as flat:
+        organize(spark, flat, target, rejects_root=rejects)
     kept = spark.read.parquet(rejects).select(
         "asin", "product_url", "file_key", F.lit("rejects").alias("place")
     )
@@ -420,11 +441,13 @@ def organize_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def organize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What three runs report: two days, nothing new, the third day."""
     listings = _typed_feed(spark, sf_dir)
-    target = work_path(spark, "organized")
-    flat = _new_flat_lake(spark, _on(listings, *DAYS[:2]))
-    runs = [organize(spark, flat, target), organize(spark, flat, target)]
-    write_flat(_on(listings, DAYS[2]), flat)
-    runs.append(organize(spark, flat, target))
+    with (
+        _passing_flat_lake(spark, _on(listings, *DAYS[:2])) as flat,
+        passing_path(spark, "organized") as target,
+    ):
+        runs = [organize(spark, flat, target), organize(spark, flat, target)]
+        write_flat(_on(listings, DAYS[2]), flat)
+        runs.append(organize(spark, flat, target))
     return spark.createDataFrame(
         [(n, r.organized, r.skipped, r.unmatched) for n, r in enumerate(runs, 1)],
         "run bigint, organized bigint, skipped bigint, unmatched bigint",
@@ -435,19 +458,30 @@ def organize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def organize_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs. The second finds the third day and a changed copy of the first one."""
     listings = _typed_feed(spark, sf_dir)
-    flat = _new_flat_lake(spark, _on(listings, *DAYS[:2]))
-    target, checkpoint = work_path(spark, "organized"), work_path(spark, "checkpoint")
-    places = {
-        "rejects_root": work_path(spark, "rejects"),
-        "clean_source": "archive",
-        "archive_root": work_path(spark, "archive"),
-    }
-    organize_new_drops(spark, flat, target, checkpoint, **places).awaitTermination()
-    write_flat(_with_price(_on(listings, DAYS[0]), "$1"), flat)
-    write_flat(_on(listings, DAYS[2]), flat)
-    organize_new_drops(spark, flat, target, checkpoint, **places).awaitTermination()
+    target, rejects = work_path(spark, "organized"), work_path(spark, "rejects")
+    with (
+        _passing_flat_lake(spark, _on(listings, *DAYS[:2])) as flat,
+        passing_path(spark, "checkpoint") as checkpoint,
+        passing_path(spark, "archive") as archive,
+    ):
+
+        def run() -> None:
+            organize_new_drops(
+                spark,
+                flat,
+                target,
+                checkpoint,
+                rejects_root=rejects,
+                clean_source="archive",
+                archive_root=archive,
+            ).awaitTermination()
+
+        run()
+        write_flat(_with_price(_on(listings, DAYS[0]), "$1"), flat)
+        write_flat(_on(listings, DAYS[2]), flat)
+        run()
     stored = _organized_rows(spark, target).withColumn("place", F.lit("organized"))
-    kept = spark.read.parquet(places["rejects_root"])
+    kept = spark.read.parquet(rejects)
     return stored.unionByName(
         kept.select(*LISTING_FIELDS, "category", "file_key", F.col("reason").alias("place"))
     )

@@ -17,7 +17,7 @@ from ..functions import business_day
 from ..operators import warehouse_rows, with_identity, with_violations
 from ..operators.constraints import VIOLATIONS
 from ..schema import IDENTITY_COLUMN, OFFSET_HOURS, SNAPSHOT_DAY, WAREHOUSE_SCHEMA
-from ..session import work_path
+from ..session import passing_path
 from ..sinks.jdbc import load_through_staging
 from ..sinks.warehouse import Warehouse, create_table, insert_rows, replace_days, reserve_ids
 from ..sources import read_day
@@ -85,11 +85,8 @@ def stage(listings: DataFrame, path: str) -> Staged:
 def _staged_day(
     spark: SparkSession, lake_root: str, day: date, categories: Sequence[str] | None
 ) -> Iterator[Staged]:
-    path = work_path(spark, "load")
-    try:
+    with passing_path(spark, "load") as path:
         yield stage(read_day(spark, lake_root, day=day, categories=categories), path)
-    finally:
-        remove_folder(spark, path)
 
 
 def _keep_rejects(spark: SparkSession, staged: Staged, day: date, root: str, mode: str) -> None:

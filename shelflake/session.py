@@ -5,9 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from .files import remove_folder
+
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
 
 
@@ -45,3 +49,13 @@ def shared_folder(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder. Nothing is created yet."""
     return f"{shared_folder(spark)}/shelflake/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def passing_path(spark: SparkSession, name: str) -> Iterator[str]:
+    """A work path that is removed when the block ends."""
+    path = work_path(spark, name)
+    try:
+        yield path
+    finally:
+        remove_folder(spark, path)
