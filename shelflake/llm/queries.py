@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality_rules
-from .common import table
+from ..files import remove_folder
+from ..session import work_path
+from . import decontaminate, quality_rules, warc
+from .common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +22,15 @@ def registered(query: Query) -> Query:
     return query
 
 
+@registered
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through WARC archives and back."""
+    path = work_path(spark, "archives")
+    records = stored(spark, warc.round_trip(table(spark, sf_dir, "pages"), path), "warc-read")
+    remove_folder(spark, path)
+    return records
+
+
 @registered
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of each document is verbatim in the test set."""
