@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..files import remove_folder
 from ..session import work_path
-from . import decontaminate, quality_rules, warc
+from . import decontaminate, quality_rules, secrets, warc
 from .common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records
 
 
+@registered
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of each document."""
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of each document is verbatim in the test set."""
