@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..files import remove_folder
 from ..session import work_path
-from . import decontaminate, quality_rules, secrets, warc
+from . import decontaminate, html_extract, quality_rules, secrets, warc
 from .common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,12 @@ def registered(query: Query) -> Query:
     return query
 
 
+@registered
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 @registered
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through WARC archives and back."""
