@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..files import remove_folder
 from ..session import work_path
-from . import decontaminate, html_extract, quality_rules, secrets, warc
+from . import decontaminate, html_extract, quality_classifier, quality_rules, secrets, warc
 from .common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,12 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+@registered
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expected grade of each document, its tail probabilities and the verdict."""
+    return quality_classifier.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @registered
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through WARC archives and back."""
