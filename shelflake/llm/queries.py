@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..files import remove_folder
 from ..session import work_path
-from . import decontaminate, html_extract, quality_classifier, quality_rules, secrets, warc
+from . import (
+    decontaminate,
+    html_extract,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    warc,
+)
 from .common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +67,9 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule ledger of each document and the verdict of the current policy."""
     return quality_rules.report(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as pieces of packed sequences."""
+    return packing.pack(table(spark, sf_dir, "documents"))
