@@ -11,6 +11,7 @@ from ..session import work_path
 from . import (
     decontaminate,
     html_extract,
+    near_dedup,
     packing,
     quality_classifier,
     quality_rules,
@@ -69,6 +70,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of each document."""
+    return near_dedup.report(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as pieces of packed sequences."""

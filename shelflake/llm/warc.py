@@ -135,7 +135,7 @@ _FIELDS = (
 )
 _CANDIDATE = T.StructType(
     [
-        *T.StructType().add("file", "string").add("split", "long").add("place", "long"),
+        *T.StructType().add("file", "long").add("split", "long").add("place", "long"),
         # successor: bytes from the beginning of the record to the next one's; NULL for no record
         *T.StructType().add("size", "long").add("leading", "boolean").add("successor", "long"),
         *_FIELDS,
@@ -186,19 +186,19 @@ def _fields(content: bytes, begin: int, end: int) -> dict:
 
 
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
-    """The archives' bytes, split at every magic."""
+    """The archives' bytes, split at every magic. A file goes by the hash of its path."""
     return (
         spark.read.option("lineSep", MAGIC)
         .text(path)
         .select(
             F.col("value").cast("binary").alias("value"),
-            F.col("_metadata.file_path").alias("file"),
+            F.xxhash64(F.col("_metadata.file_path")).alias("file"),
             F.col("_metadata.file_block_start").alias("split"),
         )
     )
 
 
-def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, bytes]]:
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, bytes]]:
     """Each chunk with the bytes of its split before it. A task reads its splits in order."""
     current, place = None, 0
     for batch in pieces_of(batches, "value", PIECE_BYTES):
@@ -247,7 +247,7 @@ def _emit_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-_PLACED = T.StructType().add("file", "string").add("split", "long").add("place", "long").add("value", "binary")
+_PLACED = T.StructType().add("file", "long").add("split", "long").add("place", "long").add("value", "binary")
 
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
@@ -327,11 +327,11 @@ def _mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _in_batches(rows(), to_arrow_schema(_MENDED), lambda row: 200)
 
 
-_MENDED = T.StructType([*T.StructType().add("file", "string").add("at", "long"), *_FIELDS])
+_MENDED = T.StructType([*T.StructType().add("file", "long").add("at", "long"), *_FIELDS])
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The records: file, at, and the fields of _FIELDS.
+    """The records: file (a hash of its path), at (offset in it), and the fields of _FIELDS.
 
     payload_digest is taken from the payload itself; a revisit repeats the digest and length of the response.
     """
