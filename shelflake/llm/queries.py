@@ -11,6 +11,7 @@ from ..session import work_path
 from . import (
     decontaminate,
     html_extract,
+    line_dedup,
     near_dedup,
     packing,
     quality_classifier,
@@ -52,6 +53,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records
 
 
+@registered
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class and links of each line of the documents."""
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets of each document."""
