@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..files import remove_folder
 from ..session import work_path
 from . import (
+    chat,
     decontaminate,
     html_extract,
     line_dedup,
@@ -53,6 +54,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records
 
 
+@registered
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations that no other one continues, rendered."""
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
 @registered
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class and links of each line of the documents."""
