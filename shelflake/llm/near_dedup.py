@@ -312,3 +312,26 @@ def classes(
 def report(docs: DataFrame, **options) -> DataFrame:
     """One row per document: its class, and whether it stays."""
     return classes(docs, **options).select("doc_id", "class_id", "kept")
+
+
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """docs, all columns, with one document of each class."""
+    spark = docs.sparkSession
+    found = stored(spark, classes(docs, **options), "near-found")
+    rows = docs.withColumn("__key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+
+    def same(other: DataFrame):
+        return F.col("__key").eqNullSafe(other["k"]) & F.col("doc_id").eqNullSafe(other["i"])
+
+    def named(chosen: DataFrame, name: str) -> DataFrame:
+        chosen = chosen.select(F.col("key").alias("k"), F.col("doc_id").alias("i"))
+        return broadcast_if_small(stored(spark, chosen, name), 40)
+
+    gone = named(found.where("NOT kept").select("key", "doc_id").distinct(), "near-gone")
+    rows = rows.join(gone, same(gone), "left_anti")
+    repeated = found.where("kept").groupBy("key", "doc_id").count().where("count > 1")
+    if not repeated.isEmpty():
+        again = named(repeated, "near-repeated")
+        once = rows.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "__key"])
+        rows = rows.join(again, same(again), "left_anti").unionByName(once)
+    return rows.select(docs.columns)

@@ -254,3 +254,10 @@ def report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
         *(F.col("tails")[k].alias(f"p_grade_{k + 1}") for k in range(GRADES - 1)),
         "kept",
     )
+
+
+def selected(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """docs, all columns, without the documents that the classifier rejects."""
+    model = train(docs, labels, **options)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return score(rows, model).where("kept").select("row.*")
