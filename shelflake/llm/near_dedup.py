@@ -6,9 +6,10 @@ that arrives first. Arrivals are drawn in rounds and a shingle stops as soon as
 Two registers agree with the probability Jaccard similarity of the documents, which is the plain Jaccard similarity where
 all weights are equal. Bands of registers give candidates, and each link is verified on the shingles themselves.
 
-Copies of a text are one node. Within a bucket, members are held against one centre at a time, and against each other only where
-that leaves them in different classes; so a bucket of any size costs about as many checks as it has members, and
-no link that its members could give is lost: what is not checked is connected already.
+Copies of a text are one node. Within a bucket, members are held against a centre or two, and against each other only where
+that leaves them in different classes and what only few texts hold does not rule the link out. So a bucket of near
+copies costs about as many checks as it has members, and no link is lost: what is not checked is connected
+already, or cannot be one.
 
 Defined results: a NULL text or one without words is a class of its own; a text of fewer than five words has itself as
 its single shingle; a class has the least doc_id of its documents as its id, and that document stays; of repeated
@@ -34,7 +35,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 16
 ROWS = 4
-CENTRES = 3
+#: A shingle that so few texts hold is looked up at its holders. Any number gives the same links.
+RARE = 24
+#: Buckets of so few members are held against each other outright. Any number gives the same links.
+SMALL = 16
 PIECE_CHARS = 4 << 20
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -207,48 +211,173 @@ def _ordered(a: str, b: str):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def linked(members: DataFrame, sets: DataFrame, threshold: float, centres: int = CENTRES) -> DataFrame | None:
-    """Links (a, b) that connect the nodes of members (bucket, node) as all links between bucket mates would.
+def _rare_shingles(sets: DataFrame, rare: int) -> DataFrame:
+    """(shingle, node, weight, holders) of the shingles that so few nodes hold."""
+    spark = sets.sparkSession
+    every = sets.select("node", F.explode(F.arrays_zip("shingles", "counts")).alias("s")).select(
+        "node", F.col("s.shingles").alias("shingle"), (1 + F.log("s.counts")).alias("weight")
+    )
+    few = every.groupBy("shingle").agg(F.count("*").alias("holders")).where(F.col("holders") <= rare)
+    few = stored(spark, few, "near-rare")
+    return stored(spark, every.join(broadcast_if_small(few, 24), "shingle"), "near-rare")
+
+
+def _common_parts(sets: DataFrame, held: DataFrame) -> DataFrame:
+    """Of each node: size, whether no shingle repeats (plain), and what is not rare, as number and share of weight."""
+    rare = held.groupBy("node").agg(F.count("*").alias("rare"), F.sum("weight").alias("rare_weight"))
+    whole = sets.select(
+        "node",
+        F.size("shingles").alias("size"),
+        F.aggregate("counts", F.lit(0.0), lambda total, n: total + 1 + F.log(n)).alias("weight"),
+        F.forall("counts", lambda n: n == 1).alias("plain"),
+    )
+    return whole.join(rare, "node", "left").select(
+        "node",
+        "size",
+        "weight",
+        "plain",
+        (F.col("size") - F.coalesce("rare", F.lit(0))).alias("common"),
+        (1 - F.coalesce("rare_weight", F.lit(0.0)) / F.col("weight")).alias("share"),
+    )
+
+
+def _could_reach(threshold: float):
+    """Whether a node and an other one could be so similar, going by the rare shingles that both have.
+
+    Of what is rare they share shared pieces, of weight shared_weight and other_shared_weight to each, and of the rest at most
+    what is common in either. Their similarity is at most the share of that in either, and where no shingle repeats, at
+    most that out of all that the two would then have.
+    """
+    least = threshold - 1e-9
+    both = F.least("common", "other_common") + F.col("shared")
+    return (
+        (F.col("share") + F.col("shared_weight") / F.col("weight") >= least)
+        & (F.col("other_share") + F.col("other_shared_weight") / F.col("other_weight") >= least)
+        & (
+            ~(F.col("plain") & F.col("other_plain"))
+            | (both >= least * (F.col("size") + F.col("other_size") - both))
+        )
+    )
+
+
+def _other(rows: DataFrame, *shared: str) -> DataFrame:
+    """The rows under the names of the other side of a pair."""
+    names = {c: f"other_{c}" for c in rows.columns if c not in shared} | {"node": "other"}
+    return rows.withColumnsRenamed(names)
+
+
+def _small_pairs(rows: DataFrame) -> DataFrame:
+    """(node, other) of rows (bucket, node, label) in different classes, all of each bucket."""
+    return (
+        rows.join(_other(rows, "bucket"), "bucket")
+        .where("node < other AND label <> other_label")
+        .select("node", "other")
+    )
+
+
+def _large_pairs(rows: DataFrame, held: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
+    """(node, other) of rows (bucket, node, label) that are in different classes and could be a link.
+
+    Two similar nodes share rare shingles, or each has enough that is common. The first kind is met at the few
+    holders of a shingle, and the second kind in its buckets.
+    """
+    spark = rows.sparkSession
+    nodes = stored(spark, rows.select("node", "label").distinct(), "near-open-nodes")
+    parts = stored(spark, parts.join(broadcast_if_small(nodes, 80), "node"), "near-parts")
+    parts_known = broadcast_if_small(parts, 120)
+    meeting = held.where("holders > 1").select("shingle", "node", F.col("weight").alias("of_shingle"))
+    by_shingle = (
+        meeting.join(_other(meeting, "shingle"), "shingle")
+        .where("node < other")
+        .groupBy("node", "other")
+        .agg(
+            F.count("*").alias("shared"),
+            F.sum("of_shingle").alias("shared_weight"),
+            F.sum("other_of_shingle").alias("other_shared_weight"),
+        )
+        .join(parts_known, "node")
+        .join(broadcast_if_small(_other(parts), 120), "other")
+        .where(F.col("label") != F.col("other_label"))
+        .where(_could_reach(threshold))
+    )
+    enough = parts.where(F.col("share") >= threshold - 1e-9)
+    mates = stored(spark, rows.drop("label").join(broadcast_if_small(enough, 120), "node"), "near-mates")
+    by_bucket = (
+        mates.withColumns({"shared": F.lit(0), "shared_weight": F.lit(0.0), "other_shared_weight": F.lit(0.0)})
+        .join(_other(mates, "bucket"), "bucket")
+        .where(
+            (F.col("node") < F.col("other"))
+            & (F.col("label") != F.col("other_label"))
+            & _could_reach(threshold)
+        )
+    )
+    return by_shingle.select("node", "other").unionByName(by_bucket.select("node", "other"))
+
+
+def _opened(rows: DataFrame, *more) -> DataFrame:
+    """The buckets of rows (bucket, node, label) that hold more than one class."""
+    return (
+        rows.groupBy("bucket")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"), *more)
+        .where("low <> high")
+    )
+
 
-    A few rounds hold each bucket's members against a centre, another one each round, if they are not in its class yet. What is then
-    in different classes of a bucket is held against each other.
+def _parts_of_large(rows: DataFrame, sets: DataFrame, rare: int) -> tuple[DataFrame, DataFrame]:
+    """Rare shingles and common parts of the nodes in large open buckets."""
+    spark = rows.sparkSession
+    large = stored(spark, _opened(rows).where(F.col("members") > SMALL).select("bucket"), "near-large")
+    nodes = rows.join(broadcast_if_small(large, 16), "bucket", "left_semi").select("node").distinct()
+    nodes = broadcast_if_small(stored(spark, nodes, "near-large-nodes"), 40)
+    sets = sets.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    held = _rare_shingles(sets, rare)
+    return held, stored(spark, _common_parts(sets, held), "near-parts")
+
+
+def linked(members: DataFrame, sets: DataFrame, threshold: float, rare: int = RARE) -> DataFrame:
+    """Links (a, b) that connect the nodes of members (bucket, node, mates) as all links between bucket mates would.
+
+    First each bucket's members are held against the one with most mates in all, then against the one with
+    the least that only few texts hold, if they are not in its class yet. What is then in different classes of a bucket is held against each other, unless
+    what only few texts hold rules the link out.
     """
     spark = members.sparkSession
-    links, checked = None, None
-    for turn in range(centres + 1):
-        rows = members
+    degrees = members.groupBy("node").agg(F.sum("mates").alias("degree"))
+    members = stored(spark, members.join(degrees, "node").drop("mates"), "near-members")
+    links = checked = held = parts = None
+    for turn in range(3):
         if links is None:
-            rows = rows.withColumn("label", F.col("node"))
+            rows = members.withColumn("label", F.col("node"))
         else:
             labels = broadcast_if_small(components(links), 64)
-            rows = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            rows = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
             rows = stored(spark, rows, "near-members")
-        open_buckets = rows.groupBy("bucket").agg(
-            F.min("label").alias("low"),
-            F.max("label").alias("high"),
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "label")).alias("centre"),
-        ).where("low <> high")
-        if turn < centres:
-            chosen = stored(
-                spark,
-                open_buckets.select(
-                    "bucket", F.col("centre.node").alias("other"), F.col("centre.label").alias("other_label")
-                ),
-                "near-centres",
-            )
-            mates = rows.join(broadcast_if_small(chosen, 80), "bucket")
+        if turn == 1:
+            held, parts = _parts_of_large(rows, sets, rare)
+            rows = rows.join(broadcast_if_small(parts.select("node", "share"), 48), "node", "left")
+        rank = {0: -F.col("degree"), 1: F.coalesce(-F.col("share"), F.lit(0.0))}.get(turn, F.lit(0))
+        open_buckets = _opened(
+            rows, F.min(F.struct(rank, F.xxhash64("node", F.lit(turn)), "node", "label")).alias("centre")
+        ).select(
+            "bucket",
+            "members",
+            F.col("centre.node").alias("other"),
+            F.col("centre.label").alias("other_label"),
+        )
+        open_buckets = broadcast_if_small(stored(spark, open_buckets, "near-centres"), 80)
+        if turn < 2:
+            mates = rows.join(open_buckets, "bucket").where("label <> other_label")
         else:
-            rows = stored(spark, rows.join(open_buckets.select("bucket"), "bucket", "left_semi"), "near-open")
-            others = rows.select("bucket", F.col("node").alias("other"), F.col("label").alias("other_label"))
-            mates = rows.join(others, "bucket").where("node < other")
-        pairs = mates.where("label <> other_label").select(*_ordered("node", "other")).distinct()
+            rows = rows.join(open_buckets.select("bucket", "members"), "bucket")
+            rows = stored(spark, rows.select("bucket", "node", "label", "members"), "near-open")
+            few = F.col("members") <= SMALL
+            mates = _small_pairs(rows.where(few).drop("members")).unionByName(
+                _large_pairs(rows.where(~few).drop("members"), held, parts, threshold)
+            )
+        pairs = mates.select(*_ordered("node", "other")).distinct()
         if checked is not None:
             pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         seen = stored(spark, _verified(stored(spark, pairs, "near-pairs"), sets), "near-checked")
-        if seen.isEmpty():
-            if turn < centres and checked is None:
-                return None
-            continue
         checked = seen if checked is None else checked.unionByName(seen)
         links = checked.where(F.col("similarity") >= threshold)
     return links
@@ -274,9 +403,9 @@ def classes(
     )
     exploded = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = stored(
-        spark, exploded.groupBy("bucket").count().where("count > 1").select("bucket"), "near-buckets"
+        spark, exploded.groupBy("bucket").agg(F.count("*").alias("mates")).where("mates > 1"), "near-buckets"
     )
-    members = stored(spark, exploded.join(broadcast_if_small(shared, 16), "bucket"), "near-members")
+    members = stored(spark, exploded.join(broadcast_if_small(shared, 24), "bucket"), "near-members")
     # The texts of those nodes alone are read again.
     wanted = stored(
         spark,
@@ -291,15 +420,16 @@ def classes(
     sets = stored(spark, _sets(texts, size), "near-sets")
     links = linked(members, sets, threshold)
     least = nodes.select("node", "doc_id")
-    if links is None:
-        found = least.select("node", F.col("doc_id").alias("class_id"))
-    else:
-        labels = components(links)
-        named = least.join(broadcast_if_small(labels, 64), "node").groupBy("label").agg(F.min("doc_id").alias("class_id"))
-        renamed = stored(spark, labels.join(named, "label").select("node", "class_id"), "near-named")
-        found = least.join(broadcast_if_small(renamed, 64), "node", "left").select(
-            "node", F.coalesce("class_id", "doc_id").alias("class_id")
-        )
+    labels = components(links)
+    named = (
+        least.join(broadcast_if_small(labels, 64), "node")
+        .groupBy("label")
+        .agg(F.min("doc_id").alias("class_id"))
+    )
+    renamed = stored(spark, labels.join(named, "label").select("node", "class_id"), "near-named")
+    found = least.join(broadcast_if_small(renamed, 64), "node", "left").select(
+        "node", F.coalesce("class_id", "doc_id").alias("class_id")
+    )
     found = stored(spark, found, "near-classes")
     return (
         signs.select("doc_id", "key", F.col("bands").isNull().alias("bare"))
