@@ -15,28 +15,34 @@ from shelflake.llm import (
     quality_classifier,
 )
 from shelflake.llm.common import stored, table
+from shelflake.llm.shipping import shipped
 
 
+@shipped
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality classifier rejects."""
     return quality_classifier.selected(docs, table(spark, sf_dir, "labels"))
 
 
+@shipped
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without repeated lines, and without documents of nothing else."""
     return line_dedup.deduplicated(docs)
 
 
+@shipped
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class."""
     return near_dedup.deduplicated(docs)
 
 
+@shipped
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that share a passage with the benchmark."""
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@shipped
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as pieces of sequences."""
     return packing.pack(docs)
@@ -54,6 +60,7 @@ STAGES = [
 ORACLE_SQL = None
 
 
+@shipped
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
     docs = table(spark, sf_dir, "documents")

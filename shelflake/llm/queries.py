@@ -21,6 +21,7 @@ from . import (
     warc,
 )
 from .common import stored, table
+from .shipping import shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,8 +30,8 @@ ORACLES: dict[str, str] = {}
 
 
 def registered(query: Query) -> Query:
-    QUERIES[query.__name__] = query
-    return query
+    QUERIES[query.__name__] = shipped(query)
+    return QUERIES[query.__name__]
 
 
 @registered
