@@ -38,13 +38,13 @@ from .operators import (
     with_violations,
 )
 from .plans import ingest, load_day, organize
-from .schema import FILE_PREFIX, LISTING_FIELDS, SNAPSHOT_DAY, WAREHOUSE_SCHEMA
+from .schema import FILE_PREFIX, LAKE_SCHEMA, LISTING_FIELDS, SNAPSHOT_DAY, WAREHOUSE_SCHEMA
 from .session import passing_path, work_path
 from .sinks import write_flat, write_organized, write_partitioned
 from .sinks.warehouse import Warehouse
 from .sources import read_day, read_envelopes, read_flat, read_lake, read_organized, register_lake
-from .sources.flat import scan_flat
-from .streaming import load_new_files, organize_new_drops, read_loaded
+from .sources.flat import scan_flat, with_lineage
+from .streaming import load_new_files, organize_new_drops
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -334,6 +334,35 @@ def warehouse_replace_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, warehouse)
 
 
+@registered
+def warehouse_replace_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replacing two categories of a day, after all prices have changed, leaves the others as they were."""
+    listings = _typed_feed(spark, sf_dir)
+    warehouse = _new_warehouse(spark)
+    with _passing_lake(spark, listings) as root:
+        for day in DAYS:
+            load_day(spark, root, warehouse, day=day)
+        write_partitioned(_with_price(_on(listings, SECOND_DAY), "£7.50"), root)
+        load_day(
+            spark, root, warehouse, day=SECOND_DAY, categories=["large", "small"], mode="replace_day"
+        )
+    return _table(spark, warehouse)
+
+
+@registered
+def warehouse_replace_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replacing a day by one with rejected rows only leaves that day empty."""
+    listings = _typed_feed(spark, sf_dir)
+    nameless = _on(listings, SECOND_DAY).withColumn("asin", F.lit(None).cast("string"))
+    warehouse = _new_warehouse(spark)
+    with _passing_lake(spark, listings) as root:
+        for day in DAYS:
+            load_day(spark, root, warehouse, day=day)
+        write_partitioned(nameless, root)
+        load_day(spark, root, warehouse, day=SECOND_DAY, mode="replace_day")
+    return _table(spark, warehouse)
+
+
 @registered
 def warehouse_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of three loads: each continues where the one before it ended."""
@@ -352,7 +381,7 @@ def warehouse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         for day in DAYS:
             load_day(spark, root, warehouse, day=day)
     stored = spark.read.parquet(warehouse.rejects)
-    return stored.withColumn(SNAPSHOT_DAY, F.col(SNAPSHOT_DAY).cast("string"))
+    return stored.withColumns({n: F.col(n).cast("string") for n in (SNAPSHOT_DAY, "category")})
 
 
 @registered
@@ -371,16 +400,28 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs: two days, nothing new, the third day."""
     listings = _typed_feed(spark, sf_dir)
-    target = work_path(spark, "loaded")
+    warehouse = _new_warehouse(spark)
     with (
         _passing_lake(spark, _on(listings, *DAYS[:2])) as root,
         passing_path(spark, "checkpoint") as checkpoint,
     ):
-        load_new_files(spark, root, target, checkpoint).awaitTermination()
-        load_new_files(spark, root, target, checkpoint).awaitTermination()
+        load_new_files(spark, root, warehouse, checkpoint).awaitTermination()
+        load_new_files(spark, root, warehouse, checkpoint).awaitTermination()
         write_partitioned(_on(listings, DAYS[2]), root)
-        load_new_files(spark, root, target, checkpoint).awaitTermination()
-    return read_loaded(spark, target)
+        load_new_files(spark, root, warehouse, checkpoint).awaitTermination()
+    return _table(spark, warehouse)
+
+
+@registered
+def incremental_rewritten_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs. Before the second one a day was written again, with other prices: each row is there once."""
+    listings = _typed_feed(spark, sf_dir)
+    warehouse = _new_warehouse(spark)
+    with _passing_lake(spark, listings) as root, passing_path(spark, "checkpoint") as checkpoint:
+        load_new_files(spark, root, warehouse, checkpoint).awaitTermination()
+        write_partitioned(_with_price(_on(listings, SECOND_DAY), "£7.50"), root)
+        load_new_files(spark, root, warehouse, checkpoint).awaitTermination()
+    return _table(spark, warehouse)
 
 
 # --- organizer ---------------------------------------------------------------
@@ -395,6 +436,25 @@ def file_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lineage of files under all kinds of names, as Spark reports them: encoded."""
+    feed = raw_feed(spark, sf_dir)
+    day = day_key(F.col("fetch_timestamp"))
+    name = F.concat_ws("_", F.lit(FILE_PREFIX), F.concat("category", F.lit(" +é")), day)
+    encoded = F.replace(F.url_encode(name), F.lit("+"), F.lit("%20"))
+    forms = F.array(
+        F.concat(F.lit("file:/drops/"), encoded, F.lit(".parquet")),
+        F.concat(F.lit("file:/drops/"), encoded, F.lit(".parquet/part-0.parquet")),
+        F.concat(F.lit("file:/drops/snapshot_key="), encoded, F.lit("/part-0.parquet")),
+        F.lit(f"file:/drops/{FILE_PREFIX}.parquet"),
+    )
+    files = feed.select("asin", "snap", F.posexplode(forms).alias("form", "file_uri"))
+    return with_lineage(files).select(
+        "asin", "snap", "form", "file_path", "filename", "file_key", F.col("category").alias("found")
+    )
+
+
 @registered
 def distinct_file_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _new_flat_lake(spark, _typed_feed(spark, sf_dir))
@@ -454,6 +514,23 @@ def organize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def organize_empty_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two runs report when a drop has no rows: it is organized once."""
+    listings = _typed_feed(spark, sf_dir)
+    empty = f"{FILE_PREFIX}_empty_20240101.parquet"
+    with (
+        _passing_flat_lake(spark, _on(listings, DAYS[0])) as flat,
+        passing_path(spark, "organized") as target,
+    ):
+        listings.select(*LAKE_SCHEMA.names).limit(0).coalesce(1).write.parquet(f"{flat}/{empty}")
+        runs = [organize(spark, flat, target), organize(spark, flat, target)]
+    return spark.createDataFrame(
+        [(n, r.organized, r.skipped, r.unmatched) for n, r in enumerate(runs, 1)],
+        "run bigint, organized bigint, skipped bigint, unmatched bigint",
+    )
+
+
 @registered
 def organize_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs. The second finds the third day and a changed copy of the first one."""

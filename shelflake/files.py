@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
 
 
 def _resolve(spark: SparkSession, path: str):
@@ -15,15 +16,69 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def same_place(spark: SparkSession, one: str, other: str) -> bool:
+    """Whether two paths mean the same place, however they are written."""
+    qualified = []
+    for path in (one, other):
+        file_system, hadoop_path = _resolve(spark, path)
+        qualified.append(file_system.makeQualified(hadoop_path).toString().rstrip("/"))
+    return qualified[0] == qualified[1]
+
+
 def any_match(spark: SparkSession, pattern: str) -> bool:
     """Whether a path pattern matches anything. Lists what the pattern itself spans."""
     file_system, hadoop_path = _resolve(spark, pattern)
     return bool(file_system.globStatus(hadoop_path))
 
 
-def file_count(scan: DataFrame) -> int:
-    """Number of files a scan has listed. Neither runs a job nor fetches their names."""
-    return len(scan._jdf.inputFiles())
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder."""
+    file_system, hadoop_path = _resolve(spark, path)
+    if not file_system.exists(hadoop_path):
+        return []
+    return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
+
+
+def create_once(spark: SparkSession, path: str, content: str) -> bool:
+    """Create a small file, unless it is there already. Of two who try, one succeeds."""
+    file_system, hadoop_path = _resolve(spark, path)
+    file_system.mkdirs(hadoop_path.getParent())
+    if file_system.getScheme() == "file":
+        # Hadoop's local file system looks first and creates then, which is not one step.
+        try:
+            with open(hadoop_path.toUri().getPath(), "x", encoding="utf-8") as file:
+                file.write(content)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        stream = file_system.create(hadoop_path, False)
+    except Py4JJavaError:
+        if file_system.exists(hadoop_path):
+            return False
+        raise
+    try:
+        stream.write(bytearray(content, "utf-8"))
+    finally:
+        stream.close()
+    return True
+
+
+def small_file(spark: SparkSession, path: str) -> str:
+    file_system, hadoop_path = _resolve(spark, path)
+    stream = file_system.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def move_over(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another."""
+    file_system, hadoop_source = _resolve(spark, source)
+    _, hadoop_target = _resolve(spark, target)
+    file_system.delete(hadoop_target, True)
+    file_system.rename(hadoop_source, hadoop_target)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

@@ -31,6 +31,8 @@ def to_long(text: Column) -> Column:
     """
     number = F.regexp_extract(text, _NUMBER, 1)
     exact = number.try_cast("decimal(38,18)")
-    return F.coalesce(
-        number.try_cast("bigint"), F.when(exact % 1 == 0, exact.try_cast("bigint"))
-    )
+    # A fraction too small for the decimal is still one for the double, and if not, by its digits.
+    as_double = number.try_cast("double")
+    whole = (exact % 1 == 0) & (F.floor(as_double) == as_double)
+    whole &= (exact != 0) | F.rlike(number, F.lit(r"^[+-]?[0.]+(?:[eE].*)?$"))
+    return F.coalesce(number.try_cast("bigint"), F.when(whole, exact.try_cast("bigint")))

@@ -25,11 +25,17 @@ def without_extension(name: Column) -> Column:
 def file_key(path: Column) -> Column:
     """Name of the drop a data file belongs to.
 
-    A drop is a single file ``<key>.parquet``, or a folder ``snapshot_key=<key>`` as
-    the flat sink writes it. Folder names carry Spark's own escapes, undone here.
+    A drop is a single file ``<key>.parquet``, a folder of that name with data files in it,
+    or a folder ``snapshot_key=<key>`` as the flat sink writes it. Names of the last carry Spark's own
+    escapes, undone here.
     """
     folder = F.regexp_extract(path, f"/{FLAT_KEY}=([^/]+)/[^/]+$", 1)
-    return F.when(folder != "", decoded(folder)).otherwise(without_extension(file_name(path)))
+    written = F.regexp_extract(path, r"/([^/]+\.parquet)/[^/]+$", 1)
+    return (
+        F.when(folder != "", decoded(folder))
+        .when(written != "", without_extension(written))
+        .otherwise(without_extension(file_name(path)))
+    )
 
 
 def category_of(key: Column, prefix: str = FILE_PREFIX) -> Column:
@@ -37,4 +43,4 @@ def category_of(key: Column, prefix: str = FILE_PREFIX) -> Column:
 
     The category ends at the first underscore.
     """
-    return F.regexp_extract(key, f"{prefix}_([^_]+)_", 1)
+    return F.regexp_extract(key, rf"\Q{prefix}\E_([^_]+)_", 1)

@@ -1,6 +1,6 @@
 """Row-set operators of the ingest, load and organize jobs."""
 
-from .constraints import accepted, rejected, with_violations
+from .constraints import rejected, with_violations
 from .listings import listings_of, parsed, typed_listings
 from .organize import (
     already_organized,
@@ -16,7 +16,6 @@ from .surrogate import with_identity
 from .warehouse_rows import warehouse_rows
 
 __all__ = [
-    "accepted",
     "already_organized",
     "category_status",
     "distinct_drops",

@@ -22,9 +22,5 @@ def with_violations(rows: DataFrame) -> DataFrame:
     return rows.withColumn(VIOLATIONS, F.concat_ws("; ", *missing, *too_long))
 
 
-def accepted(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col(VIOLATIONS) == "").drop(VIOLATIONS)
-
-
 def rejected(checked: DataFrame) -> DataFrame:
     return checked.where(F.col(VIOLATIONS) != "")

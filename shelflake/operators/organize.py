@@ -9,9 +9,6 @@ from ..schema import FILE_PREFIX, LAKE_SCHEMA
 from ..sources.flat import FILE_URI, with_lineage
 from ..sources.organized import ORGANIZED_KEYS
 
-# Up to this many files their destinations (about 100 MB) are sent to every task.
-MAX_BROADCAST_FILES = 400_000
-
 
 def matched(drops: DataFrame) -> DataFrame:
     """Drops (or their rows) whose name tells a category."""
@@ -49,15 +46,11 @@ def already_organized(drops: DataFrame, existing: DataFrame) -> DataFrame:
     return drops.join(existing, list(ORGANIZED_KEYS), "left_semi")
 
 
-def rows_of_files(
-    rows: DataFrame, files: DataFrame, *, max_broadcast_files: int = MAX_BROADCAST_FILES
-) -> DataFrame:
+def rows_of_files(rows: DataFrame, files: DataFrame) -> DataFrame:
     """The rows of the given files only, with the destination of each.
 
-    The files are broadcast if they are few enough, and then no row is shuffled.
-    Otherwise Spark joins by file and splits the files that are too large for a task.
+    Spark broadcasts the files while its statistics call them small, and then no row is
+    shuffled. Otherwise it joins by file and splits the files that are too large for a task.
     """
     destinations = files.select(FILE_URI, *ORGANIZED_KEYS)
-    if destinations.limit(max_broadcast_files + 1).count() <= max_broadcast_files:
-        destinations = F.broadcast(destinations)
     return rows.join(destinations, FILE_URI).select(*LAKE_SCHEMA.names, *ORGANIZED_KEYS)

@@ -2,30 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..files import file_count
-
 # Number of groups (a power of two) the per-file counts are summed in. The last step
 # sees one row per group, so it is bounded by this constant.
 _GROUPS = 512
 
-# Up to this many files the offsets are small enough (about 10 MB) to send everywhere.
-MAX_BROADCAST_FILES = 50_000
+# Spark names a file by the task that wrote it and a running number.
+_TASK, _PART = r"^part-(\d+)-", r"^.*[-.]c(\d+)\."
+_PARTS_PER_TASK = 1 << 20
+
 
+def _file_number() -> Column:
+    name = F.col("_metadata.file_name")
+    task, part = (F.regexp_extract(name, p, 1).cast("bigint") for p in (_TASK, _PART))
+    return task * _PARTS_PER_TASK + part
 
-def with_identity(
-    stored: DataFrame, column: str, *, after: int = 0, max_broadcast_files: int = MAX_BROADCAST_FILES
-) -> DataFrame:
-    """Number the rows of a stored Parquet dataset ``after + 1, after + 2, …``.
+
+def with_identity(stored: DataFrame, column: str, *, after: int = 0) -> DataFrame:
+    """Number the rows of a Parquet dataset that one Spark job has written ``after + 1, after + 2, …``.
 
     A row's number is the running count of the files before its own plus its position
     in the file. Both are properties of the written files, so a recomputed task gives
-    the same numbers. Counting needs the file footers only, and no row is shuffled
-    unless there are too many files to broadcast their offsets.
+    the same numbers. Counting needs the file footers only. Files go by the number in their name,
+    so an offset is two numbers; the offsets are as many as one job has tasks, a few MB for a
+    hundred thousand, and are broadcast: no row is shuffled.
     """
-    per_file = stored.select(F.col("_metadata.file_path").alias("id_file")).groupBy("id_file").count()
+    per_file = stored.select(_file_number().alias("id_file")).groupBy("id_file").count()
     grouped = per_file.withColumn("id_group", F.xxhash64("id_file").bitwiseAND(_GROUPS - 1))
 
     before_in_group = Window.partitionBy("id_group").orderBy("id_file").rowsBetween(
@@ -46,11 +50,8 @@ def with_identity(
     offsets = in_group.join(F.broadcast(groups), "id_group").select(
         "id_file", (F.col("id_inner") + F.col("id_outer")).alias("id_offset")
     )
-    if file_count(stored) <= max_broadcast_files:
-        offsets = F.broadcast(offsets)
-
     placed = stored.withColumns(
-        {"id_file": F.col("_metadata.file_path"), "id_position": F.col("_metadata.row_index")}
+        {"id_file": _file_number(), "id_position": F.col("_metadata.row_index")}
     )
     number = F.col("id_offset") + F.col("id_position") + F.lit(after + 1).cast("bigint")
-    return placed.join(offsets, "id_file").select(number.alias(column), *stored.columns)
+    return placed.join(F.broadcast(offsets), "id_file").select(number.alias(column), *stored.columns)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import cleaned_price, currency_of, short_title
 from ..schema import DROPPED_BY_LOAD, WAREHOUSE_SCHEMA
 
 
-def warehouse_rows(listings: DataFrame) -> DataFrame:
-    """The twelve loaded columns, in table order and with table types.
+def warehouse_rows(listings: DataFrame, *more: Column) -> DataFrame:
+    """The twelve loaded columns, in table order and with table types, and more if asked for.
 
     Currency and amount both come from the displayed price. Values that do not fit
     their type become NULL and never wrap around.
@@ -23,6 +24,12 @@ def warehouse_rows(listings: DataFrame) -> DataFrame:
             "product_price": cleaned_price(price),
         }
     )
-    return derived.select(
-        *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in WAREHOUSE_SCHEMA)
-    )
+    return derived.select(*(_as_stored(f) for f in WAREHOUSE_SCHEMA), *more)
+
+
+def _as_stored(field: T.StructField) -> Column:
+    """The column in its table type. Zone-less times are UTC, whatever zone the session has."""
+    value = F.col(field.name)
+    if isinstance(field.dataType, T.TimestampType):
+        value = F.convert_timezone(F.lit("UTC"), F.current_timezone(), value)
+    return value.try_cast(field.dataType).alias(field.name)

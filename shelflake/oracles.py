@@ -238,10 +238,41 @@ ORACLES: dict[str, str] = {
         FROM checked GROUP BY snapshot_day
         UNION ALL
         SELECT '20240104', 0, 0, 0""",
-    # Files of one run are one batch; the run without new files has none.
-    "incremental_load": f"""{_WAREHOUSE_FEED}
-        SELECT {_WAREHOUSE_COLUMNS}, CAST(CASE WHEN snap = 3 THEN 1 ELSE 0 END AS BIGINT) AS load_batch
-        FROM warehouse""",
+    "incremental_load": f"{_WAREHOUSE_FEED} SELECT {_WAREHOUSE_COLUMNS}, {_DAY} FROM warehouse",
+    "incremental_rewritten_day": f"""
+        {_FEED},{_typed("feed", price="CASE WHEN snap = 2 THEN '£7.50' ELSE product_price END")},
+        {_warehouse()}
+        SELECT {_WAREHOUSE_COLUMNS}, {_DAY} FROM warehouse""",
+    "warehouse_replace_categories": f"""
+        {_FEED},
+        {_typed("feed", price="CASE WHEN snap = 2 AND category IN ('large', 'small') THEN '£7.50' ELSE product_price END")},
+        {_warehouse()}
+        SELECT {_WAREHOUSE_COLUMNS}, {_DAY} FROM warehouse""",
+    "warehouse_replace_rejected": f"""{_WAREHOUSE_FEED}
+        SELECT {_WAREHOUSE_COLUMNS}, {_DAY} FROM warehouse
+        WHERE CAST(fetch_timestamp AS DATE) <> DATE '2024-01-02'""",
+    "file_names": f"""{_FEED},
+        named AS (
+            SELECT asin, snap, unnest([0, 1, 2, 3]) AS form,
+                   'amazonbestsellers_' || category || ' +é_' || strftime(fetch_timestamp, '%Y%m%d') AS key,
+                   category || ' +é' AS found
+            FROM feed
+        )
+        SELECT asin, snap, CAST(form AS INTEGER) AS form,
+               CASE form WHEN 0 THEN 'file:/drops/' || key || '.parquet'
+                         WHEN 1 THEN 'file:/drops/' || key || '.parquet/part-0.parquet'
+                         WHEN 2 THEN 'file:/drops/snapshot_key=' || key || '/part-0.parquet'
+                         ELSE 'file:/drops/amazonbestsellers.parquet' END AS file_path,
+               CASE form WHEN 0 THEN key || '.parquet' WHEN 3 THEN 'amazonbestsellers.parquet'
+                         ELSE 'part-0.parquet' END AS filename,
+               CASE form WHEN 3 THEN 'amazonbestsellers' ELSE key END AS file_key,
+               CASE form WHEN 3 THEN '' ELSE found END AS found
+        FROM named""",
+    "organize_empty_drop": f"""{_FEED},
+        drops AS (SELECT count(DISTINCT {_FILE_KEY}) FILTER (snap = 1) + 1 AS n FROM feed)
+        SELECT CAST(1 AS BIGINT) AS run, n AS organized, CAST(0 AS BIGINT) AS skipped,
+               CAST(0 AS BIGINT) AS unmatched FROM drops
+        UNION ALL SELECT 2, 0, n, 0 FROM drops""",
     "file_lineage": f"""{_FEED}
         SELECT asin, {_FILE_KEY} AS file_key, category, category || '/' || {_FILE_KEY} AS destination
         FROM feed""",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -12,17 +11,26 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..files import remove_folder
-from ..functions import business_day
+from ..functions import business_day, day_key
 from ..operators import warehouse_rows, with_identity, with_violations
 from ..operators.constraints import VIOLATIONS
 from ..schema import IDENTITY_COLUMN, OFFSET_HOURS, SNAPSHOT_DAY, WAREHOUSE_SCHEMA
 from ..session import passing_path
 from ..sinks.jdbc import load_through_staging
-from ..sinks.warehouse import Warehouse, create_table, insert_rows, replace_days, reserve_ids
+from ..sinks.warehouse import (
+    Warehouse,
+    category_name,
+    create_table,
+    drop_category_days,
+    drop_rejects,
+    insert_rows,
+    replace_rows,
+    reserve_ids,
+    write_rejects,
+)
 from ..sources import read_day
 
-_WRITERS = {"append": insert_rows, "replace_day": replace_days}
+_WRITERS = {"append": insert_rows, "replace_day": replace_rows}
 
 
 def _check_mode(mode: str) -> None:
@@ -40,7 +48,7 @@ class LoadResult:
 
 @dataclass(frozen=True)
 class Staged:
-    """A day in warehouse form, stored, with accepted and rejected rows apart."""
+    """Listings in warehouse form, stored, with accepted and rejected rows apart."""
 
     root: str
     rows_read: int
@@ -54,21 +62,37 @@ class Staged:
         return LoadResult(day, self.rows_read, self.rows_accepted, self.rows_rejected)
 
     def accepted(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(WAREHOUSE_SCHEMA).parquet(f"{self.root}/accepted=true")
+        return spark.read.schema(_STAGED_SCHEMA).parquet(f"{self.root}/accepted=true")
 
     def rejected(self, spark: SparkSession) -> DataFrame:
-        schema = T.StructType(WAREHOUSE_SCHEMA.fields + [T.StructField(VIOLATIONS, T.StringType())])
+        schema = T.StructType(_STAGED_SCHEMA.fields + [T.StructField(VIOLATIONS, T.StringType())])
         return spark.read.schema(schema).parquet(f"{self.root}/accepted=false")
 
+    def category_days(self, spark: SparkSession, accepted: bool) -> set[tuple[str, str]]:
+        """(day, category) of the accepted or of the rejected rows; as few as the lake has folders."""
+        if not (self.rows_accepted if accepted else self.rows_rejected):
+            return set()
+        rows = self.accepted(spark) if accepted else self.rejected(spark)
+        found = rows.select(SNAPSHOT_DAY, "category").distinct().collect()
+        return {(r[SNAPSHOT_DAY], category_name(r["category"])) for r in found}
+
+
+_DAY_KEYS = ("year", "month", "day")
+_STAGED_SCHEMA = T.StructType([*WAREHOUSE_SCHEMA.fields, T.StructField(SNAPSHOT_DAY, T.StringType())])
+
 
 def stage(listings: DataFrame, path: str) -> Staged:
     """Transform and check the listings and store them, in one pass over the input.
 
     The counts are taken during that pass. It has no shuffle, so each row is counted
-    exactly once even if tasks are repeated.
+    exactly once even if tasks are repeated. A row's snapshot day is the lake day it lies in, or
+    that of its fetch time where the listings come from elsewhere.
     """
     counts = Observation()
-    checked = with_violations(warehouse_rows(listings)).observe(
+    in_lake = set(_DAY_KEYS) <= set(listings.columns)
+    day = F.concat(*_DAY_KEYS) if in_lake else day_key(F.col("fetch_timestamp"))
+    rows = warehouse_rows(listings, day.alias(SNAPSHOT_DAY))
+    checked = with_violations(rows).observe(
         counts,
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(F.col(VIOLATIONS) != "").alias("rows_rejected"),
@@ -89,12 +113,35 @@ def _staged_day(
         yield stage(read_day(spark, lake_root, day=day, categories=categories), path)
 
 
-def _keep_rejects(spark: SparkSession, staged: Staged, day: date, root: str, mode: str) -> None:
-    if mode == "replace_day" and staged.rows_read:
-        remove_folder(spark, f"{root}/{SNAPSHOT_DAY}={day:%Y%m%d}")
+def publish(spark: SparkSession, staged: Staged, warehouse: Warehouse, mode: str, whole_days: bool) -> None:
+    """Put staged rows into the table, and the rejected ones beside it.
+
+    Replacing a whole day leaves nothing else of it; otherwise the category-days that were read are replaced,
+    those without an accepted row included.
+    """
+    if staged.rows_accepted:
+        after = reserve_ids(spark, warehouse, staged.rows_accepted)
+        _WRITERS[mode](with_identity(staged.accepted(spark), IDENTITY_COLUMN, after=after), warehouse)
+    accepted = rejected = set()
+    if mode == "replace_day":
+        accepted, rejected = (staged.category_days(spark, flag) for flag in (True, False))
+        for day in {d for d, _ in accepted | rejected}:
+            read = {c for d, c in accepted | rejected if d == day}
+            here = {c for d, c in accepted if d == day}
+            drop_category_days(
+                spark, warehouse, day, lambda c: c not in here and (whole_days or c in read)
+            )
+    _publish_rejects(spark, staged, warehouse.rejects, mode, whole_days, accepted, rejected)
+
+
+def _publish_rejects(spark, staged, root, mode, whole_days, accepted, rejected) -> None:
+    replace = mode == "replace_day"
     if staged.rows_rejected:
-        rejects = staged.rejected(spark).withColumn(SNAPSHOT_DAY, F.lit(f"{day:%Y%m%d}"))
-        rejects.write.mode("append").partitionBy(SNAPSHOT_DAY).parquet(root)
+        write_rejects(staged.rejected(spark), root, replace=replace)
+    for day in {d for d, _ in accepted | rejected}:
+        read = {c for d, c in accepted | rejected if d == day}
+        here = {c for d, c in rejected if d == day}
+        drop_rejects(spark, root, day, lambda c: c not in here and (whole_days or c in read))
 
 
 def load_day(
@@ -110,19 +157,15 @@ def load_day(
 ) -> LoadResult:
     """Load one day. A missing or empty day loads nothing and is not an error.
 
-    ``append`` stores a repeated load twice; ``replace_day`` makes it idempotent. Rows
+    ``append`` stores a repeated load twice; ``replace_day`` makes it idempotent: it replaces
+    the day, or with ``categories`` what the lake has of those, also where no row is accepted. Rows
     that break a table constraint go to the warehouse's rejects instead.
     """
     _check_mode(mode)
     day = day or business_day(as_of, offset_hours)
     create_table(spark, warehouse)
     with _staged_day(spark, lake_root, day, categories) as staged:
-        if staged.rows_accepted:
-            load_id = f"{day:%Y%m%d}-{uuid.uuid4().hex}"
-            after = reserve_ids(spark, warehouse, load_id, staged.rows_accepted)
-            numbered = with_identity(staged.accepted(spark), IDENTITY_COLUMN, after=after)
-            _WRITERS[mode](numbered.withColumn(SNAPSHOT_DAY, F.lit(f"{day:%Y%m%d}")), warehouse)
-        _keep_rejects(spark, staged, day, warehouse.rejects, mode)
+        publish(spark, staged, warehouse, mode, whole_days=categories is None)
         return staged.result(day)
 
 
@@ -147,13 +190,18 @@ def load_day_to_database(
     _check_mode(mode)
     day = day or business_day(as_of, offset_hours)
     with _staged_day(spark, lake_root, day, categories) as staged:
-        if staged.rows_accepted:
+        accepted = rejected = set()
+        if mode == "replace_day":
+            accepted, rejected = (staged.category_days(spark, flag) for flag in (True, False))
+        if staged.rows_read:
+            read = None if categories is None else sorted({c for _, c in accepted | rejected})
             load_through_staging(
-                staged.accepted(spark),
+                staged.accepted(spark) if staged.rows_accepted else None,
                 table,
                 staging_options,
                 run_transaction,
                 replace_day=day if mode == "replace_day" else None,
+                categories=read,
             )
-        _keep_rejects(spark, staged, day, rejects_root, mode)
+        _publish_rejects(spark, staged, rejects_root, mode, categories is None, accepted, rejected)
         return staged.result(day)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,16 +12,12 @@ from ..operators import matched, not_organized, rows_of_files, unmatched
 from ..schema import FILE_PREFIX, LAKE_SCHEMA
 from ..sinks.organized import write_organized, write_unmatched
 from ..sources import drop_files, organized_keys
-from ..sources.flat import scan_flat, with_uri
+from ..sources.flat import with_uri
 from ..sources.listing import kept
-from ..sources.organized import ORGANIZED_KEYS
+from ..sources.organized import ORGANIZED_KEYS, record_organized
 
-# Up to this many files are read by name. Their names are all that reaches the driver,
-# where Spark's own file index holds them anyway.
-MAX_NAMED_FILES = 10_000
-
-# A path with one of these would be read as a pattern.
-_GLOB_CHARACTERS = frozenset("[]{}*?\\")
+# A path with one of these would be read as a pattern; a backslash takes that meaning away.
+_GLOB_CHARACTER = re.compile(r"[\[\]{}*?\\]")
 
 
 @dataclass(frozen=True)
@@ -30,20 +27,17 @@ class OrganizeResult:
     unmatched: int
 
 
-def _rows_behind(
-    spark: SparkSession, root: str, files: DataFrame, prefix: str, max_named_files: int
-) -> DataFrame:
+def _rows_behind(spark: SparkSession, files: DataFrame) -> DataFrame:
     """Rows of the given drop files, without opening any other file.
 
-    Beyond the limit all drops are read and the others are joined away. So many new
-    files are a first run, where there is little to leave out.
+    The files are read by name. Their names reach the driver, where Spark's own index of
+    the scan holds them anyway; what was organized before is not among them.
     """
-    found = files.select("file_path").limit(max_named_files + 1).collect()
-    names = [row.file_path for row in found]
-    if len(names) <= max_named_files and not any(_GLOB_CHARACTERS & set(name) for name in names):
-        scan = with_uri(spark.read.schema(LAKE_SCHEMA).parquet(*names))
-    else:
-        scan = scan_flat(spark, root, prefix)
+    names = [
+        _GLOB_CHARACTER.sub(r"\\\g<0>", row.file_path)
+        for row in files.select("file_path").toLocalIterator()
+    ]
+    scan = with_uri(spark.read.schema(LAKE_SCHEMA).parquet(*names))
     return rows_of_files(scan, files)
 
 
@@ -66,11 +60,11 @@ def organize(
     *,
     rejects_root: str | None = None,
     prefix: str = FILE_PREFIX,
-    max_named_files: int = MAX_NAMED_FILES,
 ) -> OrganizeResult:
     """Copy each new drop into its own folder under its category.
 
-    A drop whose folder exists is skipped. A drop whose name tells no category goes to
+    A drop that was organized before is skipped, also one without rows. What was organized is read from
+    the tree's manifest, so a run does not list the tree. A drop whose name tells no category goes to
     ``rejects_root`` (replacing its earlier copy there) or, without one, stays where
     it is. The number of Spark jobs does not depend on the number of drops. Sources
     are kept; to retire them use the streaming form.
@@ -83,9 +77,10 @@ def organize(
         result = _counted(files, existing)
         if result.organized:
             new_files = not_organized(matched(files), existing)
-            rows = _rows_behind(spark, flat_root, new_files, prefix, max_named_files)
-            write_organized(rows, target_root)
+            write_organized(_rows_behind(spark, new_files), target_root)
+            # A run that ends before this line is done again: it replaces its own folders.
+            record_organized(new_files, target_root)
         if result.unmatched and rejects_root is not None:
-            rows = _rows_behind(spark, flat_root, unmatched(files), prefix, max_named_files)
+            rows = _rows_behind(spark, unmatched(files))
             write_unmatched(rows, rejects_root)
         return result

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -33,17 +32,11 @@ def local_session(cpus: int | str = 8, app_name: str = "shelflake", **settings:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
-
-    Only a local session may fall back to a temporary folder, because there the
-    executors live on the same machine.
-    """
+    """The folder every executor can reach: the one the cluster names, or else one in the warehouse."""
     configured = spark.conf.get(SHARED_FOLDER_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError(f"set {SHARED_FOLDER_SETTING} to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="shelflake-")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def work_path(spark: SparkSession, name: str) -> str:

@@ -2,12 +2,12 @@
 
 from .lake import write_flat, write_partitioned
 from .organized import write_organized
-from .warehouse import create_table, insert_rows, replace_days, reserve_ids
+from .warehouse import create_table, insert_rows, replace_rows, reserve_ids
 
 __all__ = [
     "create_table",
     "insert_rows",
-    "replace_days",
+    "replace_rows",
     "reserve_ids",
     "write_flat",
     "write_organized",

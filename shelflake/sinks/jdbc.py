@@ -50,7 +50,7 @@ def with_origin(stored: DataFrame) -> DataFrame:
 
 
 def jdbc_options(
-    url: str, table: str, *, connections: int = 16, batch_rows: int = 10_000, **extra: str
+    url: str, table: str, *, connections: int, batch_rows: int = 10_000, **extra: str
 ) -> dict[str, str]:
     """Writer options: rows per round trip, and a limit on open connections.
 
@@ -73,20 +73,32 @@ def stage_rows(stored: DataFrame, options: dict[str, str]) -> None:
     with_origin(stored).write.format("jdbc").options(**options).mode("overwrite").save()
 
 
-def publish_statements(table: str, staging: str, *, replace_day: date | None = None) -> list[str]:
+def publish_statements(
+    table: str,
+    staging: str | None,
+    *,
+    replace_day: date | None = None,
+    categories: Sequence[str] | None = None,
+) -> list[str]:
     """Statements of the one transaction that fills the target.
 
-    ``replace_day`` first removes that day's rows; without it the rows are appended.
-    The database hands out the keys.
+    ``replace_day`` first removes that day's rows, or those of ``categories``; without it the rows
+    are appended. Without a staging table nothing is added. The database hands out the keys.
     """
     columns = _quoted(WAREHOUSE_SCHEMA.names)
     everything = _quoted((*WAREHOUSE_SCHEMA.names, *ORIGIN_COLUMNS))
     statements = []
     if replace_day is not None:
         start, end = (f"TIMESTAMP '{d} 00:00:00'" for d in (replace_day, replace_day + timedelta(1)))
+        named = ""
+        if categories is not None:
+            values = ", ".join("'" + c.replace("'", "''") + "'" for c in categories)
+            named = f' AND "category" IN ({values})'
         statements.append(
-            f'DELETE FROM {table} WHERE "fetch_timestamp" >= {start} AND "fetch_timestamp" < {end}'
+            f'DELETE FROM {table} WHERE "fetch_timestamp" >= {start} AND "fetch_timestamp" < {end}{named}'
         )
+    if staging is None:
+        return statements
     statements.append(
         f"INSERT INTO {table} ({columns}) "
         f"SELECT {columns} FROM (SELECT DISTINCT {everything} FROM {staging}) AS staged"
@@ -95,17 +107,23 @@ def publish_statements(table: str, staging: str, *, replace_day: date | None = N
 
 
 def load_through_staging(
-    stored: DataFrame,
+    stored: DataFrame | None,
     table: str,
     options: dict[str, str],
     run_transaction: Callable[[list[str]], None],
     *,
     replace_day: date | None = None,
+    categories: Sequence[str] | None = None,
 ) -> None:
-    """Stage the rows with Spark, then publish them in the database.
+    """Stage the rows with Spark, if there are any, then publish them in the database.
 
     ``options`` address the staging table. ``run_transaction`` runs statements in one
     transaction, on whatever connection the caller's database client offers.
     """
-    stage_rows(stored, options)
-    run_transaction(publish_statements(table, options["dbtable"], replace_day=replace_day))
+    staging = None
+    if stored is not None:
+        stage_rows(stored, options)
+        staging = options["dbtable"]
+    statements = publish_statements(table, staging, replace_day=replace_day, categories=categories)
+    if statements:
+        run_transaction(statements)

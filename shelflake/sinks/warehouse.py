@@ -2,24 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..files import path_exists
+from ..files import create_once, names_in, path_exists, remove_folder, small_file
 from ..schema import IDENTITY_COLUMN, SNAPSHOT_DAY, WAREHOUSE_LIMITS, WAREHOUSE_SCHEMA
-from ..sources.missing import read_or_empty
-
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
-_RESERVED_SCHEMA = T.StructType(
-    [T.StructField("last_id", T.LongType()), T.StructField("load_id", T.StringType())]
-)
-
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -41,7 +34,17 @@ class Warehouse:
         return f"{self.root}/rejects"
 
 
-TABLE_COLUMNS = (IDENTITY_COLUMN, *WAREHOUSE_SCHEMA.names, SNAPSHOT_DAY)
+#: The table's partitioning: a load replaces category-days.
+KEYS = (SNAPSHOT_DAY, "category")
+
+TABLE_COLUMNS = (
+    IDENTITY_COLUMN,
+    *(name for name in WAREHOUSE_SCHEMA.names if name not in KEYS),
+    *KEYS,
+)
+
+# How Spark names the folder of rows without a category.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _catalog_type(field: T.StructField) -> str:
@@ -49,54 +52,56 @@ def _catalog_type(field: T.StructField) -> str:
     return f"VARCHAR({limit})" if limit else field.dataType.simpleString()
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_table(spark: SparkSession, warehouse: Warehouse) -> None:
-    """The thirteen warehouse columns, partitioned by snapshot day, unless it exists.
+    """The thirteen warehouse columns, partitioned by snapshot day and category, unless it exists.
 
     Text lengths are enforced on insert. The catalog keeps no key counter and enforces
     no NOT NULL on Parquet tables: see :func:`reserve_ids` and the constraint operator.
+    An overwrite replaces the category-days that it brings; the table itself says so, not the session.
     """
     if spark.catalog.tableExists(warehouse.table):
         return
-    columns = [f"{IDENTITY_COLUMN} BIGINT"]
-    columns += [f"`{field.name}` {_catalog_type(field)}" for field in WAREHOUSE_SCHEMA]
-    columns.append(f"{SNAPSHOT_DAY} STRING")
-    location = warehouse.rows.replace("\\", "\\\\").replace("'", "\\'")
+    types = {f.name: _catalog_type(f) for f in WAREHOUSE_SCHEMA}
+    types |= {IDENTITY_COLUMN: "BIGINT", SNAPSHOT_DAY: "STRING"}
+    columns = ", ".join(f"`{name}` {types[name]}" for name in TABLE_COLUMNS)
     spark.sql(
-        f"CREATE TABLE {warehouse.table} ({', '.join(columns)}) USING parquet "
-        f"PARTITIONED BY ({SNAPSHOT_DAY}) LOCATION '{location}'"
+        f"CREATE TABLE {warehouse.table} ({columns}) USING parquet "
+        f"OPTIONS ('partitionOverwriteMode' 'dynamic') "
+        f"PARTITIONED BY ({', '.join(KEYS)}) LOCATION {_literal(warehouse.rows)}"
     )
     if path_exists(spark, warehouse.rows):
         # The rows are older than this catalog entry.
         spark.sql(f"MSCK REPAIR TABLE {warehouse.table}")
 
 
-def reserve_ids(spark: SparkSession, warehouse: Warehouse, load_id: str, count: int) -> int:
+def reserve_ids(spark: SparkSession, warehouse: Warehouse, count: int) -> int:
     """Set ``count`` keys aside for a load and return the last key before them.
 
-    The ranges are kept beside the table, one row per load, so finding the next key
-    never scans the table. Like a database sequence this leaves a gap if the load then
-    fails. Loads of one table must not run at the same time.
+    A range is claimed by creating a file named after its first key, which holds its last. Of
+    two loads at once one creates it and the other goes on behind, so ranges never overlap.
+    Only the newest claim is read. Like a database sequence this leaves a gap if the load then
+    fails. Where the claims are lost, the table itself tells the highest key.
     """
-    earlier = read_or_empty(spark, _RESERVED_SCHEMA, warehouse.reserved)
-    last = earlier.agg(F.max("last_id")).first()[0] or 0
-    (
-        spark.range(1)
-        .select(F.lit(last + count).cast("bigint").alias("last_id"), F.lit(load_id).alias("load_id"))
-        .write.mode("append")
-        .partitionBy("load_id")
-        .parquet(warehouse.reserved)
-    )
-    return last
+    for attempt in range(_ATTEMPTS):
+        claims = [name for name in names_in(spark, warehouse.reserved) if name.isdigit()]
+        if claims:
+            newest = small_file(spark, f"{warehouse.reserved}/{max(claims, key=int)}")
+            if not newest:  # just being written
+                time.sleep(0.1)
+                continue
+            last = int(newest)
+        else:
+            last = spark.table(warehouse.table).agg(F.max(IDENTITY_COLUMN)).first()[0] or 0
+        if create_once(spark, f"{warehouse.reserved}/{last + 1}", str(last + count)):
+            return last
+    raise RuntimeError(f"no key range could be claimed in {warehouse.reserved}")
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
+_ATTEMPTS = 100
 
 
 def insert_rows(rows: DataFrame, warehouse: Warehouse) -> None:
@@ -104,10 +109,46 @@ def insert_rows(rows: DataFrame, warehouse: Warehouse) -> None:
     rows.select(*TABLE_COLUMNS).write.insertInto(warehouse.table)
 
 
-def replace_days(rows: DataFrame, warehouse: Warehouse) -> None:
-    """Replace exactly the snapshot days that occur in ``rows``.
+def replace_rows(rows: DataFrame, warehouse: Warehouse) -> None:
+    """Replace exactly the category-days that occur in ``rows``.
 
     The new files are swapped in when the job commits; until then readers see the old.
     """
-    with _dynamic_overwrite(rows.sparkSession):
-        rows.select(*TABLE_COLUMNS).write.insertInto(warehouse.table, overwrite=True)
+    rows.select(*TABLE_COLUMNS).write.insertInto(warehouse.table, overwrite=True)
+
+
+def _stored_categories(spark: SparkSession, root: str, day: str) -> dict[str, str]:
+    """Folder names of a stored day, by category."""
+    names = names_in(spark, f"{root}/{SNAPSHOT_DAY}={day}")
+    return {unquote(n.removeprefix("category=")): n for n in names if n.startswith("category=")}
+
+
+def drop_category_days(
+    spark: SparkSession, warehouse: Warehouse, day: str, drop: Callable[[str], bool]
+) -> None:
+    """Remove the stored categories of a day that ``drop`` picks. They are few: folders, not rows."""
+    for category, folder in _stored_categories(spark, warehouse.rows, day).items():
+        if drop(category):
+            spark.sql(
+                f"ALTER TABLE {warehouse.table} DROP IF EXISTS PARTITION "
+                f"({SNAPSHOT_DAY}={_literal(day)}, category={_literal(category)})"
+            )
+            remove_folder(spark, f"{warehouse.rows}/{SNAPSHOT_DAY}={day}/{folder}")
+    spark.catalog.refreshTable(warehouse.table)
+
+
+def drop_rejects(spark: SparkSession, root: str, day: str, drop: Callable[[str], bool]) -> None:
+    for category, folder in _stored_categories(spark, root, day).items():
+        if drop(category):
+            remove_folder(spark, f"{root}/{SNAPSHOT_DAY}={day}/{folder}")
+
+
+def category_name(category: str | None) -> str:
+    """A category as its folder is named."""
+    return _NO_VALUE if category is None or category == "" else category
+
+
+def write_rejects(rows: DataFrame, root: str, *, replace: bool) -> None:
+    """``snapshot_day=/category=``; replacing overwrites the category-days that occur."""
+    writer = rows.write.mode("overwrite" if replace else "append").partitionBy(*KEYS)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(root)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,8 +23,9 @@ DROP_SCHEMA = T.StructType(
 
 
 def flat_glob(root: str, prefix: str = FILE_PREFIX) -> str:
-    """Both forms of a drop: single files, and the folders of the flat sink."""
-    return f"{root}/{{{prefix}*.parquet,{FLAT_KEY}={prefix}*}}"
+    """All forms of a drop: single files, folders of that name, and the folders of the flat sink."""
+    plain = re.sub(r"[\[\]{}*?,\\]", r"\\\g<0>", prefix)
+    return f"{root}/{{{plain}*.parquet,{FLAT_KEY}={plain}*}}"
 
 
 def with_uri(scan: DataFrame) -> DataFrame:

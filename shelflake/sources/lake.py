@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..files import any_match, path_exists
+from ..files import any_match, path_exists, same_place as _same_place
 from ..functions import business_day
 from ..schema import OFFSET_HOURS, PARTITION_COLUMNS, PARTITIONED_LAKE_SCHEMA
 from .missing import empty_frame
@@ -43,12 +44,30 @@ def read_day(
     return found if categories is None else found.where(F.col("category").isin(*categories))
 
 
+def read_folders(spark: SparkSession, root: str, folders: Sequence[str]) -> DataFrame:
+    """Some category-days of the lake, by their folders. Folders that are gone have no rows."""
+    there = [_plain(folder) for folder in folders if path_exists(spark, folder)]
+    if not there:
+        return empty_frame(spark, PARTITIONED_LAKE_SCHEMA)
+    return spark.read.schema(PARTITIONED_LAKE_SCHEMA).option("basePath", root).parquet(*there)
+
+
+def _plain(path: str) -> str:
+    """A path that is not a pattern, whatever characters it has."""
+    return re.sub(r"[\[\]{}*?\\]", r"\\\g<0>", path)
+
+
 def register_lake(spark: SparkSession, table: str, root: str) -> None:
     """Make the lake a catalog table for ad-hoc SQL.
 
     The catalog prunes partitions before files are listed. Partitions that were written
     around the catalog become visible with ``refresh_lake``.
     """
+    if spark.catalog.tableExists(table):
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+        known = described.first()["data_type"]
+        if not _same_place(spark, known, root):
+            raise ValueError(f"{table} is registered at {known}, not at {root}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in PARTITIONED_LAKE_SCHEMA)
     keys = ", ".join(PARTITION_COLUMNS)
     location = root.replace("\\", "\\\\").replace("'", "\\'")
@@ -60,6 +79,17 @@ def register_lake(spark: SparkSession, table: str, root: str) -> None:
         refresh_lake(spark, table)
 
 
+def add_days(spark: SparkSession, table: str, days: DataFrame) -> None:
+    """Make category-days (the partition columns) that were just written visible, and list nothing else."""
+    for row in days.select(*PARTITION_COLUMNS).distinct().toLocalIterator():
+        keys = ", ".join(f"{n}={_literal(row[n])}" for n in PARTITION_COLUMNS)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({keys})")
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def refresh_lake(spark: SparkSession, table: str) -> None:
     """Find partitions that other writers added or removed."""
     spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")

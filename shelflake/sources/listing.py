@@ -7,12 +7,6 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 
-_SPLIT_SIZE = "spark.sql.files.maxPartitionBytes"
-
-# Larger than any share of the files; Spark then makes about one task per core.
-_NO_LIMIT = str(2**50)
-
-
 @contextmanager
 def kept(listing: DataFrame) -> Iterator[DataFrame]:
     """The listing, computed once and cached while the block runs.
@@ -20,14 +14,9 @@ def kept(listing: DataFrame) -> Iterator[DataFrame]:
     A listing reads names and no contents, so the sizes of the files must not decide
     its number of tasks: by size, a large lake would get one task for every file.
     """
-    spark = listing.sparkSession
-    before = spark.conf.get(_SPLIT_SIZE)
-    spark.conf.set(_SPLIT_SIZE, _NO_LIMIT)
-    try:
-        cached = listing.persist()
-        cached.count()
-    finally:
-        spark.conf.set(_SPLIT_SIZE, before)
+    cores = listing.sparkSession.sparkContext.defaultParallelism
+    cached = listing.coalesce(cores).persist()
+    cached.count()
     try:
         yield cached
     finally:

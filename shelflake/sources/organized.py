@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..files import path_exists
+from ..files import move_over, path_exists
 from ..functions import decoded
 from ..schema import LAKE_SCHEMA
 from .missing import empty_frame, matches_or_empty, read_or_empty
@@ -20,8 +20,39 @@ def read_organized(spark: SparkSession, root: str) -> DataFrame:
     return read_or_empty(spark, ORGANIZED_SCHEMA, root)
 
 
+def manifest(root: str) -> str:
+    """Where the tree's own list of organized drops is kept. Readers of the tree pass it over."""
+    return f"{root}/_organized"
+
+
 def organized_keys(spark: SparkSession, root: str) -> DataFrame:
-    """Keys that already have a folder, from the listing alone (no file is opened)."""
+    """Keys of the drops that were organized, those without rows included.
+
+    They are read from the manifest, whatever the size of the tree. A tree that other means have
+    filled has none; it is listed once, and the list becomes its manifest.
+    """
+    if not path_exists(spark, root):
+        return empty_frame(spark, KEY_SCHEMA)
+    if not path_exists(spark, manifest(root)):
+        record_organized(listed_keys(spark, root), root)
+    return read_or_empty(spark, KEY_SCHEMA, manifest(root)).distinct()
+
+
+def record_organized(drops: DataFrame, root: str) -> None:
+    """Add drops to the manifest, once their folders are complete."""
+    drops.select(*ORGANIZED_KEYS).distinct().coalesce(1).write.mode("append").parquet(manifest(root))
+
+
+def compact_manifest(spark: SparkSession, root: str) -> None:
+    """Rewrite the manifest as few files. Not while another run is at work on the tree."""
+    whole = read_or_empty(spark, KEY_SCHEMA, manifest(root)).distinct()
+    fresh = f"{root}/_organized_new"
+    whole.write.mode("overwrite").parquet(fresh)
+    move_over(spark, fresh, manifest(root))
+
+
+def listed_keys(spark: SparkSession, root: str) -> DataFrame:
+    """Keys that have a folder, from the listing alone (no file is opened)."""
 
     def read() -> DataFrame:
         files = spark.read.format("binaryFile").load(f"{root}/category=*/file_key=*")

@@ -1,80 +1,60 @@
-"""Load whatever has arrived in the lake since the last run."""
+"""Load whatever has arrived in the lake since the last run into the warehouse table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import warehouse_rows, with_violations
-from ..operators.constraints import VIOLATIONS
-from ..schema import PARTITIONED_LAKE_SCHEMA, WAREHOUSE_SCHEMA
-from ..sources.missing import read_or_empty
+from ..functions import decoded
+from ..plans.load import publish, stage
+from ..schema import PARTITIONED_LAKE_SCHEMA
+from ..session import passing_path
+from ..sinks.warehouse import Warehouse, create_table
+from ..sources.lake import read_folders
 from .source import MAX_FILE_AGE
 
-ACCEPTED = "accepted"
-LOAD_BATCH = "load_batch"
 
-LOADED_SCHEMA = T.StructType(
-    WAREHOUSE_SCHEMA.fields
-    + [
-        T.StructField(VIOLATIONS, T.StringType()),
-        T.StructField(ACCEPTED, T.BooleanType()),
-        T.StructField(LOAD_BATCH, T.LongType()),
-    ]
-)
+def _folders(batch: DataFrame) -> list[str]:
+    """The category-day folders that a batch's files lie in. As many as were written, not as their rows."""
+    file = decoded(F.col("_metadata.file_path"))
+    folder = F.regexp_extract(file, "^(.*)/[^/]*$", 1).alias("folder")
+    return [row.folder for row in batch.select(folder).distinct().collect()]
 
 
 def load_new_files(
     spark: SparkSession,
     lake_root: str,
-    target_root: str,
+    warehouse: Warehouse,
     checkpoint: str,
     *,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Start a run that loads every lake file not loaded yet, then stops.
+    """Start a run that loads every category-day with files not loaded yet, then stops.
 
     ``files_per_batch`` splits a large backlog into batches, so that a failure repeats
     only the last of them; the run still ends with everything loaded.
 
-    The checkpoint remembers the files; run it on the scheduler's timetable. Accepted
-    and rejected rows go to sibling folders in one pass. Each batch owns its folders
-    and overwrites them, so a batch repeated after a failure adds nothing.
+    The checkpoint remembers the files; run it on the scheduler's timetable. New files tell which category-days
+    have changed. Those are read whole and replaced in the table and its rejects, so a batch repeated after
+    a failure adds nothing, and a day that was written again is there once.
     """
+    create_table(spark, warehouse)
 
-    def write(listings: DataFrame, batch_id: int) -> None:
-        (
-            with_violations(warehouse_rows(listings))
-            .withColumn(ACCEPTED, F.col(VIOLATIONS) == "")
-            .withColumn(LOAD_BATCH, F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(ACCEPTED, LOAD_BATCH)
-            .parquet(target_root)
-        )
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # The caller's session and not the batch's own, so that the caller sees the table change.
+        with passing_path(spark, "load") as path:
+            staged = stage(read_folders(spark, lake_root, _folders(batch)), path)
+            publish(spark, staged, warehouse, "replace_day", whole_days=False)
 
     source = spark.readStream.schema(PARTITIONED_LAKE_SCHEMA).option("maxFileAge", MAX_FILE_AGE)
     if files_per_batch is not None:
         source = source.option("maxFilesPerTrigger", files_per_batch)
-    listings = source.parquet(lake_root)
     return (
-        listings.writeStream.foreachBatch(write)
+        source.parquet(lake_root)
+        .select("_metadata")
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-
-
-def _read_target(spark: SparkSession, target_root: str) -> DataFrame:
-    return read_or_empty(spark, LOADED_SCHEMA, target_root)
-
-
-def read_loaded(spark: SparkSession, target_root: str) -> DataFrame:
-    """Accepted warehouse rows of all batches."""
-    return _read_target(spark, target_root).where(ACCEPTED).drop(ACCEPTED, VIOLATIONS)
-
-
-def read_rejected(spark: SparkSession, target_root: str) -> DataFrame:
-    return _read_target(spark, target_root).where(~F.col(ACCEPTED)).drop(ACCEPTED)

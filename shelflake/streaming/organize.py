@@ -13,7 +13,7 @@ from ..sinks.organized import write_left_over, write_organized
 from ..sources import organized_keys, read_or_empty
 from ..sources.flat import flat_glob, with_uri
 from ..sources.listing import kept
-from ..sources.organized import KEY_SCHEMA, ORGANIZED_KEYS
+from ..sources.organized import KEY_SCHEMA, ORGANIZED_KEYS, record_organized
 from .source import MAX_FILE_AGE
 
 
@@ -71,6 +71,7 @@ def organize_new_drops(
         claimed_at = f"{checkpoint}/claims/{batch_id}"
         claims = _claimed_keys(batch.sparkSession, files, target_root, claimed_at)
         write_organized(rows_of_files(batch, already_organized(files, claims)), target_root)
+        record_organized(claims, target_root)
 
         left_over = not_organized(files, claims)
         if not left_over.isEmpty():

@@ -1,6 +1,6 @@
 """What both streams ask of the file source."""
 
 # The source passes over files that are a week older than the newest one it has seen,
-# such as a late copy that kept its date. Ten years make sure that none is lost; the
-# price is that the source remembers every file name for that long.
-MAX_FILE_AGE = "3650d"
+# such as a late copy that kept its date. This age is beyond any date a file can have, so
+# none is ever passed over; the price is that the source remembers all file names.
+MAX_FILE_AGE = "100000000d"

@@ -199,3 +199,9 @@ def test_file_name_and_extension(spark):
     name = file_name(F.col("v"))
     got = evaluate(spark, ["s3://b/x/y.parquet", "y.parquet.bak"], name, without_extension(name))
     assert got == [("y.parquet", "y"), ("y.parquet.bak", "y.parquet.bak")]
+
+
+def test_tiny_fractions_are_no_longs(spark):
+    texts = ["1e-20", "1e-400", "0.0", "-0", "1e2", "120e-1", "12.50e1"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in frame.select(to_long(F.col("t"))).collect()] == [None, None, 0, 0, 100, 12, 125]

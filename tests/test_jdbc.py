@@ -75,7 +75,7 @@ def test_a_day_goes_through_the_staging_table(spark, tmp_path, monkeypatch):
     lake, rejects = str(tmp_path / "lake"), str(tmp_path / "rejects")
     rows = [listing(rank=1), listing(rank=2), listing(rank=3, asin=None)]
     write_partitioned(listings(spark, rows), lake)
-    options = jdbc.jdbc_options("jdbc:x:y", "stage")
+    options = jdbc.jdbc_options("jdbc:x:y", "stage", connections=2)
     seen = []
     monkeypatch.setattr(
         jdbc,
@@ -99,3 +99,13 @@ def test_a_day_goes_through_the_staging_table(spark, tmp_path, monkeypatch):
     seen.clear()
     assert load(date(2030, 1, 1), "append").rows_read == 0
     assert seen == []
+
+
+def test_statements_of_replaced_categories():
+    day = date(2024, 1, 1)
+    delete, insert = jdbc.publish_statements("t", "s", replace_day=day, categories=["a", "b's"])
+    assert delete.endswith("""AND "category" IN ('a', 'b''s')""")
+    assert insert.startswith("INSERT INTO t")
+    # A day of rejected rows only is emptied.
+    assert len(jdbc.publish_statements("t", None, replace_day=day)) == 1
+    assert jdbc.publish_statements("t", None) == []

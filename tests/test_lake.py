@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
 import pytest
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from shelflake.schema import PARTITIONED_LAKE_SCHEMA
 from shelflake.sinks import write_flat, write_partitioned
 from shelflake.sources import read_day, read_flat, read_lake, register_lake
-from shelflake.sources.lake import refresh_lake
+from shelflake.sinks.lake import with_lake_keys
+from shelflake.sources.lake import add_days, refresh_lake
 
 DAY = date(2024, 1, 2)
 
@@ -146,3 +148,22 @@ def test_flat_keys_survive_odd_category_names(spark, root):
     for name in names:
         write_flat(listings(spark, [listing()], name), root)
     assert {r.category for r in read_flat(spark, root).collect()} == set(names)
+
+
+def test_a_table_keeps_its_place(spark, lake, tmp_path):
+    table = f"t_{uuid.uuid4().hex}"
+    register_lake(spark, table, lake)
+    register_lake(spark, table, f"file:{lake}/")
+    with pytest.raises(ValueError, match="is registered at"):
+        register_lake(spark, table, str(tmp_path / "elsewhere"))
+
+
+def test_a_written_day_is_added_without_listing_the_lake(spark, lake):
+    table = f"t_{uuid.uuid4().hex}"
+    register_lake(spark, table, lake)
+    before = spark.table(table).count()
+    late = listings(spark, [listing(fetch_timestamp=NOON + timedelta(days=300))], "it's new")
+    write_partitioned(late, lake)
+    assert spark.table(table).count() == before
+    add_days(spark, table, with_lake_keys(late))
+    assert spark.table(table).count() == before + 1

@@ -6,14 +6,14 @@ from datetime import date, timedelta
 import pytest
 from builders import NOON, listing, listings
 
-from shelflake.files import any_match
+from shelflake.files import any_match, remove_folder
 from shelflake.operators import warehouse_rows, with_identity, with_violations
 from shelflake.plans import load_day
 from shelflake.plans.load import stage
 from shelflake.schema import WAREHOUSE_SCHEMA
 from shelflake.session import shared_folder
 from shelflake.sinks import write_partitioned
-from shelflake.sinks.warehouse import Warehouse, create_table
+from shelflake.sinks.warehouse import Warehouse, create_table, reserve_ids
 
 DAYS = [date(2024, 1, 1) + timedelta(days=n) for n in range(3)]
 
@@ -52,7 +52,8 @@ def test_table_has_the_thirteen_columns_and_limits(spark, warehouse):
         for r in spark.sql(f"DESCRIBE {warehouse.table}").collect()
         if not r.col_name.startswith("#")
     }
-    assert list(described) == ["unique_id", *WAREHOUSE_SCHEMA.names, "snapshot_day"]
+    assert set(described) == {"unique_id", *WAREHOUSE_SCHEMA.names, "snapshot_day"}
+    assert list(described)[-2:] == ["snapshot_day", "category"]
     assert described["asin"] == "varchar(50)"
     assert described["product_price"] == "decimal(10,2)"
     with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
@@ -187,8 +188,7 @@ def test_an_existing_table_is_found_by_a_new_catalog(spark, lake, warehouse):
     }
 
 
-@pytest.mark.parametrize("max_broadcast_files", [0, 1000])
-def test_identity_over_many_files(spark, tmp_path, max_broadcast_files):
+def test_identity_over_many_files(spark, tmp_path):
     path = str(tmp_path / "rows")
     rows = spark.range(0, 5000, 1, 37).where("id % 11 < 7 OR id < 2500")
     rows.write.parquet(path)
@@ -197,16 +197,85 @@ def test_identity_over_many_files(spark, tmp_path, max_broadcast_files):
     before = spark.conf.get(setting)
     spark.conf.set(setting, "-1")
     try:
-        numbered = with_identity(
-            spark.read.schema("id bigint").parquet(path), "n", after=100,
-            max_broadcast_files=max_broadcast_files,
-        )
+        numbered = with_identity(spark.read.schema("id bigint").parquet(path), "n", after=100)
         plan = numbered._jdf.queryExecution().executedPlan().toString()
         first, second = numbered.collect(), numbered.collect()
     finally:
         spark.conf.set(setting, before)
-    assert ("SortMergeJoin" in plan) == (max_broadcast_files == 0)
+    assert "SortMergeJoin" not in plan
     assert sorted(first) == sorted(second)
     total = rows.count()
     assert sorted(row.n for row in first) == list(range(101, 101 + total))
     assert len({row.id for row in first}) == total
+
+
+def test_a_task_that_writes_several_files(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 1000, 1, 3).write.option("maxRecordsPerFile", 50).parquet(path)
+    numbered = with_identity(spark.read.schema("id bigint").parquet(path), "n").collect()
+    assert sorted(row.n for row in numbered) == list(range(1, 1001))
+
+
+def test_replacing_a_category_leaves_the_others(spark, root, warehouse):
+    write_partitioned(listings(spark, day_rows(0, 2), "a"), root)
+    write_partitioned(listings(spark, day_rows(0, 1) + [listing(asin=None)], "b"), root)
+    load_day(spark, root, warehouse, day=DAYS[0])
+    result = load_day(
+        spark, root, warehouse, day=DAYS[0], categories=["a", "absent"], mode="replace_day"
+    )
+    assert (result.rows_read, result.rows_loaded) == (2, 2)
+    stored = spark.table(warehouse.table).groupBy("category").count().collect()
+    assert sorted(map(tuple, stored)) == [("a", 2), ("b", 1)]
+    assert spark.read.parquet(warehouse.rejects).count() == 1
+
+
+def test_replacing_by_rejected_rows_empties_the_day(spark, root, warehouse):
+    write_partitioned(listings(spark, day_rows(0, 3)), root)
+    load_day(spark, root, warehouse, day=DAYS[0])
+    write_partitioned(listings(spark, [listing(asin=None)] * 3), root)
+    result = load_day(spark, root, warehouse, day=DAYS[0], mode="replace_day")
+    assert (result.rows_loaded, result.rows_rejected) == (0, 3)
+    assert spark.table(warehouse.table).count() == 0
+    assert spark.read.parquet(warehouse.rejects).count() == 3
+
+
+def test_a_whole_day_without_a_category_that_was_there(spark, root, warehouse, tmp_path):
+    write_partitioned(listings(spark, day_rows(0, 2), "a"), root)
+    write_partitioned(listings(spark, day_rows(0, 1), "b:c"), root)
+    load_day(spark, root, warehouse, day=DAYS[0])
+    other = str(tmp_path / "other")
+    write_partitioned(listings(spark, day_rows(0, 4), "a"), other)
+    load_day(spark, other, warehouse, day=DAYS[0], mode="replace_day")
+    stored = spark.table(warehouse.table).groupBy("category").count().collect()
+    assert sorted(map(tuple, stored)) == [("a", 4)]
+
+
+def test_key_ranges_of_two_loads_at_once(spark, warehouse):
+    from concurrent.futures import ThreadPoolExecutor
+
+    create_table(spark, warehouse)
+    with ThreadPoolExecutor(4) as pool:
+        counts = list(range(3, 11))
+        lasts = list(pool.map(lambda n: reserve_ids(spark, warehouse, n), counts))
+    taken = [i for last, n in zip(lasts, counts) for i in range(last + 1, last + n + 1)]
+    assert sorted(taken) == list(range(1, sum(counts) + 1))
+
+
+def test_lost_claims_do_not_restart_the_keys(spark, lake, warehouse):
+    load_day(spark, lake, warehouse, day=DAYS[0])
+    remove_folder(spark, warehouse.reserved)
+    load_day(spark, lake, warehouse, day=DAYS[1])
+    assert ids(spark, warehouse) == {"20240101": list(range(1, 6)), "20240102": list(range(6, 13))}
+
+
+def test_instants_do_not_depend_on_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        found = set()
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            rows = warehouse_rows(listings(spark, [listing()]))
+            found.add(rows.selectExpr("unix_timestamp(fetch_timestamp) AS t").first().t)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found == {1704110400}

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import importlib
+
 import pytest
 from builders import listing, listings, write_file
 from pyspark.sql import functions as F
@@ -10,7 +12,9 @@ from shelflake.sinks import write_flat
 from shelflake.sources import drop_files, organized_keys, read_flat, read_organized
 from shelflake.sources.flat import scan_flat
 from shelflake.sources.listing import kept
+from shelflake.sources.organized import compact_manifest
 
+EMPTY = "amazonbestsellers_empty_20240101"
 KITCHEN = "amazonbestsellers_kitchen_20240101"
 ODD = "amazonbestsellers_kit chen+50%_20240101"
 
@@ -54,33 +58,27 @@ def test_the_listing_also_shows_files_without_rows(spark, flat):
     assert listed - seen == {"amazonbestsellers_empty_20240101"}
 
 
-@pytest.mark.parametrize("max_named_files", [0, 10_000])
-def test_organize(spark, flat, target, tmp_path, max_named_files):
+def test_organize(spark, flat, target, tmp_path):
     rejects = str(tmp_path / "rejects")
-    result = organize(
-        spark, str(flat), target, rejects_root=rejects, max_named_files=max_named_files
-    )
+    result = organize(spark, str(flat), target, rejects_root=rejects)
     assert result == OrganizeResult(organized=3, skipped=0, unmatched=1)
     assert found(spark, target) == ORGANIZED
     assert [(r.file_key, r.rank) for r in spark.read.parquet(rejects).collect()] == [
         ("amazonbestsellers", 4)
     ]
-    # Nothing new the second time, apart from the file that has no rows to leave a folder.
-    again = organize(
-        spark, str(flat), target, rejects_root=rejects, max_named_files=max_named_files
-    )
-    assert again == OrganizeResult(organized=1, skipped=2, unmatched=1)
+    # Nothing new the second time, the file without rows included.
+    again = organize(spark, str(flat), target, rejects_root=rejects)
+    assert again == OrganizeResult(organized=0, skipped=3, unmatched=1)
     assert found(spark, target) == ORGANIZED
     assert spark.read.parquet(rejects).count() == 1
 
 
-@pytest.mark.parametrize("max_named_files", [0, 10_000])
-def test_existing_folders_are_left_alone(spark, flat, target, max_named_files):
+def test_existing_folders_are_left_alone(spark, flat, target):
     organize(spark, str(flat), target)
     write_file(flat / f"{KITCHEN}.parquet", [listing(rank=99)])
     write_file(flat / "amazonbestsellers_software_20240101.parquet", [listing(rank=6)])
-    result = organize(spark, str(flat), target, max_named_files=max_named_files)
-    assert (result.organized, result.skipped) == (2, 2)
+    result = organize(spark, str(flat), target)
+    assert (result.organized, result.skipped) == (1, 3)
     assert found(spark, target) == sorted(
         ORGANIZED + [("software", "amazonbestsellers_software_20240101", 6)]
     )
@@ -89,7 +87,7 @@ def test_existing_folders_are_left_alone(spark, flat, target, max_named_files):
 def test_keys_are_read_from_folder_names(spark, flat, target):
     organize(spark, str(flat), target)
     keys = {tuple(r) for r in organized_keys(spark, target).collect()}
-    assert keys == {("kitchen", KITCHEN), ("kit chen+50%", ODD)}
+    assert keys == {("kitchen", KITCHEN), ("kit chen+50%", ODD), ("empty", EMPTY)}
 
 
 def test_names_that_look_like_patterns(spark, tmp_path, target):
@@ -168,12 +166,17 @@ def test_the_number_of_jobs_does_not_grow_with_the_drops(spark, tmp_path, count_
     assert counts[1] <= counts[0] + 2
 
 
-@pytest.mark.parametrize("max_broadcast_files", [0, 100])
-def test_rows_of_files_with_and_without_broadcast(spark, flat, max_broadcast_files):
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_rows_of_files_with_and_without_broadcast(spark, flat, threshold):
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, threshold)
     scan = scan_flat(spark, str(flat))
     files = drop_files(spark, str(flat)).where(F.col("category") == "kitchen")
-    rows = rows_of_files(scan, files, max_broadcast_files=max_broadcast_files)
-    assert sorted(r.rank for r in rows.collect()) == [1, 2]
+    try:
+        assert sorted(r.rank for r in rows_of_files(scan, files).collect()) == [1, 2]
+    finally:
+        spark.conf.set(setting, before)
 
 
 def test_organizing_shuffles_no_rows(spark, flat):
@@ -181,3 +184,45 @@ def test_organizing_shuffles_no_rows(spark, flat):
     plan = rows_of_files(scan, drop_files(spark, str(flat)))._jdf.queryExecution().executedPlan()
     rows_side = plan.toString().split("BroadcastExchange")[0]
     assert "Exchange hashpartitioning" not in rows_side
+
+
+def test_a_run_does_not_list_the_tree(spark, flat, target, monkeypatch):
+    from shelflake.sources import organized
+
+    organize(spark, str(flat), target)
+    monkeypatch.setattr(organized, "listed_keys", lambda *a: pytest.fail("the tree was listed"))
+    assert organize(spark, str(flat), target).organized == 0
+
+
+def test_a_run_that_ended_half_way_is_done_again(spark, flat, target, monkeypatch):
+    module = importlib.import_module("shelflake.plans.organize")
+
+    organize(spark, str(flat), target)
+    write_file(flat / "amazonbestsellers_late_20240103.parquet", [listing(rank=7)])
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "record_organized", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            organize(spark, str(flat), target)
+    assert organize(spark, str(flat), target).organized == 1
+    assert found(spark, target).count(("late", "amazonbestsellers_late_20240103", 7)) == 1
+
+
+def test_a_manifest_of_many_runs_is_compacted(spark, flat, target):
+    organize(spark, str(flat), target)
+    compact_manifest(spark, target)
+    assert organize(spark, str(flat), target).organized == 0
+
+
+def test_folder_drops_of_other_writers(spark, tmp_path, target):
+    name = "amazonbestsellers_a_20240101"
+    rows = listings(spark, [listing(rank=n) for n in range(3)]).drop("category")
+    rows.repartition(3).write.parquet(str(tmp_path / "flat" / f"{name}.parquet"))
+    assert organize(spark, str(tmp_path / "flat"), target).organized == 1
+    assert found(spark, target) == [("a", name, n) for n in range(3)]
+
+
+def test_a_prefix_that_looks_like_a_pattern(spark, tmp_path, target):
+    write_file(tmp_path / "flat" / "best[1]_a_20240101.parquet", [listing(rank=1)])
+    write_file(tmp_path / "flat" / "best1_b_20240101.parquet", [listing(rank=2)])
+    organize(spark, str(tmp_path / "flat"), target, prefix="best[1]")
+    assert found(spark, target) == [("a", "best[1]_a_20240101", 1)]

@@ -1,15 +1,16 @@
 from __future__ import annotations
 
 import os
+import uuid
 from datetime import timedelta
 
 import pytest
 from builders import NOON, listing, listings, write_file
 
 from shelflake.sinks import write_partitioned
+from shelflake.sinks.warehouse import Warehouse
 from shelflake.sources import read_organized
-from shelflake.streaming import load_new_files, organize_new_drops, read_loaded
-from shelflake.streaming.load import read_rejected
+from shelflake.streaming import load_new_files, organize_new_drops
 
 
 def forget_commit(checkpoint, batch: int) -> None:
@@ -21,18 +22,17 @@ def forget_commit(checkpoint, batch: int) -> None:
 class Load:
     def __init__(self, spark, tmp_path):
         self.spark = spark
-        self.lake, self.target, self.checkpoint = (
-            str(tmp_path / name) for name in ("lake", "loaded", "checkpoint")
-        )
+        self.lake, self.checkpoint = (str(tmp_path / name) for name in ("lake", "checkpoint"))
+        self.warehouse = Warehouse(f"w_{uuid.uuid4().hex}", str(tmp_path / "warehouse"))
 
     def add(self, day: int, *asins) -> None:
         rows = [listing(asin=a, fetch_timestamp=NOON + timedelta(days=day)) for a in asins]
         write_partitioned(listings(self.spark, rows), self.lake)
 
     def run(self, **options) -> list[str]:
-        query = load_new_files(self.spark, self.lake, self.target, self.checkpoint, **options)
+        query = load_new_files(self.spark, self.lake, self.warehouse, self.checkpoint, **options)
         query.awaitTermination()
-        return sorted(r.asin for r in read_loaded(self.spark, self.target).collect())
+        return sorted(r.asin for r in self.spark.table(self.warehouse.table).collect())
 
 
 @pytest.fixture
@@ -52,7 +52,7 @@ def test_a_backlog_in_several_batches_is_loaded_whole(load, spark):
     for day, asin in enumerate("abcde"):
         load.add(day, asin)
     assert load.run(files_per_batch=2) == list("abcde")
-    assert read_loaded(spark, load.target).select("load_batch").distinct().count() == 3
+    assert len(os.listdir(f"{load.checkpoint}/commits")) == 6  # and a checksum for each
 
 
 def test_a_repeated_batch_adds_nothing(load):
@@ -67,9 +67,29 @@ def test_a_repeated_batch_adds_nothing(load):
 def test_rejected_rows_are_kept(load, spark):
     load.add(0, "a", None)
     assert load.run() == ["a"]
-    assert [r.violations for r in read_rejected(spark, load.target).collect()] == [
-        "asin is missing"
-    ]
+    rejects = spark.read.parquet(load.warehouse.rejects)
+    assert [r.violations for r in rejects.collect()] == ["asin is missing"]
+
+
+def test_a_day_that_was_written_again_is_there_once(load, spark):
+    load.add(0, "a", "b")
+    load.run()
+    load.add(0, "c", "d", None)
+    assert load.run() == ["c", "d"]
+    keys = [r.unique_id for r in spark.table(load.warehouse.table).collect()]
+    assert len(set(keys)) == 2
+
+
+def test_a_file_far_older_than_any_limit_is_loaded(load):
+    load.add(0, "a")
+    load.run()
+    load.add(1, "b")
+    long_ago = 1_000_000_000  # 2001
+    for folder, _, files in os.walk(load.lake):
+        for name in files:
+            if "day=02" in folder:
+                os.utime(os.path.join(folder, name), (long_ago, long_ago))
+    assert load.run() == ["a", "b"]
 
 
 class Organize:
