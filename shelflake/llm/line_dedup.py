@@ -31,7 +31,7 @@ from .components import components
 
 MAX_EDITS = 2
 MIN_CHARS = 20
-PIECE_CHARS = 2 << 20
+PIECE_CHARS = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -103,12 +103,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Substrings:
-    """Hashes of any substrings of some lines, from the hashes of their beginnings."""
+    """Hashes of any substrings of some lines, from the hashes of their beginnings. No line is empty."""
 
     def __init__(self, lines: list[str]) -> None:
         self.length = np.array([len(s) for s in lines], np.int64)
         self.start = np.concatenate([[0], np.cumsum(self.length)[:-1]]).astype(np.int64)
         codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        self.codes = codes
         powers = np.full(len(codes) + 1, _BASE, np.uint64)
         powers[0] = 1
         np.cumprod(powers, out=powers)
@@ -117,6 +118,17 @@ class Substrings:
         self.undo[0] = 1
         np.cumprod(self.undo, out=self.undo)
 
+    def sketches(self) -> np.ndarray:
+        """64 bits of each line: the parities of how often its characters, and pairs of them, fall in 32 buckets each.
+
+        An edit changes two characters at most, and four pairs.
+        """
+        single = np.uint64(1) << (_mixed(self.codes) & np.uint64(31))
+        pair = _mixed(self.codes[:-1] * np.uint64(_BASE) + self.codes[1:])
+        pair = np.append(np.uint64(1) << ((pair & np.uint64(31)) + np.uint64(32)), np.uint64(0))
+        pair[self.start + self.length - 1] = 0  # reaches into the next line
+        return np.bitwise_xor.reduceat(single ^ pair, self.start).view(np.int64)
+
     def keys(self, which: np.ndarray, place: np.ndarray, size: np.ndarray, of: np.ndarray, nth: int) -> np.ndarray:
         """Of the substrings of `size` at `place`: keys of segment nth of lines of length `of`."""
         begin = self.start[which] + place
@@ -220,11 +232,11 @@ def _with_numbers(docs: DataFrame, numbers: DataFrame, how: str) -> DataFrame:
     return _rows(docs).join(broadcast_if_small(lists, per_row), "row", how)
 
 
-_KEYED = T.StructType().add("key", "long").add("line", "long")
+_KEYED = T.StructType().add("key", "long").add("line", "long").add("sketch", "long")
 
 
 def _keyed(docs: DataFrame, keys_of, edits: int, min_chars: int) -> DataFrame:
-    """(key, line) of the lines of docs (text, numbers: those to leave out). line is the beginning of the node."""
+    """(key, line, sketch) of the lines of docs (text, numbers: those to leave out). line begins the node's hash."""
     arrow = to_arrow_schema(_KEYED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,10 +252,10 @@ def _keyed(docs: DataFrame, keys_of, edits: int, min_chars: int) -> DataFrame:
             if not lines:
                 continue
             names = _heads([xxh3_128_digest(s.encode("utf-8", "surrogatepass")) for s in lines])
-            which, keys = keys_of(Substrings(lines), edits, min_chars)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(names[which])], schema=arrow
-            )
+            substrings = Substrings(lines)
+            which, keys = keys_of(substrings, edits, min_chars)
+            columns = [keys, names[which], substrings.sketches()[which]]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), schema=arrow)
 
     return docs.select("text", "numbers").mapInArrow(run, _KEYED)
 
@@ -307,12 +319,15 @@ def line_classes(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_C
         .select("row", "line_no")
     )
     once = _with_numbers(docs, copies, "left")
-    index = _keyed(once, index_keys, edits, min_chars).withColumnRenamed("line", "p")
-    probe = _keyed(once, probe_keys, edits, min_chars).withColumnRenamed("line", "q")
+    index = _keyed(once, index_keys, edits, min_chars).toDF("key", "p", "sketch_p")
+    probe = _keyed(once, probe_keys, edits, min_chars).toDF("key", "q", "sketch_q")
+    changed = F.col("sketch_p").bitwiseXOR(F.col("sketch_q"))
+    singles = F.bit_count(changed.bitwiseAND(F.lit((1 << 32) - 1)))
+    both = F.bit_count(F.shiftrightunsigned(changed, 32))
     pairs = stored(
         spark,
         index.join(probe, "key")
-        .where("p <> q")
+        .where((F.col("p") != F.col("q")) & (singles <= 2 * edits) & (both <= 4 * edits))
         .select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"))
         .distinct(),
         "line-pairs",
