@@ -21,12 +21,14 @@ from . import (
     warc,
 )
 from .common import stored, table
+from .oracles import ORACLES
 from .shipping import shipped
 
+__all__ = ["ORACLES", "QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 
 def registered(query: Query) -> Query:
