@@ -1,0 +1,282 @@
+"""The parts of the corpus operators, on their own."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import brute
+import duckdb
+import numpy as np
+import pytest
+from conftest import SF_DIR
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from shelflake.llm import (
+    html_extract,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+)
+from shelflake.llm.components import components
+from shelflake.llm.html_blocks import leaf_blocks
+
+# --- pages ---------------------------------------------------------------------
+
+
+def texts(page):
+    return [b.text for b in leaf_blocks(page)]
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<p>a<br>b <a href='x>y'>c</a>&amp;&eacute;&nbsp; d<p>x <b>y<div>z</b>w</div>", ["a b c&é d", "x y", "zw"]),
+        ("<ul><li>a<li>b</ul>tail", ["a", "b", "tail"]),
+        ("<script>if (a<b) '</p>'</script><style>p{}</style><!-- <p>no --><p>yes", ["yes"]),
+        ("q < r <3 &lt;p&gt;", ["q < r <3 <p>"]),
+        ("<p>one</p><div class='cut", ["one"]),
+        ("<title>t</title>\n <p> a \n\t b </p>", ["a b"]),
+        ("</div></p>x", ["x"]),
+        ("", []),
+    ],
+)
+def test_leaf_blocks(page, expected):
+    assert texts(page) == expected
+
+
+def test_held_out_pages():
+    field = html_extract.trained()
+    right = total = 0
+    for page, labels in html_extract.labelled_pages(200, seed=99):
+        found = field.decode(leaf_blocks(page))
+        right += sum(a == b for a, b in zip(found, labels))
+        total += len(labels)
+    assert right / total > 0.98
+
+
+def test_articles_of_the_pages():
+    field = html_extract.trained()
+    pages = duckdb.sql(f"SELECT html FROM '{SF_DIR}/pages.parquet'").fetchall()
+    right = 0
+    for (page,) in pages:
+        article = re.search("<article>(.*?)</article>", page, re.DOTALL)[1]
+        right += html_extract.main_text(page, field)[0] == "\n".join(texts(article))
+    assert right >= 0.99 * len(pages)
+
+
+# --- the classifier --------------------------------------------------------------
+
+
+def test_held_out_ratings():
+    folder = SF_DIR.replace("0.001", "0.1")
+    rows = duckdb.sql(
+        f"SELECT text, quality + 1 - toxic AS grade FROM '{folder}/documents.parquet' "
+        f"JOIN '{folder}/labels.parquet' USING (doc_id) ORDER BY hash(doc_id)"
+    ).fetchall()
+    found = [quality_classifier.features(t) for t, _ in rows]
+    grades = np.array([g for _, g in rows])
+    cut = 3 * len(rows) // 4
+    model = quality_classifier.fit(found[:cut], grades[:cut])
+    tails = model.tails(np.array([model.score(f) for f in found[cut:]]))
+    kept = tails[:, -1] >= 0.5
+    good = grades[cut:] == 2
+    assert kept[good].mean() > 0.95
+    assert kept[~good].mean() < 0.2  # three thousand texts to learn from
+    assert (tails[:, 0] >= tails[:, 1]).all()
+    assert (np.diff(model.thresholds) > 0).all()
+    expected = tails.sum(1)
+    assert expected[good].mean() > expected[~good].mean() + 0.5
+
+
+def test_a_long_text_does_not_outweigh_a_bad_word():
+    rows, grades = [], []
+    for n in range(400):
+        words = [f"w{random.Random(n).randint(0, 300)}" for _ in range(40)]
+        bad = n % 4 == 0
+        rows.append(quality_classifier.features(" ".join(words + ["awful"] * bad)))
+        grades.append(1 if bad else 2)
+    model = quality_classifier.fit(rows, np.array(grades))
+    for size in (1, 50, 5000):
+        text = " ".join(f"w{k % 300}" for k in range(size))
+        scores = [model.score(quality_classifier.features(t)) for t in (text, f"{text} awful")]
+        clean, bad = model.tails(np.array(scores))[:, -1]
+        assert clean > 0.5 > bad
+
+
+# --- lines -------------------------------------------------------------------------
+
+LETTERS = st.text("abé😀", max_size=40)
+
+
+@given(st.lists(st.tuples(LETTERS, LETTERS), min_size=1, max_size=20), st.integers(0, 4))
+@settings(deadline=None, max_examples=60)
+def test_edit_distance(pairs, limit):
+    a, b = zip(*pairs)
+    found = line_dedup.within_edits(list(a), list(b), limit)
+    assert found.tolist() == [brute.edit_distance(x, y) <= limit for x, y in pairs]
+
+
+@given(st.text("ab", min_size=8, max_size=30), st.data(), st.integers(1, 3))
+@settings(deadline=None, max_examples=200)
+def test_near_lines_share_a_key_and_a_sketch(line, data, edits):
+    other = list(line)
+    for _ in range(data.draw(st.integers(0, edits))):
+        at = data.draw(st.integers(0, len(other)))
+        kind = data.draw(st.sampled_from("idr"))
+        if kind == "i" or at == len(other):
+            other.insert(at, data.draw(st.sampled_from("abc")))
+        elif kind == "d":
+            del other[at]
+        else:
+            other[at] = data.draw(st.sampled_from("abc"))
+    shorter, longer = sorted([line, "".join(other)], key=len)
+    if len(shorter) < 8:
+        return
+    a, b = line_dedup.Substrings([shorter]), line_dedup.Substrings([longer])
+    index = set(line_dedup.index_keys(a, edits, 8)[1].tolist())
+    assert index & set(line_dedup.probe_keys(b, edits, 8)[1].tolist())
+    changed = int(a.sketches()[0] ^ b.sketches()[0]) & (2**64 - 1)
+    assert (changed & (2**32 - 1)).bit_count() <= 2 * edits
+    assert (changed >> 32).bit_count() <= 4 * edits
+
+
+def test_components(spark):
+    source = random.Random(3)
+    links = [(source.randint(0, 400), source.randint(0, 400)) for _ in range(250)] + [(n, n + 1) for n in range(500, 600)]
+    classes = brute.Classes({n for link in links for n in link})
+    for a, b in links:
+        classes.join(a, b)
+    least = {}
+    for n in classes.up:
+        least[classes.top(n)] = min(least.get(classes.top(n), n), n)
+    found = components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    assert {r["node"]: r["label"] for r in found} == {n: least[classes.top(n)] for n in classes.up}
+
+
+# --- near duplicates ---------------------------------------------------------------
+
+
+def test_similarity_and_its_estimate():
+    source = random.Random(1)
+    vocabulary = [f"w{n}" for n in range(60)]
+    errors = []
+    for _ in range(40):
+        words = source.choices(vocabulary, k=150)
+        words += words[: source.randint(0, 60)]
+        other = list(words)
+        for _ in range(source.randint(0, 6)):
+            other[source.randrange(len(other))] = "zz"
+        first, second = " ".join(words), " ".join(other)
+        sets = near_dedup.shingled([first, second])
+        exact = brute.probability_jaccard(brute.shingles(first), brute.shingles(second))
+        assert near_dedup.similarity(*sets[0], *sets[1]) == pytest.approx(exact)
+        a, b = near_dedup.registers(sets, 256)
+        errors.append((a == b).mean() - exact)
+    assert abs(np.mean(errors)) < 0.02
+    assert np.std(errors) < 0.06
+
+
+def test_a_large_family_of_near_copies(spark):
+    """Some are near the original, some only near each other, some near none."""
+    source = random.Random(5)
+    base = [f"w{source.randint(0, 500)}" for _ in range(150)]
+    rows = []
+    for n in range(150):
+        words = list(base)
+        for at in source.sample(range(150), n % 9):
+            words[at] = f"x{source.randint(0, 30)}"
+        rows.append((n, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected = brute.near_classes(rows)
+    assert len(set(expected.values())) > 5
+    assert {r["doc_id"]: r["class_id"] for r in near_dedup.report(docs).collect()} == expected
+
+
+@pytest.mark.parametrize("rare, small", [(1, 2), (50, 2), (8, 10_000)])
+def test_the_bounds_do_not_change_the_links(spark, monkeypatch, rare, small):
+    source = random.Random(7)
+    base = [f"w{source.randint(0, 500)}" for _ in range(100)]
+    rows = []
+    for n in range(60):
+        words = list(base)
+        for at in source.sample(range(100), n % 6):
+            words[at] = f"x{source.randint(0, 5)}"
+        rows.append((n, " ".join(words)))
+    monkeypatch.setattr(near_dedup, "SMALL", small)
+    monkeypatch.setattr(near_dedup.linked, "__defaults__", (rare,))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"]: r["class_id"] for r in near_dedup.report(docs).collect()} == brute.near_classes(rows)
+
+
+# --- packing -----------------------------------------------------------------------
+
+
+@given(st.dictionaries(st.integers(1, 64), st.integers(0, 50), max_size=40))
+@settings(deadline=None, max_examples=200)
+def test_patterns_hold_every_piece(counts):
+    packed = packing.patterns(dict(counts), 64)
+    held = {}
+    for pattern, number in packed:
+        assert sum(pattern) <= 64
+        for length in pattern:
+            held[length] = held.get(length, 0) + number
+    assert held == {n: c for n, c in counts.items() if c}
+    taken = {}
+    for length, start, end, *_ in packing.slots(packed):
+        assert start == taken.get(length, 0)
+        taken[length] = end
+    assert taken == held
+
+
+def test_packing_is_tight():
+    source = random.Random(3)
+    counts = {}
+    for _ in range(20_000):
+        length = source.randint(1, 1024)
+        counts[length] = counts.get(length, 0) + 1
+    number = sum(n for _, n in packing.patterns(counts))
+    least = -(-sum(n * c for n, c in counts.items()) // 1024)
+    assert number <= 1.01 * least
+
+
+def test_cuts():
+    assert packing.cuts(1, 1024) == [(0, 1)]
+    assert packing.cuts(1024, 1024) == [(0, 1024)]
+    assert packing.cuts(2049, 1024) == [(0, 1), (1, 1025), (1025, 2049)]
+
+
+@given(st.text(max_size=80))
+@settings(deadline=None, max_examples=300)
+def test_tokens_are_the_vocabulary_s_own(text):
+    exact = Tokenizer.from_file(packing.TOKENIZER)
+    exact.encode_special_tokens = True
+    assert packing.encoder(packing.TOKENIZER).encode(text).tolist() == exact.encode(text, add_special_tokens=False).ids
+
+
+def test_plain_characters_are_classed_alike():
+    """Every character that the fast path takes, beside letters, digits, marks and blanks."""
+    exact = Tokenizer.from_file(packing.TOKENIZER)
+    encode = packing.encoder(packing.TOKENIZER).encode
+    for code in [*range(0x250), *range(0x2010, 0x2030)]:
+        text = f"a{chr(code)}b 1{chr(code)}2 {chr(code)}{chr(code)} .{chr(code)}\n"
+        assert encode(text).tolist() == exact.encode(text, add_special_tokens=False).ids
+
+
+# --- rules -------------------------------------------------------------------------
+
+
+def test_ablations(spark):
+    bits = quality_rules.BITS
+    short, symbols = bits["too_few_words"], bits["many_symbols"]
+    ledger = spark.createDataFrame([(0,), (short,), (short | symbols,), (symbols,), (symbols,)], "failures bigint")
+    rows = {r["rule"]: r for r in quality_rules.ablations(ledger).collect()}
+    assert (rows["many_symbols"]["n_failed"], rows["many_symbols"]["n_failed_alone"]) == (3, 2)
+    assert (rows["too_few_words"]["n_kept"], rows["too_few_words"]["n_kept_without"]) == (1, 2)
+    base = ledger.where(quality_rules.passes(quality_rules.BASE)).agg(F.count("*")).first()[0]
+    assert base == 3
