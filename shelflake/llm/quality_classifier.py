@@ -1,17 +1,18 @@
 """Ordinal quality classifier: cumulative-link regression on hashed text.
 
 A document has one score: the sum of the weights of its distinct hashed words and of a few shape
-features. Ordered thresholds cut the score into grades: P(grade > k) = logistic(score - threshold k). All grades
-share the weights, so that a document's expected grade and tail probabilities follow from its score.
+features. Ordered thresholds cut the score into grades: P(grade > k) = logistic(score - threshold
+k). All grades share the weights, so that a document's expected grade and tail probabilities follow
+from its score.
 
 Training takes a bounded sample of the labelled documents; scoring reads whole texts of all of them.
 Weights are fitted by gradient steps with soft thresholding, which sets those of neutral words to
 zero, so that long texts do not drown what matters.
 
-Defined results: a NULL or empty text is scored by the weights of its shape alone; repeated rows give
-repeated results; labels with a NULL grade or for unknown documents are not used; a document labelled
-twice has its lower grade; without any labelled document all scores are equal and no document is
-rejected. Other columns are left alone. Nothing but the sample is shuffled.
+Defined results: a NULL or empty text is scored by the weights of its shape alone; repeated rows
+give repeated results; labels with a NULL grade or for unknown documents are not used; a document
+labelled twice has its lower grade; without any labelled document all scores are equal and no
+document is rejected. Other columns are left alone. Nothing but the sample is shuffled.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ from .common import pieces_of
 SAMPLE_ROWS = 8000
 #: A word has a weight only if so many texts of the sample hold it; rarer ones tell nothing of other texts.
 MIN_TEXTS = 8
-BUCKETS = 1 << 32
+#: Words are hashed to so many numbers; the few above them stand for shapes of a text.
+BUCKETS = (1 << 32) - 16
 GRADES = 3
 PIECE_CHARS = 4 << 20
 BATCH = 256
@@ -48,7 +50,9 @@ _NOT_LETTERS = bytes(b for b in range(256) if not (65 <= b <= 90 or 97 <= b <= 1
 
 
 def features(text: str | None) -> np.ndarray:
-    """Sorted distinct feature numbers: hashed words and beginnings of words, then a few shapes of the text."""
+    """Sorted distinct feature numbers: hashed words and beginnings of words, then a few shapes of
+    the text.
+    """
     data = (text or "").encode("utf-8", "surrogatepass")
     words = data.split()
     distinct = {w.strip(_TRIM).lower() for w in set(words)}
@@ -67,7 +71,7 @@ def features(text: str | None) -> np.ndarray:
         8 + min(3, 4 * (len(lines) - len(set(lines))) // len(lines)),
         12 + min(3, int(10 * sum(map(eq, words, words[1:])) / n)),
     )
-    return np.unique(np.concatenate([hashes % BUCKETS, BUCKETS + np.array(shape)]))
+    return np.unique(np.concatenate([hashes % BUCKETS, BUCKETS + np.array(shape)])).astype(np.uint32)
 
 
 @dataclass
@@ -77,10 +81,7 @@ class Model:
     thresholds: np.ndarray  # ascending, one fewer than grades
 
     def score(self, found: np.ndarray) -> float:
-        if not len(self.features):
-            return 0.0
-        place = np.minimum(np.searchsorted(self.features, found), len(self.features) - 1)
-        return float(self.weights[place[self.features[place] == found]].sum())
+        return float(self.weights[_places(self.features, found)].sum())
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """P(grade > k) for each score and each k."""
@@ -99,10 +100,11 @@ def fit(
 ) -> Model:
     """Fit twice: first with shrinkage, to find the words that matter, then those alone and freely.
 
-    A word matters if its weight has least_share of the largest weight of any. A word can only lower the grade:
-    no length of common words makes up for a bad one, and a short text without any is not a bad one.
+    A word matters if its weight has least_share of the largest weight of any. A word can only lower
+    the grade: no length of common words makes up for a bad one, and a short text without any is not
+    a bad one.
     """
-    known, often = np.unique(np.concatenate([*rows, np.zeros(0, np.int64)]), return_counts=True)
+    known, often = np.unique(np.concatenate([*rows, np.zeros(0, np.uint32)]), return_counts=True)
     known = known[(often >= min_texts) | (known >= BUCKETS)]
     weights, _ = _ascend(rows, grades, known, n_grades, rounds, shrink)
     least = least_share * np.abs(weights[known < BUCKETS]).max(initial=0)
@@ -111,6 +113,14 @@ def fit(
     return Model(known, weights, thresholds)
 
 
+def _places(known: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Where the found features stand among the known ones; those that are not known are left out."""
+    if not len(known):
+        return np.zeros(0, np.int32)
+    place = np.minimum(np.searchsorted(known, found), len(known) - 1)
+    return place[known[place] == found].astype(np.int32)
+
+
 def _ascend(
     rows: list[np.ndarray],
     grades: np.ndarray,
@@ -120,17 +130,18 @@ def _ascend(
     shrink: float,
     rate: float = 0.3,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds by proximal AdaGrad over mini-batches of the cumulative-link likelihood.
+    """Weights and thresholds by proximal AdaGrad over mini-batches of the cumulative-link
+    likelihood.
 
-    Grades are weighted by the inverse of the square root of their share. The thresholds are an anchor and
-    positive steps.
+    Grades are weighted by the inverse of the square root of their share. The thresholds are an
+    anchor and positive steps.
     """
     lowers = known < BUCKETS
-    rows = [np.flatnonzero(np.isin(known, r, assume_unique=True)) for r in rows]
+    rows = [_places(known, r) for r in rows]
     width = len(known)
     weights, seen = np.zeros(width), np.full(width, 1e-6)
     lengths = np.array([len(r) for r in rows], np.int64)
-    flat = np.concatenate([*rows, np.zeros(0, np.int64)])
+    flat = np.concatenate([*rows, np.zeros(0, np.int32)])
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
     share = np.bincount(grades, minlength=n_grades) / max(1, len(grades))
     balance = 1 / np.sqrt(np.maximum(share, 1e-9))
@@ -196,29 +207,30 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, **
         .collect()
     )
     if not chosen:
-        return Model(np.zeros(0, np.int64), np.zeros(0), np.arange(GRADES - 1) - 50.0)
+        return Model(np.zeros(0, np.uint32), np.zeros(0), np.arange(GRADES - 1) - 50.0)
     picked = docs.sparkSession.createDataFrame(
         [tuple(r) for r in chosen], T.StructType([docs.schema["doc_id"]]).add("grade", "integer")
     )
     # sample_rows ids at most: a bound that does not grow with the data.
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    schema = T.StructType().add("grade", "integer").add("found", T.ArrayType(T.LongType()))
+    schema = T.StructType().add("grade", "integer").add("found", T.ArrayType(T.IntegerType()))
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces_of(batches, "text", PIECE_CHARS):
-            found = [features(t) for t in piece.column("text").to_pylist()]
+            found = [features(t).view(np.int32) for t in piece.column("text").to_pylist()]
             columns = [piece.column("grade"), pa.array(found, arrow.field("found").type)]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     seen = rows.select("text", "grade").mapInArrow(run, schema).toArrow()
     # Copies of a text count once, so that a much copied text does not teach its every word.
     texts = {}
-    for found, grade_ in sorted(zip(seen["found"].to_pylist(), seen["grade"].to_pylist())):
-        texts.setdefault(tuple(found), grade_)
-    return fit(
-        [np.array(t, np.int64) for t in texts], np.array(list(texts.values()), np.int64), **options
-    )
+    for found, known_grade in zip(seen["found"], seen["grade"].to_pylist()):
+        name = found.values.to_numpy().tobytes()
+        texts[name] = min(known_grade, texts.get(name, known_grade))
+    del seen
+    names = sorted(texts)
+    return fit([np.frombuffer(n, np.uint32) for n in names], np.array([texts[n] for n in names]), **options)
 
 
 def score(docs: DataFrame, model: Model, keep_at: float = KEEP_AT) -> DataFrame:

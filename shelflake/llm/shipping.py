@@ -13,9 +13,21 @@ from pyspark.sql import SparkSession
 
 _ready: WeakSet[SparkContext] = WeakSet()
 
+#: Rows go to the Python workers in batches of about this size, so that long texts do not fill them.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+_DEFAULT_BYTES = 64 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the size of batches, where the session has Spark's own default."""
+    if spark.conf.get(BATCH_SETTING).rstrip("b") == str(_DEFAULT_BYTES):
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
 
 def ship(spark: SparkSession) -> None:
-    """Hand the package's modules to Spark, once for each context. Spark serves them to its executors."""
+    """Hand the package's modules to Spark, once for each context. Spark serves them to its
+    executors.
+    """
     context = spark.sparkContext
     if context in _ready:
         return
@@ -34,6 +46,7 @@ def shipped(query):
     @wraps(query)
     def run(spark: SparkSession, *args, **options):
         ship(spark)
+        bound_batches(spark)
         return query(spark, *args, **options)
 
     return run
