@@ -1,16 +1,19 @@
 """Chat formatting: logged conversations that others continue are collapsed, the rest is rendered.
 
-A log holds snapshots of growing conversations. The hash of the first k turns is rolled from turn to turn; a conversation
-whose last hash is the hash of fewer than all turns of another one is a prefix of it and goes, by an anti join. Of
-conversations with the same turns, the one with the least conv_id stays.
-
-A rolled hash is the sum of one hash for each turn, which covers its place, role and text. Sums can be taken part by
-part: the turns of a conversation are cut into stretches by their number, so no task ever has to hold a whole one to
-hash it. Only what is rendered comes together, as the one value it is.
-
-Defined results: turns are ordered by turn, then role, then text, with NULLs first; repeated rows are one turn; turns of one number
-with other contents are all kept; a NULL role or text is rendered as empty, but is not the same turn as an empty one; rows without
-conv_id are one conversation. Other columns are left alone.
+A log holds snapshots of growing conversations. The hash of the first k turns is rolled from turn to
+turn; a conversation whose last hash is the hash of fewer than all turns of another one is a prefix
+of it and goes, by an anti join. Of conversations with the same turns, the one with the least
+conv_id stays.
+
+A rolled hash is the sum of one hash for each turn, which covers its place, role and text. Sums can
+be taken part by part: the turns of a conversation are cut into stretches by their number, so no
+task ever has to hold a whole one to hash it. Only what is rendered comes together, as the one value
+it is.
+
+Defined results: turns are ordered by turn, then role, then text, with NULLs first; repeated rows
+are one turn; turns of one number with other contents are all kept; a NULL role or text is rendered
+as empty, but is not the same turn as an empty one; rows without conv_id are one conversation. Other
+columns are left alone.
 """
 
 from __future__ import annotations
@@ -44,8 +47,8 @@ def _turn_hash(seed: int) -> Column:
 def prefix_hashes(conversations: DataFrame, stretch: int = STRETCH) -> DataFrame:
     """conv_id, place (of the turn, from 0), is_last, and two hashes of the turns up to it.
 
-    The turns of a stretch are numbered and summed in it; what came before is carried from stretch to stretch by one
-    row each.
+    The turns of a stretch are numbered and summed in it; what came before is carried from stretch
+    to stretch by one row each.
     """
     spark = conversations.sparkSession
     turns = conversations.select("conv_id", "turn", "role", "text").distinct()
@@ -96,9 +99,11 @@ def _same(*pairs: tuple[str, str]) -> Column:
 
 
 def maximal(conversations: DataFrame, stretch: int = STRETCH) -> DataFrame:
-    """conv_id of the conversations that stay, with n_turns and n_same (conversations with the same turns).
+    """conv_id of the conversations that stay, with n_turns and n_same (conversations with the same
+    turns).
 
-    Equal hashes are one row each before they meet, so that a common first turn or conversation is one row too.
+    Equal hashes are one row each before they meet, so that a common first turn or conversation is
+    one row too.
     """
     spark = conversations.sparkSession
     hashes = stored(spark, prefix_hashes(conversations, stretch), "chat-hashes")

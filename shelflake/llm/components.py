@@ -9,10 +9,11 @@ from .common import stored
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) of every node of links (a, b): the label is the least node it is connected with.
+    """(node, label) of every node of links (a, b): the label is the least node it is connected
+    with.
 
-    Each round takes the least label of the neighbours, then the label of the label. Rounds are written to
-    the shared folder, so that a lost executor costs one round at most.
+    Each round takes the least label of the neighbours, then the label of the label. Rounds are
+    written to the shared folder, so that a lost executor costs one round at most.
     """
     spark = links.sparkSession
     both = stored(

@@ -1,9 +1,9 @@
 """Benchmark decontamination: suffix arrays over shards of the training documents.
 
-A shard is a run of documents inside one task. Its suffix array holds the word positions at
-which a test window could begin, ordered by the words that follow. Every suffix of every
-test item is looked up by binary search, a word at a time. The test set is a stated query set: it goes to
-the shards in blocks of a bounded number of words, and no row is shuffled.
+A shard is a run of documents inside one task. Its suffix array holds the word positions at which a
+test window could begin, ordered by the words that follow. Every suffix of every test item is looked
+up by binary search, a word at a time. The test set is a stated query set: it goes to the shards in
+blocks of a bounded number of words, and no row is shuffled.
 
 Defined results: a NULL or empty text has no words and is clean; repeated rows give repeated
 results; items without words, or without an id, match nothing; other columns are left alone.
@@ -80,7 +80,9 @@ def build_block(items: list[tuple[str, list[bytes]]], window: int) -> TestBlock:
 def test_blocks(
     items: DataFrame, window: int = WINDOW_WORDS, block_words: int = BLOCK_WORDS
 ) -> Iterator[TestBlock]:
-    """The test set, a block of items at a time. An item id that comes twice is one item of two texts."""
+    """The test set, a block of items at a time. An item id that comes twice is one item of two
+    texts.
+    """
     block, held = [], 0
     for row in items.select(F.col("item_id").cast("string"), "text").toLocalIterator():
         words = words_of(row[1])

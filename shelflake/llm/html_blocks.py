@@ -69,7 +69,9 @@ def _named(tag: str, rest: str) -> set[str]:
 
 
 def leaf_blocks(page: str) -> list[Block]:
-    """The blocks in page order. Markup, scripts, styles, titles and comments of the markup have none."""
+    """The blocks in page order. Markup, scripts, styles, titles and comments of the markup have
+    none.
+    """
     blocks: list[Block] = []
     stack = [_Open("", frozenset())]
     text: list[str] = []

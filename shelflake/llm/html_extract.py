@@ -4,8 +4,9 @@ Each leaf block is main text or not. Its features are the elements and names aro
 of its text; two labels that follow each other add a weight of their own. The weights maximize the
 conditional likelihood of labelled pages, by forward-backward; pages are decoded by Viterbi.
 
-The labelled pages are drawn up here, in many layouts, with a known label for each block; their number is
-a parameter. The words play no part beyond their shape, so the model does not depend on a language.
+The labelled pages are drawn up here, in many layouts, with a known label for each block; their
+number is a parameter. The words play no part beyond their shape, so the model does not depend on a
+language.
 
 Defined results: a NULL, empty or text-free page has the empty text; repeated rows give repeated
 results; other columns are left alone. Nothing is shuffled.
@@ -124,7 +125,9 @@ class _Writer:
         return self.pick(f' class="{self.pick(*names)}"', f' id="{self.pick(*names)}"', f' class="x{self.random.randint(0, 99)} {self.pick(*names)}"')
 
     def wrapped(self, tag: str, attributes: str, body, bare: bool = False) -> None:
-        """An element around what body writes. A bare one may hold its text without any element between."""
+        """An element around what body writes. A bare one may hold its text without any element
+        between.
+        """
         if bare and self.chance(0.35):
             self.block(0, tag, self.pick("", "", "&copy; ") + self.prose(2, 30), attributes)
             return

@@ -1,17 +1,21 @@
 """Line dedup: an edit-distance join by segments.
 
-Lines of at least min_chars characters that differ by at most max_edits edits are the same line. Of each class of lines
-the first one stays: the one of the least doc_id, and then the least place in its text.
-
-Two lines within d edits share one of the d + 1 segments of the shorter one, at nearly the same place. So each line is indexed
-by its segments, under its length, and probes the indexes of its own and all shorter lengths that are near enough with the
-substrings at which a segment could stand. Candidates are verified by banded bit-parallel edit distance.
-
-Equal lines are one line before any of this, so that a line that is copied everywhere is joined once. Texts stay where they are:
-only hashes are shuffled, and the lines of candidates are fetched from their documents.
-
-Defined results: a NULL text has no lines; shorter lines are never joined and always stay; repeated rows (of the same id and text) are one
-document and give repeated results; rows without id come last. Other columns are left alone.
+Lines of at least min_chars characters that differ by at most max_edits edits are the same line. Of
+each class of lines the first one stays: the one of the least doc_id, and then the least place in
+its text.
+
+Two lines within d edits share one of the d + 1 segments of the shorter one, at nearly the same
+place. So each line is indexed by its segments, under its length, and probes the indexes of its own
+and all shorter lengths that are near enough with the substrings at which a segment could stand.
+Candidates are verified by banded bit-parallel edit distance.
+
+Equal lines are one line before any of this, so that a line that is copied everywhere is joined
+once. Texts stay where they are: only hashes are shuffled, and the lines of candidates are fetched
+from their documents.
+
+Defined results: a NULL text has no lines; shorter lines are never joined and always stay; repeated
+rows (of the same id and text) are one document and give repeated results; rows without id come
+last. Other columns are left alone.
 """
 
 from __future__ import annotations
@@ -42,8 +46,8 @@ _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 def within_edits(a: list[str], b: list[str], limit: int) -> np.ndarray:
     """Whether the edit distance of each pair is at most limit, for all pairs side by side.
 
-    Each pair has a word of 2 * limit + 1 bits, one for each diagonal of the band; a step takes all pairs a column
-    further. Bit k of column j stands for row j - limit + k.
+    Each pair has a word of 2 * limit + 1 bits, one for each diagonal of the band; a step takes all
+    pairs a column further. Bit k of column j stands for row j - limit + k.
     """
     m, n = np.array([len(s) for s in a]), np.array([len(s) for s in b])
     rows = np.flatnonzero(np.abs(m - n) <= limit)
@@ -119,7 +123,8 @@ class Substrings:
         np.cumprod(self.undo, out=self.undo)
 
     def sketches(self) -> np.ndarray:
-        """64 bits of each line: the parities of how often its characters, and pairs of them, fall in 32 buckets each.
+        """64 bits of each line: the parities of how often its characters, and pairs of them, fall
+        in 32 buckets each.
 
         An edit changes two characters at most, and four pairs.
         """
@@ -137,7 +142,9 @@ class Substrings:
 
 
 def segments(lengths: np.ndarray, nth: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, size) of segment nth of lines of these lengths: edits + 1 of them, the longer ones last."""
+    """(start, size) of segment nth of lines of these lengths: edits + 1 of them, the longer ones
+    last.
+    """
     size, longer = np.divmod(lengths, edits + 1)
     first_longer = edits + 1 - longer
     start = nth * size + np.maximum(0, nth - first_longer)
@@ -185,7 +192,9 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """doc_id, row, line_no, hash (node) and the beginning of the hash (line) of each line that is long enough."""
+    """doc_id, row, line_no, hash (node) and the beginning of the hash (line) of each line that is
+    long enough.
+    """
     rows = _rows(docs)
     schema = T.StructType([rows.schema["doc_id"]])
     schema = schema.add("row", "long").add("line_no", "integer").add("node", "binary").add("line", "long")
@@ -236,7 +245,9 @@ _KEYED = T.StructType().add("key", "long").add("line", "long").add("sketch", "lo
 
 
 def _keyed(docs: DataFrame, keys_of, edits: int, min_chars: int) -> DataFrame:
-    """(key, line, sketch) of the lines of docs (text, numbers: those to leave out). line begins the node's hash."""
+    """(key, line, sketch) of the lines of docs (text, numbers: those to leave out). line begins the
+    node's hash.
+    """
     arrow = to_arrow_schema(_KEYED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +315,9 @@ def _place() -> Column:
 
 
 def line_classes(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
-    """All occurrences of lines, and for lines that come more than once or have links: first (of the class), n_links."""
+    """All occurrences of lines, and for lines that come more than once or have links: first (of the
+    class), n_links.
+    """
     spark = docs.sparkSession
     found = stored(spark, occurrences(docs, min_chars), "lines")
     lines = stored(
@@ -377,9 +390,11 @@ def _decided(found: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
-    """One row per line of at least min_chars characters: its class, its links, and whether it stays.
+    """One row per line of at least min_chars characters: its class, its links, and whether it
+    stays.
 
-    A class is named by its first line, as (class_doc_id, class_line_no). n_links counts the different lines near to it.
+    A class is named by its first line, as (class_doc_id, class_line_no). n_links counts the
+    different lines near to it.
     """
     return _decided(*line_classes(docs, **options)).drop("row")
 

@@ -1,19 +1,21 @@
 """Near-duplicate documents: ProbMinHash of weighted word shingles, banding, verification.
 
-A document is the multiset of its runs of five words; a shingle that comes n times weighs 1 + ln n. Each shingle is
-a Poisson process with its weight as rate, whose arrivals go to random registers; a register keeps the shingle
-that arrives first. Arrivals are drawn in rounds and a shingle stops as soon as it can come first nowhere any more.
-Two registers agree with the probability Jaccard similarity of the documents, which is the plain Jaccard similarity where
-all weights are equal. Bands of registers give candidates, and each link is verified on the shingles themselves.
-
-Copies of a text are one node. Within a bucket, members are held against a centre or two, and against each other only where
-that leaves them in different classes and what only few texts hold does not rule the link out. So a bucket of near
-copies costs about as many checks as it has members, and no link is lost: what is not checked is connected
-already, or cannot be one.
-
-Defined results: a NULL text or one without words is a class of its own; a text of fewer than five words has itself as
-its single shingle; a class has the least doc_id of its documents as its id, and that document stays; of repeated
-rows one stays; documents without id have a class of their text alone. Other columns are left alone.
+A document is the multiset of its runs of five words; a shingle that comes n times weighs 1 + ln n.
+Each shingle is a Poisson process with its weight as rate, whose arrivals go to random registers; a
+register keeps the shingle that arrives first. Arrivals are drawn in rounds and a shingle stops as
+soon as it can come first nowhere any more. Two registers agree with the probability Jaccard
+similarity of the documents, which is the plain Jaccard similarity where all weights are equal.
+Bands of registers give candidates, and each link is verified on the shingles themselves.
+
+Copies of a text are one node. Within a bucket, members are held against a centre or two, and
+against each other only where that leaves them in different classes and what only few texts hold
+does not rule the link out. So a bucket of near copies costs about as many checks as it has members,
+and no link is lost: what is not checked is connected already, or cannot be one.
+
+Defined results: a NULL text or one without words is a class of its own; a text of fewer than five
+words has itself as its single shingle; a class has the least doc_id of its documents as its id, and
+that document stays; of repeated rows one stays; documents without id have a class of their text
+alone. Other columns are left alone.
 """
 
 from __future__ import annotations
@@ -223,7 +225,9 @@ def _rare_shingles(sets: DataFrame, rare: int) -> DataFrame:
 
 
 def _common_parts(sets: DataFrame, held: DataFrame) -> DataFrame:
-    """Of each node: size, whether no shingle repeats (plain), and what is not rare, as number and share of weight."""
+    """Of each node: size, whether no shingle repeats (plain), and what is not rare, as number and
+    share of weight.
+    """
     rare = held.groupBy("node").agg(F.count("*").alias("rare"), F.sum("weight").alias("rare_weight"))
     whole = sets.select(
         "node",
@@ -242,11 +246,13 @@ def _common_parts(sets: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def _could_reach(threshold: float):
-    """Whether a node and an other one could be so similar, going by the rare shingles that both have.
+    """Whether a node and an other one could be so similar, going by the rare shingles that both
+    have.
 
-    Of what is rare they share shared pieces, of weight shared_weight and other_shared_weight to each, and of the rest at most
-    what is common in either. Their similarity is at most the share of that in either, and where no shingle repeats, at
-    most that out of all that the two would then have.
+    Of what is rare they share shared pieces, of weight shared_weight and other_shared_weight to
+    each, and of the rest at most what is common in either. Their similarity is at most the share of
+    that in either, and where no shingle repeats, at most that out of all that the two would then
+    have.
     """
     least = threshold - 1e-9
     both = F.least("common", "other_common") + F.col("shared")
@@ -276,10 +282,11 @@ def _small_pairs(rows: DataFrame) -> DataFrame:
 
 
 def _large_pairs(rows: DataFrame, held: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
-    """(node, other) of rows (bucket, node, label) that are in different classes and could be a link.
+    """(node, other) of rows (bucket, node, label) that are in different classes and could be a
+    link.
 
-    Two similar nodes share rare shingles, or each has enough that is common. The first kind is met at the few
-    holders of a shingle, and the second kind in its buckets.
+    Two similar nodes share rare shingles, or each has enough that is common. The first kind is met
+    at the few holders of a shingle, and the second kind in its buckets.
     """
     spark = rows.sparkSession
     nodes = stored(spark, rows.select("node", "label").distinct(), "near-open-nodes")
@@ -335,11 +342,13 @@ def _parts_of_large(rows: DataFrame, sets: DataFrame, rare: int) -> tuple[DataFr
 
 
 def linked(members: DataFrame, sets: DataFrame, threshold: float, rare: int = RARE) -> DataFrame:
-    """Links (a, b) that connect the nodes of members (bucket, node, mates) as all links between bucket mates would.
+    """Links (a, b) that connect the nodes of members (bucket, node, mates) as all links between
+    bucket mates would.
 
-    First each bucket's members are held against the one with most mates in all, then against the one with
-    the least that only few texts hold, if they are not in its class yet. What is then in different classes of a bucket is held against each other, unless
-    what only few texts hold rules the link out.
+    First each bucket's members are held against the one with most mates in all, then against the
+    one with the least that only few texts hold, if they are not in its class yet. What is then in
+    different classes of a bucket is held against each other, unless what only few texts hold rules
+    the link out.
     """
     spark = members.sparkSession
     degrees = members.groupBy("node").agg(F.sum("mates").alias("degree"))
@@ -391,7 +400,9 @@ def classes(
     n_bands: int = BANDS,
     n_rows: int = ROWS,
 ) -> DataFrame:
-    """doc_id, key, class_id and kept (whether it is the document of its class that stays), per row of docs."""
+    """doc_id, key, class_id and kept (whether it is the document of its class that stays), per row
+    of docs.
+    """
     spark = docs.sparkSession
     signs = stored(spark, signed(docs, size, n_bands, n_rows), "near-signed")
     nodes = stored(

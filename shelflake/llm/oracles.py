@@ -1,4 +1,6 @@
-"""Corpus queries in DuckDB's SQL, where SQL can express them. The others are tested against plain versions."""
+"""Corpus queries in DuckDB's SQL, where SQL can express them. The others are tested against plain
+versions.
+"""
 
 from __future__ import annotations
 

@@ -1,13 +1,15 @@
 """Best-fit packing of tokenized documents, large items first by matching.
 
-Documents become pieces of at most one sequence. What matters for packing is a piece's length alone, so the packing is
-solved on the histogram of lengths: at most `capacity` numbers, whatever the size of the data. Pieces above a third of the
-capacity go at most two to a sequence and are matched greedily: each with the longest partner that fits. The pieces up to a third
-then go, longest first, to the sequences with the least room that holds them. Sequences with the same lengths are kept
-as one pattern with a count. Each piece finds its place from its rank among the pieces of its length.
-
-Defined results: a NULL or empty text has the end mark alone; repeated rows are packed as often as they come; an empty table
-has no pieces. Other columns are left alone. Texts are never shuffled, and neither are tokens.
+Documents become pieces of at most one sequence. What matters for packing is a piece's length alone,
+so the packing is solved on the histogram of lengths: at most `capacity` numbers, whatever the size
+of the data. Pieces above a third of the capacity go at most two to a sequence and are matched
+greedily: each with the longest partner that fits. The pieces up to a third then go, longest first,
+to the sequences with the least room that holds them. Sequences with the same lengths are kept as
+one pattern with a count. Each piece finds its place from its rank among the pieces of its length.
+
+Defined results: a NULL or empty text has the end mark alone; repeated rows are packed as often as
+they come; an empty table has no pieces. Other columns are left alone. Texts are never shuffled, and
+neither are tokens.
 """
 
 from __future__ import annotations
@@ -47,8 +49,8 @@ _PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-¬®-ɏ‐-―‘-‟…]*")
 class Encoder:
     """Token ids of texts.
 
-    The reference is the tokenizers library with the given file. Texts of plain characters go through a faster merge of
-    the same vocabulary, which gives the same ids.
+    The reference is the tokenizers library with the given file. Texts of plain characters go
+    through a faster merge of the same vocabulary, which gives the same ids.
     """
 
     def __init__(self, path: str) -> None:
@@ -100,7 +102,9 @@ _PIECES = (
 def tokenized(
     docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID
 ) -> DataFrame:
-    """doc_id, and per piece: piece, start, length, ids_crc32, the task and the nth of its length there."""
+    """doc_id, and per piece: piece, start, length, ids_crc32, the task and the nth of its length
+    there.
+    """
     rows = docs.select("doc_id", "text")
     place = T.StructType().add("task", "integer").add("nth", "long")
     schema = T.StructType([rows.schema["doc_id"], *_PIECES, *place])
@@ -135,7 +139,8 @@ def tokenized(
 def patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """The sequences, as (lengths of its pieces, number of such sequences).
 
-    counts: pieces of each length. The work depends on the number of distinct lengths, not on the counts.
+    counts: pieces of each length. The work depends on the number of distinct lengths, not on the
+    counts.
     """
     left = {n: c for n, c in counts.items() if c}
     # Sequences by the room they have left: {room: {pattern: number}}.
@@ -223,9 +228,11 @@ _SLOTS = (
 
 
 def slots(packed: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, ...]]:
-    """Where the pieces of each length go, by their rank among them: a row for each length of a pattern.
+    """Where the pieces of each length go, by their rank among them: a row for each length of a
+    pattern.
 
-    The pieces of ranks from_rank to to_rank fill the pattern's sequences in order, per_sequence in each, side by side from offset.
+    The pieces of ranks from_rank to to_rank fill the pattern's sequences in order, per_sequence in
+    each, side by side from offset.
     """
     rows, used, sequence = [], {}, 0
     for pattern, number in packed:

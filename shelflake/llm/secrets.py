@@ -1,12 +1,12 @@
 """Secret scans in DataFrame expressions only.
 
-Three kinds are found by their form: assignments, access key ids and hexadecimal runs. The fourth is found
-by disorder: a window slides over each candidate string, the counts of its characters are kept up as one
-character enters and one leaves, and the Shannon entropy that follows from them is held against the threshold
-of the string's character class. Known harmless strings are suppressed.
+Three kinds are found by their form: assignments, access key ids and hexadecimal runs. The fourth is
+found by disorder: a window slides over each candidate string, the counts of its characters are kept
+up as one character enters and one leaves, and the Shannon entropy that follows from them is held
+against the threshold of the string's character class. Known harmless strings are suppressed.
 
-Positions are code points, ends exclusive. Defined results: a NULL text is empty; repeated rows give repeated results; other
-columns are left alone. Nothing is shuffled.
+Positions are code points, ends exclusive. Defined results: a NULL text is empty; repeated rows give
+repeated results; other columns are left alone. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -64,7 +64,8 @@ _BLOCK = 64
 
 
 def _pieces(kind: str, pattern: str) -> Column:
-    r"""All matches in order: gap (characters since the last match), len, value, inner (length of group 2).
+    r"""All matches in order: gap (characters since the last match), len, value, inner (length of
+    group 2).
 
     \G ties each search to the end of the last, so that a text is walked through once.
     """
@@ -89,7 +90,8 @@ def _total(pieces: Column) -> Column:
 def _spans(kind: str, holds: Callable[[Column], Column]) -> Column:
     """The pieces with their places, those that hold only. Needs the sums of _block_sums.
 
-    A place is the sum of all lengths before it: of whole blocks, and of the pieces before it in its block.
+    A place is the sum of all lengths before it: of whole blocks, and of the pieces before it in its
+    block.
     """
     pieces, sums = F.col(kind), F.col(f"{kind}_sums")
 
@@ -117,10 +119,11 @@ def _block_sums(kind: str) -> Column:
 
 
 def _hot_part(value: Column, settings: Settings) -> Column:
-    """The part (first, last) of a candidate that lies in windows at or above the threshold, or NULL.
+    """The part (first, last) of a candidate that lies in windows at or above the threshold, or
+    NULL.
 
-    The state of the walk is the count of each character in the window and the sum of n*log2(n) over them, in
-    millionths so that steps add up without drift. A window's entropy is log2(w) - sum / w.
+    The state of the walk is the count of each character in the window and the sum of n*log2(n) over
+    them, in millionths so that steps add up without drift. A window's entropy is log2(w) - sum / w.
     """
     w = settings.window
     weight = F.array(

@@ -253,7 +253,8 @@ _PLACED = T.StructType().add("file", "long").add("split", "long").add("place", "
 def candidates(spark: SparkSession, path: str) -> DataFrame:
     """Every place where the magic stands: at (its offset in the file), following (the successor's).
 
-    The text source gives each byte to one row, so a split's place in its file is the sum of the rows before it.
+    The text source gives each byte to one row, so a split's place in its file is the sum of the
+    rows before it.
     """
     found = stored(spark, _chunks(spark, path).mapInArrow(_emit_candidates, _CANDIDATE), "warc-candidates")
     splits = found.groupBy("file", "split").agg(F.sum(F.col("size") + len(MAGIC)).alias("bytes"))
@@ -268,8 +269,8 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
 def reachable(spark: SparkSession, links: DataFrame) -> DataFrame:
     """The (file, at) that a chain of successors reaches from the start of the file.
 
-    Each round doubles the jumps and, with them, the length of the chains marked so far. The table of a round
-    is written to the shared folder, so that a lost executor costs one round at most.
+    Each round doubles the jumps and, with them, the length of the chains marked so far. The table
+    of a round is written to the shared folder, so that a lost executor costs one round at most.
     """
     state = stored(
         spark,
@@ -333,7 +334,8 @@ _MENDED = T.StructType([*T.StructType().add("file", "long").add("at", "long"), *
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The records: file (a hash of its path), at (offset in it), and the fields of _FIELDS.
 
-    payload_digest is taken from the payload itself; a revisit repeats the digest and length of the response.
+    payload_digest is taken from the payload itself; a revisit repeats the digest and length of the
+    response.
     """
     found = candidates(spark, path)
     records = stored(
