@@ -116,8 +116,8 @@ def _staged_day(
 def publish(spark: SparkSession, staged: Staged, warehouse: Warehouse, mode: str, whole_days: bool) -> None:
     """Put staged rows into the table, and the rejected ones beside it.
 
-    Replacing a whole day leaves nothing else of it; otherwise the category-days that were read are replaced,
-    those without an accepted row included.
+    Replacing a whole day leaves nothing else of it; otherwise the category-days that were read are
+    replaced, those without an accepted row included.
     """
     if staged.rows_accepted:
         after = reserve_ids(spark, warehouse, staged.rows_accepted)

@@ -80,7 +80,9 @@ def register_lake(spark: SparkSession, table: str, root: str) -> None:
 
 
 def add_days(spark: SparkSession, table: str, days: DataFrame) -> None:
-    """Make category-days (the partition columns) that were just written visible, and list nothing else."""
+    """Make category-days (the partition columns) that were just written visible, and list nothing
+    else.
+    """
     for row in days.select(*PARTITION_COLUMNS).distinct().toLocalIterator():
         keys = ", ".join(f"{n}={_literal(row[n])}" for n in PARTITION_COLUMNS)
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({keys})")

@@ -16,7 +16,9 @@ from .source import MAX_FILE_AGE
 
 
 def _folders(batch: DataFrame) -> list[str]:
-    """The category-day folders that a batch's files lie in. As many as were written, not as their rows."""
+    """The category-day folders that a batch's files lie in. As many as were written, not as their
+    rows.
+    """
     file = decoded(F.col("_metadata.file_path"))
     folder = F.regexp_extract(file, "^(.*)/[^/]*$", 1).alias("folder")
     return [row.folder for row in batch.select(folder).distinct().collect()]
@@ -32,12 +34,12 @@ def load_new_files(
 ) -> StreamingQuery:
     """Start a run that loads every category-day with files not loaded yet, then stops.
 
-    ``files_per_batch`` splits a large backlog into batches, so that a failure repeats
-    only the last of them; the run still ends with everything loaded.
+    ``files_per_batch`` splits a large backlog into batches, so that a failure repeats only the last
+    of them; the run still ends with everything loaded.
 
-    The checkpoint remembers the files; run it on the scheduler's timetable. New files tell which category-days
-    have changed. Those are read whole and replaced in the table and its rejects, so a batch repeated after
-    a failure adds nothing, and a day that was written again is there once.
+    The checkpoint remembers the files; run it on the scheduler's timetable. New files tell which
+    category-days have changed. Those are read whole and replaced in the table and its rejects, so a
+    batch repeated after a failure adds nothing, and a day that was written again is there once.
     """
     create_table(spark, warehouse)
 
