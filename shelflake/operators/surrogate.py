@@ -14,7 +14,8 @@ _TASK, _PART = r"^part-(\d+)-", r"^.*[-.]c(\d+)\."
 _PARTS_PER_TASK = 1 << 20
 
 
-def _file_number() -> Column:
+def file_number() -> Column:
+    """Tells the files of one write apart, by the numbers in their names."""
     name = F.col("_metadata.file_name")
     task, part = (F.regexp_extract(name, p, 1).cast("bigint") for p in (_TASK, _PART))
     return task * _PARTS_PER_TASK + part
@@ -29,7 +30,7 @@ def with_identity(stored: DataFrame, column: str, *, after: int = 0) -> DataFram
     so an offset is two numbers; the offsets are as many as one job has tasks, a few MB for a
     hundred thousand, and are broadcast: no row is shuffled.
     """
-    per_file = stored.select(_file_number().alias("id_file")).groupBy("id_file").count()
+    per_file = stored.select(file_number().alias("id_file")).groupBy("id_file").count()
     grouped = per_file.withColumn("id_group", F.xxhash64("id_file").bitwiseAND(_GROUPS - 1))
 
     before_in_group = Window.partitionBy("id_group").orderBy("id_file").rowsBetween(
@@ -51,7 +52,7 @@ def with_identity(stored: DataFrame, column: str, *, after: int = 0) -> DataFram
         "id_file", (F.col("id_inner") + F.col("id_outer")).alias("id_offset")
     )
     placed = stored.withColumns(
-        {"id_file": _file_number(), "id_position": F.col("_metadata.row_index")}
+        {"id_file": file_number(), "id_position": F.col("_metadata.row_index")}
     )
     number = F.col("id_offset") + F.col("id_position") + F.lit(after + 1).cast("bigint")
     return placed.join(F.broadcast(offsets), "id_file").select(number.alias(column), *stored.columns)

@@ -3,7 +3,7 @@
 Each Spark task commits its own rows, and a task that is repeated after a lost executor
 would insert them again. So rows go to a staging table first, with the stored file and
 position they come from; the target is then filled inside the database, in one
-transaction, from the distinct staged rows.
+transaction, from one staged row for each place.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.surrogate import file_number
 from ..schema import IDENTITY_COLUMN, WAREHOUSE_LIMITS, WAREHOUSE_REQUIRED, WAREHOUSE_SCHEMA
 
 ORIGIN_COLUMNS = ("stage_file", "stage_row")
@@ -41,10 +42,10 @@ def table_ddl(table: str, *, identity: str = "GENERATED BY DEFAULT AS IDENTITY")
 
 
 def with_origin(stored: DataFrame) -> DataFrame:
-    """Add where each row of a stored Parquet dataset stands; unique and repeatable."""
+    """Add where each row of a Parquet dataset of one write stands; unique and repeatable."""
     return stored.select(
         *WAREHOUSE_SCHEMA.names,
-        F.col("_metadata.file_path").alias(ORIGIN_COLUMNS[0]),
+        file_number().alias(ORIGIN_COLUMNS[0]),
         F.col("_metadata.row_index").alias(ORIGIN_COLUMNS[1]),
     )
 
@@ -57,13 +58,12 @@ def jdbc_options(
     Text lengths are named for the table Spark creates; a database's own default for
     text may be too short.
     """
-    lengths = {**WAREHOUSE_LIMITS, ORIGIN_COLUMNS[0]: 2000}
     return {
         "url": url,
         "dbtable": table,
         "numPartitions": str(connections),
         "batchsize": str(batch_rows),
-        "createTableColumnTypes": ", ".join(f"{n} VARCHAR({size})" for n, size in lengths.items()),
+        "createTableColumnTypes": ", ".join(f"{n} VARCHAR({size})" for n, size in WAREHOUSE_LIMITS.items()),
         **extra,
     }
 
@@ -86,7 +86,7 @@ def publish_statements(
     are appended. Without a staging table nothing is added. The database hands out the keys.
     """
     columns = _quoted(WAREHOUSE_SCHEMA.names)
-    everything = _quoted((*WAREHOUSE_SCHEMA.names, *ORIGIN_COLUMNS))
+    origin = _quoted(ORIGIN_COLUMNS)
     statements = []
     if replace_day is not None:
         start, end = (f"TIMESTAMP '{d} 00:00:00'" for d in (replace_day, replace_day + timedelta(1)))
@@ -101,7 +101,8 @@ def publish_statements(
         return statements
     statements.append(
         f"INSERT INTO {table} ({columns}) "
-        f"SELECT {columns} FROM (SELECT DISTINCT {everything} FROM {staging}) AS staged"
+        f"SELECT {columns} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {origin} ORDER BY {origin}) "
+        f"AS nth FROM {staging}) AS staged WHERE nth = 1"
     )
     return statements
 

@@ -31,7 +31,7 @@ def test_options():
         "driver": "a.b.C",
         "createTableColumnTypes": "category VARCHAR(255), product_photo VARCHAR(1000), "
         "product_url VARCHAR(1000), currency VARCHAR(10), short_product_title VARCHAR(500), "
-        "product_title VARCHAR(1000), asin VARCHAR(50), stage_file VARCHAR(2000)",
+        "product_title VARCHAR(1000), asin VARCHAR(50)",
     }
 
 
