@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..files import remove_folder
 from ..session import work_path
 
 #: Rows whose join side is at most this large may be broadcast; beyond it Spark shuffles.
@@ -19,9 +22,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
-    """The rows, written to the shared folder and read again: cuts the lineage for good."""
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes what is stored while the block runs when it ends, but for the tables to be kept."""
+    paths: list[str] = []
+    before = _passing.set(paths)
+    try:
+        yield
+    finally:
+        _passing.reset(before)
+        for path in paths:
+            remove_folder(spark, path)
+
+
+def stored(spark: SparkSession, rows: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """The rows, written to the shared folder and read again: cuts the lineage for good.
+
+    What a result reads later must be kept.
+    """
     path = work_path(spark, name)
+    if not keep and _passing.get() is not None:
+        _passing.get().append(path)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 

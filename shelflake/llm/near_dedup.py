@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from xxhash import xxh3_64_intdigest
 
-from .common import broadcast_if_small, pieces_of, stored
+from .common import broadcast_if_small, passing_tables, pieces_of, stored
 from .components import components
 
 SHINGLE = 5
@@ -41,7 +41,7 @@ ROWS = 4
 RARE = 24
 #: Buckets of so few members are held against each other outright. Any number gives the same links.
 SMALL = 16
-PIECE_CHARS = 4 << 20
+PIECE_CHARS = 1 << 20
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -404,7 +404,26 @@ def classes(
     of docs.
     """
     spark = docs.sparkSession
-    signs = stored(spark, signed(docs, size, n_bands, n_rows), "near-signed")
+    signs = stored(spark, signed(docs, size, n_bands, n_rows), "near-signed", keep=True)
+    with passing_tables(spark):
+        found = stored(
+            spark, _node_classes(docs, signs, threshold, size), "near-classes", keep=True
+        )
+    return (
+        signs.select("doc_id", "key", F.col("bands").isNull().alias("bare"))
+        .join(broadcast_if_small(found.withColumnRenamed("node", "key"), 64), "key", "left")
+        .select(
+            "doc_id",
+            "key",
+            F.when(F.col("bare"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        )
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+    )
+
+
+def _node_classes(docs: DataFrame, signs: DataFrame, threshold: float, size: int) -> DataFrame:
+    """(node, class_id) of each different text."""
+    spark = docs.sparkSession
     nodes = stored(
         spark,
         signs.where("bands IS NOT NULL")
@@ -438,16 +457,9 @@ def classes(
         .agg(F.min("doc_id").alias("class_id"))
     )
     renamed = stored(spark, labels.join(named, "label").select("node", "class_id"), "near-named")
-    found = least.join(broadcast_if_small(renamed, 64), "node", "left").select(
+    return least.join(broadcast_if_small(renamed, 64), "node", "left").select(
         "node", F.coalesce("class_id", "doc_id").alias("class_id")
     )
-    found = stored(spark, found, "near-classes")
-    return (
-        signs.select("doc_id", "key", F.col("bands").isNull().alias("bare"))
-        .join(broadcast_if_small(found.withColumnRenamed("node", "key"), 64), "key", "left")
-        .select("doc_id", "key", F.when(F.col("bare"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
-    )
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
