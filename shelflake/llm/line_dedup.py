@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from xxhash import xxh3_128_digest
 
-from .common import broadcast_if_small, pieces_of, stored
+from .common import broadcast_if_small, passing_tables, pieces_of, stored
 from .components import components
 
 MAX_EDITS = 2
@@ -319,7 +319,15 @@ def line_classes(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_C
     class), n_links.
     """
     spark = docs.sparkSession
-    found = stored(spark, occurrences(docs, min_chars), "lines")
+    found = stored(spark, occurrences(docs, min_chars), "lines", keep=True)
+    with passing_tables(spark):
+        classes = stored(spark, _classes(docs, found, edits, min_chars), "line-classes", keep=True)
+    return found, classes
+
+
+def _classes(docs: DataFrame, found: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """(node, class, n_links) of the lines that come more than once or have links."""
+    spark = docs.sparkSession
     lines = stored(
         spark,
         found.groupBy("node").agg(F.min(_place()).alias("first"), F.first("line").alias("line"), F.count("*").alias("n")),
@@ -371,7 +379,7 @@ def line_classes(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_C
     alone = repeated.join(marked.select("node"), "node", "left_anti").select(
         "node", F.col("first").alias("class"), F.lit(0).cast("bigint").alias("n_links")
     )
-    return found, stored(spark, linked.unionByName(alone), "line-classes")
+    return linked.unionByName(alone)
 
 
 def _decided(found: DataFrame, classes: DataFrame) -> DataFrame:
