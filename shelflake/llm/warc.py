@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import broadcast_if_small, pieces_of, stored
+from .common import broadcast_if_small, passing_tables, pieces_of, stored
 
 MAGIC = "WARC/1.0\r\n"
 BLANK = "\r\n\r\n"
@@ -337,13 +337,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     payload_digest is taken from the payload itself; a revisit repeats the digest and length of the
     response.
     """
-    found = candidates(spark, path)
-    records = stored(
-        spark,
-        found.join(reachable(spark, found).withColumn("is_record", F.lit(True)), ["file", "at"], "left")
-        .withColumn("is_record", F.coalesce("is_record", F.lit(False))),
-        "warc-records",
-    )
+    with passing_tables(spark):
+        found = candidates(spark, path)
+        marks = reachable(spark, found).withColumn("is_record", F.lit(True))
+        records = found.join(marks, ["file", "at"], "left").withColumn(
+            "is_record", F.coalesce("is_record", F.lit(False))
+        )
+        records = stored(spark, records, "warc-records", keep=True)
     whole = records.where("is_record AND record_type IS NOT NULL")
     names = ["file", "at", *_FIELDS.names]
     if records.where("is_record AND record_type IS NULL").isEmpty():
