@@ -26,7 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import pieces_of
 
 WINDOW_WORDS = 10
-SHARD_CHARS = 2 << 20
+SHARD_CHARS = 1 << 20
 BLOCK_WORDS = 1 << 20
 
 # ASCII letters in lower case, digits and everything beyond ASCII make words; the rest parts them.
