@@ -50,15 +50,17 @@ class Encoder:
     """Token ids of texts.
 
     The reference is the tokenizers library with the given file. Texts of plain characters go
-    through a faster merge of the same vocabulary, which gives the same ids.
+    through a faster merge of the same vocabulary, which gives the same ids; those that hold an
+    added token, such as <|endoftext|>, have its id there and are left to that library.
     """
 
     def __init__(self, path: str) -> None:
         self.exact = Tokenizer.from_file(path)
-        self.exact.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as file:
             vocabulary = json.load(file)["model"]["vocab"]
         special = self.exact.get_added_tokens_decoder()
+        added = "|".join(re.escape(token.content) for token in special.values())
+        self.added = re.compile(added or r"(?!)")
         letters = _byte_letters()
         ranks = {
             bytes(letters[c] for c in token): n for token, n in vocabulary.items() if n not in special
@@ -68,7 +70,7 @@ class Encoder:
         )
 
     def encode(self, text: str) -> np.ndarray:
-        if _PLAIN.fullmatch(text):
+        if _PLAIN.fullmatch(text) and not self.added.search(text):
             ids = self.fast.encode_ordinary(text)
         else:
             ids = self.exact.encode(text, add_special_tokens=False).ids

@@ -259,6 +259,30 @@ def test_tokens_are_the_vocabulary_s_own(text):
     assert packing.encoder(packing.TOKENIZER).encode(text).tolist() == exact.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "end <|endoftext|> next",
+        "<|endoftext|>",
+        "a<|endoftext|><|endoftext|>b",
+        "naïve 東京 <|endoftext|>\n",
+        "<|endoftext|",
+        "< |endoftext|>",
+    ],
+)
+def test_added_tokens_have_their_own_ids(text):
+    exact = Tokenizer.from_file(packing.TOKENIZER)
+    assert packing.encoder(packing.TOKENIZER).encode(text).tolist() == exact.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_in_packed_documents(spark):
+    exact = Tokenizer.from_file(packing.TOKENIZER)
+    texts = {1: "end <|endoftext|> next", 2: "end endoftext next", 3: "<|endoftext|>" * 1500}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = [r.asDict() for r in packing.pack(docs).collect()]
+    brute.check_packing(found, texts, lambda text: exact.encode(text, add_special_tokens=False).ids)
+
+
 def test_plain_characters_are_classed_alike():
     """Every character that the fast path takes, beside letters, digits, marks and blanks."""
     exact = Tokenizer.from_file(packing.TOKENIZER)
