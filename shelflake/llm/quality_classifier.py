@@ -10,9 +10,10 @@ Weights are fitted by gradient steps with soft thresholding, which sets those of
 zero, so that long texts do not drown what matters.
 
 Defined results: a NULL or empty text is scored by the weights of its shape alone; repeated rows
-give repeated results; labels with a NULL grade or for unknown documents are not used; a document
+give repeated results; labels with a NULL grade or for unknown documents are not used, nor do they
+take a place in the sample; a document
 labelled twice has its lower grade; without any labelled document all scores are equal and no
-document is rejected. Other columns are left alone. Nothing but the sample is shuffled.
+document is rejected. Other columns are left alone. Nothing but ids and the sample is shuffled.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import pieces_of
 
-#: At most so many labelled documents are fitted, spread over the grades. The only bound; all rows are scored.
+#: At most so many labelled documents are fitted, by a hash of the id: each grade keeps its share, which the
+#: probabilities follow. The only bound; all rows are scored.
 SAMPLE_ROWS = 8000
 #: A word has a weight only if so many texts of the sample hold it; rarer ones tell nothing of other texts.
 MIN_TEXTS = 8
@@ -193,21 +195,28 @@ def grade(quality: Column, toxic: Column) -> Column:
     return (F.when(quality == 1, 1).otherwise(0) + F.when(toxic == 0, 1).otherwise(0)).cast("int")
 
 
+def neutral() -> Model:
+    """Rejects nothing."""
+    return Model(np.zeros(0, np.uint32), np.zeros(0), np.arange(GRADES - 1) - 50.0)
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, **options) -> Model:
     """Fit on at most sample_rows labelled documents, chosen by a hash of their id.
 
-    The ids are chosen first, so that only the texts of the sample move.
+    The ids are chosen first, among those that docs holds, so that only the texts of the sample
+    move.
     """
     chosen = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
         .groupBy("doc_id")
         .agg(F.min(grade(F.col("quality"), F.col("toxic"))).alias("grade"))
+        .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample_rows)
         .collect()
     )
     if not chosen:
-        return Model(np.zeros(0, np.uint32), np.zeros(0), np.arange(GRADES - 1) - 50.0)
+        return neutral()
     picked = docs.sparkSession.createDataFrame(
         [tuple(r) for r in chosen], T.StructType([docs.schema["doc_id"]]).add("grade", "integer")
     )
@@ -229,8 +238,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, **
         name = found.values.to_numpy().tobytes()
         texts[name] = min(known_grade, texts.get(name, known_grade))
     del seen
+    if not texts:
+        return neutral()
     names = sorted(texts)
-    return fit([np.frombuffer(n, np.uint32) for n in names], np.array([texts[n] for n in names]), **options)
+    grades = np.array([texts[n] for n in names], np.int64)
+    return fit([np.frombuffer(n, np.uint32) for n in names], grades, **options)
 
 
 def score(docs: DataFrame, model: Model, keep_at: float = KEEP_AT) -> DataFrame:

@@ -109,6 +109,37 @@ def test_a_long_text_does_not_outweigh_a_bad_word():
         assert clean > 0.5 > bad
 
 
+def graded(numbers):
+    """Documents, and labels of the two upper grades, told by one word."""
+    docs = [(n, " ".join(f"w{(n * 7 + k) % 50}" for k in range(20)) + " awful" * (n % 4 == 0)) for n in numbers]
+    return docs, [(n, 0 if n % 4 == 0 else 1, 0) for n in numbers]
+
+
+def test_labels_of_unknown_documents_take_no_place_in_the_sample(spark):
+    rows, labels = graded(range(200))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kind = "doc_id bigint, quality int, toxic int"
+    own = quality_classifier.train(docs, spark.createDataFrame(labels, kind), sample_rows=200)
+    _, others = graded(range(1000, 5000))
+    model = quality_classifier.train(docs, spark.createDataFrame(labels + others, kind), sample_rows=200)
+    assert model.features.tolist() == own.features.tolist()
+    assert model.weights.tolist() == own.weights.tolist()
+    assert model.thresholds.tolist() == own.thresholds.tolist()
+    kept = {r["doc_id"]: r["kept"] for r in quality_classifier.score(docs, model).collect()}
+    assert kept == {n: n % 4 != 0 for n in range(200)}
+
+
+@pytest.mark.parametrize("known", [range(0), range(50)])
+def test_labels_without_documents_reject_nothing(spark, known):
+    rows, _ = graded(known)
+    _, labels = graded(range(1000, 1300))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    found = quality_classifier.report(docs, labels).collect()
+    assert sorted(r["doc_id"] for r in found) == list(known)
+    assert all(r["kept"] for r in found)
+
+
 # --- lines -------------------------------------------------------------------------
 
 LETTERS = st.text("abé😀", max_size=40)
