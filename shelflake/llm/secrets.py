@@ -3,7 +3,8 @@
 Three kinds are found by their form: assignments, access key ids and hexadecimal runs. The fourth is
 found by disorder: a window slides over each candidate string, the counts of its characters are kept
 up as one character enters and one leaves, and the Shannon entropy that follows from them is held
-against the threshold of the string's character class. Known harmless strings are suppressed.
+against the threshold of the string's character class. Known harmless strings are suppressed,
+but only the pieces of a string (parted by / _ = -) that they stand in.
 
 Positions are code points, ends exclusive. Defined results: a NULL text is empty; repeated rows give
 repeated results; other columns are left alone. Nothing is shuffled.
@@ -61,6 +62,32 @@ class Settings:
 
 
 _BLOCK = 64
+_PARTING = "/_=-"
+
+
+def _harmless(settings: Settings) -> str:
+    """The pieces of a run, as parted by _PARTING, that a harmless string stands in."""
+    return rf"(?<![^{_PARTING}])[^{_PARTING}]*(?:{settings.allowed})[^{_PARTING}]*"
+
+
+def _suspect(s: Column, settings: Settings) -> Column:
+    """What is left of a candidate without its harmless pieces: (start, rank, value) of each run."""
+    harmless = F.lit(_harmless(settings))
+    runs = F.split(s["value"], harmless, -1)
+    cut = F.regexp_extract_all(s["value"], harmless, F.lit(0))
+
+    def placed(run: Column, i: Column) -> Column:
+        before = F.aggregate(
+            F.concat(F.slice(runs, F.lit(1), i), F.slice(cut, F.lit(1), i)),
+            s["start"],
+            lambda total, part: total + F.char_length(part),
+        )
+        found = F.struct(before.alias("start"), s["rank"].alias("rank"), run.alias("value"))
+        return F.when(F.rlike(run, F.lit(HINTS["entropy"])), found)
+
+    whole = F.array(F.struct(s["start"], s["rank"], s["value"]))
+    left = F.array_compact(F.transform(runs, placed))
+    return F.when(F.rlike(s["value"], F.lit(settings.allowed)), left).otherwise(whole)
 
 
 def _pieces(kind: str, pattern: str) -> Column:
@@ -188,17 +215,27 @@ def _place(start: Column, rank: Column, end: Column) -> Column:
     return F.struct(start.alias("start"), rank.alias("rank"), end.alias("end"))
 
 
-def scan(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def _told(h: Column) -> Column:
+    """How far from its start base spans tell a span without a gap."""
+    return F.aggregate(
+        "base",
+        h["start"],
+        lambda told, b: F.when(b["start"] <= told, F.greatest(told, b["end"])).otherwise(told),
+    )
+
+
+def scan(docs: DataFrame, settings: Settings = Settings(), whole: bool = False) -> DataFrame:
     """doc_id and its spans: arrays of (start, rank of the kind, end), in order.
 
-    base holds the kinds found by form; spans holds them and what the entropy adds.
+    base holds the kinds found by form; spans holds them and what the entropy adds: spans that touch
+    none of them, or, if whole, all that base does not tell from end to end.
     """
     patterns = dict(zip(KINDS, (ASSIGN, ACCESS, HEX, CANDIDATE)))
     holds = {
         "assign": lambda s: s["inner"] >= 6,
         "access": lambda s: s["len"] >= 20,
         "hex": lambda s: s["len"] >= 24,
-        "entropy": lambda s: ~F.rlike(s["value"], F.lit(settings.allowed)),
+        "entropy": lambda s: F.lit(True),
     }
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("doc_id", *(_pieces(k, patterns[k]).alias(k) for k in KINDS))
@@ -224,14 +261,25 @@ def scan(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         "doc_id",
         F.array_sort(F.concat(*places)).alias("base"),
         F.array_compact(
-            F.coalesce(F.transform(_spans("entropy", holds["entropy"]), hot), none)
+            F.coalesce(
+                F.transform(
+                    F.flatten(
+                        F.transform(_spans("entropy", holds["entropy"]), lambda s: _suspect(s, settings))
+                    ),
+                    hot,
+                ),
+                none,
+            )
         ).alias("hot"),
     )
-    # What a base span tells already is not told again.
-    news = F.filter(
-        "hot",
-        lambda h: ~F.exists("base", lambda b: (b["start"] < h["end"]) & (h["start"] < b["end"])),
-    )
+    if whole:
+        # What base spans, which are in order, tell already from end to end is not told again.
+        news = F.filter("hot", lambda h: _told(h) < h["end"])
+    else:
+        news = F.filter(
+            "hot",
+            lambda h: ~F.exists("base", lambda b: (b["start"] < h["end"]) & (h["start"] < b["end"])),
+        )
     return rows.select("doc_id", "base", F.array_sort(F.concat("base", news)).alias("spans"))
 
 
@@ -276,7 +324,7 @@ def redacted(docs: DataFrame, settings: Settings = Settings(), mark: str = "[sec
         take,
         lambda s: F.concat(s["text"], F.substring(text, s["at"] + 1, F.char_length(text))),
     )
-    return scan(whole, settings).withColumnRenamed("doc_id", "row").select(
+    return scan(whole, settings, whole=True).withColumnRenamed("doc_id", "row").select(
         "row.doc_id",
         F.when(F.size("spans") == 0, text).otherwise(clean).alias("text"),
     )
