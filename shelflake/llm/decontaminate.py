@@ -1,8 +1,10 @@
 """Benchmark decontamination: suffix arrays over shards of the training documents.
 
 A shard is a run of documents inside one task. Its suffix array holds the word positions at which a
-test window could begin, ordered by the words that follow. Every suffix of every test item is looked
-up by binary search, a word at a time. The test set is a stated query set: it goes to the shards in
+test window could begin, ordered by the words that follow. Every window of WINDOW_WORDS words of
+every test item (a shorter item is one window) is looked up by binary search, a word at a time. The
+longest match is a run of such windows: a shared run shorter than a window is not reported, and of
+several longest matches one place of one is. The test set is a stated query set: it goes to the shards in
 blocks of a bounded number of words, and no row is shuffled.
 
 Defined results: a NULL or empty text has no words and is clean; repeated rows give repeated
