@@ -11,6 +11,7 @@ from ..session import work_path
 from . import (
     chat,
     decontaminate,
+    fill_in_middle,
     html_extract,
     line_dedup,
     near_dedup,
@@ -18,7 +19,9 @@ from . import (
     quality_classifier,
     quality_rules,
     secrets,
+    sentence_pieces,
     warc,
+    whitening,
 )
 from .common import stored, table
 from .oracles import ORACLES
@@ -97,3 +100,21 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as pieces of packed sequences."""
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document cut in three, and rebuilt."""
+    return fill_in_middle.report(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embeddings on the axes of their covariance, each of unit variance."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@registered
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of each document, and the text they are decoded to."""
+    return sentence_pieces.report(table(spark, sf_dir, "documents"))
