@@ -129,4 +129,38 @@ ORACLES = {
             FROM measured
         )
         SELECT *, failures & 3 <> 0 AS base_failed, failures = 0 AS kept FROM ledger""",
+    "op11_fill_in_middle": """
+        WITH drawn AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents
+        ),
+        numbers AS (
+            SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units,
+                   CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+                   CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+            FROM drawn
+        ),
+        ends AS (
+            SELECT *, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+                   greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b
+            FROM numbers
+        ),
+        parts AS (
+            SELECT *, coalesce(array_to_string(list_slice(units, 1, a), ''), '') AS prefix,
+                   coalesce(array_to_string(list_slice(units, a + 1, b), ''), '') AS middle,
+                   coalesce(array_to_string(list_slice(units, b + 1, len(units)), ''), '') AS suffix,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                             OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                        WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM ends
+        )
+        SELECT doc_id, CAST(len(units) AS BIGINT) AS n, form,
+               CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                          WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                          ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts""",
 }

@@ -14,7 +14,8 @@ eigenvalues and the columns, normalised, its eigenvectors; those of small eigenv
 Defined results: rows whose vector is NULL, or holds a NULL or an entry that is not finite, are left out, as
 are vectors of another length than the most usual among the distinct ones (of equally usual ones,
 the longest). Entries beyond what the grid holds are moved to its end. There are as many components
-as the vectors have dimensions that vary, at most ``COMPONENTS``, so none for a single distinct vector.
+as there are directions in which the vectors vary by more than the rounding of the largest variance, at
+most ``COMPONENTS``, so none for a single distinct vector.
 A deviation beyond a long is NULL. Repeated rows are whitened as often as they come. Empty tables give
 no rows. Other columns are left alone.
 """

@@ -8,6 +8,8 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from shelflake.llm import secrets
 
 
@@ -241,8 +243,6 @@ def check_packing(rows, texts: dict[int, str], encode, capacity: int = 1024) ->
     """Holds the pieces of all documents against their tokens; gives the number of sequences."""
     import zlib
 
-    import numpy as np
-
     by_document, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
         by_document[r["doc_id"]].append(r)
@@ -266,3 +266,41 @@ def check_packing(rows, texts: dict[int, str], encode, capacity: int = 1024) ->
             at += length
         assert at <= capacity
     return len(by_sequence)
+
+
+def fill_in_middle(docs: list[tuple]) -> list[tuple]:
+    """(doc_id, n, form, prefix_chars, middle_chars, output) of each document."""
+    out = []
+    for i, text in docs:
+        text = text or ""
+        units = re.findall("[A-Za-z]+|[^A-Za-z]", text)
+        digest = hashlib.sha256(f"1:{'' if i is None else i}".encode()).hexdigest()
+        h1, h2, h3, h4 = (int(digest[k : k + 8], 16) for k in range(0, 32, 8))
+        a, b = sorted((h1 % (len(units) + 1), h2 % (len(units) + 1)))
+        prefix, middle, suffix = ("".join(u) for u in (units[:a], units[a:b], units[b:]))
+        if text == "" or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+            out.append((i, len(units), "plain", None, None, text))
+        elif h4 % 100 < 20:
+            out.append((i, len(units), "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"))
+        else:
+            out.append((i, len(units), "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"))
+    return out
+
+
+def whitened(rows: list[tuple], components: int = 16) -> tuple:
+    """Per row (vec_id, deviation, whitened), the share of each component, and n, by eigh."""
+    usable = [(i, v) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    x = [[math.floor(64 * c) + 1_000_000 for c in v] for _, v in usable]
+    fit = sorted(set(map(tuple, x)))
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    off = [[n * a - s for a, s in zip(v, sums)] for v in x]
+    centred = np.array([[(n * a - s) / n for a, s in zip(v, sums)] for v in fit])
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    share = values / values.sum()
+    white = np.array(off, float) / n @ vectors[:, :components] / np.sqrt(values[:components])
+    return (
+        [(i, sum(a * a for a in o), w) for (i, _), o, w in zip(usable, off, white)],
+        share[:components],
+        n,
+    )

@@ -124,6 +124,26 @@ def odd_conversations(spark: SparkSession) -> DataFrame:
     )
 
 
+def odd_embeddings(spark: SparkSession) -> DataFrame:
+    source = random.Random(9)
+    usual = [[source.gauss(0, 0.2) for _ in range(4)] for _ in range(30)]
+    rows = [
+        *((i, v) for i, v in enumerate(usual)),
+        (0, usual[0]),
+        *((100 + i, usual[1]) for i in range(200)),
+        (400, None),
+        (401, []),
+        (402, [0.1, None, 0.2, 0.3]),
+        (403, [0.1, float("nan"), 0.2, 0.3]),
+        (404, [0.1, float("inf"), 0.2, 0.3]),
+        (405, [0.1, 0.2]),
+        (None, usual[2]),
+    ]
+    return spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").selectExpr(
+        "*", "'own' AS x", "'own' AS component", "'own' AS n"
+    )
+
+
 def save(root: str, **tables: DataFrame) -> str:
     for name, rows in tables.items():
         rows.write.parquet(f"{root}/{name}.parquet")
@@ -138,6 +158,7 @@ def odd_tables(spark: SparkSession, root: str) -> str:
         benchmark=odd_benchmark(spark),
         pages=odd_pages(spark),
         conversations=odd_conversations(spark),
+        embeddings=odd_embeddings(spark),
     )
 
 
@@ -149,6 +170,7 @@ def empty_tables(spark: SparkSession, root: str) -> str:
         benchmark=odd_benchmark(spark).limit(0),
         pages=odd_pages(spark).limit(0),
         conversations=odd_conversations(spark).limit(0),
+        embeddings=odd_embeddings(spark).limit(0),
     )
 
 

@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 import brute
 import corpus_pipeline
+import numpy as np
 import pytest
+import sentencepiece
 from conftest import SF_DIR
 from tokenizers import Tokenizer
 
-from shelflake.llm import decontaminate, packing, quality_classifier, secrets, warc
+from shelflake.llm import (
+    decontaminate,
+    fill_in_middle,
+    packing,
+    quality_classifier,
+    secrets,
+    sentence_pieces,
+    warc,
+    whitening,
+)
 from shelflake.llm.common import stored, table
 from shelflake.llm.queries import QUERIES
 
@@ -110,8 +122,6 @@ def test_lines(spark, documents):
 
 
 def test_secrets(spark, documents):
-    import hashlib
-
     random_ = random.Random(1)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
     string = lambda n, a=letters: "".join(random_.choices(a, k=n))
@@ -192,6 +202,77 @@ def test_packing(spark, documents, encode):
     assert number <= 1.02 * least + 1
 
 
+MARKED = [
+    (None, "no id"),
+    (-5, "é1" * 40),
+    *((50_000 + n, t) for n, t in enumerate(["a<P>b c", "x <S", "<M>", "< P> <S <M", "abc", " ", "aB1cD", "\u0000 é\u0301 日本"])),
+    *((60_000 + n, "one two3four, five\n" * (n % 7 + 1)) for n in range(150)),
+]
+
+
+def test_fill_in_middle(spark, documents):
+    rows = documents + MARKED
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    made = fill_in_middle.transformed(docs)
+    key = lambda r: (r[0] is not None, r)
+    expected = sorted(brute.fill_in_middle(rows), key=key)
+    assert sorted((tuple(r) for r in made.collect()), key=key) == expected
+    assert {r[2] for r in expected} == {"plain", "psm", "spm"}
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    texts = {i: t or "" for i, t in rows}
+    found = sorted((tuple(r) for r in fill_in_middle.report(docs).collect()), key=key)
+    assert found == [(*r[:5], digest(r[5]), digest(texts[r[0]])) for r in expected]
+
+
+def test_whitening(spark):
+    vectors = table(spark, SF_DIR, "embeddings")
+    found = rows_of(spark, "op12_whitening")
+    rows, share, n = brute.whitened([(r["vec_id"], r["embedding"]) for r in vectors.collect()])
+    assert {r["n"] for r in found} == {n}
+    assert max(r["identity_error"] for r in found) < 1e-9
+    of = {}
+    for r in found:
+        of.setdefault(r["vec_id"], {})[r["component"]] = r
+    assert len(found) == 16 * len(rows)
+    signs = None
+    for i, deviation, white in rows:
+        mine = np.array([of[i][c]["whitened"] for c in range(1, 17)])
+        signs = np.sign(mine * white) if signs is None else signs
+        assert np.allclose(mine, signs * white, rtol=1e-7, atol=1e-7)
+        assert {of[i][c]["deviation"] for c in of[i]} == {deviation}
+        assert np.allclose([of[i][c]["explained"] for c in range(1, 17)], share, rtol=1e-9)
+
+
+def test_whitening_of_odd_vectors(spark):
+    """Few dimensions that vary, copies, large entries and deviations beyond a long."""
+    line = [[float(n), 2.0 * n, -float(n), 3.0] for n in range(20)] * 3
+    frame = lambda rows: spark.createDataFrame(list(enumerate(rows)), "vec_id bigint, embedding array<double>")
+    rows = whitening.whitened(frame(line)).collect()
+    assert {(r["component"], r["n"]) for r in rows} == {(1, 20)}
+    assert all(abs(r["explained"] - 1) < 1e-12 and r["identity_error"] < 1e-9 for r in rows)
+    assert whitening.whitened(frame([[1.0, 2.0]] * 5)).collect() == []
+    large = whitening.whitened(frame([[1e30, 0.0], [-1e30, 0.5], [0.0, 1.0]])).collect()
+    # Beside such entries the other dimension is less than their rounding.
+    assert len(large) == 3 and all(r["deviation"] is None for r in large if r["vec_id"] < 2)
+    assert max(r["identity_error"] for r in large) < 1e-9
+
+
+def test_sentence_pieces(spark, documents):
+    model = sentencepiece.SentencePieceProcessor(model_file=sentence_pieces.MODEL)
+    rows = documents + MARKED
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    ids = {i: [*model.encode(t or ""), model.eos_id()] for i, t in rows}
+    coded = sentence_pieces.encoded(docs)
+    assert {r["doc_id"]: r["ids"] for r in coded.collect()} == ids
+    texts = {i: model.decode(v) for i, v in ids.items()}
+    assert {r["doc_id"]: r["text"] for r in sentence_pieces.decoded(coded).collect()} == texts
+    assert texts == {i: (t or "") for i, t in rows}
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert {tuple(r) for r in sentence_pieces.report(docs).collect()} == {
+        (i, len(v), digest(" ".join(map(str, v))), digest(texts[i])) for i, v in ids.items()
+    }
+
+
 def test_pipeline(spark, documents, items, encode):
     docs = table(spark, SF_DIR, "documents")
     labels = {r["doc_id"] for r in table(spark, SF_DIR, "labels").collect()}

@@ -27,7 +27,16 @@ def test_empty_tables_give_no_rows(spark, empty_dir, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["op2_quality_classifier", "op6_secrets", "op7_decontaminate", "op8_quality_rules", "op9_near_dedup"]
+    "name",
+    [
+        "op2_quality_classifier",
+        "op6_secrets",
+        "op7_decontaminate",
+        "op8_quality_rules",
+        "op9_near_dedup",
+        "op11_fill_in_middle",
+        "op13_sentence_pieces",
+    ],
 )
 def test_a_row_for_each_document(spark, odd_dir, name):
     ids = sorted(r["doc_id"] for r in table(spark, odd_dir, "documents").collect() if r["doc_id"] is not None)
@@ -84,6 +93,29 @@ def test_odd_documents_are_packed(spark, odd_dir):
     assert {r["length"] for r in rows if r["doc_id"] in (4, 5)} == {1}
 
 
+def test_odd_documents_are_cut(spark, odd_dir):
+    for r in collected(spark, "op11_fill_in_middle", odd_dir):
+        if r["doc_id"] in (4, 5):
+            assert (r["n"], r["form"], r["prefix_chars"]) == (0, "plain", None)
+            assert r["output_sha256"] == r["restored_sha256"] == EMPTY_DIGEST
+
+
+def test_odd_documents_have_pieces(spark, odd_dir):
+    for r in collected(spark, "op13_sentence_pieces", odd_dir):
+        if r["doc_id"] in (4, 5):
+            assert (r["n_tokens"], r["decoded_sha256"]) == (1, EMPTY_DIGEST)
+            assert r["ids_sha256"] == hashlib.sha256(b"2").hexdigest()
+
+
+def test_odd_embeddings(spark, odd_dir):
+    rows = collected(spark, "op12_whitening", odd_dir)
+    ids = [r["vec_id"] for r in rows]
+    assert not {400, 401, 402, 403, 404, 405} & set(ids)
+    assert len(rows) == 4 * (30 + 1 + 200 + 1)
+    assert {r["n"] for r in rows} == {30}
+    assert ids.count(None) == 4 and ids.count(0) == 8
+
+
 @pytest.mark.parametrize("place", range(len(corpus_pipeline.STAGES)))
 def test_stages_keep_the_columns(spark, odd_dir, empty_dir, place):
     name, stage = corpus_pipeline.STAGES[place]
