@@ -43,8 +43,8 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 PIECE_CHARS = 1 << 20
 #: Symbols of an unbroken run beyond which its pairs are queued.
 QUEUE_FROM = 512
-#: Words whose ids a worker remembers.
-KNOWN_WORDS = 1 << 18
+#: Words whose ids a worker remembers, and words that are looked through at once.
+KNOWN_WORDS, WORDS_AT_ONCE = 1 << 18, 1 << 18
 
 BLANK = "▁"
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]*")
@@ -125,6 +125,44 @@ class Model:
 _NONE = np.iinfo(np.int64).max
 
 
+class Table:
+    """Numbers by whole-number keys, looked up for an array of keys at a time: open addressing, at most a
+    quarter full.
+    """
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.bits = max(4, int(4 * len(keys)).bit_length())
+        self.mask = (1 << self.bits) - 1
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.full(1 << self.bits, -1, np.int64)
+        slots = self._slots(keys)
+        while len(keys):
+            _, first = np.unique(slots, return_index=True)
+            placed = np.zeros(len(keys), bool)
+            placed[first] = self.keys[slots[first]] < 0
+            self.keys[slots[placed]], self.values[slots[placed]] = keys[placed], values[placed]
+            keys, values, slots = keys[~placed], values[~placed], (slots[~placed] + 1) & self.mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 where there is none."""
+        slots = self._slots(keys)
+        there = self.keys[slots]
+        found = np.where(there == keys, self.values[slots], -1)
+        place = np.flatnonzero((there != keys) & (there >= 0))
+        keys, slots = keys[place], slots[place]
+        while len(place):
+            slots = (slots + 1) & self.mask
+            there = self.keys[slots]
+            found[place] = np.where(there == keys, self.values[slots], -1)
+            further = (there != keys) & (there >= 0)
+            place, keys, slots = place[further], keys[further], slots[further]
+        return found
+
+
 class Coder:
     """Ids of texts, and texts of ids.
 
@@ -145,9 +183,10 @@ class Coder:
         # Characters that stand in pieces of several, and which of them stand side by side there.
         several = [p for p in ids if len(p) > 1]
         letters = {c: n for n, c in enumerate(sorted(set(chain.from_iterable(several))), 1)}
-        self.symbols = {c: ids.get(c, size + n) for c, n in letters.items()}
+        self.symbols = {chr(b): i for b, i in enumerate(self.byte_ids[:128])}
+        self.symbols |= {c: ids.get(c, size + n) for c, n in letters.items()}
         self.symbols |= {p: i for p, i in ids.items() if len(p) == 1}
-        #: Stands for all characters that no piece holds.
+        #: Stands for all other characters that no piece holds.
         self.other = size + len(letters) + 1
         width = self.other + 1
         side_by_side = np.zeros((len(letters) + 1, len(letters) + 1), bool)
@@ -162,10 +201,8 @@ class Coder:
                 if left is not None and right is not None:
                     keys.append(left * width + right)
                     merged.append(ids[piece])
-        order = np.argsort(keys)
         self.width = width
-        self.keys = np.append(np.array(keys, np.int64)[order], _NONE)
-        self.merged = np.append(np.array(merged, np.int64)[order], -1)
+        self.pairs = Table(np.array(keys, np.int64), np.array(merged, np.int64))
         self.side_by_side = side_by_side
         points = sorted(self.symbols)
         self.points = np.array([ord(c) for c in points], np.int64)
@@ -173,14 +210,19 @@ class Coder:
         self.point_letters = np.array([letters.get(c, 0) for c in points], np.int64)
         #: No piece has a blank behind another character, so that words can be parted there.
         self.words_part = not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in several)
-        self.known: dict[str, list[int]] = {}
+        self._forget()
 
         self.hidden = np.array([k == CONTROL for k in model.kinds])
         self.blank_first = np.array([k == NORMAL and p[0] == BLANK for p, k in zip(model.pieces, model.kinds)])
         shown = [self._shown(p, k, model.unknown_surface) for p, k in zip(model.pieces, model.kinds)]
-        self.lengths = np.array([len(s) for s in shown], np.int64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.bytes = np.frombuffer(b"".join(shown), np.uint8)
+        self.shown = Strings(shown)
+        self.decimals = Strings([b"%d " % i for i in range(size)])
+
+    def _forget(self) -> None:
+        """Words seen are numbered; the ids of word n are known_ids[bounds[n] : bounds[n + 1]]."""
+        self.known: dict[str, int] = {}
+        self.known_ids = np.zeros(0, np.int32)
+        self.bounds = np.zeros(1, np.int64)
 
     @staticmethod
     def _shown(piece: str, kind: int, unknown: bytes) -> bytes:
@@ -194,9 +236,7 @@ class Coder:
 
     # What two neighbours merge to, -1 if to nothing.
     def _merges(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        wanted = left * self.width + right
-        at = np.searchsorted(self.keys, wanted)
-        return np.where(self.keys[at] == wanted, self.merged[at], -1)
+        return self.pairs.find(left * self.width + right)
 
     def _rank_of(self, merged: np.ndarray) -> np.ndarray:
         return np.where(merged >= 0, self.ranks[merged], _NONE)
@@ -234,23 +274,22 @@ class Coder:
         self._remember(words, ends, text, places, found)
 
     def _remember(self, words, ends, text, places, symbols) -> None:
-        bounds = np.searchsorted(places, ends).tolist()
-        unknown = symbols >= len(self.ranks)
-        ids, start = symbols.tolist(), 0
-        for word, bound in zip(words, bounds):
-            self.known[word] = ids[start:bound]
-            start = bound
-        # Characters that are no piece become the pieces of their bytes.
-        owners = np.searchsorted(ends, places[unknown], side="right")
-        for owner in np.unique(owners).tolist():
-            first = bounds[owner - 1] if owner else 0
-            spelled = []
-            for at in range(first, bounds[owner]):
-                if unknown[at]:
-                    spelled += [self.byte_ids[b] for b in text[places[at]].encode("utf-8", "surrogatepass")]
-                else:
-                    spelled.append(ids[at])
-            self.known[words[owner]] = spelled
+        bounds = np.searchsorted(places, ends)
+        unknown = np.flatnonzero(symbols >= len(self.ranks))
+        if len(unknown):
+            # Characters that are no piece become the pieces of their bytes.
+            spelled = [text[p].encode("utf-8", "surrogatepass") for p in places[unknown].tolist()]
+            sizes = np.ones(len(symbols), np.int64)
+            sizes[unknown] = [len(b) for b in spelled]
+            firsts = np.append(0, np.cumsum(sizes))
+            bounds = firsts[bounds]
+            symbols = np.repeat(symbols, sizes)
+            bytes_ = np.array(self.byte_ids)[np.frombuffer(b"".join(spelled), np.uint8)]
+            symbols[symbols >= len(self.ranks)] = bytes_
+        known = len(self.known)
+        self.known.update(zip(words, range(known, known + len(words))))
+        self.bounds = np.concatenate([self.bounds, bounds + self.bounds[-1]])
+        self.known_ids = np.concatenate([self.known_ids, symbols.astype(np.int32)])
 
     def _rounds(self, place, symbols, segment) -> tuple[np.ndarray, np.ndarray]:
         """Merge until no pair is left. Returns the first places and the symbols of what remains."""
@@ -316,7 +355,7 @@ class Coder:
         ranks = self._rank_of(makes).tolist()
         queue = [(ranks[i], i, symbols[i], symbols[i + 1], m) for i, m in enumerate(makes.tolist()) if m >= 0]
         heapify(queue)
-        pairs = self.pair_table
+        pairs = self.pair_ranks
 
         def offer(left: int, right: int) -> None:
             if left < 0 or right >= size:
@@ -340,13 +379,14 @@ class Coder:
         return kept, [symbols[i] for i in kept]
 
     @property
-    def pair_table(self) -> dict[int, tuple[int, int]]:
-        """What each pair is merged to, with its rank."""
-        if not hasattr(self, "_pair_table"):
-            merged = self.merged[:-1]
+    def pair_ranks(self) -> dict[int, tuple[int, int]]:
+        """The rank of what each pair is merged to, and that piece."""
+        if not hasattr(self, "_pair_ranks"):
+            filled = self.pairs.keys >= 0
+            merged = self.pairs.values[filled]
             found = zip(self.ranks[merged].tolist(), merged.tolist())
-            self._pair_table = dict(zip(self.keys[:-1].tolist(), found))
-        return self._pair_table
+            self._pair_ranks = dict(zip(self.pairs.keys[filled].tolist(), found))
+        return self._pair_ranks
 
     def _words(self, text: str) -> Iterator[list[str]]:
         """The words of a text, in stretches."""
@@ -363,49 +403,52 @@ class Coder:
             yield _WORD.findall(spaced, start, end)[:-1]
             start = end
 
-    def encode(self, texts: Sequence[str], end: bool = True) -> list[list[int]]:
-        """The ids of each text."""
-        found: list[list[int]] = [[] for _ in texts]
+    def encode(self, texts: Sequence[str], end: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and how many each has."""
+        counts = np.zeros(len(texts), np.int64)
+        parts = [np.zeros(0, np.int32)]
         # Short texts wait until there is enough to learn at once.
         waiting, held = [], 0
         for n, text in enumerate(texts):
             for words in self._words(text) if text else ():
                 waiting.append((n, words))
-                held += sum(map(len, words))
-                if held >= PIECE_CHARS:
-                    self._spell(waiting, found)
+                held += len(words)
+                if held >= WORDS_AT_ONCE:
+                    parts.append(self._spell(waiting, counts))
                     waiting, held = [], 0
-        self._spell(waiting, found)
+        parts.append(self._spell(waiting, counts))
+        ids = np.concatenate(parts)
         if end:
-            for ids in found:
-                ids.append(self.end_id)
-        return found
+            ids, counts = np.insert(ids, np.cumsum(counts), self.end_id), counts + 1
+        return ids, counts
 
-    def _spell(self, waiting: list[tuple[int, list[str]]], found: list[list[int]]) -> None:
+    def _spell(self, waiting: list[tuple[int, list[str]]], counts: np.ndarray) -> np.ndarray:
         if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
+            self._forget()
         new = set(chain.from_iterable(words for _, words in waiting)).difference(self.known)
         if new:
             self._learn(list(new))
-        for n, words in waiting:
-            found[n].extend(chain.from_iterable(map(self.known.__getitem__, words)))
+        sizes = [len(words) for _, words in waiting]
+        every = chain.from_iterable(words for _, words in waiting)
+        numbers = np.fromiter(map(self.known.__getitem__, every), np.int64, sum(sizes))
+        starts = self.bounds[numbers]
+        lengths = self.bounds[numbers + 1] - starts
+        ends = np.append(0, np.cumsum(lengths))
+        np.add.at(counts, [n for n, _ in waiting], np.diff(ends[np.append(0, np.cumsum(sizes, dtype=np.int64))]))
+        return self.known_ids[_runs(starts, lengths)]
 
     # --- decoding ------------------------------------------------------------------
 
-    def decode(self, lists: Sequence[Sequence[int]]) -> list[str]:
-        """The text of each list of ids."""
-        counts = np.array([len(ids) for ids in lists], np.int64)
-        ids = np.fromiter(chain.from_iterable(lists), np.int64, counts.sum())
-        lengths, starts = self.lengths[ids], self.starts[ids]
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The texts of ids that stand one text after another."""
+        owner = np.repeat(np.arange(len(counts)), counts)
         # The blank put before a text is taken off its first piece.
-        owner = np.repeat(np.arange(len(lists)), counts)
-        shown = np.flatnonzero(~self.hidden[ids])
-        firsts = shown[np.append(True, owner[shown][1:] != owner[shown][:-1])[: len(shown)]]
+        visible = np.flatnonzero(~self.hidden[ids])
+        firsts = visible[np.append(True, np.diff(owner[visible]) > 0)[: len(visible)]]
         firsts = firsts[self.blank_first[ids[firsts]]]
-        starts[firsts] += 1
-        lengths[firsts] -= 1
-        ends = np.cumsum(lengths)
-        gathered = self.bytes[np.repeat(starts - (ends - lengths), lengths) + np.arange(lengths.sum())].tobytes()
+        skipped = np.zeros(len(ids), np.int64)
+        skipped[firsts] = 1
+        data, ends = self.shown.joined(ids, skipped)
         bounds = np.append(0, ends)[np.append(0, np.cumsum(counts))].tolist()
         # Bytes on both sides of a hidden piece make no character together.
         breaks = ends[self.hidden[ids]]
@@ -413,9 +456,35 @@ class Coder:
         for a, b in zip(bounds, bounds[1:]):
             inner = breaks[np.searchsorted(breaks, a, "right") : np.searchsorted(breaks, b)].tolist()
             cuts = [a, *inner, b]
-            texts.append("".join(gathered[i:j].decode(errors=_BYTEWISE) for i, j in zip(cuts, cuts[1:])))
+            texts.append("".join(data[i:j].decode(errors=_BYTEWISE) for i, j in zip(cuts, cuts[1:])))
         return texts
 
+    def written(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The ids of each text in decimals, a blank between them."""
+        data, ends = self.decimals.joined(ids)
+        bounds = np.append(0, ends)[np.append(0, np.cumsum(counts))].tolist()
+        return [data[a : b - 1] if b > a else b"" for a, b in zip(bounds, bounds[1:])]
+
+
+def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, … of each run, one run after another."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class Strings:
+    """Byte strings by number, joined for an array of numbers at a time."""
+
+    def __init__(self, strings: list[bytes]) -> None:
+        self.lengths = np.array([len(s) for s in strings], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+
+    def joined(self, numbers: np.ndarray, skipped: np.ndarray | int = 0) -> tuple[bytes, np.ndarray]:
+        """All strings, without so many bytes at the beginning of each, and where each ends."""
+        lengths = self.lengths[numbers] - skipped
+        return self.data[_runs(self.starts[numbers] + skipped, lengths)].tobytes(), np.cumsum(lengths)
+
 
 #: Names the way of decoding in which each byte that begins no character becomes a replacement mark.
 _BYTEWISE = "replace-each-byte"
@@ -438,9 +507,10 @@ def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, "text", PIECE_CHARS):
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            ids = pa.array(coder(model).encode(texts), arrow.field("ids").type)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], schema=arrow)
+            ids, counts = coder(model).encode([text or "" for text in batch.column("text").to_pylist()])
+            offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+            lists = pa.ListArray.from_arrays(offsets, pa.array(ids), arrow.field("ids").type)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], schema=arrow)
 
     return rows.mapInArrow(run, schema)
 
@@ -453,7 +523,10 @@ def decoded(rows: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = coder(model).decode([ids or [] for ids in batch.column("ids").to_pylist()])
+            lists = [ids or [] for ids in batch.column("ids").to_pylist()]
+            counts = np.array([len(ids) for ids in lists], np.int64)
+            ids = np.fromiter(chain.from_iterable(lists), np.int64, counts.sum())
+            texts = coder(model).decode(ids, counts)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], schema=arrow)
 
     return rows.mapInArrow(run, schema)
@@ -473,12 +546,12 @@ def report(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, "text", PIECE_CHARS):
-            lists = coder(model).encode([text or "" for text in batch.column("text").to_pylist()])
-            texts = coder(model).decode(lists)
+            code = coder(model)
+            ids, counts = code.encode([text or "" for text in batch.column("text").to_pylist()])
             columns = [
-                [len(ids) for ids in lists],
-                [sha256(" ".join(map(str, ids)).encode()).hexdigest() for ids in lists],
-                [sha256(text.encode()).hexdigest() for text in texts],
+                counts,
+                [sha256(line).hexdigest() for line in code.written(ids, counts)],
+                [sha256(text.encode()).hexdigest() for text in code.decode(ids, counts)],
             ]
             arrays = [pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], schema=arrow)

@@ -52,9 +52,16 @@ def coder():
 
 
 def same(coder, library, texts):
-    found = coder.encode(texts)
-    assert found == [[*ids, library.eos_id()] for ids in library.encode(texts)]
-    assert coder.decode(found) == [library.decode(ids) for ids in found]
+    expected = [[*ids, library.eos_id()] for ids in library.encode(texts)]
+    ids, counts = coder.encode(texts)
+    assert counts.tolist() == [len(e) for e in expected]
+    assert ids.tolist() == [i for e in expected for i in e]
+    assert coder.decode(ids, counts) == [library.decode(e) for e in expected]
+    assert coder.written(ids, counts) == [" ".join(map(str, e)).encode() for e in expected]
+
+
+def decoded(coder, lists):
+    return coder.decode(np.array([i for ids in lists for i in ids], np.int64), np.array([len(ids) for ids in lists], np.int64))
 
 
 ALPHABETS = ("thean inor ", "  \n\t", "▁ a▁b", "0123456789 ab", "日本語の 한글é😀", "aaaaab ", "\x00 x</s><s><unk>")
@@ -105,8 +112,18 @@ def test_decoding_any_ids(coder, library):
         [source.randrange(32_000) if source.random() < 0.5 else source.randrange(300) for _ in range(source.choice((0, 1, 2, 5, 30)))]
         for _ in range(2000)
     ]
-    assert coder.decode(lists) == [library.decode(ids) for ids in lists]
-    assert coder.decode([[3 + 0xE2] * 200_000])[0] == "�" * 200_000
+    assert decoded(coder, lists) == [library.decode(ids) for ids in lists]
+    assert decoded(coder, [[3 + 0xE2] * 200_000])[0] == "�" * 200_000
+    assert decoded(coder, []) == []
+
+
+@given(st.dictionaries(st.integers(0, 2**40), st.integers(0, 9), max_size=200), st.lists(st.integers(0, 2**40)))
+@settings(max_examples=60, deadline=None)
+def test_table(entries, others):
+    keys = np.array(list(entries), np.int64)
+    made = sentence_pieces.Table(keys, np.array(list(entries.values()), np.int64))
+    wanted = np.array([*entries, *others], np.int64)
+    assert made.find(wanted).tolist() == [entries.get(int(k), -1) for k in wanted]
 
 
 def test_models_of_other_kinds_are_refused(tmp_path):
