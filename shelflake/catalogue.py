@@ -363,6 +363,18 @@ def warehouse_replace_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, warehouse)
 
 
+@registered
+def warehouse_vanished_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replacing a day that has vanished from the lake leaves it empty."""
+    warehouse = _new_warehouse(spark)
+    with _passing_lake(spark, _typed_feed(spark, sf_dir)) as root:
+        for day in DAYS:
+            load_day(spark, root, warehouse, day=day)
+    with _passing_lake(spark, _on(_typed_feed(spark, sf_dir), DAYS[0], DAYS[2])) as root:
+        load_day(spark, root, warehouse, day=SECOND_DAY, mode="replace_day")
+    return _table(spark, warehouse)
+
+
 @registered
 def warehouse_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of three loads: each continues where the one before it ended."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import errno
+import os
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -39,38 +42,45 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
 
 
-def create_once(spark: SparkSession, path: str, content: str) -> bool:
-    """Create a small file, unless it is there already. Of two who try, one succeeds."""
+def matches(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a pattern matches."""
+    file_system, hadoop_path = _resolve(spark, pattern)
+    return [status.getPath().toString() for status in file_system.globStatus(hadoop_path) or ()]
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
     file_system, hadoop_path = _resolve(spark, path)
-    file_system.mkdirs(hadoop_path.getParent())
+    file_system.mkdirs(hadoop_path)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Create a small file, or replace the one that is there. Its name is what it tells."""
+    file_system, hadoop_path = _resolve(spark, path)
+    file_system.create(hadoop_path, True).close()
+
+
+def renamed(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file or folder to a name that is not taken; whether it was still there to be renamed.
+
+    Of two who rename the same source at once, one succeeds.
+    """
+    file_system, hadoop_source = _resolve(spark, source)
+    _, hadoop_target = _resolve(spark, target)
     if file_system.getScheme() == "file":
-        # Hadoop's local file system looks first and creates then, which is not one step.
+        # Hadoop's local file system looks first and renames then, which is not one step.
         try:
-            with open(hadoop_path.toUri().getPath(), "x", encoding="utf-8") as file:
-                file.write(content)
-        except FileExistsError:
-            return False
+            os.rename(hadoop_source.toUri().getPath(), hadoop_target.toUri().getPath())
+        except OSError as problem:
+            if problem.errno in (errno.ENOENT, errno.ENOTEMPTY, errno.EEXIST):
+                return False
+            raise
         return True
     try:
-        stream = file_system.create(hadoop_path, False)
+        return file_system.rename(hadoop_source, hadoop_target)
     except Py4JJavaError:
-        if file_system.exists(hadoop_path):
-            return False
-        raise
-    try:
-        stream.write(bytearray(content, "utf-8"))
-    finally:
-        stream.close()
-    return True
-
-
-def small_file(spark: SparkSession, path: str) -> str:
-    file_system, hadoop_path = _resolve(spark, path)
-    stream = file_system.open(hadoop_path)
-    try:
-        return bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
+        if file_system.exists(hadoop_source):
+            raise
+        return False
 
 
 def move_over(spark: SparkSession, source: str, target: str) -> None:
@@ -85,3 +95,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder, if it is there, that this package has written."""
     file_system, hadoop_path = _resolve(spark, path)
     file_system.delete(hadoop_path, True)
+
+
+def remove_if_bare(spark: SparkSession, path: str) -> bool:
+    """Remove a folder of which only hidden files are left; whether it was one."""
+    if any(not name.startswith(("_", ".")) for name in names_in(spark, path)):
+        return False
+    remove_folder(spark, path)
+    return True

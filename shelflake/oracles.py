@@ -251,6 +251,9 @@ ORACLES: dict[str, str] = {
     "warehouse_replace_rejected": f"""{_WAREHOUSE_FEED}
         SELECT {_WAREHOUSE_COLUMNS}, {_DAY} FROM warehouse
         WHERE CAST(fetch_timestamp AS DATE) <> DATE '2024-01-02'""",
+    "warehouse_vanished_day": f"""{_WAREHOUSE_FEED}
+        SELECT {_WAREHOUSE_COLUMNS}, {_DAY} FROM warehouse
+        WHERE CAST(fetch_timestamp AS DATE) <> DATE '2024-01-02'""",
     "file_names": f"""{_FEED},
         named AS (
             SELECT asin, snap, unnest([0, 1, 2, 3]) AS form,

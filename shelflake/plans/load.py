@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Collection, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,24 +18,27 @@ from ..schema import IDENTITY_COLUMN, OFFSET_HOURS, SNAPSHOT_DAY, WAREHOUSE_SCHE
 from ..session import passing_path
 from ..sinks.jdbc import load_through_staging
 from ..sinks.warehouse import (
+    CategoryDay,
     Warehouse,
     category_name,
     create_table,
-    drop_category_days,
     drop_rejects,
     insert_rows,
-    replace_rows,
+    publish_version,
+    rejected_categories,
     reserve_ids,
+    stored_category_days,
     write_rejects,
 )
 from ..sources import read_day
+from ..sources.lake import categories_of_day
 
-_WRITERS = {"append": insert_rows, "replace_day": replace_rows}
+_MODES = ("append", "replace_day")
 
 
 def _check_mode(mode: str) -> None:
-    if mode not in _WRITERS:
-        raise ValueError(f"unknown mode {mode!r}; known are {', '.join(_WRITERS)}")
+    if mode not in _MODES:
+        raise ValueError(f"unknown mode {mode!r}; known are {', '.join(_MODES)}")
 
 
 @dataclass(frozen=True)
@@ -68,7 +71,7 @@ class Staged:
         schema = T.StructType(_STAGED_SCHEMA.fields + [T.StructField(VIOLATIONS, T.StringType())])
         return spark.read.schema(schema).parquet(f"{self.root}/accepted=false")
 
-    def category_days(self, spark: SparkSession, accepted: bool) -> set[tuple[str, str]]:
+    def category_days(self, spark: SparkSession, accepted: bool) -> set[CategoryDay]:
         """(day, category) of the accepted or of the rejected rows; as few as the lake has folders."""
         if not (self.rows_accepted if accepted else self.rows_rejected):
             return set()
@@ -113,35 +116,75 @@ def _staged_day(
         yield stage(read_day(spark, lake_root, day=day, categories=categories), path)
 
 
-def publish(spark: SparkSession, staged: Staged, warehouse: Warehouse, mode: str, whole_days: bool) -> None:
-    """Put staged rows into the table, and the rejected ones beside it.
+def append(spark: SparkSession, staged: Staged, warehouse: Warehouse) -> None:
+    """Add staged rows to the table, and the rejected ones beside it.
 
-    Replacing a whole day leaves nothing else of it; otherwise the category-days that were read are
-    replaced, those without an accepted row included.
+    Category-days that the table does not have appear all at once; to the others the rows are added where
+    those lie.
     """
     if staged.rows_accepted:
         after = reserve_ids(spark, warehouse, staged.rows_accepted)
-        _WRITERS[mode](with_identity(staged.accepted(spark), IDENTITY_COLUMN, after=after), warehouse)
-    accepted = rejected = set()
-    if mode == "replace_day":
-        accepted, rejected = (staged.category_days(spark, flag) for flag in (True, False))
-        for day in {d for d, _ in accepted | rejected}:
-            read = {c for d, c in accepted | rejected if d == day}
-            here = {c for d, c in accepted if d == day}
-            drop_category_days(
-                spark, warehouse, day, lambda c: c not in here and (whole_days or c in read)
-            )
-    _publish_rejects(spark, staged, warehouse.rejects, mode, whole_days, accepted, rejected)
+        rows = with_identity(staged.accepted(spark), IDENTITY_COLUMN, after=after)
+        brought = staged.category_days(spark, accepted=True)
+        stored = {key for day in {d for d, _ in brought} for key in stored_category_days(spark, warehouse, day)}
+        new = brought - stored
+        if new:
+            publish_version(spark, warehouse, after + 1, rows.where(_is_one_of(new)) if brought & stored else rows, new)
+        if brought & stored:
+            insert_rows(rows.where(~_is_one_of(new)) if new else rows, warehouse)
+    if staged.rows_rejected:
+        write_rejects(staged.rejected(spark), warehouse.rejects, replace=False)
 
 
-def _publish_rejects(spark, staged, root, mode, whole_days, accepted, rejected) -> None:
-    replace = mode == "replace_day"
-    if staged.rows_rejected:
-        write_rejects(staged.rejected(spark), root, replace=replace)
-    for day in {d for d, _ in accepted | rejected}:
-        read = {c for d, c in accepted | rejected if d == day}
-        here = {c for d, c in rejected if d == day}
-        drop_rejects(spark, root, day, lambda c: c not in here and (whole_days or c in read))
+def _is_one_of(keys: Collection[CategoryDay]) -> Column:
+    """Whether a row belongs to one of some category-days. They are as few as the lake has folders."""
+    category = F.when(F.coalesce("category", F.lit("")) == "", category_name(None)).otherwise(F.col("category"))
+    return F.concat_ws("/", SNAPSHOT_DAY, category).isin(*(f"{d}/{c}" for d, c in keys))
+
+
+def replace(spark: SparkSession, staged: Staged, warehouse: Warehouse, scope: Collection[CategoryDay]) -> None:
+    """Put staged rows in the place of the category-days of ``scope``, and the rejected ones beside it.
+
+    Category-days of the scope without an accepted row are emptied. The table changes in one step; the
+    rejects follow it, and a run that stopped between is made good by running it again.
+    """
+    scope = set(scope) | staged.category_days(spark, accepted=True)
+    if scope:
+        # A load without rows takes one key, so that its version has a number of its own.
+        after = reserve_ids(spark, warehouse, max(1, staged.rows_accepted))
+        rows = None
+        if staged.rows_accepted:
+            rows = with_identity(staged.accepted(spark), IDENTITY_COLUMN, after=after)
+        publish_version(spark, warehouse, after + 1, rows, scope)
+    _replace_rejects(spark, staged, warehouse.rejects, scope)
+
+
+def _replace_rejects(spark: SparkSession, staged: Staged, root: str, scope: Collection[CategoryDay]) -> None:
+    rejected = staged.category_days(spark, accepted=False)
+    if rejected:
+        write_rejects(staged.rejected(spark), root, replace=True)
+    for day in {d for d, _ in scope}:
+        drop_rejects(spark, root, day, lambda c: (day, c) in scope and (day, c) not in rejected)
+
+
+def _scope(
+    spark: SparkSession,
+    lake_root: str,
+    day: date,
+    categories: Sequence[str] | None,
+    stored: Iterable[CategoryDay],
+    rejects_root: str,
+) -> set[CategoryDay]:
+    """The category-days that a load of a day replaces.
+
+    They come from the lake's folders, with or without rows; a load of the whole day also replaces all that
+    is stored of it.
+    """
+    key = f"{day:%Y%m%d}"
+    here = {(key, category_name(c)) for c in categories_of_day(spark, lake_root, day)}
+    if categories is not None:
+        return here & {(key, category_name(c)) for c in categories}
+    return here | set(stored) | {(key, c) for c in rejected_categories(spark, rejects_root, key)}
 
 
 def load_day(
@@ -158,14 +201,21 @@ def load_day(
     """Load one day. A missing or empty day loads nothing and is not an error.
 
     ``append`` stores a repeated load twice; ``replace_day`` makes it idempotent: it replaces
-    the day, or with ``categories`` what the lake has of those, also where no row is accepted. Rows
-    that break a table constraint go to the warehouse's rejects instead.
+    the day, which is then empty if the lake has nothing of it, or with ``categories`` what the lake has
+    folders of, also where no row is accepted. Readers see the day before or the day after. Rows
+    that break a table constraint go to the warehouse's rejects instead. Two loads of one day must not run
+    at once.
     """
     _check_mode(mode)
     day = day or business_day(as_of, offset_hours)
     create_table(spark, warehouse)
     with _staged_day(spark, lake_root, day, categories) as staged:
-        publish(spark, staged, warehouse, mode, whole_days=categories is None)
+        if mode == "append":
+            append(spark, staged, warehouse)
+        else:
+            stored = stored_category_days(spark, warehouse, f"{day:%Y%m%d}")
+            scope = _scope(spark, lake_root, day, categories, stored, warehouse.rejects)
+            replace(spark, staged, warehouse, scope)
         return staged.result(day)
 
 
@@ -190,18 +240,20 @@ def load_day_to_database(
     _check_mode(mode)
     day = day or business_day(as_of, offset_hours)
     with _staged_day(spark, lake_root, day, categories) as staged:
-        accepted = rejected = set()
-        if mode == "replace_day":
-            accepted, rejected = (staged.category_days(spark, flag) for flag in (True, False))
-        if staged.rows_read:
-            read = None if categories is None else sorted({c for _, c in accepted | rejected})
+        replaces = mode == "replace_day"
+        scope = _scope(spark, lake_root, day, categories, (), rejects_root) if replaces else set()
+        named = None if categories is None else sorted({c for _, c in scope})
+        if staged.rows_read or (replaces and named != []):
             load_through_staging(
                 staged.accepted(spark) if staged.rows_accepted else None,
                 table,
                 staging_options,
                 run_transaction,
-                replace_day=day if mode == "replace_day" else None,
-                categories=read,
+                replace_day=day if replaces else None,
+                categories=named,
             )
-        _publish_rejects(spark, staged, rejects_root, mode, categories is None, accepted, rejected)
+        if replaces:
+            _replace_rejects(spark, staged, rejects_root, scope)
+        elif staged.rows_rejected:
+            write_rejects(staged.rejected(spark), rejects_root, replace=False)
         return staged.result(day)

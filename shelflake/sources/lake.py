@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from datetime import date, datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..files import any_match, path_exists, same_place as _same_place
+from ..files import any_match, matches, path_exists, same_place as _same_place
 from ..functions import business_day
 from ..schema import OFFSET_HOURS, PARTITION_COLUMNS, PARTITIONED_LAKE_SCHEMA
 from .missing import empty_frame
@@ -44,6 +45,18 @@ def read_day(
     return found if categories is None else found.where(F.col("category").isin(*categories))
 
 
+def categories_of_day(spark: SparkSession, root: str, day: date) -> set[str]:
+    """The categories that have a folder for a day, with or without rows."""
+    found = matches(spark, f"{root}/category=*/year={day:%Y}/month={day:%m}/day={day:%d}")
+    return {category_day(path)[1] for path in found}
+
+
+def category_day(folder: str) -> tuple[str, str]:
+    """Day as ``yyyymmdd`` and category of a category-day's folder."""
+    category, *day = (unquote(part.partition("=")[2]) for part in folder.rsplit("/", 4)[1:])
+    return "".join(day), category
+
+
 def read_folders(spark: SparkSession, root: str, folders: Sequence[str]) -> DataFrame:
     """Some category-days of the lake, by their folders. Folders that are gone have no rows."""
     there = [_plain(folder) for folder in folders if path_exists(spark, folder)]

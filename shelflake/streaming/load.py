@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import decoded
-from ..plans.load import publish, stage
+from ..plans.load import replace, stage
 from ..schema import PARTITIONED_LAKE_SCHEMA
 from ..session import passing_path
 from ..sinks.warehouse import Warehouse, create_table
-from ..sources.lake import read_folders
+from ..sources.lake import category_day, read_folders
 from .source import MAX_FILE_AGE
 
 
@@ -46,8 +46,9 @@ def load_new_files(
     def write(batch: DataFrame, batch_id: int) -> None:
         # The caller's session and not the batch's own, so that the caller sees the table change.
         with passing_path(spark, "load") as path:
-            staged = stage(read_folders(spark, lake_root, _folders(batch)), path)
-            publish(spark, staged, warehouse, "replace_day", whole_days=False)
+            folders = _folders(batch)
+            staged = stage(read_folders(spark, lake_root, folders), path)
+            replace(spark, staged, warehouse, {category_day(folder) for folder in folders})
 
     source = spark.readStream.schema(PARTITIONED_LAKE_SCHEMA).option("maxFileAge", MAX_FILE_AGE)
     if files_per_batch is not None:
