@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .feed import flawed_feed, raw_envelopes, raw_feed
+from .files import matches, remove_folder
 from .functions import (
     business_time,
     cleaned_price,
@@ -37,7 +38,7 @@ from .operators import (
     warehouse_rows,
     with_violations,
 )
-from .plans import ingest, load_day, organize
+from .plans import ingest, load_changed_days, load_day, organize
 from .schema import FILE_PREFIX, LAKE_SCHEMA, LISTING_FIELDS, SNAPSHOT_DAY, WAREHOUSE_SCHEMA
 from .session import passing_path, work_path
 from .sinks import write_flat, write_organized, write_partitioned
@@ -254,6 +255,17 @@ def lake_sql_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def lake_sql_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over what two writes have put into the lake, registered by the writes themselves."""
+    listings = _typed_feed(spark, sf_dir)
+    root, table = work_path(spark, "lake"), f"lake_{uuid.uuid4().hex}"
+    register_lake(spark, table, root, find=False)
+    write_partitioned(_on(listings, *DAYS[:2]), root, table=table)
+    write_partitioned(_on(listings, *DAYS[1:]), root, table=table)
+    return spark.sql(f"SELECT category, year, month, day, count(*) AS n_rows FROM {table} GROUP BY ALL")
+
+
 @registered
 def day_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _new_lake(spark, _typed_feed(spark, sf_dir))
@@ -436,6 +448,42 @@ def incremental_rewritten_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, warehouse)
 
 
+@registered
+def changed_days_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the load by ledger. Before the second one a day came, and another was written again."""
+    listings = _typed_feed(spark, sf_dir)
+    warehouse = _new_warehouse(spark)
+    with _passing_lake(spark, _on(listings, *DAYS[:2])) as root, passing_path(spark, "ledger") as ledger:
+        load_changed_days(spark, root, warehouse, ledger)
+        write_partitioned(_with_price(_on(listings, SECOND_DAY), "£7.50"), root)
+        write_partitioned(_on(listings, DAYS[2]), root)
+        load_changed_days(spark, root, warehouse, ledger)
+    return _table(spark, warehouse)
+
+
+@registered
+def changed_days_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What four runs report: two days, nothing new, a day written again and a new one, a day that vanished."""
+    listings = typed_listings(flawed_feed(spark, sf_dir))
+    warehouse = _new_warehouse(spark)
+    with _passing_lake(spark, _on(listings, *DAYS[:2])) as root, passing_path(spark, "ledger") as ledger:
+
+        def run():
+            return load_changed_days(spark, root, warehouse, ledger, remove_vanished=True)
+
+        runs = [run(), run()]
+        write_partitioned(_on(listings, *DAYS[1:]), root)
+        runs.append(run())
+        for folder in matches(spark, f"{root}/category=*/year=2024/month=01/day=01"):
+            remove_folder(spark, folder)
+        runs.append(run())
+    left = spark.table(warehouse.table).count()
+    return spark.createDataFrame(
+        [(n, r.category_days, r.rows_read, r.rows_loaded, r.rows_rejected, left) for n, r in enumerate(runs, 1)],
+        "run bigint, category_days bigint, rows_read bigint, rows_loaded bigint, rows_rejected bigint, rows_left bigint",
+    )
+
+
 # --- organizer ---------------------------------------------------------------
 
 

@@ -200,6 +200,8 @@ ORACLES: dict[str, str] = {
         SELECT category, {_KEYS}, asin, rank, product_price FROM typed
         WHERE category IN ('economy', 'small')
           AND CAST(fetch_timestamp AS DATE) = DATE '2024-01-03'""",
+    "lake_sql_written": f"""{_TYPED_FEED}
+        SELECT category, {_KEYS}, count(*) AS n_rows FROM typed GROUP BY ALL""",
     "day_row_count": f"""{_FEED}
         SELECT count(*) AS total_rows FROM feed
         WHERE CAST(fetch_timestamp AS DATE) = DATE '2024-01-02'""",
@@ -243,6 +245,30 @@ ORACLES: dict[str, str] = {
         {_FEED},{_typed("feed", price="CASE WHEN snap = 2 THEN '£7.50' ELSE product_price END")},
         {_warehouse()}
         SELECT {_WAREHOUSE_COLUMNS}, {_DAY} FROM warehouse""",
+    "changed_days_load": f"""
+        {_FEED},{_typed("feed", price="CASE WHEN snap = 2 THEN '£7.50' ELSE product_price END")},
+        {_warehouse()}
+        SELECT {_WAREHOUSE_COLUMNS}, {_DAY} FROM warehouse""",
+    "changed_days_counts": f"""{_FEED},{_FLAWED},{_typed("flawed")},{_warehouse()},
+        checked AS (
+            SELECT CAST(strftime(CAST(fetch_timestamp AS DATE), '%d') AS INTEGER) AS d, category,
+                   {_VIOLATIONS} <> '' AS broken
+            FROM warehouse
+        ),
+        runs AS (
+            SELECT * FROM (VALUES (1, [1, 2]), (2, []), (3, [2, 3]), (4, [])) AS r(run, days)
+        ),
+        counts AS (
+            SELECT run, count(DISTINCT (d, category)) FILTER (d IS NOT NULL) AS category_days, count(d) AS rows_read,
+                   count(d) FILTER (NOT broken) AS rows_loaded, count(d) FILTER (broken) AS rows_rejected
+            FROM runs LEFT JOIN checked ON list_contains(days, d) GROUP BY run
+        )
+        SELECT CAST(run AS BIGINT) AS run,
+               CASE run WHEN 4 THEN (SELECT count(DISTINCT category) FROM checked WHERE d = 1)
+                        ELSE category_days END AS category_days,
+               rows_read, rows_loaded, rows_rejected,
+               (SELECT count(*) FROM checked WHERE d > 1 AND NOT broken) AS rows_left
+        FROM counts""",
     "warehouse_replace_categories": f"""
         {_FEED},
         {_typed("feed", price="CASE WHEN snap = 2 AND category IN ('large', 'small') THEN '£7.50' ELSE product_price END")},

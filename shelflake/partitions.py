@@ -16,6 +16,17 @@ Key = tuple[str, ...]
 #: Partitions named in one statement.
 BATCH = 100
 
+#: How Spark names the folder of rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+# Characters that are escaped in folder names, beside control characters: fixed values of the format.
+_ESCAPED = set("\"#%'*/:=?\\\x7f{[]^")
+
+
+def escaped(value: str) -> str:
+    """A partition value as its folder is named."""
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED or c < " " else c for c in value)
+
 
 def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

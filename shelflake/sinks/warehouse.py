@@ -11,7 +11,7 @@ import time
 import uuid
 from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
-from urllib.parse import quote, unquote
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +27,15 @@ from ..files import (
     remove_if_bare,
     renamed,
 )
-from ..partitions import add_partitions, drop_partitions, literal, partition_folders, point_partitions
+from ..partitions import (
+    NO_VALUE,
+    add_partitions,
+    drop_partitions,
+    escaped,
+    literal,
+    partition_folders,
+    point_partitions,
+)
 from ..schema import IDENTITY_COLUMN, SNAPSHOT_DAY, WAREHOUSE_LIMITS, WAREHOUSE_SCHEMA
 
 
@@ -69,9 +77,6 @@ TABLE_COLUMNS = (
     *KEYS,
 )
 
-# How Spark names the folder of rows without a category.
-_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-
 
 def _catalog_type(field: T.StructField) -> str:
     limit = WAREHOUSE_LIMITS.get(field.name)
@@ -154,7 +159,7 @@ def _start_keys(spark: SparkSession, warehouse: Warehouse) -> None:
 
 def category_name(category: str | None) -> str:
     """A category as its folder is named."""
-    return _NO_VALUE if category is None or category == "" else category
+    return NO_VALUE if category is None or category == "" else category
 
 
 def stored_category_days(spark: SparkSession, warehouse: Warehouse, day: str) -> dict[CategoryDay, str]:
@@ -214,14 +219,11 @@ def _complete(spark: SparkSession, folder: str, scope: Collection[CategoryDay])
     there = _folders_of(spark, folder)
     for day, category in scope:
         if (day, category) not in there:
-            make_folder(spark, f"{folder}/{SNAPSHOT_DAY}={day}/category={quote(category, safe=_NOT_ESCAPED)}")
+            make_folder(spark, f"{folder}/{SNAPSHOT_DAY}={day}/category={escaped(category)}")
     mark(spark, f"{folder}/{_PUBLISHED}")
     return _folders_of(spark, folder)
 
 
-_NOT_ESCAPED = " "
-
-
 def _announce(spark: SparkSession, warehouse: Warehouse, keys: Collection[CategoryDay]) -> None:
     """Partitions for category-days that the table does not have yet, without a row so far."""
     empty = f"{warehouse.versions}/_none"

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..files import any_match, matches, path_exists, same_place as _same_place
 from ..functions import business_day
 from ..schema import OFFSET_HOURS, PARTITION_COLUMNS, PARTITIONED_LAKE_SCHEMA
+from ..partitions import NO_VALUE, add_partitions, escaped, literal
 from .missing import empty_frame
 
 
@@ -65,16 +66,29 @@ def read_folders(spark: SparkSession, root: str, folders: Sequence[str]) -> Data
     return spark.read.schema(PARTITIONED_LAKE_SCHEMA).option("basePath", root).parquet(*there)
 
 
+def read_category_days(
+    spark: SparkSession, root: str, keys: Sequence[tuple[str, str, str, str]]
+) -> DataFrame:
+    """Some category-days of the lake, by the values of their partition columns. All must be there."""
+    if not keys:
+        return empty_frame(spark, PARTITIONED_LAKE_SCHEMA)
+    folders = [
+        _plain("/".join([root, *(f"{n}={escaped(v)}" for n, v in zip(PARTITION_COLUMNS, key))])) for key in keys
+    ]
+    return spark.read.schema(PARTITIONED_LAKE_SCHEMA).option("basePath", root).parquet(*folders)
+
+
 def _plain(path: str) -> str:
     """A path that is not a pattern, whatever characters it has."""
     return re.sub(r"[\[\]{}*?\\]", r"\\\g<0>", path)
 
 
-def register_lake(spark: SparkSession, table: str, root: str) -> None:
+def register_lake(spark: SparkSession, table: str, root: str, *, find: bool = True) -> None:
     """Make the lake a catalog table for ad-hoc SQL.
 
-    The catalog prunes partitions before files are listed. Partitions that were written
-    around the catalog become visible with ``refresh_lake``.
+    The catalog prunes partitions before files are listed. With ``find`` the whole lake is listed for
+    partitions; without it the table has those that are added by ``add_days`` or by a write that names the
+    table. Partitions that were written around the catalog become visible with ``refresh_lake``.
     """
     if spark.catalog.tableExists(table):
         described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
@@ -83,12 +97,11 @@ def register_lake(spark: SparkSession, table: str, root: str) -> None:
             raise ValueError(f"{table} is registered at {known}, not at {root}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in PARTITIONED_LAKE_SCHEMA)
     keys = ", ".join(PARTITION_COLUMNS)
-    location = root.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"PARTITIONED BY ({keys}) LOCATION '{location}'"
+        f"PARTITIONED BY ({keys}) LOCATION {literal(root)}"
     )
-    if path_exists(spark, root):
+    if find and path_exists(spark, root):
         refresh_lake(spark, table)
 
 
@@ -96,13 +109,9 @@ def add_days(spark: SparkSession, table: str, days: DataFrame) -> None:
     """Make category-days (the partition columns) that were just written visible, and list nothing
     else.
     """
-    for row in days.select(*PARTITION_COLUMNS).distinct().toLocalIterator():
-        keys = ", ".join(f"{n}={_literal(row[n])}" for n in PARTITION_COLUMNS)
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({keys})")
-
-
-def _literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    named = [F.coalesce(F.nullif(F.col(n), F.lit("")), F.lit(NO_VALUE)).alias(n) for n in PARTITION_COLUMNS]
+    found = days.select(*named).distinct().toLocalIterator()
+    add_partitions(spark, table, PARTITION_COLUMNS, (tuple(row) for row in found))
 
 
 def refresh_lake(spark: SparkSession, table: str) -> None:
