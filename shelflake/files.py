@@ -83,14 +83,6 @@ def renamed(spark: SparkSession, source: str, target: str) -> bool:
         return False
 
 
-def move_over(spark: SparkSession, source: str, target: str) -> None:
-    """Put a folder in the place of another."""
-    file_system, hadoop_source = _resolve(spark, source)
-    _, hadoop_target = _resolve(spark, target)
-    file_system.delete(hadoop_target, True)
-    file_system.rename(hadoop_source, hadoop_target)
-
-
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder, if it is there, that this package has written."""
     file_system, hadoop_path = _resolve(spark, path)

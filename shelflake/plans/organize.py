@@ -72,7 +72,7 @@ def organize(
     # Both listings are used several times; they hold a line per file, not per row.
     with (
         kept(drop_files(spark, flat_root, prefix)) as files,
-        kept(organized_keys(spark, target_root)) as existing,
+        kept(organized_keys(spark, target_root, matched(files))) as existing,
     ):
         result = _counted(files, existing)
         if result.organized:

@@ -27,7 +27,7 @@ def _claimed_keys(spark: SparkSession, files: DataFrame, target_root: str, path:
     if not path_exists(spark, claims):
         drops = matched(files).select(*ORGANIZED_KEYS).distinct()
         (
-            not_organized(drops, organized_keys(spark, target_root))
+            not_organized(drops, organized_keys(spark, target_root, drops))
             .withColumn("done", F.lit(True))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

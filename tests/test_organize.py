@@ -6,11 +6,13 @@ import pytest
 from builders import listing, listings, write_file
 from pyspark.sql import functions as F
 
+from shelflake.files import remove_folder
 from shelflake.operators import files_behind, rows_of_files
 from shelflake.plans import OrganizeResult, organize
-from shelflake.sinks import write_flat
+from shelflake.sinks import write_flat, write_organized
 from shelflake.sources import drop_files, organized_keys, read_flat, read_organized
 from shelflake.sources.flat import scan_flat
+from shelflake.sources import organized
 from shelflake.sources.listing import kept
 from shelflake.sources.organized import compact_manifest
 
@@ -226,3 +228,116 @@ def test_a_prefix_that_looks_like_a_pattern(spark, tmp_path, target):
     write_file(tmp_path / "flat" / "best1_b_20240101.parquet", [listing(rank=2)])
     organize(spark, str(tmp_path / "flat"), target, prefix="best[1]")
     assert found(spark, target) == [("a", "best[1]_a_20240101", 1)]
+
+
+# --- the manifest ------------------------------------------------------------
+
+
+def many_keys(spark, count):
+    return spark.range(count).select(
+        F.concat(F.lit("c"), (F.col("id") % 7).cast("string")).alias("category"),
+        F.concat(F.lit("drop "), F.col("id").cast("string")).alias("file_key"),
+    )
+
+
+def all_keys(spark, target):
+    return {tuple(r) for r in organized_keys(spark, target).collect()}
+
+
+@pytest.fixture
+def stored(spark, target, monkeypatch):
+    monkeypatch.setattr(organized, "KEYS_PER_BUCKET", 10)
+    write_organized(listings(spark, [listing()]).withColumn("file_key", F.lit("x")), target)
+    organized.record_organized(many_keys(spark, 200), target)
+    compact_manifest(spark, target)
+    return target
+
+
+def bytes_read(spark, frame):
+    import os
+    from urllib.parse import urlparse
+
+    return sum(os.path.getsize(urlparse(path).path) for path in frame.inputFiles())
+
+
+def test_only_the_buckets_of_the_drops_are_read(spark, stored):
+    drops = many_keys(spark, 203).where("CAST(substr(file_key, 6) AS INT) > 197")
+    known = organized_keys(spark, stored, drops)
+    assert len(known.inputFiles()) <= 5
+    assert drops.join(known, ["category", "file_key"]).count() == 2
+    assert drops.join(known, ["category", "file_key"], "left_anti").count() == 3
+    assert all_keys(spark, stored) == {tuple(r) for r in many_keys(spark, 200).collect()}
+
+
+def test_bytes_read_do_not_grow_with_the_history(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(organized, "KEYS_PER_BUCKET", 100)
+    read = []
+    for count in (500, 5000):
+        target = str(tmp_path / f"t{count}")
+        organized.record_organized(many_keys(spark, count), target)
+        compact_manifest(spark, target)
+        drops = many_keys(spark, count).limit(3)
+        read.append(bytes_read(spark, organized_keys(spark, target, drops)))
+    assert 0 < read[1] < 1.5 * read[0]
+
+
+@pytest.mark.parametrize("step", ["mark", "remove_folder"])
+def test_a_compaction_that_stops_loses_no_key(spark, stored, monkeypatch, step):
+    from shelflake import generations
+
+    before = all_keys(spark, stored)
+    organized.record_organized(many_keys(spark, 230), stored)
+    expected = before | {tuple(r) for r in many_keys(spark, 230).collect()}
+
+    def stop(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr(generations if step == "mark" else organized, step, stop)
+        compact_manifest(spark, stored)
+    assert all_keys(spark, stored) == expected
+    compact_manifest(spark, stored)
+    assert all_keys(spark, stored) == expected
+
+
+def test_keys_added_during_a_compaction_stay(spark, stored, monkeypatch):
+    write = organized.write_generation
+
+    def meanwhile(*args, **options):
+        organized.record_organized(many_keys(spark, 201), stored)
+        return write(*args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(organized, "write_generation", meanwhile)
+        compact_manifest(spark, stored)
+    assert len(all_keys(spark, stored)) == 201
+    compact_manifest(spark, stored)
+    assert len(all_keys(spark, stored)) == 201
+
+
+def test_a_drop_without_rows_stays_known(spark, flat, target):
+    organize(spark, str(flat), target)
+    for _ in range(2):
+        compact_manifest(spark, target)
+        assert ("empty", EMPTY) in all_keys(spark, target)
+        assert organize(spark, str(flat), target) == OrganizeResult(0, 3, 1)
+
+
+def test_a_manifest_of_an_earlier_release(spark, flat, target):
+    """Its keys lie in files of the manifest's own folder."""
+    organize(spark, str(flat), target)
+    keys = organized_keys(spark, target).collect()
+    remove_folder(spark, organized.manifest(target))
+    spark.createDataFrame(keys, organized.KEY_SCHEMA).write.parquet(organized.manifest(target))
+    assert organize(spark, str(flat), target).organized == 0
+    compact_manifest(spark, target)
+    assert organize(spark, str(flat), target).organized == 0
+    assert len(all_keys(spark, target)) == 3
+
+
+def test_an_empty_manifest(spark, target):
+    organized.record_organized(many_keys(spark, 0), target)
+    assert all_keys(spark, target) == set()
+    compact_manifest(spark, target)
+    assert all_keys(spark, target) == set()
+    assert organized_keys(spark, target, many_keys(spark, 3)).isEmpty()
