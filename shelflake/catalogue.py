@@ -27,14 +27,17 @@ from .functions import (
     to_long,
 )
 from .operators import (
+    LOSSES,
     category_status,
     distinct_drops,
     files_behind,
     listings_of,
+    lost_values,
     parsed,
     rejected,
     status_lines,
     typed_listings,
+    warehouse_losses,
     warehouse_rows,
     with_violations,
 )
@@ -300,6 +303,15 @@ def derive_short_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def lost_values_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of values that the casts from text to the table's types have lost."""
+    typed = typed_listings(raw_feed(spark, sf_dir), losses=True)
+    bits = F.col(LOSSES).bitwiseOR(warehouse_losses()).alias(LOSSES)
+    rows = warehouse_rows(typed, day_key(F.col("fetch_timestamp")).alias(SNAPSHOT_DAY), bits)
+    return lost_values(rows, SNAPSHOT_DAY, "category")
+
+
 @registered
 def etl_warehouse_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lake, one day's scan and the whole cleaning transform."""

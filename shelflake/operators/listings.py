@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import to_double, to_long
 from ..schema import ENVELOPE_SCHEMA, LAKE_SCHEMA
+from .losses import LOSSES, loss_bits
 
 
 def parsed(envelopes: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
@@ -39,21 +40,36 @@ def listings_of(parsed_envelopes: DataFrame) -> DataFrame:
     )
 
 
-def typed_listings(listings: DataFrame, fetched_at: Column | None = None) -> DataFrame:
-    """The lake's columns plus ``category``.
+def responses_and_listings(parsed_envelopes: DataFrame) -> DataFrame:
+    """A row for each listing, and one for each response that has none, all values still text.
+
+    ``position`` counts the listings of a response from 0 and is NULL where there are none; ``usable`` tells
+    a response without a list from one with an empty one. So the rows tell all about the responses.
+    """
+    marked = parsed_envelopes.select("category", "best_sellers", F.col("best_sellers").isNotNull().alias("usable"))
+    exploded = marked.select("category", "usable", F.posexplode_outer("best_sellers").alias("position", "listing"))
+    return exploded.select("category", "usable", "position", "listing.*")
+
+
+def typed_listings(
+    listings: DataFrame, fetched_at: Column | None = None, *more: Column | str, losses: bool = False
+) -> DataFrame:
+    """The lake's columns plus ``category``, and more if asked for.
 
     ``fetched_at`` stamps the rows of a fresh fetch; without it the listings must
-    already carry ``fetch_timestamp``. A missing price stays NULL.
+    already carry ``fetch_timestamp``. A missing price stays NULL. With ``losses`` a row also has the
+    bits of the numbers that its text did not give.
     """
     if fetched_at is not None:
         listings = listings.withColumn("fetch_timestamp", fetched_at)
-    coerced = listings.withColumns(
-        {
-            "rank": to_long(F.col("rank")),
-            "product_num_ratings": to_long(F.col("product_num_ratings")),
-            "product_star_rating": to_double(F.col("product_star_rating")),
-            "product_price": F.col("product_price").cast("string"),
-        }
-    )
+    numbers = {
+        "rank": to_long(F.col("rank")),
+        "product_num_ratings": to_long(F.col("product_num_ratings")),
+        "product_star_rating": to_double(F.col("product_star_rating")),
+    }
+    if losses:
+        bits = loss_bits({name: F.col(name) for name in numbers}, numbers)
+        listings, more = listings.withColumn(LOSSES, bits), (*more, LOSSES)
+    coerced = listings.withColumns(numbers | {"product_price": F.col("product_price").cast("string")})
     lake_columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in LAKE_SCHEMA]
-    return coerced.select(*lake_columns, "category")
+    return coerced.select(*lake_columns, "category", *more)

@@ -28,8 +28,27 @@ def category_status(
         F.count_if(~F.col("usable")).alias("failed_count"),
         F.sum(F.when(F.col("usable"), F.col("listings")).otherwise(0)).alias("row_count"),
     )
+    return _reported(summed, categories)
+
+
+def status_of_rows(rows: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
+    """The same from the stored rows of responses and their listings, of which it reads two small columns.
+
+    A response has one row that is its first listing or stands for none.
+    """
+    first = F.coalesce("position", F.lit(0)) == 0
+    summed = rows.groupBy("category").agg(
+        F.bool_or("usable").alias("ok"),
+        F.count_if(first).alias("response_count"),
+        F.count_if(~F.col("usable")).alias("failed_count"),
+        F.count("position").alias("row_count"),
+    )
+    return _reported(summed, categories)
+
+
+def _reported(summed: DataFrame, categories: Sequence[str] | None) -> DataFrame:
     if categories is not None:
-        asked = parsed_envelopes.sparkSession.range(1).select(
+        asked = summed.sparkSession.range(1).select(
             F.explode(F.array(*(F.lit(name) for name in categories))).alias("category")
         )
         summed = asked.join(summed, "category", "left").na.fill(

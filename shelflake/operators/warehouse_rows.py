@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import cleaned_price, currency_of, short_title
 from ..schema import DROPPED_BY_LOAD, WAREHOUSE_SCHEMA
+from .losses import LOSS_COLUMNS, loss_bits
 
 
 def warehouse_rows(listings: DataFrame, *more: Column) -> DataFrame:
@@ -27,6 +28,12 @@ def warehouse_rows(listings: DataFrame, *more: Column) -> DataFrame:
     return derived.select(*(_as_stored(f) for f in WAREHOUSE_SCHEMA), *more)
 
 
+def warehouse_losses() -> Column:
+    """The bits of what :func:`warehouse_rows` loses, to be asked for with it."""
+    fields = [f for f in WAREHOUSE_SCHEMA if f.name in LOSS_COLUMNS]
+    return loss_bits({f.name: F.col(f.name) for f in fields}, {f.name: _as_stored(f) for f in fields})
+
+
 def _as_stored(field: T.StructField) -> Column:
     """The column in its table type. Zone-less times are UTC, whatever zone the session has."""
     value = F.col(field.name)

@@ -216,6 +216,23 @@ ORACLES: dict[str, str] = {
         SELECT {_WAREHOUSE_COLUMNS} FROM warehouse
         WHERE CAST(fetch_timestamp AS DATE) = DATE '2024-01-02'""",
     "etl_warehouse_all": f"{_WAREHOUSE_FEED} SELECT {_WAREHOUSE_COLUMNS} FROM warehouse",
+    "lost_values_by_day": f"""{_FEED},{_typed("(SELECT *, rank AS rank_text, product_num_ratings AS ratings_text, product_star_rating AS star_text FROM feed)").replace("category, snap", "category, snap, rank_text, ratings_text, star_text")},
+        final AS (
+            SELECT strftime(fetch_timestamp, '%Y%m%d') AS snapshot_day, category,
+                   ratings_text IS NOT NULL AND TRY_CAST(product_num_ratings AS INTEGER) IS NULL AS a,
+                   rank_text IS NOT NULL AND TRY_CAST(rank AS INTEGER) IS NULL AS b,
+                   star_text IS NOT NULL AND product_star_rating IS NULL AS c,
+                   product_price IS NOT NULL AND TRY_CAST({_CLEANED} AS DECIMAL(10,2)) IS NULL AS d
+            FROM typed
+        ),
+        counted AS (
+            SELECT snapshot_day, category, count(*) AS n_rows,
+                   [count(*) FILTER (a), count(*) FILTER (b), count(*) FILTER (c), count(*) FILTER (d)] AS n
+            FROM final GROUP BY snapshot_day, category
+        )
+        SELECT snapshot_day, category, n_rows, column_name, n[i] AS n_lost
+        FROM counted, (VALUES (1, 'product_num_ratings'), (2, 'rank'), (3, 'product_star_rating'),
+                              (4, 'product_price')) AS names(i, column_name)""",
     "constraint_rejects": f"""{_FEED},{_FLAWED},{_typed("flawed")},{_warehouse()}
         SELECT {_WAREHOUSE_COLUMNS}, {_VIOLATIONS} AS violations
         FROM warehouse WHERE {_VIOLATIONS} <> ''""",

@@ -6,10 +6,12 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions import business_time
-from ..operators import category_status, listings_of, parsed, typed_listings
+from ..operators import parsed, responses_and_listings, status_of_rows, typed_listings
 from ..schema import OFFSET_HOURS
+from ..session import passing_path
 from ..sinks.lake import write_partitioned
 
 
@@ -27,8 +29,18 @@ def ingest(
     All categories go through one plan and one write. An unusable response does not
     stop the others; it shows in the status. Pass ``write=write_flat`` for the flat
     layout. A run repeated on the same day replaces its own category-days.
+
+    Each response is parsed once: its listings are stored typed in the shared folder, with a row for each
+    response that has none. The lake is written from the stored rows and the status is counted from them,
+    so a task that was repeated is not counted twice. The status is there when this returns.
     """
-    documents = parsed(envelopes, categories)
-    listings = typed_listings(listings_of(documents), business_time(as_of, offset_hours))
-    write(listings, root)
-    return category_status(documents, categories)
+    spark = envelopes.sparkSession
+    rows = responses_and_listings(parsed(envelopes, categories))
+    typed = typed_listings(rows, business_time(as_of, offset_hours), "usable", "position")
+    with passing_path(spark, "ingest") as path:
+        typed.write.parquet(path)
+        stored = spark.read.schema(typed.schema).parquet(path)
+        write(stored.where(F.col("position").isNotNull()).drop("usable", "position"), root)
+        # A row for each category.
+        status = status_of_rows(stored, categories)
+        return spark.createDataFrame(status.collect(), status.schema)

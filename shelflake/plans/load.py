@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection, Iterable, Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -12,8 +12,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import business_day, day_key
-from ..operators import warehouse_rows, with_identity, with_violations
+from ..operators import (
+    LOSSES,
+    loss_counts,
+    lost_values,
+    warehouse_losses,
+    warehouse_rows,
+    with_identity,
+    with_violations,
+)
 from ..operators.constraints import VIOLATIONS
+from ..operators.losses import LOSS_COLUMNS
 from ..schema import IDENTITY_COLUMN, OFFSET_HOURS, SNAPSHOT_DAY, WAREHOUSE_SCHEMA
 from ..session import passing_path
 from ..sinks.jdbc import load_through_staging
@@ -47,6 +56,8 @@ class LoadResult:
     rows_read: int
     rows_loaded: int
     rows_rejected: int
+    #: Values that were there and do not fit their column's type, by column.
+    lost: dict[str, int] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -56,13 +67,14 @@ class Staged:
     root: str
     rows_read: int
     rows_rejected: int
+    lost: dict[str, int]
 
     @property
     def rows_accepted(self) -> int:
         return self.rows_read - self.rows_rejected
 
     def result(self, day: date) -> LoadResult:
-        return LoadResult(day, self.rows_read, self.rows_accepted, self.rows_rejected)
+        return LoadResult(day, self.rows_read, self.rows_accepted, self.rows_rejected, self.lost)
 
     def accepted(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(_STAGED_SCHEMA).parquet(f"{self.root}/accepted=true")
@@ -71,6 +83,11 @@ class Staged:
         schema = T.StructType(_STAGED_SCHEMA.fields + [T.StructField(VIOLATIONS, T.StringType())])
         return spark.read.schema(schema).parquet(f"{self.root}/accepted=false")
 
+    def losses(self, spark: SparkSession) -> DataFrame:
+        """The number of lost values of each category-day and column."""
+        kept = T.StructType().add(SNAPSHOT_DAY, "string").add("category", "string").add(LOSSES, "integer")
+        return lost_values(spark.read.schema(kept).parquet(self.root), SNAPSHOT_DAY, "category")
+
     def category_days(self, spark: SparkSession, accepted: bool) -> set[CategoryDay]:
         """(day, category) of the accepted or of the rejected rows; as few as the lake has folders."""
         if not (self.rows_accepted if accepted else self.rows_rejected):
@@ -94,18 +111,21 @@ def stage(listings: DataFrame, path: str) -> Staged:
     counts = Observation()
     in_lake = set(_DAY_KEYS) <= set(listings.columns)
     day = F.concat(*_DAY_KEYS) if in_lake else day_key(F.col("fetch_timestamp"))
-    rows = warehouse_rows(listings, day.alias(SNAPSHOT_DAY))
+    rows = warehouse_rows(listings, day.alias(SNAPSHOT_DAY), warehouse_losses().alias(LOSSES))
     checked = with_violations(rows).observe(
         counts,
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(F.col(VIOLATIONS) != "").alias("rows_rejected"),
+        *loss_counts(),
     )
     (
         checked.withColumn("accepted", F.col(VIOLATIONS) == "")
         .write.partitionBy("accepted")
         .parquet(path)
     )
-    return Staged(path, counts.get["rows_read"], counts.get["rows_rejected"])
+    found = dict(counts.get)
+    lost = {name: found[f"lost_{name}"] for name in LOSS_COLUMNS if found[f"lost_{name}"]}
+    return Staged(path, found["rows_read"], found["rows_rejected"], lost)
 
 
 @contextmanager

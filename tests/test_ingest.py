@@ -5,8 +5,20 @@ from datetime import datetime
 
 import pytest
 from builders import NOON
-
-from shelflake.operators import category_status, listings_of, parsed, status_lines, typed_listings
+from pyspark.sql import functions as F
+
+from shelflake.operators import (
+    LOSSES,
+    category_status,
+    listings_of,
+    lost_values,
+    parsed,
+    responses_and_listings,
+    status_lines,
+    typed_listings,
+    warehouse_losses,
+    warehouse_rows,
+)
 from shelflake.plans import ingest
 from shelflake.schema import LAKE_SCHEMA, PARTITIONED_LAKE_SCHEMA
 from shelflake.sinks import write_flat
@@ -130,3 +142,43 @@ def test_stored_responses(spark, tmp_path, whole_files):
     envelopes = read_envelopes(spark, str(tmp_path / "in"), whole_files=whole_files)
     found = sorted((r.category, r.asin) for r in listings_of(parsed(envelopes)).collect())
     assert found == [("007", "A1")] * 2 + [("kitchen", "A1")] * 2
+
+
+def test_responses_are_parsed_once(spark):
+    rows = typed_listings(responses_and_listings(parsed(envelopes(spark))), F.lit(NOON).cast("timestamp_ntz"), "usable", "position")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def envelopes(spark):
+    good = body({"rank": "1"}, {"rank": "x"})
+    bodies = [("a", good), ("a", "no json"), ("a", '{"data":{"best_sellers":[]}}'), ("b", None), ("b", '{"data":{}}')]
+    return spark.createDataFrame(bodies, "category string, body string")
+
+
+def test_status_of_repeated_tasks(spark, root):
+    """Each task dies once after its work; the status is exact and there when the run is."""
+    from test_retries import dying_once
+
+    status = ingest(dying_once(envelopes(spark).repartition(3)), root, as_of=NOON, categories=["a", "b", "c"])
+    found = {r.category: (r.ok, r.response_count, r.failed_count, r.row_count) for r in status.collect()}
+    assert found == {"a": (True, 3, 1, 2), "b": (False, 2, 2, 0), "c": (False, 0, 0, 0)}
+    assert sorted(r["rank"] or 0 for r in read_lake(spark, root).collect()) == [0, 1]
+    expected = category_status(parsed(envelopes(spark)), ["a", "b", "c"])
+    assert sorted(status.collect()) == sorted(expected.collect())
+    assert status.schema.simpleString() == expected.schema.simpleString()
+
+
+def test_lost_numbers(spark):
+    rows = [("1", "2", "3.5", "$1"), ("x", None, "NaN", None), ("9999999999", "1e30", "", "free"), (None, "2.5", "bad", "$99999999999")]
+    text = spark.createDataFrame(rows, "rank string, product_num_ratings string, product_star_rating string, product_price string")
+    others = ("asin", "product_title", "product_url", "product_photo", "rank_change_label")
+    text = text.selectExpr("*", *(f"CAST(NULL AS STRING) AS {n}" for n in others), "'c' AS category")
+    typed = typed_listings(text, F.lit(NOON).cast("timestamp_ntz"), losses=True)
+    bits = F.col(LOSSES).bitwiseOR(warehouse_losses()).alias(LOSSES)
+    table = warehouse_rows(typed, bits)
+    lost = {r.column_name: (r.n_lost, r.n_rows) for r in lost_values(table, "category").collect()}
+    assert lost == {
+        "rank": (2, 4), "product_num_ratings": (2, 4), "product_star_rating": (3, 4), "product_price": (2, 4),
+    }
+    assert [r[LOSSES] for r in table.collect()] == [0, 0b0110, 0b1111, 0b1101]

@@ -14,6 +14,7 @@ from shelflake.schema import WAREHOUSE_SCHEMA
 from shelflake.session import shared_folder
 from shelflake.sinks import write_partitioned
 from shelflake.sinks.warehouse import Warehouse, create_table, reserve_ids
+from shelflake.sources import read_day
 
 DAYS = [date(2024, 1, 1) + timedelta(days=n) for n in range(3)]
 
@@ -167,8 +168,6 @@ def test_limits_count_characters(spark):
 
 
 def test_staging_reads_its_input_once_and_is_removed(spark, lake, warehouse, tmp_path, count_jobs):
-    from shelflake.sources import read_day
-
     frame = read_day(spark, lake, day=DAYS[1])
     staged = []
     assert count_jobs(lambda: staged.append(stage(frame, str(tmp_path / "staged")))) == 1
@@ -279,3 +278,13 @@ def test_instants_do_not_depend_on_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert found == {1704110400}
+
+
+def test_lost_values_of_a_load(spark, root, warehouse, tmp_path):
+    rows = day_rows(0, 2) + [listing(rank=3_000_000_000, product_price="free"), listing(asin=None, rank=2**40)]
+    write_partitioned(listings(spark, rows), root)
+    assert load_day(spark, root, warehouse, day=DAYS[0]).lost == {"rank": 2, "product_price": 1}
+    staged = stage(read_day(spark, root, day=DAYS[0]), str(tmp_path / "staged"))
+    found = {r.column_name: (r.snapshot_day, r.category, r.n_rows, r.n_lost) for r in staged.losses(spark).collect()}
+    assert found["rank"] == ("20240101", "kitchen", 4, 2)
+    assert found["product_star_rating"] == ("20240101", "kitchen", 4, 0)
