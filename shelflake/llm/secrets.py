@@ -31,11 +31,12 @@ HINTS = {
     "assign": r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]""",
     "access": r"AKIA[A-Z0-9]{16}",
     "hex": r"[0-9a-f]{24}",
-    "entropy": r"(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20}",
+    "entropy": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20}",
 }
 
-#: Runs of 20 or more that hold a digit; shorter ones are too short for their entropy to mean much.
-CANDIDATE = r"((?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,})()"
+#: Runs of 20 or more that hold a digit; shorter ones are too short for their entropy to mean much. A run is
+#: looked through for its digit once, from where it begins.
+CANDIDATE = r"((?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,})()"
 WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
@@ -114,18 +115,30 @@ def _total(pieces: Column) -> Column:
     return F.aggregate(pieces, F.lit(0), lambda total, p: total + p["gap"] + p["len"])
 
 
+def _before(parts: Column, total: Callable[[Column], Column], sums: list[Column], i: Column) -> Column:
+    """The sum of the first i parts: of whole blocks, of whole blocks of blocks, and of the rest."""
+    if not sums:
+        return total(F.slice(parts, F.lit(1), i))
+    block = F.floor(i / _BLOCK).cast("int")
+    rest = total(F.slice(parts, block * _BLOCK + 1, i % _BLOCK))
+    return _before(sums[0], _sum, sums[1:], block) + rest
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda total, n: total + n)
+
+
 def _spans(kind: str, holds: Callable[[Column], Column]) -> Column:
     """The pieces with their places, those that hold only. Needs the sums of _block_sums.
 
-    A place is the sum of all lengths before it: of whole blocks, and of the pieces before it in its
-    block.
+    A place is the sum of all lengths before it.
     """
-    pieces, sums = F.col(kind), F.col(f"{kind}_sums")
+    pieces, sums = F.col(kind), [F.col(f"{kind}_sums"), F.col(f"{kind}_sums2")]
 
     def placed(p: Column, i: Column) -> Column:
-        block = F.floor(i / _BLOCK).cast("int")
-        before = F.aggregate(F.slice(sums, F.lit(1), block), F.lit(0), lambda total, n: total + n)
-        before += _total(F.slice(pieces, block * _BLOCK + 1, i % _BLOCK))
+        return F.transform(F.array(_before(pieces, _total, sums, i)), lambda before: span(p, before))[0]
+
+    def span(p: Column, before: Column) -> Column:
         return F.struct(
             (before + p["gap"]).alias("start"),
             F.lit(KINDS.index(kind)).alias("rank"),
@@ -138,11 +151,12 @@ def _spans(kind: str, holds: Callable[[Column], Column]) -> Column:
     return F.filter(F.transform(pieces, placed), holds)
 
 
-def _block_sums(kind: str) -> Column:
-    pieces = F.col(kind)
-    blocks = F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / _BLOCK).cast("int"))
-    sums = F.transform(blocks, lambda c: _total(F.slice(pieces, c * _BLOCK + 1, F.lit(_BLOCK))))
-    return F.when(F.size(pieces) > 0, sums)
+def _block_sums(parts: str, total: Callable[[Column], Column]) -> Column:
+    """The sum of each block of parts."""
+    column = F.col(parts)
+    blocks = F.sequence(F.lit(0), F.floor((F.size(column) - 1) / _BLOCK).cast("int"))
+    sums = F.transform(blocks, lambda c: total(F.slice(column, c * _BLOCK + 1, F.lit(_BLOCK))))
+    return F.when(F.size(column) > 0, sums)
 
 
 def _hot_part(value: Column, settings: Settings) -> Column:
@@ -162,34 +176,36 @@ def _hot_part(value: Column, settings: Settings) -> Column:
         limit = F.lit(math.floor(1e6 * w * (math.log2(w) - bits) + 0.5)).cast("bigint")
         bound = F.when(F.rlike(value, F.lit(pattern)), limit).otherwise(bound)
 
-    def code(place: Column) -> Column:
-        return F.instr(F.lit(ALPHABET), F.substring(value, place, F.lit(1)))
-
-    def step(state: Column, k: Column) -> Column:
-        # One character enters, and one leaves (0: none does yet).
-        moved = F.array(
-            F.struct(
-                code(k).alias("enters"), F.when(k > w, code(k - w)).otherwise(F.lit(0)).alias("leaves")
-            )
-        )
-        return F.transform(moved, lambda m: counted(state, k, m))[0]
-
-    def counted(state: Column, k: Column, m: Column) -> Column:
-        counts, enters, leaves = state["counts"], m["enters"], m["leaves"]
-        n_in = F.element_at(counts, enters)
-        n_out = F.element_at(counts, F.greatest(leaves, F.lit(1))) + F.when(
-            leaves == enters, F.lit(1)
-        ).otherwise(F.lit(0))
-        total = state["sum"] + F.get(weight, n_in + 1) - F.get(weight, n_in)
-        total += F.when(leaves > 0, F.get(weight, n_out - 1) - F.get(weight, n_out)).otherwise(F.lit(0))
+    # Each step: the place, the character that enters the window there, and the one that leaves (0: none yet).
+    codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+
+    def steps(codes: Column) -> Column:
+        gone = F.concat(F.array_repeat(F.lit(0), w), F.slice(codes, F.lit(1), F.size(codes) - w))
+        places = F.sequence(F.lit(1), F.size(codes))
+        return F.arrays_zip(places.alias("k"), codes.alias("enters"), gone.alias("leaves"))
+
+    def put(counts: Column, place: Column, n: Column) -> Column:
+        size = F.lit(len(ALPHABET))
+        return F.concat(F.slice(counts, F.lit(1), place - 1), F.array(n), F.slice(counts, place + 1, size))
+
+    def step(state: Column, m: Column) -> Column:
+        n_in = F.element_at(state["counts"], m["enters"])
+        gained = F.get(weight, n_in + 1) - F.get(weight, n_in)
+        entered = put(state["counts"], m["enters"], n_in + 1)
+        return F.transform(F.array(entered), lambda counts: left(state, m, counts, state["sum"] + gained))[0]
+
+    def left(state: Column, m: Column, counts: Column, total: Column) -> Column:
+        some = m["leaves"] > 0
+        n_out = F.element_at(counts, F.greatest(m["leaves"], F.lit(1)))
+        lost = F.get(weight, n_out) - F.get(weight, n_out - 1)
+        kept = F.when(some, put(counts, F.greatest(m["leaves"], F.lit(1)), n_out - 1)).otherwise(counts)
+        rest = F.when(some, total - lost).otherwise(total)
+        return F.transform(F.array(rest), lambda total: moved(state, m["k"], kept, total))[0]
+
+    def moved(state: Column, k: Column, counts: Column, total: Column) -> Column:
         hot = (k >= w) & (total <= state["bound"])
         return F.struct(
-            F.transform(
-                counts,
-                lambda n, j: n
-                + F.when(j + 1 == enters, F.lit(1)).otherwise(F.lit(0))
-                - F.when(j + 1 == leaves, F.lit(1)).otherwise(F.lit(0)),
-            ).alias("counts"),
+            counts.alias("counts"),
             total.alias("sum"),
             F.when(hot & (state["first"] == 0), k - (w - 1)).otherwise(state["first"]).alias("first"),
             F.when(hot, k).otherwise(state["last"]).alias("last"),
@@ -204,7 +220,7 @@ def _hot_part(value: Column, settings: Settings) -> Column:
         bound.alias("bound"),
     )
     return F.aggregate(
-        F.sequence(F.lit(1), F.char_length(value)),
+        F.transform(F.array(codes), steps)[0],
         start,
         step,
         lambda s: F.when(s["first"] > 0, F.struct(s["first"].alias("first"), s["last"].alias("last"))),
@@ -215,20 +231,56 @@ def _place(start: Column, rank: Column, end: Column) -> Column:
     return F.struct(start.alias("start"), rank.alias("rank"), end.alias("end"))
 
 
+def _first(spans: Column, holds: Callable[[Column], Column]) -> Column:
+    """The number of the first span that holds, where all behind it do too; by bisection."""
+    low, high = F.lit(0).alias("low"), F.size(spans).alias("high")
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        return F.transform(F.array(middle), lambda m: narrowed(state, m))[0]
+
+    def narrowed(state: Column, middle: Column) -> Column:
+        # Behind the last span nothing is asked.
+        left = F.coalesce(holds(F.get(spans, middle)), F.lit(True))
+        still = state["low"] < state["high"]
+        return F.struct(
+            F.when(still & ~left, middle + 1).otherwise(state["low"]).alias("low"),
+            F.when(still & left, middle).otherwise(state["high"]).alias("high"),
+        )
+
+    turns = F.sequence(F.lit(0), F.floor(F.log2(F.size(spans) + 1)).cast("int"))
+    return F.aggregate(turns, F.struct(low, high), halve, lambda s: s["low"])
+
+
+def _touching(h: Column) -> Column:
+    """The base spans that overlap a span, in order. Those of one kind stand in order, apart from each other."""
+
+    def of_kind(kind: str) -> Column:
+        spans = F.col(f"{kind}_spans")
+        first = _first(spans, lambda b: b["end"] > h["start"])
+        end = _first(spans, lambda b: b["start"] >= h["end"])
+        return F.slice(spans, first + 1, F.greatest(end - first, F.lit(0)))
+
+    return F.array_sort(F.concat(*(of_kind(k) for k in KINDS[:3])))
+
+
 def _told(h: Column) -> Column:
     """How far from its start base spans tell a span without a gap."""
     return F.aggregate(
-        "base",
+        _touching(h),
         h["start"],
         lambda told, b: F.when(b["start"] <= told, F.greatest(told, b["end"])).otherwise(told),
     )
 
 
-def scan(docs: DataFrame, settings: Settings = Settings(), whole: bool = False) -> DataFrame:
+_SPANS = "array<struct<start:int,rank:int,end:int>>"
+
+
+def scan(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id and its spans: arrays of (start, rank of the kind, end), in order.
 
-    base holds the kinds found by form; spans holds them and what the entropy adds: spans that touch
-    none of them, or, if whole, all that base does not tell from end to end.
+    base holds the kinds found by form; spans holds them and what the entropy adds: all spans that base does
+    not tell from end to end.
     """
     patterns = dict(zip(KINDS, (ASSIGN, ACCESS, HEX, CANDIDATE)))
     holds = {
@@ -239,14 +291,9 @@ def scan(docs: DataFrame, settings: Settings = Settings(), whole: bool = False)
     }
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("doc_id", *(_pieces(k, patterns[k]).alias(k) for k in KINDS))
-    rows = rows.select("*", *(_block_sums(k).alias(f"{k}_sums") for k in KINDS))
-    none = F.array().cast("array<struct<start:int,rank:int,end:int>>")
-    places = [
-        F.coalesce(
-            F.transform(_spans(k, holds[k]), lambda s: _place(s["start"], s["rank"], s["end"])), none
-        )
-        for k in KINDS[:3]
-    ]
+    rows = rows.select("*", *(_block_sums(k, _total).alias(f"{k}_sums") for k in KINDS))
+    rows = rows.select("*", *(_block_sums(f"{k}_sums", _sum).alias(f"{k}_sums2") for k in KINDS))
+    none = F.array().cast(_SPANS)
 
     def hot(s: Column) -> Column:
         part = F.array(_hot_part(s["value"], settings))
@@ -257,29 +304,19 @@ def scan(docs: DataFrame, settings: Settings = Settings(), whole: bool = False)
             ),
         )[0]
 
+    suspects = F.flatten(F.transform(_spans("entropy", holds["entropy"]), lambda s: _suspect(s, settings)))
     rows = rows.select(
         "doc_id",
-        F.array_sort(F.concat(*places)).alias("base"),
-        F.array_compact(
+        *(
             F.coalesce(
-                F.transform(
-                    F.flatten(
-                        F.transform(_spans("entropy", holds["entropy"]), lambda s: _suspect(s, settings))
-                    ),
-                    hot,
-                ),
-                none,
-            )
-        ).alias("hot"),
+                F.transform(_spans(k, holds[k]), lambda s: _place(s["start"], s["rank"], s["end"])), none
+            ).alias(f"{k}_spans")
+            for k in KINDS[:3]
+        ),
+        F.array_compact(F.coalesce(F.transform(suspects, hot), none)).alias("hot"),
     )
-    if whole:
-        # What base spans, which are in order, tell already from end to end is not told again.
-        news = F.filter("hot", lambda h: _told(h) < h["end"])
-    else:
-        news = F.filter(
-            "hot",
-            lambda h: ~F.exists("base", lambda b: (b["start"] < h["end"]) & (h["start"] < b["end"])),
-        )
+    rows = rows.select("*", F.array_sort(F.concat(*(f"{k}_spans" for k in KINDS[:3]))).alias("base"))
+    news = F.filter("hot", lambda h: _told(h) < h["end"])
     return rows.select("doc_id", "base", F.array_sort(F.concat("base", news)).alias("spans"))
 
 
@@ -324,7 +361,7 @@ def redacted(docs: DataFrame, settings: Settings = Settings(), mark: str = "[sec
         take,
         lambda s: F.concat(s["text"], F.substring(text, s["at"] + 1, F.char_length(text))),
     )
-    return scan(whole, settings, whole=True).withColumnRenamed("doc_id", "row").select(
+    return scan(whole, settings).withColumnRenamed("doc_id", "row").select(
         "row.doc_id",
         F.when(F.size("spans") == 0, text).otherwise(clean).alias("text"),
     )

@@ -163,6 +163,20 @@ ASSIGN = re.compile(
 )
 
 
+def suspect_runs(run: str) -> list[tuple[int, str]]:
+    """(place, run) of what is left of a run without the pieces that a harmless string stands in."""
+    if not re.search("[0-9]", run):
+        return []
+    # The allow list is searched in the whole run, and takes every piece that a match of it touches.
+    harmless = re.compile(rf"(?<![^/_=-])[^/_=-]*(?:{{}})[^/_=-]*".format(secrets.ALLOWED.removeprefix("(?i)")), re.I)
+    left, at = [], 0
+    for m in [*harmless.finditer(run), None]:
+        end = m.start() if m else len(run)
+        left.append((at, run[at:end]))
+        at = m.end() if m else end
+    return [(at, r) for at, r in left if len(r) >= 20 and re.search("[0-9]", r)]
+
+
 def secret_spans(text: str | None) -> tuple[list, list]:
     """Spans found by form, and all spans: (start, rank, end)."""
     text = text or ""
@@ -171,19 +185,18 @@ def secret_spans(text: str | None) -> tuple[list, list]:
     base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
     hot, w = [], secrets.WINDOW
     for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
-        run = m[0]
-        if not re.search("[0-9]", run) or re.search(secrets.ALLOWED, run):
-            continue
-        bits = next(c[2] for c in secrets.CLASSES if re.search(c[1], run))
-        places = [
-            k
-            for k in range(len(run) - w + 1)
-            if -sum(n / w * math.log2(n / w) for n in Counter(run[k : k + w]).values()) >= bits - 1e-6
-        ]
-        if places:
-            span = (m.start() + places[0], 3, m.start() + places[-1] + w)
-            if not any(b[0] < span[2] and span[0] < b[2] for b in base):
-                hot.append(span)
+        for at, run in suspect_runs(m[0]):
+            bits = next(c[2] for c in secrets.CLASSES if re.search(c[1], run))
+            places = [
+                k
+                for k in range(len(run) - w + 1)
+                if -sum(n / w * math.log2(n / w) for n in Counter(run[k : k + w]).values()) >= bits - 1e-6
+            ]
+            if places:
+                start, end = m.start() + at + places[0], m.start() + at + places[-1] + w
+                told = {p for b in base for p in range(b[0], b[2])}
+                if not told.issuperset(range(start, end)):
+                    hot.append((start, 3, end))
     return sorted(base), sorted(base + hot)
 
 

@@ -134,6 +134,9 @@ def test_secrets(spark, documents):
         "é😀" * 50 + string(40) + " " + string(24, "0123456789ABCDEF") + " your_" + string(30),
         "token=abc token=abcdef" * 300,
         (string(30) + " ") * 150,
+        f"AKIA{'Q' * 16}/{string(40)} com/example/{string(40)} a/{string(30)}-sample-{string(30)}",
+        f"token={string(30)} x={string(25)}AKIA{'Z' * 20}{string(25)} {string(40)}=dummy_{string(19)}",
+        " ".join(f"secret={string(24, '0123456789abcdef')}/{string(30)}" for _ in range(70)),
         *(
             " ".join(
                 random_.choice(["token", "=", ":", " ", '"', "abcdefg", "AKIA", "é", "😀", string(25), "secret", "api_key="])

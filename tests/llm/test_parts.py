@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import brute
 import duckdb
@@ -361,3 +362,28 @@ def test_ablations(spark):
     assert (rows["too_few_words"]["n_kept"], rows["too_few_words"]["n_kept_without"]) == (1, 2)
     base = ledger.where(quality_rules.passes(quality_rules.BASE)).agg(F.count("*")).first()[0]
     assert base == 3
+
+
+SIZE = 200_000
+
+
+@pytest.mark.parametrize("kind", ["letters", "base64", "hex", "assign", "runs", "digits"])
+def test_secret_scans_of_long_runs_are_linear(spark, kind):
+    """A text of one unbroken run, or of very many spans, takes seconds and not the square of its length."""
+    source = random.Random(2)
+    string = lambda a, k: "".join(source.choices(a, k=k))
+    text = {
+        "letters": string("abcdefghij", SIZE),
+        "base64": string(secrets.ALPHABET, SIZE),
+        "hex": string("0123456789abcdef", SIZE),
+        "assign": "token=abcdefg " * (SIZE // 14),
+        "runs": " ".join("secret=" + string(secrets.ALPHABET[:62], 30) for _ in range(SIZE // 38)),
+        "digits": string("0123456789", SIZE),
+    }[kind]
+    start = time.perf_counter()
+    row = secrets.report(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert time.perf_counter() - start < 30
+    counts = {"hex": (0, 0, 1), "assign": (SIZE // 14, 0, 0), "runs": (SIZE // 38, 0, 0), "digits": (0, 0, 1)}
+    assert tuple(row)[1:4] == counts.get(kind, (0, 0, 0))
+    spans = {"base64": f"entropy:0:{SIZE}", "hex": f"hex:0:{SIZE}", "digits": f"hex:0:{SIZE}", "letters": ""}
+    assert kind not in spans or row["spans"] == spans[kind]
