@@ -1,8 +1,9 @@
 """Line dedup: an edit-distance join by segments.
 
-Lines of at least min_chars characters that differ by at most max_edits edits are the same line. Of
-each class of lines the first one stays: the one of the least doc_id, and then the least place in
-its text.
+Lines that differ by few edits are the same line: one edit for every ten characters of the shorter one,
+and no more than max_edits. Shorter lines are the same if they are equal. Of each class of lines the first
+one stays: the one of the least doc_id, and then the least place in its text. Lines of under
+MIN_REMOVED characters always stay; their classes are told all the same.
 
 Two lines within d edits share one of the d + 1 segments of the shorter one, at nearly the same
 place. So each line is indexed by its segments, under its length, and probes the indexes of its own
@@ -13,9 +14,9 @@ Equal lines are one line before any of this, so that a line that is copied every
 once. Texts stay where they are: only hashes are shuffled, and the lines of candidates are fetched
 from their documents.
 
-Defined results: a NULL text has no lines; shorter lines are never joined and always stay; repeated
-rows (of the same id and text) are one document and give repeated results; rows without id come
-last. Other columns are left alone.
+Defined results: a NULL or empty text is one blank line; blank lines (of white space only) are of a class
+of their own and always stay; repeated rows (of the same id and text) are one document and give
+repeated results; rows without id come last. Other columns are left alone.
 """
 
 from __future__ import annotations
@@ -34,7 +35,12 @@ from .common import broadcast_if_small, passing_tables, pieces_of, stored
 from .components import components
 
 MAX_EDITS = 2
-MIN_CHARS = 20
+#: Characters of a line for each edit that it may differ by.
+CHARS_PER_EDIT = 10
+#: Repeats of shorter lines are left in their texts.
+MIN_REMOVED = 20
+#: A document goes if it had more than so many characters for each one that is left. It was the copy of others.
+MOST_LOST = 10
 PIECE_CHARS = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
@@ -43,6 +49,21 @@ _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 # --- edit distance -----------------------------------------------------------
 
 
+def budget(lengths: np.ndarray, edits: int) -> np.ndarray:
+    """The edits by which lines of these lengths may differ from longer ones."""
+    return np.minimum(lengths // CHARS_PER_EDIT, edits)
+
+
+def near(a: list[str], b: list[str], edits: int) -> np.ndarray:
+    """Whether each pair is within the edits that its shorter line allows."""
+    allowed = budget(np.array([min(len(x), len(y)) for x, y in zip(a, b)], np.int64), edits)
+    result = np.zeros(len(a), bool)
+    for limit in range(1, edits + 1):
+        rows = np.flatnonzero(allowed == limit)
+        result[rows] = within_edits([a[i] for i in rows], [b[i] for i in rows], limit)
+    return result
+
+
 def within_edits(a: list[str], b: list[str], limit: int) -> np.ndarray:
     """Whether the edit distance of each pair is at most limit, for all pairs side by side.
 
@@ -151,29 +172,31 @@ def segments(lengths: np.ndarray, nth: int, edits: int) -> tuple[np.ndarray, np.
     return start, size + (nth >= first_longer)
 
 
-def index_keys(lines: Substrings, edits: int, min_chars: int) -> tuple[np.ndarray, np.ndarray]:
+def index_keys(lines: Substrings, edits: int) -> tuple[np.ndarray, np.ndarray]:
     """(line, key) of the segments of each line."""
-    every = np.arange(len(lines.length))
     found = []
-    for nth in range(edits + 1):
-        start, size = segments(lines.length, nth, edits)
-        found.append((every, lines.keys(every, start, size, lines.length, nth)))
+    for allowed in range(1, edits + 1):
+        which = np.flatnonzero(budget(lines.length, edits) == allowed)
+        of = lines.length[which]
+        for nth in range(allowed + 1):
+            start, size = segments(of, nth, allowed)
+            found.append((which, lines.keys(which, start, size, of, nth)))
     return tuple(map(np.concatenate, zip(*found)))
 
 
-def probe_keys(lines: Substrings, edits: int, min_chars: int) -> tuple[np.ndarray, np.ndarray]:
+def probe_keys(lines: Substrings, edits: int) -> tuple[np.ndarray, np.ndarray]:
     """(line, key) of the substrings at which a segment of a near line, as long or shorter, could stand.
 
     A segment is moved by no more edits than fit before it, and none more than fit behind it.
     """
     found = []
-    for shorter in range(edits + 1):
-        which = np.flatnonzero(lines.length - shorter >= min_chars)
+    for allowed, shorter in ((d, k) for d in range(1, edits + 1) for k in range(d + 1)):
+        which = np.flatnonzero(budget(lines.length - shorter, edits) == allowed)
         of = lines.length[which] - shorter
-        for nth in range(edits + 1):
-            start, size = segments(of, nth, edits)
-            low = max(-nth, shorter - (edits - nth))
-            high = min(nth, shorter + (edits - nth))
+        for nth in range(allowed + 1):
+            start, size = segments(of, nth, allowed)
+            low = max(-nth, shorter - (allowed - nth))
+            high = min(nth, shorter + (allowed - nth))
             for move in range(low, high + 1):
                 place = start + move
                 fits = (place >= 0) & (place + size <= lines.length[which])
@@ -186,40 +209,52 @@ def probe_keys(lines: Substrings, edits: int, min_chars: int) -> tuple[np.ndarra
 # --- the join ----------------------------------------------------------------
 
 
+def _row() -> Column:
+    """Names a row by its id and text: 128 bits, so that two rows do not share a name by chance."""
+    named = F.coalesce(F.concat(F.col("doc_id").cast("string"), F.lit("\x01")), F.lit("\x02"))
+    return F.unhex(F.md5(F.concat(named, F.coalesce(F.concat(F.lit("\x01"), "text"), F.lit("\x02")))))
+
+
 def _rows(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the name of the row, by what it holds."""
-    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
+    """doc_id, text and the name of the row."""
+    return docs.select("doc_id", "text", _row().alias("row"))
 
 
-def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """doc_id, row, line_no, hash (node) and the beginning of the hash (line) of each line that is
-    long enough.
+def _lines(text: str | None) -> list[str]:
+    return (text or "").split("\n")
+
+
+_BLANK = " \t\n\v\f\r"
+
+
+def occurrences(docs: DataFrame) -> DataFrame:
+    """doc_id, row, line_no, chars, hash (node) and the beginning of the hash (line) of each line.
+
+    Blank lines have no hash.
     """
     rows = _rows(docs)
-    schema = T.StructType([rows.schema["doc_id"]])
-    schema = schema.add("row", "long").add("line_no", "integer").add("node", "binary").add("line", "long")
+    schema = T.StructType([rows.schema["doc_id"]]).add("row", "binary").add("line_no", "integer")
+    schema = schema.add("chars", "integer").add("node", "binary").add("line", "long")
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces_of(batches, "text", PIECE_CHARS):
-            owner, number, node = [], [], []
+            owner, number, chars, node = [], [], [], []
             for i, text in enumerate(piece.column("text").to_pylist()):
-                for k, line in enumerate((text or "").split("\n")):
-                    if len(line) >= min_chars:
-                        owner.append(i)
-                        number.append(k)
-                        node.append(xxh3_128_digest(line.encode("utf-8", "surrogatepass")))
+                for k, line in enumerate(_lines(text)):
+                    owner.append(i)
+                    number.append(k)
+                    chars.append(len(line))
+                    blank = not line.strip(_BLANK)
+                    node.append(None if blank else xxh3_128_digest(line.encode("utf-8", "surrogatepass")))
             own = pa.array(owner, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    piece.column("doc_id").take(own),
-                    piece.column("row").take(own),
-                    pa.array(number, pa.int32()),
-                    pa.array(node, pa.binary()),
-                    pa.array(_heads(node)),
-                ],
-                schema=arrow,
-            )
+            heads = [None if n is None else int.from_bytes(n[:8], "little", signed=True) for n in node]
+            columns = [
+                piece.column("doc_id").take(own),
+                piece.column("row").take(own),
+                *(pa.array(c, f.type) for c, f in zip((number, chars, node, heads), list(arrow)[2:])),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return rows.mapInArrow(run, schema)
 
@@ -244,7 +279,7 @@ def _with_numbers(docs: DataFrame, numbers: DataFrame, how: str) -> DataFrame:
 _KEYED = T.StructType().add("key", "long").add("line", "long").add("sketch", "long")
 
 
-def _keyed(docs: DataFrame, keys_of, edits: int, min_chars: int) -> DataFrame:
+def _keyed(docs: DataFrame, keys_of, edits: int) -> DataFrame:
     """(key, line, sketch) of the lines of docs (text, numbers: those to leave out). line begins the
     node's hash.
     """
@@ -257,14 +292,14 @@ def _keyed(docs: DataFrame, keys_of, edits: int, min_chars: int) -> DataFrame:
                 skip = set(skip or ())
                 lines += [
                     line
-                    for k, line in enumerate((text or "").split("\n"))
-                    if len(line) >= min_chars and k not in skip
+                    for k, line in enumerate(_lines(text))
+                    if len(line) >= CHARS_PER_EDIT and k not in skip and line.strip(_BLANK)
                 ]
             if not lines:
                 continue
             names = _heads([xxh3_128_digest(s.encode("utf-8", "surrogatepass")) for s in lines])
             substrings = Substrings(lines)
-            which, keys = keys_of(substrings, edits, min_chars)
+            which, keys = keys_of(substrings, edits)
             columns = [keys, names[which], substrings.sketches()[which]]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), schema=arrow)
 
@@ -282,7 +317,7 @@ def _contents(docs: DataFrame) -> DataFrame:
         for piece in pieces_of(batches, "text", PIECE_CHARS):
             found = []
             for text, numbers in zip(piece.column("text").to_pylist(), piece.column("numbers").to_pylist()):
-                lines = (text or "").split("\n")
+                lines = _lines(text)
                 found += [lines[k] for k in numbers]
             nodes = [xxh3_128_digest(s.encode("utf-8", "surrogatepass")) for s in found]
             yield pa.RecordBatch.from_arrays(
@@ -300,10 +335,9 @@ def _verified(pairs: DataFrame, edits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces_of(batches, "x", PIECE_CHARS):
-            near = within_edits(piece.column("x").to_pylist(), piece.column("y").to_pylist(), edits)
+            held = pa.array(near(piece.column("x").to_pylist(), piece.column("y").to_pylist(), edits))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("a").filter(pa.array(near)), piece.column("b").filter(pa.array(near))],
-                schema=arrow,
+                [piece.column("a").filter(held), piece.column("b").filter(held)], schema=arrow
             )
 
     return pairs.select("a", "b", "x", "y").mapInArrow(run, _LINK)
@@ -314,23 +348,25 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "line_no")
 
 
-def line_classes(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
+def line_classes(docs: DataFrame, edits: int = MAX_EDITS) -> tuple[DataFrame, DataFrame]:
     """All occurrences of lines, and for lines that come more than once or have links: first (of the
     class), n_links.
     """
     spark = docs.sparkSession
-    found = stored(spark, occurrences(docs, min_chars), "lines", keep=True)
+    found = stored(spark, occurrences(docs), "lines", keep=True)
     with passing_tables(spark):
-        classes = stored(spark, _classes(docs, found, edits, min_chars), "line-classes", keep=True)
+        classes = stored(spark, _classes(docs, found, edits), "line-classes", keep=True)
     return found, classes
 
 
-def _classes(docs: DataFrame, found: DataFrame, edits: int, min_chars: int) -> DataFrame:
+def _classes(docs: DataFrame, found: DataFrame, edits: int) -> DataFrame:
     """(node, class, n_links) of the lines that come more than once or have links."""
     spark = docs.sparkSession
     lines = stored(
         spark,
-        found.groupBy("node").agg(F.min(_place()).alias("first"), F.first("line").alias("line"), F.count("*").alias("n")),
+        found.where(F.col("node").isNotNull())
+        .groupBy("node")
+        .agg(F.min(_place()).alias("first"), F.first("line").alias("line"), F.count("*").alias("n")),
         "line-firsts",
     )
     repeated = lines.where("n > 1").select("node", "first")
@@ -340,8 +376,8 @@ def _classes(docs: DataFrame, found: DataFrame, edits: int, min_chars: int) -> D
         .select("row", "line_no")
     )
     once = _with_numbers(docs, copies, "left")
-    index = _keyed(once, index_keys, edits, min_chars).toDF("key", "p", "sketch_p")
-    probe = _keyed(once, probe_keys, edits, min_chars).toDF("key", "q", "sketch_q")
+    index = _keyed(once, index_keys, edits).toDF("key", "p", "sketch_p")
+    probe = _keyed(once, probe_keys, edits).toDF("key", "q", "sketch_q")
     changed = F.col("sketch_p").bitwiseXOR(F.col("sketch_q"))
     singles = F.bit_count(changed.bitwiseAND(F.lit((1 << 32) - 1)))
     both = F.bit_count(F.shiftrightunsigned(changed, 32))
@@ -392,14 +428,15 @@ def _decided(found: DataFrame, classes: DataFrame) -> DataFrame:
         F.coalesce("class.line_no", "line_no").alias("class_line_no"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce(
-            (F.col("row") == F.col("class.row")) & (F.col("line_no") == F.col("class.line_no")), F.lit(True)
+            ((F.col("row") == F.col("class.row")) & (F.col("line_no") == F.col("class.line_no")))
+            | (F.col("chars") < MIN_REMOVED),
+            F.lit(True),
         ).alias("kept"),
     )
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
-    """One row per line of at least min_chars characters: its class, its links, and whether it
-    stays.
+    """One row per line: its class, its links, and whether it stays.
 
     A class is named by its first line, as (class_doc_id, class_line_no). n_links counts the
     different lines near to it.
@@ -408,9 +445,11 @@ def report(docs: DataFrame, **options) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """docs without the lines that do not stay, and without the documents that nothing remains of.
+    """docs without the lines that do not stay, and without the documents that little remains of.
 
-    n_chars, where docs has it, follows the text. Documents that were blank before stay.
+    A document goes with its lines if it had more than MOST_LOST characters for each that is left, or if blank
+    lines only are: what is left of a copy is no document. n_chars, where docs has it, follows the text. Documents that
+    lose no line stay.
     """
     found, classes = line_classes(docs, **options)
     gone = _decided(found, classes).where(~F.col("kept")).select("row", "line_no")
@@ -421,12 +460,14 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     kept = F.array_join(
         F.filter(F.split("text", "\n"), lambda line, k: ~F.array_contains("__numbers", k)), "\n"
     )
-    rows = docs.withColumn("__row", F.xxhash64("doc_id", "text")).join(
+    rows = docs.withColumn("__row", _row()).join(
         broadcast_if_small(lists.toDF("__row", "__numbers"), per_row), "__row", "left"
     )
     changed = F.col("__numbers").isNotNull()
+    rows = rows.withColumn("__before", F.char_length("text"))
     rows = rows.withColumn("text", F.when(changed, kept).otherwise(F.col("text")))
-    rows = rows.where(~changed | (F.trim("text") != ""))
+    enough = F.char_length("text") * MOST_LOST >= F.col("__before")
+    rows = rows.where(~changed | (enough & F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))))
     if "n_chars" in docs.columns:
         size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         rows = rows.withColumn("n_chars", F.when(changed, size).otherwise(F.col("n_chars")))

@@ -40,7 +40,9 @@ def edit_distance(a: str, b: str) -> int:
 
 
 def near_lines(lines: list[str], edits: int) -> list[tuple[str, str]]:
-    """Pairs of different lines within so many edits; bags of characters rule most pairs out."""
+    """Pairs of different lines within an edit for every ten characters of the shorter, at most so many; bags of
+    characters rule most pairs out.
+    """
     bags = {line: Counter(line) for line in lines}
     by_length = defaultdict(list)
     for line in lines:
@@ -48,26 +50,24 @@ def near_lines(lines: list[str], edits: int) -> list[tuple[str, str]]:
     return [
         (a, b)
         for n in sorted(by_length)
+        for allowed in [min(edits, n // 10)]
+        if allowed
         for a in by_length[n]
-        for more in range(edits + 1)
+        for more in range(allowed + 1)
         for b in by_length.get(n + more, ())
         if (more or a < b)
-        and sum((bags[a] - bags[b]).values()) <= edits
-        and edit_distance(a, b) <= edits
+        and sum((bags[a] - bags[b]).values()) <= allowed
+        and edit_distance(a, b) <= allowed
     ]
 
 
-def line_report(docs: list[tuple[int, str]], edits: int = 2, least: int = 20) -> dict:
+def line_report(docs: list[tuple[int, str]], edits: int = 2) -> dict:
     """(doc_id, line_no) -> (class_doc_id, class_line_no, n_links, kept)."""
-    rows = [
-        (i, k, line)
-        for i, text in docs
-        for k, line in enumerate((text or "").split("\n"))
-        if len(line) >= least
-    ]
+    rows = [(i, k, line) for i, text in docs for k, line in enumerate((text or "").split("\n"))]
     first = {}
     for i, k, line in rows:
-        first[line] = min(first.get(line, (i, k)), (i, k))
+        if line.strip(" \t\n\v\f\r"):
+            first[line] = min(first.get(line, (i, k)), (i, k))
     classes, degree = Classes(first), Counter()
     for a, b in near_lines(list(first), edits):
         classes.join(a, b)
@@ -78,8 +78,8 @@ def line_report(docs: list[tuple[int, str]], edits: int = 2, least: int = 20) ->
         of_class[top] = min(of_class.get(top, place), place)
     out = {}
     for i, k, line in rows:
-        place = of_class[classes.top(line)]
-        out[i, k] = (*place, degree[line], place == (i, k))
+        place = of_class[classes.top(line)] if line in first else (i, k)
+        out[i, k] = (*place, degree[line], place == (i, k) or len(line) < 20)
     return out
 
 
@@ -88,9 +88,10 @@ def without_lines(docs: list[tuple[int, str]]) -> list[tuple[int, str]]:
     out = []
     for i, text in docs:
         lines = (text or "").split("\n")
-        left = [line for k, line in enumerate(lines) if kept.get((i, k), (0, 0, 0, True))[3]]
-        if len(left) == len(lines) or "".join(left).strip(" "):
-            out.append((i, "\n".join(left)))
+        left = [line for k, line in enumerate(lines) if kept[i, k][3]]
+        whole = "\n".join(left)
+        if len(left) == len(lines) or (whole.strip(" \t\n\v\f\r") and 10 * len(whole) >= len(text)):
+            out.append((i, whole))
     return out
 
 

@@ -16,6 +16,8 @@ from tokenizers import Tokenizer
 from shelflake.llm import (
     decontaminate,
     fill_in_middle,
+    line_dedup,
+    near_dedup,
     packing,
     quality_classifier,
     secrets,
@@ -121,6 +123,54 @@ def test_lines(spark, documents):
     assert found == brute.line_report(documents)
 
 
+SHORT_LINES = [
+    (1, "short line\n\nshort line\n  \nab\nab"),
+    (2, "short line\nab\n\n"),
+    (3, "a line of ten.\na line 0f ten.\na line of then\na lime 0f ten"),
+    (4, "nine char\nnine chat\nnineteen characters\nnineteen charakters\nnineteen sharakters"),
+    (5, "twenty characters 01\ntwenty characters 23\ntwenty characterz 23\ntwentycharacters 01"),
+    (6, "twenty characters 01\n\n \t"),
+    (7, "twenty characters 01\ntwenty characters 23\ntwenty characters 01 and more\nx"),
+    (8, "a line that is of some length and stands for itself\n" + "w"),
+    (9, "a line that is of some length and stands for itself\nwell"),
+    (10, ""),
+    (11, None),
+]
+
+
+def test_lines_of_every_length(spark):
+    docs = spark.createDataFrame(SHORT_LINES, "doc_id bigint, text string")
+    found = {
+        (r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"], r["n_links"], r["kept"])
+        for r in line_dedup.report(docs).collect()
+    }
+    assert found == brute.line_report(SHORT_LINES)
+    assert len(found) == sum(len((t or "").split("\n")) for _, t in SHORT_LINES)
+    # One edit from ten characters on, two from twenty; shorter lines are the same if equal, and stay.
+    assert found[1, 2] == (1, 0, 0, True) and found[2, 0] == (1, 0, 0, True)
+    assert found[3, 1] == (3, 0, 1, True) and found[4, 1] == (4, 1, 0, True)
+    assert found[5, 1][:2] == (5, 0) and not found[5, 1][3]
+
+
+def test_what_is_left_of_documents(spark):
+    """Lines under twenty characters stay; blank lines and a few characters are no document."""
+    docs = spark.createDataFrame(SHORT_LINES, "doc_id bigint, text string")
+    left = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(docs).collect()}
+    assert {i: t or "" for i, t in left.items()} == dict(brute.without_lines(SHORT_LINES))
+    assert left[1] == SHORT_LINES[0][1] and left[10] == "" and left[11] is None
+    assert 6 not in left and 9 not in left and left[7].endswith("and more\nx")
+
+
+def test_no_stubs_of_copies_are_left(spark, documents):
+    """Copies with a word changed in one line of many: nothing of them comes through the line and near stages."""
+    long = [(i, t) for i, t in documents if t and len(t.split("\n")) > 12][:20]
+    copies = [(10_000 + i, t.replace("\n", " more\n", 1) + "\nends.") for i, t in long]
+    docs = spark.createDataFrame(long + copies, "doc_id bigint, text string")
+    lines = line_dedup.deduplicated(docs)
+    near = near_dedup.deduplicated(stored(spark, lines, "lines-left"))
+    assert {r["doc_id"] for r in near.collect()} <= {i for i, _ in long}
+
+
 def test_secrets(spark, documents):
     random_ = random.Random(1)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"

@@ -155,7 +155,7 @@ def test_edit_distance(pairs, limit):
     assert found.tolist() == [brute.edit_distance(x, y) <= limit for x, y in pairs]
 
 
-@given(st.text("ab", min_size=8, max_size=30), st.data(), st.integers(1, 3))
+@given(st.text("ab", min_size=8, max_size=45), st.data(), st.integers(1, 3))
 @settings(deadline=None, max_examples=200)
 def test_near_lines_share_a_key_and_a_sketch(line, data, edits):
     other = list(line)
@@ -169,11 +169,13 @@ def test_near_lines_share_a_key_and_a_sketch(line, data, edits):
         else:
             other[at] = data.draw(st.sampled_from("abc"))
     shorter, longer = sorted([line, "".join(other)], key=len)
-    if len(shorter) < 8:
+    allowed = min(edits, len(shorter) // line_dedup.CHARS_PER_EDIT)
+    if not allowed or brute.edit_distance(shorter, longer) > allowed:
         return
     a, b = line_dedup.Substrings([shorter]), line_dedup.Substrings([longer])
-    index = set(line_dedup.index_keys(a, edits, 8)[1].tolist())
-    assert index & set(line_dedup.probe_keys(b, edits, 8)[1].tolist())
+    index = set(line_dedup.index_keys(a, edits)[1].tolist())
+    assert index & set(line_dedup.probe_keys(b, edits)[1].tolist())
+    assert line_dedup.near([shorter, longer], [longer, shorter], edits).tolist() == [True, True]
     changed = int(a.sketches()[0] ^ b.sketches()[0]) & (2**64 - 1)
     assert (changed & (2**32 - 1)).bit_count() <= 2 * edits
     assert (changed >> 32).bit_count() <= 4 * edits
@@ -385,5 +387,8 @@ def test_secret_scans_of_long_runs_are_linear(spark, kind):
     assert time.perf_counter() - start < 30
     counts = {"hex": (0, 0, 1), "assign": (SIZE // 14, 0, 0), "runs": (SIZE // 38, 0, 0), "digits": (0, 0, 1)}
     assert tuple(row)[1:4] == counts.get(kind, (0, 0, 0))
-    spans = {"base64": f"entropy:0:{SIZE}", "hex": f"hex:0:{SIZE}", "digits": f"hex:0:{SIZE}", "letters": ""}
+    spans = {"hex": f"hex:0:{SIZE}", "digits": f"hex:0:{SIZE}", "letters": ""}
     assert kind not in spans or row["spans"] == spans[kind]
+    if kind == "base64":
+        start, end = map(int, row["spans"].removeprefix("entropy:").split(":"))
+        assert start < 50 and end > SIZE - 50
