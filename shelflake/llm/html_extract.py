@@ -2,7 +2,9 @@
 
 Each leaf block is main text or not. Its features are the elements and names around it and the shape
 of its text; two labels that follow each other add a weight of their own. The weights maximize the
-conditional likelihood of labelled pages, by forward-backward; pages are decoded by Viterbi.
+conditional likelihood of labelled pages, by forward-backward; pages are decoded by Viterbi. What stands
+around a block tells by its distance: the nearest landmark and the nearest name that means something, those
+next to them, and those beyond.
 
 The labelled pages are drawn up here, in many layouts, with a known label for each block; their
 number is a parameter. The words play no part beyond their shape, so the model does not depend on a
@@ -29,38 +31,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import pieces_of
 from .html_blocks import Block, leaf_blocks
 
-TRAINING_PAGES = 1000
+TRAINING_PAGES = 1200
 ROUNDS = 300
 SEED = 7
 PIECE_CHARS = 1 << 20
 
-#: What names of classes and ids are made of. Longer stems match the beginning of a part.
-_STEMS = {
-    "ad": ("ad", "ads"),
-    "advert": ("adver", "sponsor", "promo", "banner", "dfp"),
-    "comment": ("comment", "disqus", "respond", "repl", "discuss", "feedback"),
-    "menu": ("menu", "nav", "breadcrumb", "pagination", "pager", "tabs", "toolbar"),
-    "head": ("header", "masthead", "topbar", "logo", "brand"),
-    "foot": ("footer", "foot", "copyright", "colophon", "legal"),
-    "side": ("sidebar", "aside", "rail", "widget"),
-    "notice": ("cookie", "notice", "consent", "gdpr", "alert", "popup", "modal", "overlay", "toast", "paywall"),
-    "form": ("form", "signup", "subscri", "newsletter", "login", "search"),
-    "more": ("related", "recommend", "share", "social", "trending", "popular", "teaser", "tags", "author", "byline"),
-    "main": ("content", "article", "main", "post", "entry", "story", "body", "text"),
-}
-_EXACT = frozenset({"ad", "ads"})
 _ENDING = re.compile(r"[.!?…:;。！？][\"'”’»)\]]*$")
 _RIGHTS = re.compile(r"©|\(c\)|copyright|all rights reserved", re.I)
 
 
-@lru_cache(maxsize=50_000)
-def _stems(names: frozenset[str]) -> tuple[str, ...]:
-    found = {n for n in names if n.startswith("in:")}
-    for part in (n[5:] for n in names if n.startswith("name:")):
-        for stem, beginnings in _STEMS.items():
-            if any(part == b if b in _EXACT else part.startswith(b) for b in beginnings):
-                found.add(f"named:{stem}")
-    return tuple(found)
+_HOW_FAR = ("near", "next", "far")
 
 
 def features(block: Block, place: int, number: int) -> list[str]:
@@ -75,10 +55,16 @@ def features(block: Block, place: int, number: int) -> list[str]:
         f"ending:{bool(_ENDING.search(text))}",
         f"commas:{min(text.count(','), 2)}",
         f"place:{0 if place == 0 else 2 if place == number - 1 else 1}",
-        *_stems(block.around),
+        *(f"in:{p}" for p in block.places),
+        *(f"{_HOW_FAR[n]}:{mark}" for n, mark in enumerate(block.landmarks)),
+        *(f"{_HOW_FAR[n]}-named:{stem}" for n, stems in enumerate(block.named) for stem in stems),
     ]
+    if block.landmarks:
+        # A heading within an article's header is another thing than one within the page's.
+        inner, outer = (*block.landmarks, "")[:2]
+        out += [f"{inner}<{outer}", f"{inner}<{outer}:{block.tag}"]
     if _RIGHTS.search(text):
-        out.append("rights")
+        out += ["rights", f"rights:{block.landmarks[0] if block.landmarks else ''}"]
     return out
 
 
@@ -92,6 +78,7 @@ class _Writer:
         self.random = random.Random(seed)
         self.parts: list[str] = []
         self.labels: list[int] = []
+        self.wrapped_whole = self.own_header = False
         letters = self.random.choice(("etaoinshrdlu", "enisratdhulcgm", "éàesaitnrulo", "aeosrnidlctu"))
         self.words = [
             "".join(self.random.choices(letters, k=self.random.randint(2, 11))) for _ in range(80)
@@ -153,7 +140,7 @@ class _Writer:
             if self.chance(0.5):
                 self.block(0, "p", self.prose(3, 14))
 
-        self.wrapped(*self.pick(("header", ""), ("div", self.named("header", "masthead", "site-header", "topbar"))), body, bare=True)
+        self.wrapped(*self.pick(("header", ""), ("div", self.named("header", "masthead", "site-header", "topbar", "kopfzeile"))), body, bare=True)
 
     def footer(self) -> None:
         def body() -> None:
@@ -161,23 +148,23 @@ class _Writer:
                 self.links()
             self.block(0, self.pick("p", "div"), self.pick("&copy; ", "Copyright 2020 ", "") + self.prose(3, 30))
 
-        self.wrapped(*self.pick(("footer", ""), ("div", self.named("footer", "site-footer", "colophon"))), body, bare=True)
+        self.wrapped(*self.pick(("footer", ""), ("div", self.named("footer", "site-footer", "colophon", "fusszeile"))), body, bare=True)
 
     def advert(self) -> None:
         text = self.prose(2, 45)
-        where = self.named("ad", "ads", "advert", "ad-slot", "advertisement", "sponsored", "promo", "banner")
+        where = self.named("ad", "ads", "advert", "ad-slot", "advertisement", "sponsored", "promo", "banner", "werbung", "anzeige", "publicidad")
         if self.chance(0.5):
             self.block(0, self.pick("div", "p", "aside"), text, where)
         else:
             self.wrapped("div", where, lambda: self.block(0, "p", text))
 
     def notice(self) -> None:
-        where = self.named("cookie-notice", "notice", "consent", "alert", "gdpr-banner", "popup", "modal")
+        where = self.named("cookie-notice", "notice", "consent", "alert", "gdpr-banner", "popup", "modal", "paywall", "hinweis", "toast")
 
         def body() -> None:
             self.block(0, "p", self.prose(6, 40))
             if self.chance(0.5):
-                self.block(0, "button", self.phrase(1, 2))
+                self.block(0, "div", f"<button>{self.phrase(1, 2)}</button>")
 
         self.wrapped(self.pick("div", "section", "aside"), where, body, bare=True)
 
@@ -193,16 +180,16 @@ class _Writer:
 
     def form(self) -> None:
         def body() -> None:
-            self.block(0, self.pick("p", "label", "div"), self.prose(2, 20))
-            if self.chance(0.5):
-                self.block(0, "label", self.phrase(1, 3))
-            self.parts.append('<input type="text"><textarea>x</textarea>')
-            self.block(0, "button", self.phrase(1, 2))
+            self.block(0, self.pick("p", "div", "h3"), self.prose(2, 20))
+            label = f"<label>{self.phrase(1, 3)}</label>" if self.chance(0.5) else ""
+            asked = f'{label}<input type="text"><textarea>x</textarea><button>{self.phrase(1, 2)}</button>'
+            self.block(0, self.pick("div", "fieldset"), asked)
 
-        self.wrapped("form", self.pick("", self.named("newsletter", "subscribe", "login-form", "search")), body, bare=True)
+        names = self.named("newsletter", "subscribe", "login-form", "search", "signup")
+        self.wrapped(*self.pick(("form", ""), ("form", names), ("div", names)), body, bare=True)
 
     def comments(self) -> None:
-        where = self.named("comments", "comment-list", "disqus_thread", "responses", "replies", "discussion")
+        where = self.named("comments", "comment-list", "disqus_thread", "responses", "replies", "discussion", "kommentare", "comentarios")
         tag = self.pick("div", "section", "ol")
 
         def body() -> None:
@@ -228,47 +215,94 @@ class _Writer:
     # main text
 
     def story(self) -> None:
-        if self.chance(0.85):
-            self.block(1, self.pick("h1", "h1", "h2"), self.phrase(2, 14))
+        if self.wrapped_whole or self.chance(0.9):
+            title = "h1" if self.wrapped_whole else self.pick("h1", "h1", "h1", "h2")
+            if self.own_header and self.chance(0.4):
+                # The article's own header.
+                self.wrapped("header", self.pick("", "", self.named("entry-header", "post-header")), lambda: self.block(1, title, self.phrase(2, 14)))
+            else:
+                self.block(1, title, self.phrase(2, 14))
         for _ in range(self.random.randint(1, 9)):
             kind = self.random.random()
-            if kind < 0.72:
+            if kind < 0.03:
+                # Text that is quoted with its licence.
+                self.block(1, "p", self.pick("All rights reserved.", f"Copyright {self.phrase()}", f"&copy; {self.prose(3, 20)}"))
+            elif kind < 0.58:
                 self.block(1, "p", self.prose(*self.pick((1, 8), (8, 40), (30, 160))))
-            elif kind < 0.8:
+            elif kind < 0.66:
                 self.block(1, self.pick("h2", "h3"), self.phrase(1, 8))
-            elif kind < 0.86:
+            elif kind < 0.72:
                 self.wrapped(self.pick("ul", "ol"), "", lambda: [self.block(1, "li", self.prose(1, 20)) for _ in range(self.random.randint(2, 5))])
-            elif kind < 0.9:
+            elif kind < 0.76:
                 self.wrapped("blockquote", "", lambda: self.block(1, "p", self.prose(5, 50)))
-            elif kind < 0.93:
+            elif kind < 0.79:
                 self.block(1, self.pick("pre", "div"), self.prose(4, 40))
-            elif kind < 0.96:
-                self.advert()
             else:
-                self.pick(self.side, self.more, self.form, self.notice)()
+                self.pick(self.advert, self.advert, self.advert, self.side, self.more, self.form, self.notice, self.notice, self.links, self.comments)()
+                # The text goes on, sometimes with a few words only.
+                self.block(1, "p", self.prose(*self.pick((1, 6), (2, 12), (20, 60))))
 
-    def write(self) -> tuple[str, list[int]]:
-        self.parts.append("<!DOCTYPE html><html><head><title>x</title><style>p{}</style></head><body>")
+    def inside(self, depth: int, body) -> None:
+        """Some elements without a meaning of their own around what body writes."""
+        if not depth:
+            return body()
+        self.wrapped("div", self.pick("", ' class="row"', ' class="col-8 x"', ' id="w1"', ' class="inner"'), lambda: self.inside(depth - 1, body))
+
+    #: Names on what holds the whole page, which speak of its parts.
+    SPEAKING = ("comments-open", "no-sidebar", "has-ads", "header-fixed", "with-sidebar", "no-comments", "has-cookie-notice", "single-post", "menu-open", "search-enabled")
+
+    def about(self) -> str:
+        return f' class="{" ".join(self.random.sample(self.SPEAKING, self.random.randint(1, 3)))}"'
+
+    def page(self) -> None:
         before = [self.header, self.menu, self.notice, self.advert, self.side, self.form]
         after = [self.comments, self.side, self.more, self.form, self.advert, self.footer, self.notice]
         for part in self.random.sample(before, self.random.randint(0, 4)):
-            part()
+            self.inside(self.random.randint(0, 2), part)
         container = self.pick(
             ("article", ""),
             ("main", ""),
-            ("article", self.named("post", "story", "entry")),
-            ("div", self.named("content", "article", "post-body", "entry-content", "main", "story")),
+            ("article", self.named("post", "story", "entry", "artikel")),
+            ("div", self.named("content", "article", "post-body", "entry-content", "main", "story", "inhalt")),
             ("section", self.named("article-body", "content", "text")),
             ("div", ""),
             ("td", ""),
             None,
         )
-        if container:
-            self.wrapped(*container, self.story)
+        outer = self.pick(None, None, ("main", ""), ("section", ""), ("div", self.named("content", "main", "site-content")))
+        self.own_header = bool(container) and container[0] in ("article", "main")
+        last = [self.comments, self.more, self.advert, None, None, None, None]
+
+        def whole() -> None:
+            self.inside(self.random.randint(0, 2), self.story)
+            part = self.pick(*last)
+            if part and container:
+                part()
+
+        if container and self.chance(0.08):
+            # Lines of text without elements of their own.
+            lines = self.pick("<br>", "<br><br>").join(self.prose(8, 60) for _ in range(self.random.randint(1, 5)))
+            self.block(1, container[0], lines, container[1])
+        elif container and outer:
+            self.wrapped(*outer, lambda: self.wrapped(*container, whole))
+        elif container:
+            self.wrapped(*container, whole)
         else:
-            self.story()
+            whole()
         for part in self.random.sample(after, self.random.randint(0, 5)):
-            part()
+            self.inside(self.random.randint(0, 2), part)
+
+    def write(self) -> tuple[str, list[int]]:
+        body = self.about() if self.chance(0.5) else ""
+        self.parts.append(f"<!DOCTYPE html><html><head><title>x</title><style>p{{}}</style></head><body{body}>")
+        around = self.random.random()
+        self.wrapped_whole = around < 0.4
+        if around < 0.15:
+            self.wrapped("form", self.pick("", ' id="aspnetForm"'), self.page)
+        elif around < 0.4:
+            self.wrapped("div", self.about(), self.page)
+        else:
+            self.page()
         self.parts.append("<script>x()</script></body></html>" if self.chance(0.8) else "")
         return "".join(self.parts), self.labels
 
@@ -310,68 +344,87 @@ class Field:
         return labels[::-1]
 
 
+class Problem:
+    """The conditional log-likelihood of labelled chains, and its gradient, for all chains side by side.
+
+    The weights are those of the features, the four steps (from * 2 + to) and the two starts.
+    """
+
+    def __init__(self, chains: list[tuple[list[list[str]], list[int]]]) -> None:
+        # The longest first, so that those that reach a place are the first so many.
+        chains = sorted(chains, key=lambda chain: -len(chain[1]))
+        self.numbers: dict[str, int] = {}
+        self.longest = max(len(labels) for _, labels in chains)
+        shape = self.shape = (len(chains), self.longest)
+        self.there, self.gold = np.zeros(shape, bool), np.zeros(shape, np.int64)
+        cells, which = [], []
+        for c, (found, labels) in enumerate(chains):
+            self.there[c, : len(labels)] = True
+            self.gold[c, : len(labels)] = labels
+            for i, names in enumerate(found):
+                cells += [c * self.longest + i] * len(names)
+                which += [self.numbers.setdefault(f, len(self.numbers)) for f in names]
+        self.cells, self.which = np.array(cells), np.array(which)
+        self.size = len(self.numbers) + 6
+        self.blocks = int(self.there.sum())
+        self.lengths = self.there.sum(1)
+        self.reach = self.there.sum(0).tolist()
+        self.later = np.nonzero(self.there[:, 1:])
+        steps = self.gold[:, :-1] * 2 + self.gold[:, 1:]
+        self.steps = np.bincount(steps[self.there[:, 1:]], minlength=4)
+        self.starts = np.bincount(self.gold[:, 0], minlength=2)
+
+    def value_and_gradient(self, weights: np.ndarray) -> tuple[float, np.ndarray]:
+        n = len(self.numbers)
+        steps, start = weights[n : n + 4].reshape(2, 2), weights[-2:]
+        score = np.zeros((*self.shape, 2))
+        held = np.bincount(self.cells, weights[self.which], minlength=self.there.size)
+        score[..., 1] = held.reshape(self.shape)
+        forward, backward = np.zeros((*self.shape, 2)), np.zeros((*self.shape, 2))
+        forward[:, 0] = score[:, 0] + start
+        for i in range(1, self.longest):
+            k = self.reach[i]
+            forward[:k, i] = np.logaddexp.reduce(forward[:k, i - 1, :, None] + steps, axis=1) + score[:k, i]
+        for i in range(self.longest - 1, 0, -1):
+            k = self.reach[i]
+            behind = score[:k, i] + backward[:k, i]
+            backward[:k, i - 1] = np.logaddexp.reduce(steps + behind[:, None, :], axis=2)
+        total = np.logaddexp.reduce(forward[np.arange(self.shape[0]), self.lengths - 1], axis=1)
+        marginal = np.exp(forward + backward - total[:, None, None])
+        c, i = self.later
+        behind = score[c, i + 1] + backward[c, i + 1] - total[c, None]
+        pair = np.exp(forward[c, i][:, :, None] + steps + behind[:, None, :])
+        gradient = np.zeros(self.size)
+        surprise = np.where(self.there, self.gold - marginal[..., 1], 0.0).reshape(-1)
+        gradient[:n] = np.bincount(self.which, surprise[self.cells], minlength=n)
+        gradient[n : n + 4] = self.steps - pair.sum(0).reshape(-1)
+        gradient[-2:] = self.starts - marginal[:, 0].sum(0)
+        reached = (score[..., 1] * self.gold)[self.there].sum()
+        reached += (self.steps * steps.reshape(-1)).sum() + (self.starts * start).sum()
+        return float(reached - total.sum()), gradient
+
+
 def train(pages: list[tuple[str, list[int]]], rounds: int = ROUNDS, penalty: float = 1e-4) -> Field:
-    """Fit by gradient ascent (Adam) on the conditional log-likelihood, all pages side by side."""
-    numbers: dict[str, int] = {}
+    """Fit by gradient ascent (Adam) on the conditional log-likelihood."""
     chains = []
     for page, labels in pages:
         blocks = leaf_blocks(page)
         if len(blocks) != len(labels):
             raise ValueError("a labelled page has another number of blocks than labels")
         if blocks:
-            found = [features(b, i, len(blocks)) for i, b in enumerate(blocks)]
-            chains.append(([[numbers.setdefault(f, len(numbers)) for f in fs] for fs in found], labels))
-    longest = max(len(c) for c, _ in chains)
-    shape = (len(chains), longest)
-    there, gold = np.zeros(shape, bool), np.zeros(shape, np.int64)
-    cells, which = [], []
-    for c, (found, labels) in enumerate(chains):
-        there[c, : len(labels)] = True
-        gold[c, : len(labels)] = labels
-        for i, fs in enumerate(found):
-            cells += [c * longest + i] * len(fs)
-            which += fs
-    cells, which = np.array(cells), np.array(which)
-    n_features, n_blocks = len(numbers), int(there.sum())
-    # features, then the four steps (from * 2 + to), then the two starts
-    weights = np.zeros(n_features + 6)
+            chains.append(([features(b, i, len(blocks)) for i, b in enumerate(blocks)], labels))
+    problem = Problem(chains)
+    weights = np.zeros(problem.size)
     m = np.zeros_like(weights)
     v = np.zeros_like(weights)
-    lengths = there.sum(1)
-    rows = np.arange(shape[0])
-    both = there[:, 1:]
-    gold_steps = np.bincount((gold[:, :-1] * 2 + gold[:, 1:])[both], minlength=4)
-    gold_starts = np.bincount(gold[:, 0], minlength=2)
     for t in range(1, rounds + 1):
-        steps, start = weights[n_features : n_features + 4].reshape(2, 2), weights[-2:]
-        score = np.zeros((*shape, 2))
-        score[..., 1] = np.bincount(cells, weights[which], minlength=there.size).reshape(shape)
-        forward, backward = np.zeros((*shape, 2)), np.zeros((*shape, 2))
-        forward[:, 0] = score[:, 0] + start
-        for i in range(1, longest):
-            forward[:, i] = np.logaddexp.reduce(forward[:, i - 1, :, None] + steps, axis=1) + score[:, i]
-        for i in range(longest - 2, -1, -1):
-            nxt = np.logaddexp.reduce(steps + (score[:, i + 1] + backward[:, i + 1])[:, None, :], axis=2)
-            backward[:, i] = np.where(there[:, i + 1, None], nxt, 0.0)
-        total = np.logaddexp.reduce(forward[rows, lengths - 1], axis=1)
-        marginal = np.exp(forward + backward - total[:, None, None])
-        gradient = np.zeros_like(weights)
-        surprise = np.where(there, gold - marginal[..., 1], 0.0).reshape(-1)
-        gradient[:n_features] = np.bincount(which, surprise[cells], minlength=n_features)
-        pair = np.exp(
-            forward[:, :-1, :, None]
-            + steps
-            + (score[:, 1:] + backward[:, 1:])[:, :, None, :]
-            - total[:, None, None, None]
-        )
-        gradient[n_features : n_features + 4] = gold_steps - pair[both].sum(0).reshape(-1)
-        gradient[-2:] = gold_starts - marginal[:, 0].sum(0)
-        gradient = gradient / n_blocks - penalty * weights
+        gradient = problem.value_and_gradient(weights)[1] / problem.blocks - penalty * weights
         m = 0.9 * m + 0.1 * gradient
         v = 0.99 * v + 0.01 * gradient**2
         weights = weights + 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-    named = {f: float(weights[i]) for f, i in numbers.items()}
-    return Field(named, weights[n_features : n_features + 4].reshape(2, 2), weights[-2:])
+    n = len(problem.numbers)
+    named = {f: float(weights[i]) for f, i in problem.numbers.items()}
+    return Field(named, weights[n : n + 4].reshape(2, 2), weights[-2:])
 
 
 @lru_cache(maxsize=4)
