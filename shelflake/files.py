@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import errno
 import os
+import re
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -14,6 +15,11 @@ def _resolve(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def literal_path(path: str) -> str:
+    """A path that is not a pattern, whatever characters it has."""
+    return re.sub(r"[\[\]{}*?\\]", r"\\\g<0>", path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     file_system, hadoop_path = _resolve(spark, path)
     return file_system.exists(hadoop_path)
@@ -28,6 +34,12 @@ def same_place(spark: SparkSession, one: str, other: str) -> bool:
     return qualified[0] == qualified[1]
 
 
+def resolved(spark: SparkSession, path: str) -> str:
+    """The whole path, scheme and all."""
+    file_system, hadoop_path = _resolve(spark, path)
+    return file_system.makeQualified(hadoop_path).toString()
+
+
 def any_match(spark: SparkSession, pattern: str) -> bool:
     """Whether a path pattern matches anything. Lists what the pattern itself spans."""
     file_system, hadoop_path = _resolve(spark, pattern)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..files import literal_path
 from ..operators import matched, not_organized, rows_of_files, unmatched
 from ..schema import FILE_PREFIX, LAKE_SCHEMA
 from ..sinks.organized import write_organized, write_unmatched
@@ -16,9 +16,6 @@ from ..sources.flat import with_uri
 from ..sources.listing import kept
 from ..sources.organized import ORGANIZED_KEYS, record_organized
 
-# A path with one of these would be read as a pattern; a backslash takes that meaning away.
-_GLOB_CHARACTER = re.compile(r"[\[\]{}*?\\]")
-
 
 @dataclass(frozen=True)
 class OrganizeResult:
@@ -33,10 +30,7 @@ def _rows_behind(spark: SparkSession, files: DataFrame) -> DataFrame:
     The files are read by name. Their names reach the driver, where Spark's own index of
     the scan holds them anyway; what was organized before is not among them.
     """
-    names = [
-        _GLOB_CHARACTER.sub(r"\\\g<0>", row.file_path)
-        for row in files.select("file_path").toLocalIterator()
-    ]
+    names = [literal_path(row.file_path) for row in files.select("file_path").toLocalIterator()]
     scan = with_uri(spark.read.schema(LAKE_SCHEMA).parquet(*names))
     return rows_of_files(scan, files)
 

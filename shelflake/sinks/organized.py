@@ -7,11 +7,13 @@ task ever has to take a whole drop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import LAKE_SCHEMA
-from ..sources.organized import ORGANIZED_KEYS
+from ..sources.missing import matches_or_empty
+from ..sources.organized import KEY_SCHEMA, ORGANIZED_KEYS
 
 
 def _replace_folders(rows: DataFrame, root: str, *keys: str) -> None:
@@ -37,3 +39,14 @@ def write_left_over(rows: DataFrame, root: str, batch_id: int) -> None:
     """``reason=/batch=``: what a streaming batch did not organize."""
     marked = rows.withColumn("batch", F.lit(batch_id).cast("bigint"))
     _replace_folders(marked, root, "reason", "batch")
+
+
+def read_left_over(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """What was kept of a streaming batch."""
+    schema = T.StructType([*LAKE_SCHEMA.fields, *KEY_SCHEMA.fields, T.StructField("reason", T.StringType())])
+
+    def read() -> DataFrame:
+        reader = spark.read.schema(schema).option("basePath", root)
+        return reader.parquet(f"{root}/reason=*/batch={batch_id}")
+
+    return matches_or_empty(spark, schema, read)

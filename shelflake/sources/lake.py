@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from datetime import date, datetime
 from urllib.parse import unquote
@@ -10,7 +9,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..files import any_match, matches, path_exists, same_place as _same_place
+from ..files import any_match, literal_path, matches, path_exists, same_place as _same_place
 from ..functions import business_day
 from ..schema import OFFSET_HOURS, PARTITION_COLUMNS, PARTITIONED_LAKE_SCHEMA
 from ..partitions import NO_VALUE, add_partitions, escaped, literal
@@ -60,7 +59,7 @@ def category_day(folder: str) -> tuple[str, str]:
 
 def read_folders(spark: SparkSession, root: str, folders: Sequence[str]) -> DataFrame:
     """Some category-days of the lake, by their folders. Folders that are gone have no rows."""
-    there = [_plain(folder) for folder in folders if path_exists(spark, folder)]
+    there = [literal_path(folder) for folder in folders if path_exists(spark, folder)]
     if not there:
         return empty_frame(spark, PARTITIONED_LAKE_SCHEMA)
     return spark.read.schema(PARTITIONED_LAKE_SCHEMA).option("basePath", root).parquet(*there)
@@ -73,16 +72,11 @@ def read_category_days(
     if not keys:
         return empty_frame(spark, PARTITIONED_LAKE_SCHEMA)
     folders = [
-        _plain("/".join([root, *(f"{n}={escaped(v)}" for n, v in zip(PARTITION_COLUMNS, key))])) for key in keys
+        literal_path("/".join([root, *(f"{n}={escaped(v)}" for n, v in zip(PARTITION_COLUMNS, key))])) for key in keys
     ]
     return spark.read.schema(PARTITIONED_LAKE_SCHEMA).option("basePath", root).parquet(*folders)
 
 
-def _plain(path: str) -> str:
-    """A path that is not a pattern, whatever characters it has."""
-    return re.sub(r"[\[\]{}*?\\]", r"\\\g<0>", path)
-
-
 def register_lake(spark: SparkSession, table: str, root: str, *, find: bool = True) -> None:
     """Make the lake a catalog table for ad-hoc SQL.
 

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..files import names_in, path_exists, remove_folder
+from ..files import literal_path, names_in, path_exists, remove_folder
 from ..functions import decoded
 from ..generations import newest_generation, write_generation
+from ..partitions import escaped
 from ..schema import LAKE_SCHEMA
 from .missing import empty_frame, matches_or_empty, read_or_empty
 
@@ -24,6 +25,21 @@ def read_organized(spark: SparkSession, root: str) -> DataFrame:
     return read_or_empty(spark, ORGANIZED_SCHEMA, root)
 
 
+def read_drops(spark: SparkSession, root: str, drops: DataFrame) -> DataFrame:
+    """The rows of some drops, without listing the tree. Drops without rows have no folder.
+
+    As many folders as drops are asked for, such as those of a batch.
+    """
+    folders = [
+        f"{root}/category={escaped(row.category)}/file_key={escaped(row.file_key)}"
+        for row in drops.select(*ORGANIZED_KEYS).toLocalIterator()
+    ]
+    there = [literal_path(folder) for folder in folders if path_exists(spark, folder)]
+    if not there:
+        return empty_frame(spark, ORGANIZED_SCHEMA)
+    return spark.read.schema(ORGANIZED_SCHEMA).option("basePath", root).parquet(*there)
+
+
 def manifest(root: str) -> str:
     """Where the tree's own list of organized drops is kept. Readers of the tree pass it over.
 

@@ -182,3 +182,95 @@ def test_a_file_with_an_old_date_is_not_passed_over(drops):
     drops.add(B, 2)
     os.utime(drops.flat / f"{B}.parquet", (1_600_000_000, 1_600_000_000))
     assert drops.run() == [("a", A, 1), ("b b", B, 2)]
+
+
+def retired(drops, how) -> dict:
+    return {"clean_source": how} | ({"archive_root": drops.archive} if how == "archive" else {})
+
+
+@pytest.mark.parametrize("how", ["archive", "delete"])
+def test_sources_are_retired_by_the_run_that_organized_them(drops, how):
+    drops.add(A, 1, 2)
+    drops.add("amazonbestsellers", 4)
+    folder = drops.flat / f"snapshot_key={B}"
+    for n in range(2):
+        write_file(folder / f"part-{n}.parquet", [listing(rank=n)])
+    expected = sorted([("a", A, 1), ("a", A, 2), ("b b", B, 0), ("b b", B, 1)])
+    assert drops.run(**retired(drops, how)) == expected
+    assert drops.left_over() == [("no_category", "amazonbestsellers", 4)]
+    left = [name for _, _, names in os.walk(drops.flat) for name in names if name.endswith(".parquet")]
+    assert left == []
+    archived = sorted(
+        os.path.relpath(os.path.join(at, name), drops.archive)
+        for at, _, names in os.walk(drops.archive)
+        for name in names
+        if name.endswith(".parquet")
+    )
+    inside = [f"snapshot_key={B}/part-{n}.parquet" for n in range(2)]
+    assert archived == (sorted([f"{A}.parquet", "amazonbestsellers.parquet", *inside]) if how == "archive" else [])
+
+
+@pytest.mark.parametrize("how", ["archive", "delete"])
+@pytest.mark.parametrize("loses", ["organized", "left over"])
+def test_a_short_target_keeps_the_sources(drops, monkeypatch, how, loses):
+    from shelflake.streaming import organize as module
+
+    drops.add(A, 1, 2)
+    drops.add("amazonbestsellers", 4, 5)
+    with monkeypatch.context() as patch, pytest.raises(Exception, match="not retired"):
+        if loses == "organized":
+            write = module.write_organized
+            patch.setattr(module, "write_organized", lambda rows, root: write(rows.where("rank < 2"), root))
+        else:
+            write = module.write_left_over
+            patch.setattr(module, "write_left_over", lambda rows, *a: write(rows.where("rank < 5"), *a))
+        drops.run(**retired(drops, how))
+    assert {p.name for p in drops.flat.glob("*.parquet")} == {f"{A}.parquet", "amazonbestsellers.parquet"}
+    # The next run repeats the batch, and all is well.
+    assert drops.run(**retired(drops, how)) == [("a", A, 1), ("a", A, 2)]
+    assert len(drops.left_over()) == 2
+    assert list(drops.flat.glob("*.parquet")) == []
+
+
+@pytest.mark.parametrize("how", ["archive", "delete"])
+def test_a_run_that_stopped_while_it_retired(drops, monkeypatch, how):
+    """The batch is repeated when some of its sources are gone: what it wrote must stay whole."""
+    from shelflake.streaming import organize as module
+
+    folder = drops.flat / f"snapshot_key={B}"
+    for n in range(3):
+        write_file(folder / f"part-{n}.parquet", [listing(rank=n)])
+    name = "remove_folder" if how == "delete" else "renamed"
+    step, calls = getattr(module, name), []
+
+    def stops(spark, path, *more):
+        if path.startswith("file:") and "/flat/" in path or "/flat/" in path:
+            calls.append(path)
+            if len(calls) == 2:
+                raise RuntimeError("lost")
+        return step(spark, path, *more)
+
+    with monkeypatch.context() as patch, pytest.raises(Exception, match="lost"):
+        patch.setattr(module, name, stops)
+        drops.run(**retired(drops, how))
+    assert len(list(folder.glob("*.parquet"))) == 2
+    expected = [("b b", B, n) for n in range(3)]
+    assert drops.run(**retired(drops, how)) == expected
+    assert drops.run(**retired(drops, how)) == expected
+    assert list(folder.glob("*.parquet")) == []
+
+
+def test_a_committed_batch_that_is_repeated_after_its_sources_are_gone(drops):
+    drops.add(A, 1)
+    drops.run(clean_source="delete")
+    forget_commit(drops.checkpoint, 0)
+    drops.add(B, 2)
+    assert drops.run(clean_source="delete") == [("a", A, 1), ("b b", B, 2)]
+
+
+def test_options_of_retirement(drops):
+    drops.add(A, 1)
+    with pytest.raises(ValueError, match="unknown clean_source"):
+        drops.run(clean_source="burn")
+    with pytest.raises(ValueError, match="archive_root"):
+        drops.run(clean_source="archive")
