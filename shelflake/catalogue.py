@@ -46,7 +46,16 @@ from .schema import FILE_PREFIX, LAKE_SCHEMA, LISTING_FIELDS, SNAPSHOT_DAY, WARE
 from .session import passing_path, work_path
 from .sinks import write_flat, write_organized, write_partitioned
 from .sinks.warehouse import Warehouse
-from .sources import read_day, read_envelopes, read_flat, read_lake, read_organized, register_lake
+from .sources import (
+    close_days,
+    compact_manifest,
+    read_day,
+    read_envelopes,
+    read_flat,
+    read_lake,
+    read_organized,
+    register_lake,
+)
 from .sources.flat import scan_flat, with_lineage
 from .streaming import load_new_files, organize_new_drops
 
@@ -586,6 +595,28 @@ def organize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def organize_closed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What four runs report. After the first one its first day is closed and the manifest compacted; before the
+    third one the third day has come, and the last one is asked for all days.
+    """
+    listings = _typed_feed(spark, sf_dir)
+    with (
+        _passing_flat_lake(spark, _on(listings, *DAYS[:2])) as flat,
+        passing_path(spark, "organized") as target,
+    ):
+        runs = [organize(spark, flat, target)]
+        close_days(spark, target, before=SECOND_DAY)
+        compact_manifest(spark, target)
+        runs.append(organize(spark, flat, target))
+        write_flat(_on(listings, DAYS[2]), flat)
+        runs += [organize(spark, flat, target), organize(spark, flat, target, all_days=True)]
+    return spark.createDataFrame(
+        [(n, r.organized, r.skipped, r.unmatched) for n, r in enumerate(runs, 1)],
+        "run bigint, organized bigint, skipped bigint, unmatched bigint",
+    )
+
+
 @registered
 def organize_empty_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What two runs report when a drop has no rows: it is organized once."""

@@ -347,6 +347,17 @@ ORACLES: dict[str, str] = {
                CAST(0 AS BIGINT) AS unmatched FROM drops
         UNION ALL SELECT 2, 0, early, 0 FROM drops
         UNION ALL SELECT 3, late, early, 0 FROM drops""",
+    "organize_closed_days": f"""{_FEED},
+        drops AS (
+            SELECT count(DISTINCT {_FILE_KEY}) FILTER (snap = 1) AS a, count(DISTINCT {_FILE_KEY}) FILTER (snap = 2) AS b,
+                   count(DISTINCT {_FILE_KEY}) FILTER (snap = 3) AS c
+            FROM feed
+        )
+        SELECT CAST(1 AS BIGINT) AS run, a + b AS organized, CAST(0 AS BIGINT) AS skipped,
+               CAST(0 AS BIGINT) AS unmatched FROM drops
+        UNION ALL SELECT 2, 0, b, 0 FROM drops
+        UNION ALL SELECT 3, c, b, 0 FROM drops
+        UNION ALL SELECT 4, 0, a + b + c, 0 FROM drops""",
     "organize_stream": f"""{_TYPED_FEED}
         SELECT {_FIELDS}, category, {_FILE_KEY} AS file_key, 'organized' AS place FROM typed
         UNION ALL

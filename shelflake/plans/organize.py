@@ -14,7 +14,7 @@ from ..sinks.organized import write_organized, write_unmatched
 from ..sources import drop_files, organized_keys
 from ..sources.flat import with_uri
 from ..sources.listing import kept
-from ..sources.organized import ORGANIZED_KEYS, record_organized
+from ..sources.organized import ORGANIZED_KEYS, closed_before, record_organized
 
 
 @dataclass(frozen=True)
@@ -54,6 +54,7 @@ def organize(
     *,
     rejects_root: str | None = None,
     prefix: str = FILE_PREFIX,
+    all_days: bool = False,
 ) -> OrganizeResult:
     """Copy each new drop into its own folder under its category.
 
@@ -62,10 +63,14 @@ def organize(
     ``rejects_root`` (replacing its earlier copy there) or, without one, stays where
     it is. The number of Spark jobs does not depend on the number of drops. Sources
     are kept; to retire them use the streaming form.
+
+    Drops of closed days (:func:`close_days`), told by their names, are neither listed nor counted, unless
+    ``all_days`` asks for them; drops whose name tells no day always are.
     """
+    since = None if all_days else closed_before(spark, target_root)
     # Both listings are used several times; they hold a line per file, not per row.
     with (
-        kept(drop_files(spark, flat_root, prefix)) as files,
+        kept(drop_files(spark, flat_root, prefix, since)) as files,
         kept(organized_keys(spark, target_root, matched(files))) as existing,
     ):
         result = _counted(files, existing)

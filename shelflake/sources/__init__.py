@@ -4,9 +4,11 @@ from .envelopes import read_envelopes
 from .flat import drop_files, read_flat
 from .lake import read_day, read_lake, register_lake
 from .missing import empty_frame, matches_or_empty, read_or_empty
-from .organized import organized_keys, read_organized
+from .organized import close_days, compact_manifest, organized_keys, read_organized
 
 __all__ = [
+    "close_days",
+    "compact_manifest",
     "drop_files",
     "empty_frame",
     "matches_or_empty",

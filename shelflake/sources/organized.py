@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..files import literal_path, names_in, path_exists, remove_folder
+from ..files import literal_path, mark, names_in, path_exists, remove_folder
 from ..functions import decoded
 from ..generations import newest_generation, write_generation
 from ..partitions import escaped
@@ -75,7 +76,7 @@ def _ensured(spark: SparkSession, root: str) -> bool:
     """Whether there is a manifest. A tree that other means have filled is listed once for it."""
     if not path_exists(spark, root):
         return False
-    if not path_exists(spark, manifest(root)):
+    if not any(name != "closed" for name in names_in(spark, manifest(root))):
         record_organized(listed_keys(spark, root), root)
     return True
 
@@ -137,6 +138,20 @@ def compact_manifest(spark: SparkSession, root: str) -> None:
             remove_folder(spark, run)
 
 
+def closed_before(spark: SparkSession, root: str) -> str | None:
+    """The day (``yyyymmdd``) before which all days are closed."""
+    days = [name for name in names_in(spark, f"{manifest(root)}/closed") if name.isdigit()]
+    return max(days, default=None)
+
+
+def close_days(spark: SparkSession, root: str, before: date) -> None:
+    """Say that no drops of days before this one are to come: runs of the organizer need not list them again.
+
+    A day that is closed stays so. The names are days, of which the last counts.
+    """
+    mark(spark, f"{manifest(root)}/closed/{before:%Y%m%d}")
+
+
 def listed_keys(spark: SparkSession, root: str) -> DataFrame:
     """Keys that have a folder, from the listing alone (no file is opened)."""
 

@@ -14,7 +14,7 @@ from shelflake.sources import drop_files, organized_keys, read_flat, read_organi
 from shelflake.sources.flat import scan_flat
 from shelflake.sources import organized
 from shelflake.sources.listing import kept
-from shelflake.sources.organized import compact_manifest
+from shelflake.sources.organized import close_days, compact_manifest
 
 EMPTY = "amazonbestsellers_empty_20240101"
 KITCHEN = "amazonbestsellers_kitchen_20240101"
@@ -341,3 +341,51 @@ def test_an_empty_manifest(spark, target):
     compact_manifest(spark, target)
     assert all_keys(spark, target) == set()
     assert organized_keys(spark, target, many_keys(spark, 3)).isEmpty()
+
+
+# --- closed days -------------------------------------------------------------
+
+
+def test_names_since_a_day(spark, tmp_path):
+    """The patterns against the names they are to match, files and folders."""
+    import random
+    import re
+
+    source = random.Random(8)
+    days = ["20240101", "20240115", "20240114", "20240116", "20231231", "20250101", "20240201", "99991231", "00000000"]
+    tails = ["", "x", "1", "_", "20240101", "_2024010", "_202401011", "_a_20240114b", "-20240114", "_kit 2_2024", "_é_2024011é"]
+    names = {"best" + t for t in tails} | {f"best_{c}_{d}" for c in ("a", "a_20240101", "é b", "") for d in days}
+    names |= {f"best_{''.join(source.choices('_0129a', k=source.randint(1, 12)))}" for _ in range(150)}
+    for n, name in enumerate(sorted(names)):
+        if n % 2:
+            write_file(tmp_path / f"{name}.parquet", [])
+        else:
+            write_file(tmp_path / f"snapshot_key={name}" / "part-0.parquet", [])
+    write_file(tmp_path / "other_a_20240115.parquet", [])
+    for since in ("20240115", "20191231", "20240099", "99999999", "00000000"):
+        expected = {n for n in names if not re.search("_[0-9]{8}$", n) or n[-8:] >= since}
+        found = {r.file_key for r in drop_files(spark, str(tmp_path), "best", since).collect()}
+        assert found == expected
+    assert {r.file_key for r in drop_files(spark, str(tmp_path), "best").collect()} == names
+
+
+def test_closed_days_are_not_listed(spark, flat, target, monkeypatch):
+    from datetime import date
+
+    write_file(flat / "amazonbestsellers_new_20240105.parquet", [listing(rank=7)])
+    assert organize(spark, str(flat), target) == OrganizeResult(4, 0, 1)
+    close_days(spark, target, before=date(2024, 1, 5))
+    close_days(spark, target, before=date(2024, 1, 2))
+    write_file(flat / "amazonbestsellers_late_20240101.parquet", [listing(rank=8)])
+    write_file(flat / "amazonbestsellers_next_20240106.parquet", [listing(rank=9)])
+    # The days from the fifth on, and the drop that tells no day.
+    assert organize(spark, str(flat), target) == OrganizeResult(1, 1, 1)
+    assert organize(spark, str(flat), target, all_days=True) == OrganizeResult(1, 5, 1)
+
+
+def test_days_closed_before_the_first_run(spark, flat, target):
+    from datetime import date
+
+    close_days(spark, target, before=date(2024, 1, 2))
+    assert organize(spark, str(flat), target) == OrganizeResult(0, 0, 1)
+    assert organize(spark, str(flat), target, all_days=True) == OrganizeResult(3, 0, 1)
