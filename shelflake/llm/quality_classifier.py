@@ -1,18 +1,20 @@
 """Ordinal quality classifier: cumulative-link regression on hashed text.
 
-A document has one score: the sum of the weights of its distinct hashed words and of a few shape
-features. Ordered thresholds cut the score into grades: P(grade > k) = logistic(score - threshold
-k). All grades share the weights, so that a document's expected grade and tail probabilities follow
-from its score.
+A document has one score, of two parts. Faults add up: the weights of the hashed words that speak
+against a text, and of a few shape features, are summed. The rest is a tendency: every hashed word that the
+sample knows has a weight of either sign, and their sum is divided by the square root of the number
+of words, so that long texts do not outweigh short ones. Ordered thresholds cut the score into grades:
+P(grade > k) = logistic(score - threshold k). All grades share the weights, so that a document's expected
+grade and tail probabilities follow from its score.
 
 Training takes a bounded sample of the labelled documents; scoring reads whole texts of all of them.
-Weights are fitted by gradient steps with soft thresholding, which sets those of neutral words to
-zero, so that long texts do not drown what matters.
+The faults are fitted first, by gradient steps with soft thresholding, which sets those of neutral words to
+zero; the tendency is fitted to what they leave open.
 
 Defined results: a NULL or empty text is scored by the weights of its shape alone; repeated rows
 give repeated results; labels with a NULL grade or for unknown documents are not used, nor do they
-take a place in the sample; a document
-labelled twice has its lower grade; without any labelled document all scores are equal and no
+take a place in the sample; a document labelled twice has its lower grade; of an id with several
+texts one is learned, the first by its hash; without any labelled document all scores are equal and no
 document is rejected. Other columns are left alone. Nothing but ids and the sample is shuffled.
 """
 
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from operator import eq
 from zlib import crc32
 
@@ -76,14 +78,20 @@ def features(text: str | None) -> np.ndarray:
     return np.unique(np.concatenate([hashes % BUCKETS, BUCKETS + np.array(shape)])).astype(np.uint32)
 
 
+_NO_FEATURES, _NO_WEIGHTS = np.zeros(0, np.uint32), np.zeros(0)
+
+
 @dataclass
 class Model:
-    features: np.ndarray  # sorted; all others weigh nothing
+    features: np.ndarray  # of the faults; sorted; all others weigh nothing
     weights: np.ndarray
     thresholds: np.ndarray  # ascending, one fewer than grades
+    leaning: np.ndarray = field(default_factory=_NO_FEATURES.copy)  # of the tendency; sorted
+    leanings: np.ndarray = field(default_factory=_NO_WEIGHTS.copy)
 
     def score(self, found: np.ndarray) -> float:
-        return float(self.weights[_places(self.features, found)].sum())
+        leaning = self.leanings[_places(self.leaning, found)].sum() * _evened(found)
+        return float(self.weights[_places(self.features, found)].sum() + leaning)
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """P(grade > k) for each score and each k."""
@@ -100,19 +108,50 @@ def fit(
     shrink: float = 1e-3,
     least_share: float = 0.05,
 ) -> Model:
-    """Fit twice: first with shrinkage, to find the words that matter, then those alone and freely.
+    """Fit the faults twice, first with shrinkage, to find the words that matter, then those alone and
+    freely; and then the tendency.
 
-    A word matters if its weight has least_share of the largest weight of any. A word can only lower
+    A word matters if its weight has least_share of the largest weight of any. A fault can only lower
     the grade: no length of common words makes up for a bad one, and a short text without any is not
-    a bad one.
+    a bad one. The tendency ranks what the faults leave alike.
     """
     known, often = np.unique(np.concatenate([*rows, np.zeros(0, np.uint32)]), return_counts=True)
+    every = known[often >= min_texts]
     known = known[(often >= min_texts) | (known >= BUCKETS)]
     weights, _ = _ascend(rows, grades, known, n_grades, rounds, shrink)
     least = least_share * np.abs(weights[known < BUCKETS]).max(initial=0)
     known = known[(known >= BUCKETS) | (np.abs(weights) > least)]
     weights, thresholds = _ascend(rows, grades, known, n_grades, 4 * rounds, shrink / 50)
-    return Model(known, weights, thresholds)
+    faults = Model(known, weights, thresholds)
+    return Model(known, weights, thresholds, every, _lean(rows, grades, every, faults))
+
+
+def _evened(found: np.ndarray) -> float:
+    return 1 / math.sqrt(max(1, len(found)))
+
+
+def _balance(grades: np.ndarray, n_grades: int) -> np.ndarray:
+    """Weights of the grades: the inverse of the square root of their share."""
+    share = np.bincount(grades, minlength=n_grades) / max(1, len(grades))
+    balance = 1 / np.sqrt(np.maximum(share, 1e-9))
+    return balance / (balance * share).sum() if len(grades) else balance
+
+
+def likelihood(
+    scores: np.ndarray, grades: np.ndarray, thresholds: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The logarithm of the probability of each grade, and its slopes by the score and by each threshold."""
+    tail = 1 / (1 + np.exp(np.clip(thresholds[None, :] - scores[:, None], -50, 50)))
+    slope = tail * (1 - tail)
+    # P(grade) is a difference of neighbouring tails, 1 before the first and 0 behind the last.
+    edge = np.ones((len(scores), 1))
+    wide, slopes = np.hstack([edge, tail, 0 * edge]), np.hstack([0 * edge, slope, 0 * edge])
+    i = np.arange(len(scores))
+    p = np.maximum(wide[i, grades] - wide[i, grades + 1], 1e-9)
+    by_threshold = np.zeros((len(scores), len(thresholds) + 2))
+    by_threshold[i, grades] -= slopes[i, grades] / p
+    by_threshold[i, grades + 1] += slopes[i, grades + 1] / p
+    return np.log(p), (slopes[i, grades] - slopes[i, grades + 1]) / p, by_threshold[:, 1:-1]
 
 
 def _places(known: np.ndarray, found: np.ndarray) -> np.ndarray:
@@ -135,8 +174,7 @@ def _ascend(
     """Weights and thresholds by proximal AdaGrad over mini-batches of the cumulative-link
     likelihood.
 
-    Grades are weighted by the inverse of the square root of their share. The thresholds are an
-    anchor and positive steps.
+    Grades are weighted by :func:`_balance`. The thresholds are an anchor and positive steps.
     """
     lowers = known < BUCKETS
     rows = [_places(known, r) for r in rows]
@@ -145,9 +183,7 @@ def _ascend(
     lengths = np.array([len(r) for r in rows], np.int64)
     flat = np.concatenate([*rows, np.zeros(0, np.int32)])
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    share = np.bincount(grades, minlength=n_grades) / max(1, len(grades))
-    balance = 1 / np.sqrt(np.maximum(share, 1e-9))
-    balance = balance / (balance * share).sum() if len(grades) else balance
+    balance = _balance(grades, n_grades)
     # anchor, then logarithms of the steps between thresholds
     free = np.concatenate([[0.0], np.zeros(n_grades - 2)])
     free_seen = np.full(len(free), 1e-6)
@@ -161,16 +197,9 @@ def _ascend(
             score = np.bincount(owner, weights[index], minlength=len(batch))
             steps = np.exp(free[1:])
             thresholds = free[0] + np.concatenate([[0.0], np.cumsum(steps)])
-            tail = 1 / (1 + np.exp(np.clip(thresholds[None, :] - score[:, None], -50, 50)))
-            slope = tail * (1 - tail)
-            # P(grade) is a difference of neighbouring tails, 1 before the first and 0 behind the last.
-            y = grades[batch]
-            wide = np.hstack([np.ones((len(batch), 1)), tail, np.zeros((len(batch), 1))])
-            slopes = np.hstack([np.zeros((len(batch), 1)), slope, np.zeros((len(batch), 1))])
-            i = np.arange(len(batch))
-            p = np.maximum(wide[i, y] - wide[i, y + 1], 1e-9)
-            factor = balance[y] / p / len(batch)
-            by_score = factor * (slopes[i, y] - slopes[i, y + 1])
+            factor = balance[grades[batch]] / len(batch)
+            _, by_score, by_threshold = likelihood(score, grades[batch], thresholds)
+            by_score = factor * by_score
             gradient = np.bincount(index, by_score[owner], minlength=width)
             touched = np.unique(index)
             g = gradient[touched]
@@ -179,10 +208,7 @@ def _ascend(
             moved = weights[touched] + pace * g
             moved = np.sign(moved) * np.maximum(np.abs(moved) - pace * shrink, 0)
             weights[touched] = np.where(lowers[touched], np.minimum(moved, 0), moved)
-            by_threshold = np.zeros((len(batch), n_grades + 1))
-            by_threshold[i, y] -= factor * slopes[i, y]
-            by_threshold[i, y + 1] += factor * slopes[i, y + 1]
-            total = by_threshold[:, 1:-1].sum(0)
+            total = (factor[:, None] * by_threshold).sum(0)
             g = np.concatenate([[total.sum()], np.cumsum(total[:0:-1])[::-1] * steps])
             free_seen += g * g
             free += 0.5 * g / np.sqrt(free_seen)
@@ -190,6 +216,38 @@ def _ascend(
     return weights, thresholds
 
 
+def _lean(
+    rows: list[np.ndarray],
+    grades: np.ndarray,
+    known: np.ndarray,
+    faults: Model,
+    rounds: int = 10,
+    shrink: float = 1e-4,
+    rate: float = 0.3,
+) -> np.ndarray:
+    """Weights of either sign for what the faults leave open, by AdaGrad with a quadratic penalty."""
+    places = [_places(known, r) for r in rows]
+    evened = np.array([_evened(r) for r in rows])
+    fixed = np.array([faults.score(r) for r in rows])
+    weights, seen = np.zeros(len(known)), np.full(len(known), 1e-6)
+    balance = _balance(grades, len(faults.thresholds) + 1)
+    order = np.random.default_rng(5)
+    for _ in range(rounds if len(rows) else 0):
+        shuffled = order.permutation(len(rows))
+        for at in range(0, len(rows), BATCH):
+            batch = shuffled[at : at + BATCH]
+            index = np.concatenate([places[b] for b in batch])
+            owner = np.repeat(np.arange(len(batch)), [len(places[b]) for b in batch])
+            sums = np.bincount(owner, weights[index], minlength=len(batch))
+            _, by_score, _ = likelihood(fixed[batch] + evened[batch] * sums, grades[batch], faults.thresholds)
+            pull = balance[grades[batch]] / len(batch) * by_score * evened[batch]
+            touched = np.unique(index)
+            g = np.bincount(index, pull[owner], minlength=len(known))[touched] - shrink * weights[touched]
+            seen[touched] += g * g
+            weights[touched] += rate * g / np.sqrt(seen[touched])
+    return weights
+
+
 def grade(quality: Column, toxic: Column) -> Column:
     """Graded rating of a labelled document: the number of the two tests it passes."""
     return (F.when(quality == 1, 1).otherwise(0) + F.when(toxic == 0, 1).otherwise(0)).cast("int")
@@ -221,7 +279,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, **
         [tuple(r) for r in chosen], T.StructType([docs.schema["doc_id"]]).add("grade", "integer")
     )
     # sample_rows ids at most: a bound that does not grow with the data.
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    # One text for each id, however many rows carry it.
+    rows = texts.groupBy("doc_id", "grade").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     schema = T.StructType().add("grade", "integer").add("found", T.ArrayType(T.IntegerType()))
     arrow = to_arrow_schema(schema)
 

@@ -96,6 +96,66 @@ def test_held_out_ratings():
     assert expected[good].mean() > expected[~good].mean() + 0.5
 
 
+    # The tendency ranks what the faults leave alike, and ranks it well.
+    scores = np.array([model.score(f) for f in found[cut:]])
+    assert np.unique(scores.round(9), return_counts=True)[1].max() < 0.05 * len(scores)
+    faults = quality_classifier.Model(model.features, model.weights, model.thresholds)
+    plain = np.array([faults.score(f) for f in found[cut:]])
+    assert above(scores, good) > 0.985
+    assert above(scores, good) >= above(plain, good)
+
+
+def above(scores, good) -> float:
+    """How often a good text scores above another one, ties by half."""
+    a, b = scores[good][:, None], scores[~good][None, :]
+    return float((a > b).mean() + 0.5 * (a == b).mean())
+
+
+def test_slopes_of_the_likelihood():
+    source = np.random.default_rng(2)
+    scores, grades = source.normal(0, 2, 30), source.integers(0, 4, 30)
+    thresholds = np.sort(source.normal(0, 2, 3))
+    value, by_score, by_threshold = quality_classifier.likelihood(scores, grades, thresholds)
+    assert np.isfinite(value).all() and (value < 0).all()
+    step = 1e-6
+    up, down = (quality_classifier.likelihood(scores + d, grades, thresholds)[0] for d in (step, -step))
+    assert np.allclose(by_score, (up - down) / (2 * step), atol=1e-5)
+    for k in range(3):
+        moved = np.eye(3)[k] * step
+        up, down = (quality_classifier.likelihood(scores, grades, thresholds + d)[0] for d in (moved, -moved))
+        assert np.allclose(by_threshold[:, k], (up - down) / (2 * step), atol=1e-5)
+
+
+def test_fits_reach_the_best_of_a_grid():
+    """One word and two thresholds, against all values of a grid."""
+    counts = {(True, 0): 12, (True, 1): 6, (True, 2): 2, (False, 0): 3, (False, 1): 6, (False, 2): 31}
+    number = quality_classifier.features("awful")[0]
+    rows, grades = [], []
+    for (bad, grade), times in counts.items():
+        rows += [np.array([number] if bad else [], np.uint32)] * times
+        grades += [grade] * times
+    grades = np.array(grades)
+    balance = quality_classifier._balance(grades, 3)
+    bad = np.array([len(r) for r in rows])
+
+    def value(weight, thresholds):
+        return (balance[grades] * quality_classifier.likelihood(weight * bad, grades, np.array(thresholds))[0]).sum()
+
+    weights, thresholds = quality_classifier._ascend(rows, grades, np.array([number]), 3, 3000, 0.0)
+    grid = np.arange(-5, 3.01, 0.25)
+    best = max(value(w, (a, b)) for w in grid for a in grid for b in grid if a < b)
+    assert value(weights[0], thresholds) > best - 1e-3
+
+
+def test_an_id_of_many_texts_sends_one(spark):
+    rows, labels = graded(range(60))
+    rows += [(1, f"text number {n} of the same id") for n in range(300)]
+    kind = "doc_id bigint, quality int, toxic int"
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = quality_classifier.train(docs, spark.createDataFrame(labels, kind), min_texts=2)
+    assert not set(quality_classifier.features("number same").tolist()[:2]) & set(model.leaning.tolist())
+
+
 def test_a_long_text_does_not_outweigh_a_bad_word():
     rows, grades = [], []
     for n in range(400):
@@ -126,6 +186,7 @@ def test_labels_of_unknown_documents_take_no_place_in_the_sample(spark):
     model = quality_classifier.train(docs, spark.createDataFrame(labels + others, kind), sample_rows=200)
     assert model.features.tolist() == own.features.tolist()
     assert model.weights.tolist() == own.weights.tolist()
+    assert model.leanings.tolist() == own.leanings.tolist()
     assert model.thresholds.tolist() == own.thresholds.tolist()
     kept = {r["doc_id"]: r["kept"] for r in quality_classifier.score(docs, model).collect()}
     assert kept == {n: n % 4 != 0 for n in range(200)}
