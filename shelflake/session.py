@@ -6,6 +6,7 @@ import os
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -32,11 +33,18 @@ def local_session(cpus: int | str = 8, app_name: str = "shelflake", **settings:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: the one the cluster names, or else one in the warehouse."""
+    """The folder every executor can reach: the one the cluster names, or else one in the warehouse.
+
+    On a cluster whose warehouse is a folder of the machine there is none, and that is an error: what one
+    executor writes there others do not find.
+    """
     configured = spark.conf.get(SHARED_FOLDER_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and urlparse(warehouse).scheme in ("", "file"):
+        raise RuntimeError(f"{SHARED_FOLDER_SETTING} names no shared folder, and the warehouse is none: {warehouse}")
+    return f"{warehouse}/_shared"
 
 
 def work_path(spark: SparkSession, name: str) -> str:
