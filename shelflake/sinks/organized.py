@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..files import any_match
 from ..schema import LAKE_SCHEMA
-from ..sources.missing import matches_or_empty
+from ..sources.missing import empty_frame
 from ..sources.organized import KEY_SCHEMA, ORGANIZED_KEYS
 
 
@@ -45,8 +46,7 @@ def read_left_over(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     """What was kept of a streaming batch."""
     schema = T.StructType([*LAKE_SCHEMA.fields, *KEY_SCHEMA.fields, T.StructField("reason", T.StringType())])
 
-    def read() -> DataFrame:
-        reader = spark.read.schema(schema).option("basePath", root)
-        return reader.parquet(f"{root}/reason=*/batch={batch_id}")
-
-    return matches_or_empty(spark, schema, read)
+    path = f"{root}/reason=*/batch={batch_id}"
+    if not any_match(spark, path):
+        return empty_frame(spark, schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(path)

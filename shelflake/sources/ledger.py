@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..files import matches, names_in
+from ..files import any_match, matches, names_in
 from ..functions import decoded
 from ..generations import newest_generation, write_generation
 from ..schema import PARTITION_COLUMNS
-from .missing import empty_frame, matches_or_empty
+from .missing import empty_frame
 
 #: A year and a month, as the lake's folders have them.
 Month = tuple[str, str]
@@ -51,21 +51,20 @@ def listed_month(spark: SparkSession, lake_root: str, month: Month) -> DataFrame
     """The lines of a month as its files are now, from the listing alone."""
     path = f"{lake_root}/category=*/year={month[0]}/month={month[1]}/day=*"
 
-    def read() -> DataFrame:
-        files = spark.read.format("binaryFile").load(path)
-        uri = F.col("_metadata.file_path")
-        plain = decoded(uri)
-        keys = [decoded(F.regexp_extract(plain, f"/{key}=([^/]*)/", 1)).alias(key) for key in PARTITION_COLUMNS]
-        size, time = F.col("_metadata.file_size"), F.col("_metadata.file_modification_time")
-        lines = files.select(*keys, size.alias("size"), time.alias("time"), F.xxhash64(uri, size, time).alias("file"))
-        return lines.groupBy(*PARTITION_COLUMNS).agg(
-            F.count("*").alias("files"),
-            F.sum("size").alias("bytes"),
-            F.max("time").alias("newest"),
-            F.bit_xor("file").alias("names"),
-        )
-
-    return matches_or_empty(spark, LEDGER_SCHEMA, read)
+    if not any_match(spark, path):
+        return empty_frame(spark, LEDGER_SCHEMA)
+    files = spark.read.format("binaryFile").load(path)
+    uri = F.col("_metadata.file_path")
+    plain = decoded(uri)
+    keys = [decoded(F.regexp_extract(plain, f"/{key}=([^/]*)/", 1)).alias(key) for key in PARTITION_COLUMNS]
+    size, time = F.col("_metadata.file_size"), F.col("_metadata.file_modification_time")
+    lines = files.select(*keys, size.alias("size"), time.alias("time"), F.xxhash64(uri, size, time).alias("file"))
+    return lines.groupBy(*PARTITION_COLUMNS).agg(
+        F.count("*").alias("files"),
+        F.sum("size").alias("bytes"),
+        F.max("time").alias("newest"),
+        F.bit_xor("file").alias("names"),
+    )
 
 
 def _of_month(ledger_root: str, month: Month) -> str:
