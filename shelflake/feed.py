@@ -1,8 +1,9 @@
 """A listing feed derived from the ``part`` table.
 
 Three daily snapshots of every part, with the irregular prices, titles and numbers a
-real feed has. Every value comes from its own row: there is no shuffle, and nothing
-depends on how many rows share a key. ``FIXTURES.md`` describes each column.
+real feed has. Every value comes from its own row, and nothing depends on how many rows
+share a key; the rows of a large table are dealt out to tasks, by their place alone.
+``FIXTURES.md`` describes each column.
 """
 
 from __future__ import annotations
@@ -14,6 +15,10 @@ from .schema import LISTING_FIELDS
 
 SNAPSHOTS = (1, 2, 3)
 
+#: A task makes the listings of about so many parts. A part becomes a dozen rows or some kilobytes of JSON, so
+#: the splits of the file, which go by its own size, hold far too many.
+PARTS_PER_TASK = 20_000
+
 # Bodies no listing can be read from, and one that is fine but has no listings.
 ODD_BODIES = (
     "not json",
@@ -31,7 +36,16 @@ def _choose(selector: Column, *cases: Column | str | None) -> Column:
 
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/part.parquet")
+    """The table, dealt out to tasks by its number of rows.
+
+    The number is in the files' footers. Rows go by their place in the table, which does not change when a
+    task is repeated, and not by a key, which many may share.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet")
+    tasks = -(-rows.count() // PARTS_PER_TASK)
+    if tasks <= 1:
+        return rows
+    return rows.withColumn("__place", F.monotonically_increasing_id()).repartition(tasks, "__place").drop("__place")
 
 
 def _listing_columns(k: Column, s: Column) -> dict[str, Column]:
