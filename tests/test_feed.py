@@ -69,3 +69,12 @@ def test_a_small_table_is_not_shuffled(spark, sf_dir, monkeypatch):
 def test_ingest_lake_of_a_dealt_table(spark, sf_dir):
     found = spark_rows(QUERIES["ingest_lake"](spark, sf_dir))
     assert found == oracle_rows(oracle(sf_dir, ORACLES["ingest_lake"]))
+
+
+def test_file_names_are_told_by_many_tasks(spark, sf_dir):
+    result = QUERIES["file_names"](spark, sf_dir)
+    found = tasks(result)
+    assert len(found) >= 7
+    assert sum(found) == 1200
+    assert max(found) <= 420
+    assert spark_rows(result) == oracle_rows(oracle(sf_dir, ORACLES["file_names"]))
