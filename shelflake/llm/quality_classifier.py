@@ -98,6 +98,10 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -50, 50)))
 
 
+#: The arrays of a model and their kinds.
+_PARTS = {"features": "<u4", "weights": "<f8", "thresholds": "<f8", "leaning": "<u4", "leanings": "<f8"}
+
+
 def fit(
     rows: list[np.ndarray],
     grades: np.ndarray,
@@ -291,18 +295,27 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, **
             columns = [piece.column("grade"), pa.array(found, arrow.field("found").type)]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    seen = rows.select("text", "grade").mapInArrow(run, schema).toArrow()
-    # Copies of a text count once, so that a much copied text does not teach its every word.
-    texts = {}
-    for found, known_grade in zip(seen["found"], seen["grade"].to_pylist()):
-        name = found.values.to_numpy().tobytes()
-        texts[name] = min(known_grade, texts.get(name, known_grade))
-    del seen
-    if not texts:
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Copies of a text count once, so that a much copied text does not teach its every word.
+        texts = {}
+        for batch in batches:
+            for found, known_grade in zip(batch.column("found"), batch.column("grade").to_pylist()):
+                name = found.values.to_numpy().tobytes()
+                texts[name] = min(known_grade, texts.get(name, known_grade))
+        if not texts:
+            return
+        names = sorted(texts)
+        grades = np.array([texts[n] for n in names], np.int64)
+        model = fit([np.frombuffer(n, np.uint32) for n in names], grades, **options)
+        parts = [getattr(model, name).astype(kind) for name, kind in _PARTS.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], list(_PARTS))
+
+    # One task fits the sample: the driver gets the weights alone.
+    found = rows.select("text", "grade").mapInArrow(run, schema)
+    fitted = found.repartition(1).mapInArrow(learn, ", ".join(f"{name} binary" for name in _PARTS)).collect()
+    if not fitted:
         return neutral()
-    names = sorted(texts)
-    grades = np.array([texts[n] for n in names], np.int64)
-    return fit([np.frombuffer(n, np.uint32) for n in names], grades, **options)
+    return Model(**{name: np.frombuffer(fitted[0][name], kind) for name, kind in _PARTS.items()})
 
 
 def score(docs: DataFrame, model: Model, keep_at: float = KEEP_AT) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
 import time
@@ -105,6 +106,33 @@ def test_held_out_ratings():
     assert above(scores, good) >= above(plain, good)
 
 
+def test_the_sample_is_fitted_by_a_task(spark, monkeypatch):
+    texts = [f"word{k % 3} some text of grade {k % 3} and {'x' * k}" for k in range(40)]
+    texts += [texts[0], texts[1]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = [(k, int(k % 3 > 0), int(k % 3 < 2)) for k in range(41)] + [(41, 0, 1)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = quality_classifier.train(docs, labels, min_texts=2)
+    # Copies count once, with the lower grade.
+    grades = {t: k % 3 for k, t in enumerate(texts[:40])} | {texts[1]: 0}
+    rows = sorted((quality_classifier.features(t).tobytes(), g) for t, g in grades.items())
+    rows, known = [np.frombuffer(r, np.uint32) for r, _ in rows], np.array([g for _, g in rows])
+    expected = quality_classifier.fit(rows, known, min_texts=2)
+    for name in ("features", "weights", "thresholds", "leaning", "leanings"):
+        assert np.array_equal(getattr(model, name), getattr(expected, name)), name
+    assert len(model.leaning)
+
+    none = np.zeros(0)
+
+    def fit(rows, grades):
+        return quality_classifier.Model(none, none, np.array([os.getpid(), len(rows)]), none, none)
+
+    monkeypatch.setattr(quality_classifier, "fit", fit)
+    process, fitted = quality_classifier.train(docs, labels).thresholds
+    assert process != os.getpid()
+    assert fitted == 40
+
+
 def above(scores, good) -> float:
     """How often a good text scores above another one, ties by half."""
     a, b = scores[good][:, None], scores[~good][None, :]
