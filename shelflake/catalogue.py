@@ -524,10 +524,12 @@ def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = day_key(F.col("fetch_timestamp"))
     name = F.concat_ws("_", F.lit(FILE_PREFIX), F.concat("category", F.lit(" +é")), day)
     encoded = F.replace(F.url_encode(name), F.lit("+"), F.lit("%20"))
+    # A column of its own: inside the array it would be made for each form.
+    feed = feed.select("asin", "snap", encoded.alias("encoded"))
     forms = F.array(
-        F.concat(F.lit("file:/drops/"), encoded, F.lit(".parquet")),
-        F.concat(F.lit("file:/drops/"), encoded, F.lit(".parquet/part-0.parquet")),
-        F.concat(F.lit("file:/drops/snapshot_key="), encoded, F.lit("/part-0.parquet")),
+        F.concat(F.lit("file:/drops/"), "encoded", F.lit(".parquet")),
+        F.concat(F.lit("file:/drops/"), "encoded", F.lit(".parquet/part-0.parquet")),
+        F.concat(F.lit("file:/drops/snapshot_key="), "encoded", F.lit("/part-0.parquet")),
         F.lit(f"file:/drops/{FILE_PREFIX}.parquet"),
     )
     files = feed.select("asin", "snap", F.posexplode(forms).alias("form", "file_uri"))

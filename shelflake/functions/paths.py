@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..schema import FILE_PREFIX, FLAT_KEY
 
+EXTENSION = ".parquet"
+
 
 def decoded(text: Column) -> Column:
     """Undo percent encoding. A literal plus sign stays a plus sign."""
@@ -15,11 +17,17 @@ def decoded(text: Column) -> Column:
 
 def file_name(path: Column) -> Column:
     """Last segment of a path."""
-    return F.regexp_extract(path, "[^/]+$", 0)
+    return F.substring_index(path, "/", -1)
 
 
 def without_extension(name: Column) -> Column:
-    return F.regexp_replace(name, r"\.parquet$", "")
+    shorter = F.left(name, F.length(name) - len(EXTENSION))
+    return (
+        F.when(name.endswith(EXTENSION), shorter)
+        # The pattern also finds the ending in front of a line break that is the last character.
+        .when(name.contains(EXTENSION), F.regexp_replace(name, rf"\Q{EXTENSION}\E$", ""))
+        .otherwise(name)
+    )
 
 
 def file_key(path: Column) -> Column:
@@ -28,13 +36,23 @@ def file_key(path: Column) -> Column:
     A drop is a single file ``<key>.parquet``, a folder of that name with data files in it,
     or a folder ``snapshot_key=<key>`` as the flat sink writes it. Names of the last carry Spark's own
     escapes, undone here.
+
+    A scan tells this for each row, so the path is cut at its slashes: patterns that look for its end
+    try every character of it.
     """
-    folder = F.regexp_extract(path, f"/{FLAT_KEY}=([^/]+)/[^/]+$", 1)
-    written = F.regexp_extract(path, r"/([^/]+\.parquet)/[^/]+$", 1)
+    name = file_name(path)
+    last_two = F.substring_index(path, "/", -2)
+    folder = F.substring_index(last_two, "/", 1)
+    # A folder's name stands between two slashes, and a file's name comes after it.
+    inside = (last_two != path) & (name != "")
+    named = f"{FLAT_KEY}="
     return (
-        F.when(folder != "", decoded(folder))
-        .when(written != "", without_extension(written))
-        .otherwise(without_extension(file_name(path)))
+        F.when(
+            inside & folder.startswith(named) & (folder != named),
+            decoded(F.substr(folder, F.lit(len(named) + 1))),
+        )
+        .when(inside & folder.endswith(EXTENSION) & (folder != EXTENSION), without_extension(folder))
+        .otherwise(without_extension(name))
     )
 
 
@@ -43,4 +61,10 @@ def category_of(key: Column, prefix: str = FILE_PREFIX) -> Column:
 
     The category ends at the first underscore.
     """
-    return F.regexp_extract(key, rf"\Q{prefix}\E_([^_]+)_", 1)
+    begins = f"{prefix}_"
+    rest = F.substr(key, F.lit(len(begins) + 1))
+    category = F.substring_index(rest, "_", 1)
+    # Most keys begin so; the pattern finds the prefix anywhere else.
+    return F.when(
+        key.startswith(begins) & (category != "") & (category != rest), category
+    ).otherwise(F.regexp_extract(key, rf"\Q{prefix}\E_([^_]+)_", 1))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
@@ -201,6 +202,54 @@ def test_file_name_and_extension(spark):
     assert got == [("y.parquet", "y"), ("y.parquet.bak", "y.parquet.bak")]
 
 
+ODD_PATHS = [
+    ("", "", ""),
+    ("x", "x", "x"),
+    ("/x/", "", ""),
+    ("/snapshot_key=k/", "", ""),
+    ("snapshot_key=k/part", "part", "part"),
+    ("/snapshot_key=/part", "part", "part"),
+    ("/snapshot_key=k/a/part", "part", "part"),
+    ("/a/snapshot_key=k.parquet/part", "part", "k.parquet"),
+    ("a.parquet/part", "part", "part"),
+    ("/.parquet/part", "part", "part"),
+    ("//a.parquet.parquet/p.parquet", "p.parquet", "a.parquet"),
+    ("/x/.parquet", ".parquet", ""),
+    ("/x/a.parquet\n", "a.parquet\n", "a\n"),
+    ("/x/a.parquet.b", "a.parquet.b", "a.parquet.b"),
+    ("/é/snapshot_key=é%20😀/p", "p", "é 😀"),
+    (None, None, None),
+]
+
+ODD_KEYS = [
+    ("amazonbestsellers__a_b_", ""),
+    ("amazonbestsellers__amazonbestsellers_c_1", "c"),
+    ("my_amazonbestsellers_c_1", "c"),
+    ("amazonbestsellers_c_", "c"),
+    ("amazonbestsellers_", ""),
+    (None, None),
+]
+
+
+def test_odd_paths(spark):
+    got = evaluate(spark, [path for path, *_ in ODD_PATHS], file_name(F.col("v")), file_key(F.col("v")))
+    assert got == [tuple(rest) for _, *rest in ODD_PATHS]
+
+
+def test_odd_keys(spark):
+    got = evaluate(spark, [key for key, _ in ODD_KEYS], category_of(F.col("v")))
+    assert got == [(category,) for _, category in ODD_KEYS]
+
+
+def test_long_paths_are_cut_and_not_searched(spark):
+    # A pattern that is tried at every character of the name takes minutes here.
+    path = F.concat(F.lit("/"), F.repeat(F.col("v"), 300_000), F.lit(".parquet/part-0.parquet"))
+    began = time.monotonic()
+    got = evaluate(spark, ["k"], file_name(path), F.length(file_key(path)))
+    assert got == [("part-0.parquet", 300_000)]
+    assert time.monotonic() - began < 15
+
+
 def test_tiny_fractions_are_no_longs(spark):
     texts = ["1e-20", "1e-400", "0.0", "-0", "1e2", "120e-1", "12.50e1"]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")

@@ -78,3 +78,8 @@ def test_file_names_are_told_by_many_tasks(spark, sf_dir):
     assert sum(found) == 1200
     assert max(found) <= 420
     assert spark_rows(result) == oracle_rows(oracle(sf_dir, ORACLES["file_names"]))
+
+
+def test_a_file_name_is_encoded_once_for_its_forms(spark, sf_dir):
+    plan = QUERIES["file_names"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("UrlCodec.encode") == 1
